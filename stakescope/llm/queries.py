@@ -29,6 +29,13 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(decode(encode(_table(spark, sf_dir, "documents"), *ranks), *ranks))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .recompression import remove_repeats
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs, 13).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sharding import shard_by_bytes
 
@@ -36,6 +43,15 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import fit, labelled_sample, score
+
+    docs, labels = (_table(spark, sf_dir, name) for name in ("documents", "labels"))
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    model = fit(*labelled_sample(docs, labels, remainder != 1))
+    return score(docs.select("doc_id", "text"), model).select("doc_id", (remainder == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
