@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .byte_bpe import settled
-from .shared import ROW, batches, block_id, n_parts, rows_of, sent, spread, stored
+from .shared import ROW, batches, n_parts, release, rows_of, sent, spread, stored
+from .textblocks import ANSWER, ASK, TEXT, by_block, opened, text_blocks, text_rows
 from .textcore import U64, bounds, deltas, distinct, hash_spans, mix, pack, string_buffers, undeltas, unpack, window_ok, windows, word_spans
 
-BLOCK_BYTES, ROUNDS = 2_000_000, 2
-TEXT, ASK, ANSWER = 0, 1, 2
+ROUNDS = 2
 _FAR = np.int64(1) << np.int64(40)
 
 
@@ -81,21 +81,6 @@ def anchors(h: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.nd
     return starts, best
 
 
-def _text_blocks(it, id_at: int, text_at: int):
-    """(block, rows, document ids, bytes, word starts, word ends, first word of each document) of each block."""
-    sequence = 0
-    for b in it:
-        data, offsets = string_buffers(b.column(text_at))
-        i = 0
-        while i < b.num_rows:
-            j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + BLOCK_BYTES, side="right")) - 1)
-            part = data[offsets[i] : offsets[j]]
-            s, e, first = word_spans(part, offsets[i : j + 1] - offsets[i])
-            rows = b.slice(i, j - i)
-            yield block_id(sequence), rows, np.array(rows.column(id_at).to_numpy(zero_copy_only=False), np.int64), part, s, e, first
-            sequence, i = sequence + 1, j
-
-
 def _least(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct keys, place of each input among them, smallest and largest document of each."""
     d, inverse, n = distinct(keys)
@@ -112,7 +97,7 @@ def _block_anchors(doc, s, e, first, part, n):
 
 
 def _ask_anchors(it, id_at, text_at, n, parts):
-    for block, _, doc, part, s, e, first in _text_blocks(it, id_at, text_at):
+    for block, _, doc, part, s, e, first in text_blocks(it, id_at, text_at):
         _, _, name, owner = _block_anchors(doc, s, e, first, part, n)
         if not len(name):
             continue
@@ -143,29 +128,10 @@ def _answer_anchors(rows, parts):
         at += len(keys)
 
 
-def _texts(it, id_at, text_at, parts):
-    """The rows of each block, whole, as compressed Arrow."""
-    for block, rows, *_ in _text_blocks(it, id_at, text_at):
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-            out.write_batch(rows)
-        yield spread(block, parts), block, TEXT, sink.getvalue().to_pybytes()
-
-
-def _joined(rows, id_at, text_at):
-    """Blocks of this partition with the answers to what they asked, in the order of the buckets."""
-    blocks: dict[int, tuple[list, list]] = {}
-    for _, block, tag, body in rows:
-        blocks.setdefault(block, ([], []))[tag != TEXT].append(body.as_py())
-    for block, (texts, answers) in blocks.items():
-        if len(texts) != 1:
-            raise RuntimeError("texts and answers of a block come from different inputs; store the input first")
-        batch = pa.ipc.open_stream(texts[0]).read_next_batch()
-        got = sorted((unpack(a) for a in answers), key=lambda a: int(a[0][0]))
-        bits = [np.unpackbits(b, count=int(k[0])).astype(bool) for _, b, k in got]
-        data, offsets = string_buffers(batch.column(text_at))
-        s, e, first = word_spans(data, offsets)
-        yield block, batch, np.array(batch.column(id_at).to_numpy(zero_copy_only=False), np.int64), data, s, e, first, np.concatenate(bits) if bits else np.zeros(0, bool)
+def _words_of(batch, id_at, text_at):
+    data, offsets = string_buffers(batch.column(text_at))
+    s, e, first = word_spans(data, offsets)
+    return np.array(batch.column(id_at).to_numpy(zero_copy_only=False), np.int64), data, s, e, first
 
 
 def _suspects(doc, s, e, first, data, shared, n):
@@ -196,8 +162,9 @@ def _pairs_least(one, two, docs):
 
 
 def _ask_windows(rows, id_at, text_at, n, parts):
-    for block, _, doc, data, s, e, first, shared in _joined(rows, id_at, text_at):
-        _, owner, one, two = _suspects(doc, s, e, first, data, shared, n)
+    for block, came in by_block(rows).items():
+        doc, data, s, e, first = _words_of(opened(came[TEXT][0]), id_at, text_at)
+        _, owner, one, two = _suspects(doc, s, e, first, data, _bits(came.get(ANSWER, ())), n)
         if len(one):
             a, b, _, low = _pairs_least(one, two, owner)
             edge, base = bounds(a, parts), int(low.min())
@@ -224,27 +191,15 @@ def _answer_windows(rows, parts):
         at += len(keys)
 
 
-def _split(rows):
-    """Answers about anchors and about windows, told apart by tag, for _removed."""
-    blocks: dict[int, dict[int, list]] = {}
-    for _, block, tag, body in rows:
-        blocks.setdefault(block, {}).setdefault(tag, []).append(body.as_py())
-    return blocks
-
-
 def _bits(answers):
     got = sorted((unpack(a) for a in answers), key=lambda a: int(a[0][0]))
     return np.concatenate([np.unpackbits(b, count=int(k[0])).astype(bool) for _, b, k in got]) if got else np.zeros(0, bool)
 
 
 def _removed(rows, id_at, text_at, n, names):
-    for by_tag in _split(rows).values():
-        if len(by_tag.get(TEXT, ())) != 1:
-            raise RuntimeError("texts and answers of a block come from different inputs; store the input first")
-        batch = pa.ipc.open_stream(by_tag[TEXT][0]).read_next_batch()
-        doc = np.array(batch.column(id_at).to_numpy(zero_copy_only=False), np.int64)
-        data, offsets = string_buffers(batch.column(text_at))
-        s, e, first = word_spans(data, offsets)
+    for by_tag in by_block(rows).values():
+        batch = opened(by_tag[TEXT][0])
+        doc, data, s, e, first = _words_of(batch, id_at, text_at)
         starts, owner, one, two = _suspects(doc, s, e, first, data, _bits(by_tag.get(ANSWER, ())), n)
         cover = np.zeros(len(s) + 1, np.int64)
         if len(starts):
@@ -290,11 +245,13 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
     names = docs.columns
     id_at, text_at = names.index(id_col), names.index(text_col)
     parts = n_parts(docs)
-    texts = docs.mapInArrow(lambda it: batches(_texts(it, id_at, text_at, parts)), ROW)
+    texts = docs.mapInArrow(lambda it: batches(text_rows(it, id_at, text_at, parts)), ROW)
     asked = docs.select(id_col, text_col).mapInArrow(lambda it: batches(_ask_anchors(it, 0, 1, window, parts)), ROW)
     shared = stored(sent(asked, parts, lambda it: batches(_answer_anchors(rows_of(it), parts))), "anchors")
+    release(docs.sparkSession)
     asked = sent(texts.unionByName(shared), parts, lambda it: batches(_ask_windows(rows_of(it), id_at, text_at, window, parts)))
     repeated = stored(sent(asked, parts, lambda it: batches(_answer_windows(rows_of(it), parts))), "windows")
+    release(docs.sparkSession)
     rows = texts.unionByName(shared).unionByName(repeated.withColumn("tag", F.lit(ANSWER + 1)))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return sent(rows, parts, lambda it: _removed(rows_of(it), id_at, text_at, window, names), f"{fields}, n_words long, n_removed long, kept string")
