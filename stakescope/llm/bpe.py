@@ -39,7 +39,7 @@ def classes() -> np.ndarray:
             # runs may step over the surrogates, whose place in `every` is closed up
             table[[ord(c) for c in m.group()]] = kind
     major = {"L": LETTER, "N": NUMBER}
-    other = np.array([major.get(unicodedata.category(chr(c))[0], OTHER) for c in range(0x110000)], np.uint8)
+    other = np.fromiter((major.get(unicodedata.category(chr(c))[0], OTHER) for c in range(0x110000)), np.uint8, 0x110000)
     for c in np.flatnonzero((table != other) & (table != SPACE)).tolist():
         table[c] = _library_class(chr(c))
     return table
@@ -92,7 +92,7 @@ def _cut_at(data: np.ndarray, offsets: np.ndarray, special: dict[bytes, int]) ->
     return offsets, offsets[:0], offsets[:0]
 
 
-def pretokens(data: np.ndarray, offsets: np.ndarray, special: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def pretokens(data: np.ndarray, offsets: np.ndarray, special: dict[bytes, int], table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte starts and ends of all pre-tokens of the documents, and the index of each document's first one (n + 1 values)."""
     if not len(data):
         none = np.zeros(0, np.int64)
@@ -112,7 +112,7 @@ def pretokens(data: np.ndarray, offsets: np.ndarray, special: dict[bytes, int])
                 value = value << 6 | padded[p + k] & 0x3F
             cp[at] = np.minimum(value, 0x10FFFF)
     m = len(cp)
-    kind = classes()[cp]
+    kind = table[cp]
     first = np.zeros(m + 1, bool)  # documents (or parts between special strings) begin here
     first[np.searchsorted(pos, cuts)] = True
     first[m] = True
@@ -151,7 +151,7 @@ class Vocabulary:
     """Ranks, the library's encoder for the rest, and the strings proved to be one token by themselves."""
 
     def __init__(self, ranks: dict[bytes, int], special: dict[bytes, int], pattern: str) -> None:
-        self.ranks, self.special, self.pattern = ranks, special, pattern
+        self.ranks, self.special, self.pattern, self.classes = ranks, special, pattern, classes()
 
     @classmethod
     def read(cls, path: str, pattern: str) -> Vocabulary:
@@ -207,12 +207,12 @@ def keys_of(words: list[bytes]) -> np.ndarray:
     return np.concatenate(out)
 
 
-def column_tokens(column: pa.Array, special: dict[bytes, int], limit: int = PIECE_BYTES):
+def column_tokens(column: pa.Array, vocabulary: Vocabulary, limit: int = PIECE_BYTES):
     """Pieces of a text column: (first document, bytes, starts, ends, keys, first token of each document)."""
     data, offsets = string_buffers(column)
     for i, j in pieces(offsets, limit):
         part = data[offsets[i] : offsets[j]]
-        s, e, first = pretokens(part, offsets[i : j + 1] - offsets[i], special)
+        s, e, first = pretokens(part, offsets[i : j + 1] - offsets[i], vocabulary.special, vocabulary.classes)
         yield i, part, s, e, hash_spans(part, s, e), first
 
 

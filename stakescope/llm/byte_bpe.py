@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -12,11 +15,11 @@ from .shared import ROW, batches, block_id, n_parts, rows_of, sent, spread, stor
 from .textcore import bounds, distinct, hash_spans, pack, pieces, unpack
 
 #: Text bytes of a block, the unit whose words go out once and come back as ids.
-BLOCK_BYTES = 3_000_000
+BLOCK_BYTES = 2_000_000
 WORDS, PLACES, IDS = 1, 0, 2
 
 
-def _blocks(it, special, parts, what):
+def _blocks(it, vocabulary, parts, what):
     """Rows of the exchange for each block: its distinct words by bucket (WORDS), or its texts as word numbers (PLACES).
 
     A word's number is rank * parts + bucket, its rank being by count inside the block's bucket: frequent words get
@@ -25,7 +28,7 @@ def _blocks(it, special, parts, what):
     sequence = 0
     for b in it:
         ids = b.column(0)
-        for i, part, s, e, keys, first in column_tokens(b.column(1), special, BLOCK_BYTES):
+        for i, part, s, e, keys, first in column_tokens(b.column(1), vocabulary, BLOCK_BYTES):
             block, sequence = block_id(sequence), sequence + 1
             d, inverse, n = distinct(keys)
             edge = bounds(d, parts)
@@ -107,54 +110,56 @@ def settled(docs: DataFrame) -> DataFrame:
     return docs if scan and not any(x in plan for x in ("Join", "Aggregate", "Window", "Sort", "Limit", "Exchange", "Rebalance", "Repartition")) else stored(docs, "settled")
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", each: tuple[Callable, str] | None = None) -> DataFrame:
     """(id, ids array<int>) of every whole text, by the ranks of the vocabulary file, without special tokens.
 
+    each: a function of Arrow batches (id, ids) that is applied in the task that assembles them, and its result's columns.
+
     Pre-tokens keep their positions in blocks; each block sends each of its distinct words once, each bucket of words
     encodes each distinct word once, and ids come back to the blocks. A word that stands everywhere reaches its bucket
     once from each block. Null and empty texts have no ids. Ids of rows must be integers; repeated rows stay.
     """
     vocabulary = Vocabulary.read(path, pattern)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    special = vocabulary.special
     source = settled(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")))
     parts = n_parts(source)
-    words = source.mapInArrow(lambda it: batches(_blocks(it, special, parts, WORDS)), ROW)
-    places = source.mapInArrow(lambda it: batches(_blocks(it, special, parts, PLACES)), ROW)
+    words = source.mapInArrow(lambda it: batches(_blocks(it, shared.value, parts, WORDS)), ROW)
+    places = source.mapInArrow(lambda it: batches(_blocks(it, shared.value, parts, PLACES)), ROW)
     ids = sent(words, parts, lambda it: batches(_encode_bucket(rows_of(it), shared.value, parts)))
-    out = sent(places.unionByName(ids), parts, lambda it: _assemble(rows_of(it), pa.int64()), "id long, ids array<int>")
+    change, schema = each or ((lambda b: b), "id long, ids array<int>")
+    out = sent(places.unionByName(ids), parts, lambda it: map(change, _assemble(rows_of(it), pa.int64())), schema)
     return out.withColumnRenamed("id", id_col)
 
 
-def decode(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """(id, ids, data binary): the bytes of each row's ids, through the token-byte table (bounded by the vocabulary)."""
-    shared = encoded.sparkSession.sparkContext.broadcast(Vocabulary.read(path, pattern).token_bytes())
+def decoded_batch(b: pa.RecordBatch, data: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
+    """(id, ids) with the bytes of the ids, joined from the token-byte table."""
+    lists = b.column(1)
+    first = lists.offsets.to_numpy().astype(np.int64)
+    ids = lists.values.to_numpy(zero_copy_only=False)[first[0] : first[-1]]
+    out, n = gathered(data, np.diff(starts), ids)
+    ends = np.concatenate(([0], np.cumsum(n)))[first - first[0]]
+    raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(out.tobytes())])
+    return pa.RecordBatch.from_arrays([b.column(0), lists, raw.cast(pa.binary())], names=["id", "ids", "data"])
 
-    def look_up(it):
-        data, starts = shared.value
-        lengths = np.diff(starts)
-        for b in it:
-            lists = b.column(1)
-            first = lists.offsets.to_numpy().astype(np.int64)
-            ids = lists.values.to_numpy(zero_copy_only=False)[first[0] : first[-1]]
-            out, n = gathered(data, lengths, ids)
-            ends = np.concatenate(([0], np.cumsum(n)))[first - first[0]]
-            yield pa.RecordBatch.from_arrays([b.column(0), lists, pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(out.tobytes())]).cast(pa.binary())], names=["id", "ids", "data"])
 
-    rows = encoded.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(ids_col), F.array().cast("array<int>")).alias("ids"))
-    return rows.mapInArrow(look_up, "id long, ids array<int>, data binary").withColumnRenamed("id", id_col)
+def digest_batch(b: pa.RecordBatch) -> pa.RecordBatch:
+    """n_tokens, ids_sha256 (ids as little-endian unsigned 32-bit integers) and decoded_sha256 of (id, ids, data)."""
+    lists = b.column(1)
+    first = lists.offsets.to_numpy().astype(np.int64)
+    raw = lists.values.to_numpy(zero_copy_only=False).astype("<u4")
+    sums = [hashlib.sha256(raw[x:y]).hexdigest() for x, y in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+    return pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(first), pa.int64()), pa.array(sums, pa.string()), pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in b.column(2)], pa.string())], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 
-def digests(decoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """n_tokens, ids_sha256 (ids as little-endian unsigned 32-bit integers) and decoded_sha256 of each row."""
-    import hashlib
+def decode(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+    """(id, ids, data binary): the bytes of each row's ids, through the token-byte table (bounded by the vocabulary); null ids count as none."""
+    shared = encoded.sparkSession.sparkContext.broadcast(Vocabulary.read(path, pattern).token_bytes())
+    rows = encoded.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(ids_col), F.array().cast("array<int>")).alias("ids"))
+    return rows.mapInArrow(lambda it: (decoded_batch(b, *shared.value) for b in it), "id long, ids array<int>, data binary").withColumnRenamed("id", id_col)
 
-    def hashed(it):
-        for b in it:
-            lists, data = b.column(1), b.column(2)
-            first = lists.offsets.to_numpy().astype(np.int64)
-            raw = lists.values.to_numpy(zero_copy_only=False).astype("<u4")
-            sums = [hashlib.sha256(raw[x:y]).hexdigest() for x, y in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(first), pa.int64()), pa.array(sums), pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in data])], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return decoded.select(F.col(id_col).alias("id"), "ids", "data").mapInArrow(hashed, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Digests of every text's ids and of the bytes decoded from them, made in the task that assembles the ids."""
+    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.read(path, pattern).token_bytes())
+    each = (lambda b: digest_batch(decoded_batch(b, *shared.value))), "id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return encode(docs, path, pattern, id_col, text_col, each)

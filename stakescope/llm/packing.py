@@ -130,7 +130,7 @@ def token_pieces(docs: DataFrame, path: str, pattern: str, capacity: int = 2048,
         for b in it:
             doc = np.array(b.column(0).to_numpy(zero_copy_only=False), np.int64)
             rows: list[tuple[int, int, int, int, int]] = []
-            for i, part, s, e, keys, first in column_tokens(b.column(1), encoder.vocabulary.special):
+            for i, part, s, e, keys, first in column_tokens(b.column(1), encoder.vocabulary):
                 ids, n = encoder.ids(part, s, e, keys)
                 ends = np.concatenate(([0], np.cumsum(n)))[first].tolist()
                 for k, (x, y) in enumerate(zip(ends[:-1], ends[1:], strict=True)):

@@ -23,10 +23,9 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .byte_bpe import decode, digests, encode
+    from .byte_bpe import round_trip
 
-    ranks = _vocabulary("byte_bpe_50k.tiktoken")
-    return digests(decode(encode(_table(spark, sf_dir, "documents"), *ranks), *ranks))
+    return round_trip(_table(spark, sf_dir, "documents"), *_vocabulary("byte_bpe_50k.tiktoken"))
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

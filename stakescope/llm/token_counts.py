@@ -27,7 +27,7 @@ def token_counts(docs: DataFrame, path: str, pattern: str, limit: int = 512, id_
         for b in it:
             n = np.zeros(b.num_rows, np.int64)
             text = b.column(1)
-            for i, part, s, e, keys, first in column_tokens(text, counter.vocabulary.special):
+            for i, part, s, e, keys, first in column_tokens(text, counter.vocabulary):
                 running = np.concatenate(([0], np.cumsum(counter.counts(part, s, e, keys))))[first]
                 n[i : i + len(first) - 1] = np.diff(running)
             n_bytes = np.diff(string_buffers(text)[1])
