@@ -20,7 +20,7 @@ from .textcore import PIECE_BYTES, distinct, hash_spans, pieces, string_buffers
 
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 #: A task's cache of merged words is emptied beyond this many entries; this bounds memory and changes no result.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 120_000
 _QUOTE, _BLANK = 0x27, 0x20
 #: The classes in the public pre-token pattern, by themselves.
 PROBE_PATTERN = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+|\s+"

@@ -15,7 +15,7 @@ U64 = np.uint64
 _M1, _M2, _GOLD = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB), U64(0x9E3779B97F4A7C15)
 _RADIX = (0x2545F4914F6CDD1D, 0xD1342543DE82EF95)
 #: Text is hashed in pieces of about this many bytes, which bounds the working arrays.
-PIECE_BYTES = 2_000_000
+PIECE_BYTES = 1_000_000
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
