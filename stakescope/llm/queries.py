@@ -16,6 +16,12 @@ def _vocabulary(name: str) -> tuple[str, str]:
     return public_tokenizers.path(name), public_tokenizers.PATTERN
 
 
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .topk import exact_top_k
+
+    return exact_top_k(_table(spark, sf_dir, "embeddings"), 20, 20)
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import token_counts
 
