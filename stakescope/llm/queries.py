@@ -57,6 +57,12 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs.select("doc_id", "text"), model).select("doc_id", (remainder == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .nn_descent import approximate_top_k
+
+    return approximate_top_k(_table(spark, sf_dir, "embeddings"), 20, 20)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
