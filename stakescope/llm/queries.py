@@ -28,6 +28,13 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), *_vocabulary("byte_bpe_50k.json"))
 
 
+def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_tree import score
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 != 0)
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .byte_bpe import round_trip
 
