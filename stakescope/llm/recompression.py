@@ -4,7 +4,7 @@ A round names pairs of neighbouring symbols: each symbol falls on the left or th
 left symbol followed by a right one becomes one symbol whose name is a function of both. Equal neighbours fall on the same
 side, so a run stays a row of its symbol's own name. Names are 64-bit functions of content, hence the same in every
 document and task: no round needs a shuffle to agree on them. The exchange then finds which high-level names stand in
-several documents (reveal), and compares the windows around those by 128 bits of their words (verify).
+several documents (reveal), and compares the windows around those by 96 bits of their words (verify).
 """
 
 from __future__ import annotations
@@ -147,7 +147,7 @@ def _suspects(doc, s, e, first, data, shared, n):
     starts, owner = starts[use], owner[use]
     if not len(starts):
         return starts, owner, name[:0], name[:0]
-    return starts, owner, windows(h, n)[starts], windows(hash_spans(data, s, e, 1), n, 0xD6E8FEB86659FD93)[starts]
+    return starts, owner, windows(h, n)[starts], windows(hash_spans(data, s, e, 1), n, 0xD6E8FEB86659FD93)[starts] >> U64(32)
 
 
 def _pairs_least(one, two, docs):
