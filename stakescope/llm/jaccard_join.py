@@ -156,18 +156,19 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     distinct k-word shingles; fewer words make one shingle of all of them; no words or null link with nothing.
 
     Equal sets are one node from the start. Candidates are checked in two rounds, so that a group of near copies does not
-    cost all its pairs: first each document against the smallest one that shares a prefix shingle; then all other pairs
-    that share one and are not yet in one component. Every pair that could link is either checked or already connected.
+    cost all its pairs: first, for each prefix shingle, its documents against the one among them with the fewest shingles of
+    its own (in a group of copies of one text, that is the text or close to it); then all other pairs that share a prefix
+    shingle and are not yet in one component. Every pair that could link is either checked or already connected.
     """
     sets = shingle_sets(docs, k, num, den, id_col, text_col)
     same = ["n", "s1", "s2"]
     nodes = stored(sets.groupBy(*same).agg(F.min(F.struct("doc_id", "row")).alias("r")).select(*same, F.col("r.row").alias("node"), F.col("r.doc_id").alias("least")), "nodes")
     active = sets.where(F.size("prefix") > 0).select("row", "n", "rare", "prefix").join(nodes.select(F.col("node").alias("row")), "row", "left_semi")
-    listed = stored(active.select("row", "n", "rare", F.posexplode("prefix").alias("at", "token")).select("token", "row", "n", (F.col("rare") + F.col("at")).alias("place")), "listed")
-    heads = listed.groupBy("token").agg(F.min(F.struct("row", "n", "place")).alias("h"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    heads = stored(heads.select("token", "h.*"), "heads")
-    star = listed.alias("y").join(heads.alias("x"), "token").where((F.col("y.row") > F.col("x.row")) & _possible("x", "y", num, den))
-    star = stored(star.select(F.col("x.row").alias("a"), F.col("y.row").alias("b")).distinct(), "star")
+    listed = stored(active.select("row", "n", "rare", F.posexplode("prefix").alias("at", "token")).select("token", "row", "n", "rare", (F.col("rare") + F.col("at")).alias("place")), "listed")
+    heads = listed.groupBy("token").agg(F.min(F.struct("rare", "row", "n", "place")).alias("h"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    heads = stored(heads.select("token", "h.row", "h.n", "h.place"), "heads")
+    star = listed.alias("y").join(heads.alias("x"), "token").where((F.col("y.row") != F.col("x.row")) & _possible("x", "y", num, den))
+    star = stored(star.select(F.least("x.row", "y.row").alias("a"), F.greatest("x.row", "y.row").alias("b")).distinct(), "star")
     linked = stored(_links(star, sets, num, den), "links")
     found = components(linked)
     marked = listed.join(heads.select("token"), "token", "left_semi").join(found.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row"))
