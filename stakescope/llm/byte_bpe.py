@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .bpe import Vocabulary, column_tokens, gathered
 from .shared import ROW, batches, block_id, n_parts, rows_of, sent, spread, stored
-from .textcore import bounds, distinct, hash_spans, pack, pieces, unpack
+from .textcore import bounds, distinct, hash_spans, ids_back, ids_of, pack, pieces, unpack
 
 #: Text bytes of a block, the unit whose words go out once and come back as ids.
 BLOCK_BYTES = 2_000_000
@@ -37,7 +37,7 @@ def _blocks(it, vocabulary, parts, what):
             if what == PLACES:
                 number = np.empty(len(d), np.int64)
                 number[order] = (np.arange(len(d)) - edge[bucket]) * parts + bucket
-                yield spread(block, parts), block, PLACES, pack(np.array(ids.slice(i, len(first) - 1).to_numpy(zero_copy_only=False), np.int64), first, number[inverse], edge)
+                yield spread(block, parts), block, PLACES, pack(ids_of(ids.slice(i, len(first) - 1)), first, number[inverse], edge)
                 continue
             example = np.empty(len(d), np.int64)
             example[inverse] = np.arange(len(keys))
@@ -83,7 +83,7 @@ def _encode_bucket(rows, vocabulary, parts):
         yield spread(block, parts), block, IDS, pack(np.array([bucket]), got, many)
 
 
-def _assemble(rows, kind):
+def _assemble(rows):
     """Texts of each block put together again by position."""
     blocks: dict[int, tuple[list, list]] = {}
     for _, block, tag, body in rows:
@@ -100,7 +100,7 @@ def _assemble(rows, kind):
         many = np.concatenate([m for *_, m in got]) if got else np.zeros(0, np.int64)
         ids, n = gathered(values, many, edge[number % parts] + number // parts)
         ends = np.concatenate(([0], np.cumsum(n)))[first]
-        yield pa.RecordBatch.from_arrays([pa.array(doc, kind), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids, pa.int32()))], names=["id", "ids"])
+        yield pa.RecordBatch.from_arrays([ids_back(doc), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids, pa.int32()))], names=["id", "ids"])
 
 
 def settled(docs: DataFrame) -> DataFrame:
@@ -127,7 +127,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     places = source.mapInArrow(lambda it: batches(_blocks(it, shared.value, parts, PLACES)), ROW)
     ids = sent(words, parts, lambda it: batches(_encode_bucket(rows_of(it), shared.value, parts)))
     change, schema = each or ((lambda b: b), "id long, ids array<int>")
-    out = sent(places.unionByName(ids), parts, lambda it: map(change, _assemble(rows_of(it), pa.int64())), schema)
+    out = sent(places.unionByName(ids), parts, lambda it: map(change, _assemble(rows_of(it))), schema)
     return out.withColumnRenamed("id", id_col)
 
 

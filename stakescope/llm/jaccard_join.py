@@ -16,7 +16,7 @@ from .byte_bpe import settled
 from .components import components
 from .shared import ROW, batches, dropped, n_parts, release, rows_of, sent, spread, stored
 from .textblocks import ANSWER, ASK, TEXT, by_block, opened, text_blocks, text_rows
-from .textcore import U64, bounds, deltas, distinct, hash_spans, mix, pack, string_buffers, undeltas, unpack, window_ok, windows, word_spans
+from .textcore import NULL_ID, U64, bounds, deltas, distinct, hash_spans, ids_of, mix, pack, string_buffers, undeltas, unpack, window_ok, windows, word_spans
 
 SETS = "row long, doc_id long, n long, s1 long, s2 long, rare long, tokens array<long>, prefix array<long>, second array<long>, third array<long>"
 
@@ -102,7 +102,7 @@ def _sets(rows, k, num, den):
         limit = np.maximum(0, n - -(-n * num // den) + 1 - rare)
         order = np.argsort(doc, kind="stable")
         s1, s2 = _sums(name[order], doc[order], docs), _sums(mix(name[order] ^ U64(99)), doc[order], docs)
-        ids = np.array(batch.column(0).to_numpy(zero_copy_only=False), np.int64)
+        ids = ids_of(batch.column(0))
         s1 = np.where(n == 0, np.arange(docs).astype(U64) + U64(block << 20), s1)
         use = (df > 1) & (limit[doc] > 0)
         name, doc, df = name[use], doc[use], df[use]
@@ -153,7 +153,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     """(id, n_shingles, component_id) of every row: the smallest id that links lead to.
 
     Words are compared with A-Z lower-cased. Two documents link when den * intersection >= num * union of their sets of
-    distinct k-word shingles; fewer words make one shingle of all of them; no words or null link with nothing.
+    distinct k-word shingles; fewer words make one shingle of all of them; no words or null link with nothing. A null id counts as smaller than any other.
 
     Equal sets are one node from the start. Candidates are checked in two rounds, so that a group of near copies does not
     cost all its pairs: first, for each prefix shingle, its documents against the one among them with the fewest shingles of
@@ -183,4 +183,5 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     named = stored(named, "named")
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     of = stored(named.join(least, "root").select(*same, "component_id"), "classes")
-    return sets.select("doc_id", *same).join(of, same).select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+    known = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
+    return sets.select("doc_id", *same).join(of, same).select(known("doc_id").alias(id_col), F.col("n").alias("n_shingles"), known("component_id").alias("component_id"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .bpe import Encoder, Vocabulary, column_tokens
 from .ranking import ranked
 from .shared import n_parts, stored
+from .textcore import NULL_ID, ids_of
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -128,7 +129,7 @@ def token_pieces(docs: DataFrame, path: str, pattern: str, capacity: int = 2048,
     def cut(it):
         encoder = Encoder(shared.value)
         for b in it:
-            doc = np.array(b.column(0).to_numpy(zero_copy_only=False), np.int64)
+            doc = ids_of(b.column(0))
             rows: list[tuple[int, int, int, int, int]] = []
             for i, part, s, e, keys, first in column_tokens(b.column(1), encoder.vocabulary):
                 ids, n = encoder.ids(part, s, e, keys)
@@ -137,7 +138,7 @@ def token_pieces(docs: DataFrame, path: str, pattern: str, capacity: int = 2048,
                     own = np.append(ids[x:y], np.array([end_id], "<u4")).astype("<u4")
                     start, length = 0, (len(own) - 1) % capacity + 1
                     for piece in range(-(-len(own) // capacity)):
-                        rows.append((doc[i + k], piece, start, length, zlib.crc32(own[start : start + length])))
+                        rows.append((None if doc[i + k] == NULL_ID else int(doc[i + k]), piece, start, length, zlib.crc32(own[start : start + length])))
                         start, length = start + length, capacity
             cols = list(zip(*rows, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])

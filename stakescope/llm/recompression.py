@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .byte_bpe import settled
 from .shared import ROW, batches, n_parts, release, rows_of, sent, spread, stored
 from .textblocks import ANSWER, ASK, TEXT, by_block, opened, text_blocks, text_rows
-from .textcore import U64, bounds, deltas, distinct, hash_spans, mix, pack, string_buffers, undeltas, unpack, window_ok, windows, word_spans
+from .textcore import U64, bounds, deltas, distinct, hash_spans, ids_of, mix, pack, string_buffers, undeltas, unpack, window_ok, windows, word_spans
 
 ROUNDS = 2
 _FAR = np.int64(1) << np.int64(40)
@@ -131,7 +131,7 @@ def _answer_anchors(rows, parts):
 def _words_of(batch, id_at, text_at):
     data, offsets = string_buffers(batch.column(text_at))
     s, e, first = word_spans(data, offsets)
-    return np.array(batch.column(id_at).to_numpy(zero_copy_only=False), np.int64), data, s, e, first
+    return ids_of(batch.column(id_at)), data, s, e, first
 
 
 def _suspects(doc, s, e, first, data, shared, n):
@@ -236,7 +236,8 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
 
     A word goes if it lies in a window of `window` words of its document whose words also start somewhere in a document
     with a smaller id. Windows are judged on the input. Null texts have no words; documents with the same id do not
-    remove each other's words; columns named n_words, n_removed or kept are replaced. Ids must be integers and not null.
+    remove each other's words; columns named n_words, n_removed or kept are replaced. Ids must be integers; a null id counts
+    as smaller than any other.
 
     Each window is sent to compare only if its anchor stands in several documents; a block sends a window once however
     many of its documents share it, so a passage that stands everywhere costs one row for each block.

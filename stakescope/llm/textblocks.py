@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 from .shared import block_id, spread
-from .textcore import string_buffers, word_spans
+from .textcore import ids_of, string_buffers, word_spans
 
 BLOCK_BYTES = 2_000_000
 TEXT, ASK, ANSWER = 0, 1, 2
@@ -23,7 +23,7 @@ def text_blocks(it, id_at: int, text_at: int):
             part = data[offsets[i] : offsets[j]]
             s, e, first = word_spans(part, offsets[i : j + 1] - offsets[i])
             rows = b.slice(i, j - i)
-            yield block_id(sequence), rows, np.array(rows.column(id_at).to_numpy(zero_copy_only=False), np.int64), part, s, e, first
+            yield block_id(sequence), rows, ids_of(rows.column(id_at)), part, s, e, first
             sequence, i = sequence + 1, j
 
 

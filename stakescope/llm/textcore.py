@@ -76,6 +76,18 @@ def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]] if len(offsets) else data[:0], offsets - offsets[0] if len(offsets) else np.zeros(1, np.int64)
 
 
+#: What stands for a null id inside arrays: smaller than any other.
+NULL_ID = -(2**63)
+
+
+def ids_of(column: pa.Array) -> np.ndarray:
+    return np.array(column.cast(pa.int64()).fill_null(NULL_ID).to_numpy(zero_copy_only=False), np.int64)
+
+
+def ids_back(ids: np.ndarray) -> pa.Array:
+    return pa.array(ids, pa.int64(), mask=ids == NULL_ID)
+
+
 def pieces(offsets: np.ndarray, limit: int = PIECE_BYTES):
     """Ranges of documents of about limit bytes each; a longer document is a range by itself."""
     i, n = 0, len(offsets) - 1
