@@ -86,5 +86,35 @@ def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
+_WORDS = "regexp_extract_all({x}, '[^\\x20\\x09-\\x0D]+')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_TOP_K_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p) WHERE rank <= 20"""
+
+_REPEATS_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS.format(x="coalesce(text, '')")} AS w FROM documents),
+s AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13),
+k AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS t FROM s),
+f AS (SELECT t, min(doc_id) AS first FROM k GROUP BY t),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS pos FROM k JOIN f USING (t) WHERE first < doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM d),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS t FROM words ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, len(d.w) - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)"""
+
+_JACCARD_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format(x=_LOWER)} AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS t FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.t = b.t AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM c JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 80 * (p.n + q.n - c)),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) m USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL of what SQL can say; the others are held against brute force in tests."""
+    return {"op1_exact_top_k": _TOP_K_SQL, "op5_substring_dedup": _REPEATS_SQL, "op10_jaccard_join": _JACCARD_SQL}
