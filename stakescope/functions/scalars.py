@@ -183,16 +183,16 @@ def fixed(x: Column, digits: int) -> Column:
 
 def general(x: Column) -> Column:
     """Six significant digits without trailing zeros, as a plain general format writes them (scientific from 1e6 or below 1e-4)."""
-    x = x.cast("double")
-    size = F.abs(x)
-    text = F.format_string("%.5e", x)  # d.ddddde+xx: already rounded to six digits
-    mantissa, power = F.regexp_extract(text, "^(.*)e", 1), F.regexp_extract(text, "e(.*)$", 1).try_cast("int")
-    digits = lambda s: F.regexp_replace(F.regexp_replace(s, r"(\.\d*?)0+$", "$1"), r"\.$", "")
-    plain = F.lit("")
-    for p in range(-4, 6):
-        plain = F.when(power == p, digits(F.format_string(f"%.{5 - p}f", x))).otherwise(plain)
-    science = F.concat(digits(mantissa), F.lit("e"), F.when(power < 0, "-").otherwise("+"), F.lpad(F.abs(power).cast("string"), 2, "0"))
-    return F.when(size == 0, "0").when((power < -4) | (power >= 6), science).otherwise(plain)
+    text = F.format_string("%.5e", x.cast("double"))  # d.ddddde+xx: rounded to six digits
+    digits = lambda t: F.regexp_replace(F.regexp_replace(t, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+
+    def written(t: Column) -> Column:
+        power = F.regexp_extract(t, "e(.*)$", 1).try_cast("int")
+        plain = digits(t.try_cast("double").try_cast("decimal(20,10)").cast("string"))
+        science = F.concat(digits(F.regexp_extract(t, "^(.*)e", 1)), F.lit("e"), F.when(power < 0, "-").otherwise("+"), F.lpad(F.abs(power).cast("string"), 2, "0"))
+        return F.when(t.try_cast("double") == 0, "0").when((power < -4) | (power >= 6), science).otherwise(plain)
+
+    return F.get(F.transform(F.array(text), written), F.lit(0))  # the text is made once
 
 
 def hashed_id(prefix: str, *parts: Column) -> Column:

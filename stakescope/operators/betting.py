@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..config import Thresholds
 from ..functions import scalars as S
 from .guards import population
-from .specs import BET, feature, item, nonempty
+from .specs import BET, barrier, feature, item, nonempty
 
 
 def by_game(bets: DataFrame) -> DataFrame:
@@ -51,6 +51,7 @@ def betting(players: DataFrame, bets: DataFrame, t: Thresholds) -> DataFrame:
     per_game = F.struct("game", "n", "stake_sum", "tickets")
     top = games.groupBy("player_key").agg(kept(F.col("settled") >= t.min_settled, rated).alias("rated"), kept(F.col("n") >= t.min_timing, timed).alias("timed"), kept(F.col("n") >= t.min_volatility, varied).alias("varied"), F.array_sort(F.collect_list(per_game)).alias("games"))
     base = people.join(top, "player_key", "left").join(bet_totals(own), "player_key", "left")
+    base = barrier(base)
     none = [(F.col("bets").isNull(), "no_bets")]
     first = lambda c: F.get(F.col(c), F.lit(0))["e"]
     listed = lambda c: S.json_text(F.transform(c, lambda x: x["e"]))

@@ -9,7 +9,7 @@ from ..config import Thresholds
 from ..functions import scalars as S
 from .guards import population
 from .pairs import as_of_pairs, interval_turnover, trigger_pairs, worst_turnover
-from .specs import PAY, feature, item, nonempty
+from .specs import PAY, barrier, feature, item, nonempty
 
 
 def money_totals(money: DataFrame) -> DataFrame:
@@ -39,6 +39,7 @@ def payment(players: DataFrame, money: DataFrame, bets: DataFrame, t: Thresholds
     worst = worst_turnover(interval_turnover(trigger_pairs(pairs, t), own_bets))
     active = own_bets.select("player_key").distinct().withColumn("active", F.lit(True))
     base = people.join(money_totals(ledger), "player_key", "left").join(paired, "player_key", "left").join(worst, "player_key", "left").join(active, "player_key", "left")
+    base = barrier(base)
     zero = {c: F.coalesce(c, F.lit(0)) for c in ("n_in", "n_out", "n_withdrawals")}
     sums = {c: F.coalesce(c, F.lit(0.0)) for c in ("sum_in", "sum_out")}
     none = lambda c: F.coalesce(F.col(c), F.array().cast("array<string>"))

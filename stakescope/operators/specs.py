@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -88,3 +88,11 @@ def item(**fields: Column) -> Column:
 
 def nonempty(ids: Column, evidence: Column) -> Column:
     return F.when(F.size(ids) > 0, evidence)
+
+
+def barrier(df: DataFrame) -> DataFrame:
+    """The same rows, behind a generator that the optimizer does not see through.
+
+    Columns that later steps use many times are computed once, instead of being copied into every use.
+    """
+    return df.select(F.explode(F.array(F.struct(*df.columns))).alias("_row")).select("_row.*")

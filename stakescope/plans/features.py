@@ -12,7 +12,7 @@ from ..operators.betting import betting
 from ..operators.guards import ContractError, population, require_currency, require_unique
 from ..operators.multi_accounting import multi_accounting
 from ..operators.payment import payment
-from ..operators.specs import ALL, Spec
+from ..operators.specs import ALL, Spec, barrier
 
 
 @dataclass(frozen=True)
@@ -59,7 +59,8 @@ def build_features(players: DataFrame, logins: DataFrame, money: DataFrame, bets
     t = t or Thresholds()
     if check:
         check_inputs(players, money, bets)
-    structs = multi_accounting(players, logins, money, t).join(payment(players, money, bets, t), "player_key").join(betting(players, bets, t), "player_key")
+    groups = [multi_accounting(players, logins, money, t), payment(players, money, bets, t), betting(players, bets, t)]
+    structs = barrier(groups[0]).join(barrier(groups[1]), "player_key").join(barrier(groups[2]), "player_key")
     missing = [n for n in ALL if n not in structs.columns]
     if missing:
         raise ContractError(f"features missing: {missing}")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import ConfigError, RuleSpec, Settings
 from ..functions import scalars as S
-from ..operators.specs import ALL, Spec
+from ..operators.specs import ALL, Spec, barrier
 
 GROUPS = {"ma": "multi_accounting_score", "pay": "payment_fraud_score", "bet": "betting_anomaly_score"}
 
@@ -80,7 +80,7 @@ def score_players(structs: DataFrame, settings: Settings | None = None, iforest:
     check_rules(settings.rules)
     fields = {f.name: f.dataType for f in structs.schema}
     hit = {r.rule_id: F.col(f"_hit.{r.rule_id}") for r in settings.rules}
-    rows = structs.withColumn("_hit", F.struct(*(fires(r).alias(r.rule_id) for r in settings.rules)))
+    rows = barrier(structs.withColumn("_hit", F.struct(*(fires(r).alias(r.rule_id) for r in settings.rules))))
     fired, scores = [], {}
     for group, column in GROUPS.items():
         own = [r for r in settings.rules if group_of(r.feature) == group]
@@ -98,7 +98,7 @@ def score_players(structs: DataFrame, settings: Settings | None = None, iforest:
     every = F.filter(F.array(*fired), lambda x: x.isNotNull())
     missing = F.filter(F.array(*(F.when(F.col(f"{n}.null_reason").isNotNull(), F.struct(F.lit(n).alias("feature_name"), F.col(f"{n}.null_reason").alias("null_reason"))) for n in sorted(ALL))), lambda x: x.isNotNull())
     snapshot = S.json_text(F.struct(*(F.col(f"{n}.value").alias(n) for n in sorted(ALL))))
-    out = rows.select("player_key", *(c.alias(k) for k, c in scores.items()), every.alias("fired"), S.json_text(missing).alias("unmeasured_features"), snapshot.alias("feature_snapshot"))
+    out = barrier(rows.select("player_key", *(c.alias(k) for k, c in scores.items()), every.alias("fired"), S.json_text(missing).alias("unmeasured_features"), snapshot.alias("feature_snapshot")))
     out = out.withColumn("overall_risk", F.col("multi_accounting_score") + F.col("payment_fraud_score") + F.col("betting_anomaly_score"))
     out = out.withColumn("band", S.band("overall_risk", settings.medium_cut, settings.high_cut)).withColumn("fired_rules", S.json_text(F.col("fired")))
     if iforest is None:
