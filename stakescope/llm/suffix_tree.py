@@ -1,11 +1,13 @@
 """LM scoring with a probabilistic suffix tree over words.
 
-Contexts are the last one or two words. A context is a candidate if it makes up at least P_MIN of the training tokens (so
-there are at most 1 / P_MIN of each length, whatever the corpus), and it is retained if its next-word counts diverge from
-those of its suffix by more than the cost of describing them. A word's probability comes from the longest retained suffix
-of what stands before it, smoothed by interpolation with the next shorter one down to the base. Counts of words and of
-(context, word) pairs are exact, over all training documents, and stay distributed: each block of texts asks for those
-that it needs.
+Contexts are the last words before a word, as many as the corpus bears out: a context is a candidate if it stands LEAST
+times in the training texts, and it is retained if its next-word counts diverge from those of its suffix (the context
+without its first word) by more than the cost of describing them. No longer context can be retained if the next-word counts
+of this one hold less information than one description costs (the divergence of all that extends it is at most that), so
+growth stops there, which loses nothing; there is no other bound on number or length. A word's probability comes from the
+longest retained suffix of what stands before it, smoothed by interpolation with the next shorter one down to the base.
+Counts of words, of (context, word) pairs and sums over contexts are exact, over all training documents, and stay
+distributed: each block of texts asks for those that it needs.
 """
 
 from __future__ import annotations
@@ -16,17 +18,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .byte_bpe import settled
-from .shared import ROW, batches, n_parts, release, rows_of, sent, spread, stored
-from .textblocks import ANSWER, ASK, TEXT, by_block, opened, text_blocks, text_rows
-from .textcore import U64, bounds, deltas, distinct, hash_spans, mix, pack, string_buffers, undeltas, unpack, word_spans
-
-#: Share of the training tokens that a context must have, and the count it must have in any case.
-P_MIN, LEAST = 1e-5, 8
-#: Tasks among which sums over contexts are divided.
-SUMS = 64
-TOTAL_N, TOTAL_V, SUM, OFTEN = 10, 11, 12, 13
+from .shared import ROW, batches, dropped, n_parts, release, rows_of, sent, spread, stored
+from .textblocks import ANSWER, ASK, TEXT, opened, text_blocks, text_rows
+from .textcore import NULL_ID, U64, bounds, deltas, distinct, hash_spans, ids_of, mix, pack, string_buffers, undeltas, unpack, word_spans
+
+#: The count that a context must have.
+LEAST = 8
+#: Next words of a context with more sightings than this are dealt to several buckets.
+SPLIT = 20_000
+#: Levels that are worked out again from the texts; later ones go on from what is still open.
+FROM_TEXT = 2
+#: About as many (place, level) pairs of a block are asked in one round.
+ROUND = 200_000
+TOTAL_N, TOTAL_V, SUM, COUNT = 10, 11, 12, 13
+#: Answers of step k of a block: counts at STEP + 2 * k, contexts at STEP + 2 * k + 1.
+STEP = 20
 _END = mix(np.array([0x454E44], U64))[0]
-_R = U64(0x9E3779B97F4A7C15)
+_R, _R2 = U64(0x9E3779B97F4A7C15), U64(0xD1342543DE82EF95)
 
 
 class Stream:
@@ -43,223 +51,321 @@ class Stream:
         self.train = train[self.doc]
         self.words, self.word_at, _ = distinct(self.h)
 
-    def pairs(self, often: np.ndarray, c: np.ndarray):
-        """Second tokens of the pairs whose first word is a candidate context and whose second is known: places, keys, contexts."""
-        if len(self.h) < 2 or not len(often):
-            none = np.zeros(0, np.int64)
-            return none, np.zeros(0, U64), none
-        at = np.minimum(np.searchsorted(often, self.words), len(often) - 1)
-        context = np.where(often[at] == self.words, at, -1)[self.word_at]
-        i = np.flatnonzero((self.doc[1:] == self.doc[:-1]) & (context[:-1] >= 0) & (c[self.word_at[1:]] > 0)) + 1
-        return i, mix(self.h[i - 1] * _R + self.h[i]), context[i - 1]
-
-    def triples(self, i, keys, c2, often2: np.ndarray):
-        """Of places i of known pairs (v, w): those whose (u, v) is a candidate context: places in i, keys, contexts."""
-        if not len(i) or not len(often2):
-            none = np.zeros(0, np.int64)
-            return none, np.zeros(0, U64), none
-        key_at = np.zeros(len(self.h), U64)
-        known = np.zeros(len(self.h), bool)
-        key_at[i], known[i] = keys, True
-        before = key_at[i - 1]
-        at = np.minimum(np.searchsorted(often2, before), len(often2) - 1)
-        j = np.flatnonzero(known[i - 1] & (often2[at] == before) & (c2 > 0) & (self.doc[i - 1] == self.doc[i]))
-        return j, mix(before[j] * _R + self.h[i[j]] + U64(3)), at[j]
-
-
-def _ask(block, parts, keys, *extra):
-    """Rows that ask for sorted keys, with what goes along."""
-    edge = bounds(keys, parts)
-    for p in np.flatnonzero(np.diff(edge)).tolist():
-        x, y = edge[p], edge[p + 1]
-        yield p, block, ASK, pack(deltas(keys[x:y]), *(a[x:y] for a in extra))
-
-
-def _counted(keys, weights):
-    d, inverse, _ = distinct(keys)
-    return d, inverse, np.bincount(inverse, weights=weights, minlength=len(d)).astype(np.int64) if len(d) else np.zeros(0, np.int64)
-
-
-def _first_of(inverse, n):
-    """One place for each distinct key."""
-    out = np.empty(n, np.int64)
-    out[inverse] = np.arange(len(inverse))
-    return out
-
 
 def _answers(came, tag):
+    """Columns of the answers of all buckets, in the order of the keys."""
     got = sorted((unpack(a) for a in came.get(tag, ())), key=lambda a: int(a[0][0]))
-    return np.concatenate([a[1] for a in got]).astype(np.int64) if got else np.zeros(0, np.int64)
+    return [np.concatenate(x) for x in zip(*(a[1:] for a in got), strict=True)] if got else [np.zeros(0, np.int64)] * 4
 
 
-def _opened_stream(came) -> tuple[pa.RecordBatch, Stream]:
-    batch = opened(came[TEXT][0])
-    data, offsets = string_buffers(batch.column(1))
-    s, e, first = word_spans(data, offsets)
-    return batch, Stream(data, s, e, first, batch.column(2).to_numpy(zero_copy_only=False).astype(bool))
+class Block:
+    """A block at a level: its texts' tokens, and the places whose context of level words is asked about next.
+
+    Of each place: the key of the context, the most that it can count, the count of the word after the suffix and that of
+    the suffix, and the word's probability so far.
+    """
+
+    DOCS = ("ids", "train", "n_tokens", "n_known", "base", "score")
+
+    @classmethod
+    def of_text(cls, came, n_tokens, n_words) -> Block:
+        b = cls()
+        batch = opened(came[TEXT][0])
+        data, offsets = string_buffers(batch.column(1))
+        train = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
+        x = Stream(data, *word_spans(data, offsets), train)
+        b.words, b.word_at, b.length = x.words, x.word_at, np.diff(x.first)
+        b.count = _answers(came, ANSWER)[0].astype(np.int64)
+        b.level = 1
+        b._index()
+        sums = lambda v: np.diff(np.concatenate(([0], np.cumsum(v)))[x.first])
+        p = ((b.count + 0.1) / (n_tokens + 0.1 * (n_words + 1)))[x.word_at]
+        before = np.concatenate(([0], b.count[x.word_at[:-1]])) if len(x.h) else np.zeros(0, np.int64)
+        b.pos = np.flatnonzero((np.arange(len(x.h)) > b.start) & (before >= LEAST))
+        b.key, b.most, b.p = x.h[b.pos - 1], before[b.pos], p[b.pos]
+        b.seen, b.of = b.count[x.word_at[b.pos]], np.full(len(b.pos), max(1, n_tokens))
+        log = np.log10(p)
+        b.ids, b.train, b.n_tokens, b.n_known = ids_of(batch.column(0)), train, b.length, sums((b.count > 0)[x.word_at].astype(np.int64))
+        b.base = sums(log)
+        log[b.pos] = 0
+        b.score = sums(log)
+        return b
+
+    def _index(self) -> None:
+        self.h = self.words[self.word_at]
+        first = np.cumsum(self.length) - self.length
+        self.doc = np.repeat(np.arange(len(self.length)), self.length)
+        self.start = first[self.doc]
+
+    def pack(self) -> bytes:
+        """Documents without open places keep their results only."""
+        keep = np.bincount(self.doc[self.pos], minlength=len(self.length)) > 0
+        token = keep[self.doc]
+        words, at, _ = distinct(self.h[token])
+        count = self.count[np.searchsorted(self.words, words)]
+        pos = (np.cumsum(token) - 1)[self.pos]
+        docs = [getattr(self, n) for n in self.DOCS]
+        return pack(np.array([self.level]), *docs, np.where(keep, self.length, 0), deltas(words), at, count, np.diff(pos, prepend=0), self.key, self.most, self.seen, self.of, self.p)
+
+    @classmethod
+    def unpacked(cls, body) -> Block:
+        b = cls()
+        level, *docs, length, words, at, count, pos, b.key, b.most, b.seen, b.of, b.p = unpack(body)
+        b.level = int(level[0])
+        for n, v in zip(cls.DOCS, docs, strict=True):
+            setattr(b, n, v)
+        b.train, b.ids = b.train.astype(bool), b.ids.astype(np.int64)
+        b.length, b.words, b.word_at, b.count, b.pos = length.astype(np.int64), undeltas(words), at.astype(np.int64), count.astype(np.int64), np.cumsum(pos.astype(np.int64))
+        b.most, b.seen, b.of, b.key, b.p = b.most.astype(np.int64), b.seen.astype(np.int64), b.of.astype(np.int64), b.key.astype(U64), np.array(b.p)
+        b._index()
+        return b
+
+    def levels(self, many: int):
+        """Each level's places (in pos) and keys of contexts."""
+        at, key = np.arange(len(self.pos)), self.key
+        yield at, key
+        for n in range(self.level + 1, self.level + many):
+            fits = self.pos[at] - n >= self.start[self.pos[at]]
+            at, key = at[fits], key[fits]
+            key = mix(key * _R2 + self.h[self.pos[at] - n] + U64(n))
+            yield at, key
+
+    def pairs(self, many: int) -> None:
+        """Distinct (context, next word) pairs of many levels, by bucket; a context with many next words has several buckets."""
+        self.found = list(self.levels(many))
+        at, key = (np.concatenate(x) for x in zip(*self.found, strict=True))
+        self.asks = self.count[self.word_at[self.pos[at]]] > 0
+        at, key = at[self.asks], key[self.asks]
+        word = self.word_at[self.pos[at]]
+        salt = mix(self.words[word]) % (1 + self.most[at] // SPLIT).astype(U64)
+        unit = np.where(salt > 0, mix(key + salt * _R), key)
+        self.units, unit_at, _ = distinct(unit)
+        self.context = np.empty(len(self.units), U64)
+        self.context[unit_at] = key
+        pair, self.pair_at, _ = distinct(unit_at * max(1, len(self.words)) + word)
+        self.pair_unit, self.pair_word = pair // max(1, len(self.words)), pair % max(1, len(self.words))
+        self.learnt = self.train[self.doc[self.pos[at]]]
+        self.n = np.bincount(self.pair_at, weights=self.learnt, minlength=len(pair)).astype(np.int64)
+
+    def ask(self, block, parts, many):
+        self.pairs(many)
+        edge = bounds(self.units, parts)
+        sizes = np.bincount(self.pair_unit, minlength=len(self.units))
+        upto = np.concatenate(([0], np.cumsum(sizes)))
+        for p in np.flatnonzero(np.diff(edge)).tolist():
+            x, y = edge[p], edge[p + 1]
+            i, j = upto[x], upto[y]
+            dealt = np.flatnonzero(self.context[x:y] != self.units[x:y])
+            yield p, block, ASK, pack(deltas(self.units[x:y]), sizes[x:y], self.words[self.pair_word[i:j]], self.n[i:j], dealt, self.context[x:y][dealt])
+
+    def counted(self, came, tag, many):
+        """Each level's places, keys, counts of the next words, and counts of them after the suffix."""
+        self.pairs(many)
+        total = _answers(came, tag)[0].astype(np.int64)
+        if len(total) != len(self.n):
+            raise RuntimeError("a block's pairs and their counts come from different inputs; store the input first")
+        count = np.zeros(len(self.asks), np.int64)
+        count[self.asks] = total[self.pair_at]
+        edge, suffix = 0, self.seen
+        for at, key in self.found:
+            mine = count[edge : edge + len(at)]
+            yield at, key, mine, suffix[at]
+            edge += len(at)
+            suffix = np.zeros(len(self.pos), np.int64)
+            suffix[at] = mine
+
+    def ask_contexts(self, came, block, tag, parts, many):
+        """What the block's training words add to the sum of n * log(count after the suffix) of each context."""
+        keys, logs = [], []
+        for at, key, _, suffix in self.counted(came, tag, many):
+            keys.append(key)
+            logs.append(np.where(self.train[self.doc[self.pos[at]]], np.log(np.maximum(suffix, 1)), 0.0))
+        d, inverse, _ = distinct(np.concatenate(keys))
+        total = np.bincount(inverse, weights=np.concatenate(logs), minlength=len(d))
+        edge = bounds(d, parts)
+        for p in np.flatnonzero(np.diff(edge)).tolist():
+            x, y = edge[p], edge[p + 1]
+            yield p, block, ASK, pack(deltas(d[x:y]), total[x:y])
+
+    def advance(self, came, tag, many, n_tokens) -> None:
+        """Probabilities with the retained contexts of many levels, and the places whose longer contexts can still be retained."""
+        counted = list(self.counted(came, tag, many))
+        _, inverse, _ = distinct(np.concatenate([key for _, key, *_ in counted]))
+        n_all, kinds_all, value, open_all = _answers(came, tag + 1)
+        cost, edge = 0.5 * np.log(max(2, n_tokens)), 0
+        alive, of = np.ones(len(self.pos), bool), self.of.copy()
+        seen = np.full(len(self.h), -1, np.int64)
+        last = np.zeros(len(self.pos), np.int64)
+        for at, _, mine, _ in counted:
+            place = inverse[edge : edge + len(at)]
+            edge += len(at)
+            n, kinds = n_all[place].astype(np.int64), kinds_all[place].astype(np.int64)
+            use = alive[at] & (n >= LEAST) & (value[place] + n * np.log(np.maximum(1, of[at])) > kinds * cost)
+            i = at[use]
+            self.p[i] = (mine[use] + kinds[use] * self.p[i]) / (n[use] + kinds[use])
+            still = np.zeros(len(self.pos), bool)
+            still[at] = alive[at] & (n >= LEAST) & (open_all[place] > 0)
+            alive, of[at], last[at] = still, n, mine
+            seen[:] = -1
+            seen[self.pos[at]] = mine
+        self.level += many
+        at = np.flatnonzero(alive)
+        at = at[self.pos[at] - self.level >= self.start[self.pos[at]]]
+        before = seen[self.pos[at] - 1]  # the count of the longer context, where its last word was asked for
+        at = at[(before < 0) | (before >= LEAST)]
+        key = mix(self.last_keys(counted, len(self.pos))[at] * _R2 + self.h[self.pos[at] - self.level] + U64(self.level))
+        gone = np.ones(len(self.pos), bool)
+        gone[at] = False
+        self.score = self.score + np.bincount(self.doc[self.pos[gone]], weights=np.log10(self.p[gone]), minlength=len(self.length))
+        self.pos, self.key, self.most, self.seen, self.of, self.p = self.pos[at], key, of[at], last[at], of[at], self.p[at]
+
+    @staticmethod
+    def last_keys(counted, size):
+        key = np.zeros(size, U64)
+        key[counted[-1][0]] = counted[-1][1]
+        return key
+
+
+def _blocks(rows, steps, n_tokens, n_words):
+    """Each block as it stands: from its texts and the answers of the steps so far (one level each), or as it was stored."""
+    blocks: dict[int, dict[int, list]] = {}
+    for _, block, tag, body in rows:
+        blocks.setdefault(block, {}).setdefault(tag, []).append(body.as_py())
+    for block in list(blocks):
+        came = blocks.pop(block)
+        if len(came.get(TEXT, ())) != 1:
+            raise RuntimeError("texts and answers of a block come from different inputs; store the input first")
+        if steps is None:
+            yield block, came, Block.unpacked(came[TEXT][0])
+            continue
+        b = Block.of_text(came, n_tokens, n_words)
+        for k in range(steps):
+            b.advance(came, STEP + 2 * k, 1, n_tokens)
+        yield block, came, b
 
 
 def _ask_words(it, parts):
     for block, rows, _, part, s, e, first in text_blocks(it, 0, 1):
         x = Stream(part, s, e, first, rows.column(2).to_numpy(zero_copy_only=False).astype(bool))
         n = np.bincount(x.word_at, weights=x.train, minlength=len(x.words)).astype(np.int64)
-        yield from _ask(block, parts, x.words, n)
+        edge = bounds(x.words, parts)
+        for p in np.flatnonzero(np.diff(edge)).tolist():
+            i, j = edge[p], edge[p + 1]
+            yield p, block, ASK, pack(deltas(x.words[i:j]), n[i:j])
 
 
-def _gathered_asks(rows):
-    asked, bucket = [], 0
-    for bucket, block, _, body in rows:
-        d, *extra = unpack(body.as_py())
-        asked.append((block, undeltas(d), extra))
-    if not asked:
-        return bucket, [], None, None, []
-    d, inverse, _ = distinct(np.concatenate([a[1] for a in asked]))
-    return bucket, [(b, len(k)) for b, k, _ in asked], d, inverse, [np.concatenate(x).astype(np.int64) for x in zip(*(e for *_, e in asked), strict=True)]
-
-
-def _given(bucket, asked, values, parts):
+def _given(bucket, asked, tag, parts, *values):
     at = 0
     for block, n in asked:
-        yield spread(block, parts), block, ANSWER, pack(np.array([bucket]), values[at : at + n])
+        yield spread(block, parts), block, tag, pack(np.array([bucket]), *(v[at : at + n] for v in values))
         at += n
 
 
 def _answer_words(rows, parts):
-    bucket, asked, d, inverse, extra = _gathered_asks(rows)
+    asked, keys, ns, bucket = [], [], [], 0
+    for bucket, block, _, body in rows:
+        d, n = unpack(body.as_py())
+        asked.append((block, len(d)))
+        keys.append(undeltas(d))
+        ns.append(n)
     if asked:
-        total = np.bincount(inverse, weights=extra[0]).astype(np.int64)
-        yield from _given(bucket, asked, total[inverse], parts)
+        _, inverse, _ = distinct(np.concatenate(keys))
+        total = np.bincount(inverse, weights=np.concatenate(ns)).astype(np.int64)
+        yield from _given(bucket, asked, ANSWER, parts, total[inverse])
         yield 0, int(total.sum()), TOTAL_N, b""
         yield 0, int((total > 0).sum()), TOTAL_V, b""
-        often = np.flatnonzero((total >= LEAST) & (d != _END))
-        yield 0, 0, OFTEN, pack(d[often], total[often])  # the driver keeps those above the share, once it knows the sum
-
 
-def _answer_contexts(rows, parts, count, parent_scale, threshold):
-    """Counts of (context, word) pairs; each context's divergence and number of next words; frequent pairs.
 
-    count: of each context. The parent's probability of the word is its count (sent along) over parent_scale of the context.
-    """
-    bucket, asked, d, inverse, extra = _gathered_asks(rows)
+def _answer_pairs(rows, parts, tag):
+    """Counts of (context, word) pairs, and each context's sums over those of this bucket."""
+    asked, units, words, ns, dealt, bucket = [], [], [], [], [], 0
+    for bucket, block, _, body in rows:
+        d, sizes, x, n, at, context = unpack(body.as_py())
+        unit = undeltas(d)
+        asked.append((block, len(x)))
+        units.append(np.repeat(unit, sizes.astype(np.int64)))
+        words.append(x.astype(U64))
+        ns.append(n.astype(np.uint32))
+        dealt.append((unit[at.astype(np.int64)], context.astype(U64)))
     if not asked:
         return
-    n, context, parent = extra
-    total = np.bincount(inverse, weights=n).astype(np.int64)
-    yield from _given(bucket, asked, total[inverse], parts)
-    one = _first_of(inverse, len(d))
-    context, parent = context[one], parent[one]
-    seen = np.flatnonzero(total > 0)
-    c, x = total[seen].astype(np.float64), context[seen]
-    term = c * np.log(c / count[x] * (parent_scale[x] / parent[seen]))
-    divergence, kinds = np.bincount(x, weights=term, minlength=len(count)), np.bincount(x, minlength=len(count))
-    for g in range(SUMS):
-        at = np.flatnonzero(kinds[g::SUMS]) * SUMS + g
-        if len(at):
-            yield g % parts, 0, SUM, pack(at, divergence[at], kinds[at])
-    often = np.flatnonzero(total >= threshold)
-    if len(often):
-        yield 0, 0, OFTEN, pack(d[often], total[often], parent[often])
-
-
-def _summed(rows, size):
-    """Sums over buckets of what they found for each context."""
-    divergence, kinds, any_ = np.zeros(size), np.zeros(size, np.int64), False
-    for *_, body in rows:
-        at, x, n = unpack(body.as_py())
-        divergence[at], kinds[at], any_ = divergence[at] + x, kinds[at] + n.astype(np.int64), True
-    at = np.flatnonzero(kinds)
-    if any_:
-        yield 0, 0, SUM, pack(at, divergence[at], kinds[at])
-
-
-def _collected(df: DataFrame, tag: int) -> list[list[np.ndarray]]:
-    return [unpack(r[0]) for r in df.where(F.col("tag") == tag).select("body").collect()]
-
-
-def _contexts(answers: DataFrame, parts: int, size: int, n_tokens: int) -> np.ndarray:
-    """The number of distinct next words of each retained context, 0 of the others (at most 1 / P_MIN contexts)."""
-    kinds, divergence = np.zeros(size, np.int64), np.zeros(size)
-    sums = sent(answers.where(F.col("tag") == SUM), parts, lambda it: batches(_summed(rows_of(it), size)))
-    for at, x, n in _collected(sums, SUM):
-        divergence[at] += x
-        kinds[at] += n.astype(np.int64)
-    return np.where(divergence > 0.5 * kinds * np.log(max(2, n_tokens)), kinds, 0)
-
-
-def _often(found: list[list[np.ndarray]], threshold: float) -> list[np.ndarray]:
-    cols = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.zeros(0, U64)] * 3
-    keep = cols[1] >= threshold
-    order = np.argsort(cols[0][keep])
-    return [cols[0][keep][order].astype(U64), *(c[keep][order].astype(np.int64) for c in cols[1:])]
-
-
-def _ask_pairs(rows, parts, often):
-    for block, came in by_block(rows).items():
-        _, x = _opened_stream(came)
-        c = _answers(came, ANSWER)
-        i, keys, context = x.pairs(often, c)
-        d, inverse, n = _counted(keys, x.train[i].astype(np.float64))
-        one = _first_of(inverse, len(d))
-        yield from _ask(block, parts, d, n, context[one], c[x.word_at[i[one]]])
-
-
-def _ask_triples(rows, parts, often, often2):
-    for block, came in by_block(rows).items():
-        _, x = _opened_stream(came)
-        c = _answers(came, ANSWER)
-        i, keys, _ = x.pairs(often, c)
-        _, inverse, _ = distinct(keys)
-        c2 = _answers(came, ANSWER + 1)[inverse]
-        j, keys3, context = x.triples(i, keys, c2, often2)
-        d, inverse, n = _counted(keys3, x.train[i[j]].astype(np.float64))
-        one = _first_of(inverse, len(d))
-        yield from _ask(block, parts, d, n, context[one], c2[j[one]])
-
-
-def _scored(rows, often, count, kinds, often2, count2, kinds2, n_tokens, n_words):
-    for came in by_block(rows).values():
-        batch, x = _opened_stream(came)
-        c = _answers(came, ANSWER)
-        base = (c + 0.1) / (n_tokens + 0.1 * (n_words + 1))
-        p0 = base[x.word_at]
-        p = p0.copy()
-        i, keys, context = x.pairs(often, c)
-        _, inverse, _ = distinct(keys)
-        c2 = _answers(came, ANSWER + 1)[inverse]
-        j, keys3, context3 = x.triples(i, keys, c2, often2)
-        _, inverse3, _ = distinct(keys3)
-        c3 = _answers(came, ANSWER + 2)[inverse3]
-        # words that no pair was asked for (unknown ones) after a retained context take its share for new words
-        at = np.minimum(np.searchsorted(often, x.words), max(0, len(often) - 1))
-        if len(often):
-            of_word = np.where(often[at] == x.words, at, -1)[x.word_at]
-            after = np.flatnonzero((x.doc[1:] == x.doc[:-1]) & (of_word[:-1] >= 0)) + 1
-            k = kinds[of_word[after - 1]]
-            after, k = after[k > 0], k[k > 0]
-            n = count[of_word[after - 1]]
-            pair = np.zeros(len(x.h), np.int64)
-            pair[i] = c2
-            p[after] = (pair[after] + k * p0[after]) / (n + k)
-            k3 = kinds2[context3]
-            use = k3 > 0
-            at3, k3 = i[j[use]], k3[use]
-            p[at3] = (c3[use] + k3 * p[at3]) / (count2[context3[use]] + k3)
-            # an unknown or unseen word after a retained pair
-            key_at, known = np.zeros(len(x.h), U64), np.zeros(len(x.h), bool)
-            key_at[i], known[i] = keys, True
-            if len(often2):
-                t = np.flatnonzero((x.doc[1:] == x.doc[:-1]) & known[:-1]) + 1
-                place = np.minimum(np.searchsorted(often2, key_at[t - 1]), len(often2) - 1)
-                k = np.where(often2[place] == key_at[t - 1], kinds2[place], 0)
-                done = np.zeros(len(x.h), bool)
-                done[at3] = True
-                rest = (k > 0) & ~done[t]
-                t, place, k = t[rest], place[rest], k[rest]
-                p[t] = k * p[t] / (count2[place] + k)
-        sums = lambda v: np.diff(np.concatenate(([0], np.cumsum(v)))[x.first])
-        docs = np.diff(x.first)
-        out = [batch.column(0), pa.array(~batch.column(2).to_numpy(zero_copy_only=False).astype(bool)), pa.array(docs, pa.int64()), pa.array(sums((c > 0)[x.word_at].astype(np.int64)), pa.int64())]
-        out += [pa.array(np.full(len(docs), n_tokens), pa.int64()), pa.array(sums(np.log10(p0)), pa.float64()), pa.array(sums(np.log10(p)), pa.float64())]
+    unit = np.concatenate(units)
+    del units
+    d, inverse, _ = distinct(mix(unit * _R + np.concatenate(words)))
+    del words
+    total = np.bincount(inverse, weights=np.concatenate(ns)).astype(np.int64)
+    yield from _given(bucket, asked, tag, parts, total[inverse])
+    one = np.empty(len(d), U64)
+    one[inverse] = unit
+    del inverse, unit
+    known = total > 0
+    c = total[known].astype(np.float64)
+    keys, at, _ = distinct(one[known])
+    name = keys.copy()
+    for unit, context in dealt:  # back to the context that the unit is a part of
+        if len(unit) and len(keys):
+            i = np.minimum(np.searchsorted(keys, unit), len(keys) - 1)
+            hit = keys[i] == unit
+            name[i[hit]] = context[hit]
+    n, kinds, logs = (np.bincount(at, weights=w, minlength=len(keys)) for w in (c, np.ones(len(c)), c * np.log(c)))
+    order = np.argsort(name)
+    edge = bounds(name[order], parts)
+    for p in np.flatnonzero(np.diff(edge)).tolist():
+        i = order[edge[p] : edge[p + 1]]
+        yield p, 0, SUM, pack(deltas(name[i]), n[i].astype(np.int64), kinds[i].astype(np.int64), logs[i])
+
+
+def _answer_contexts(rows, parts, tag, cost):
+    """Of each asked context: its count, its number of next words, its divergence but for the suffix's count, and whether longer ones can be retained."""
+    asked, keys, values, bucket = [], [], [], 0
+    sums = []
+    for bucket, block, kind, body in rows:
+        if kind == SUM:
+            d, n, kinds, logs = unpack(body.as_py())
+            sums.append((undeltas(d), n.astype(np.float64), kinds.astype(np.float64), logs))
+        else:
+            d, value = unpack(body.as_py())
+            asked.append((block, len(d)))
+            keys.append(undeltas(d))
+            values.append(value)
+    if not asked:
+        return
+    edge = sum(map(len, keys))
+    d, inverse, _ = distinct(np.concatenate([*keys, *(s[0] for s in sums)]))
+    add = lambda at, v: np.bincount(at, weights=v, minlength=len(d))
+    suffix = add(inverse[:edge], np.concatenate(values))
+    n, kinds, logs = (add(inverse[edge:], np.concatenate([s[k] for s in sums] or [np.zeros(0)])) for k in (1, 2, 3))
+    own = n * np.log(np.maximum(n, 1))
+    # rounding must not close what is open by a hair
+    opened_ = (n >= LEAST) & (own - logs > cost * (1 - 1e-9))
+    i = inverse[:edge]
+    yield from _given(bucket, asked, tag, parts, n[i].astype(np.int64), kinds[i].astype(np.int64), (logs - own - suffix)[i], opened_[i])
+
+
+def _ask_pairs(rows, parts, steps, totals, many=1):
+    for block, _, b in _blocks(rows, steps, *totals):
+        yield from b.ask(block, parts, many)
+
+
+def _ask_contexts(rows, parts, steps, totals, many=1):
+    for block, came, b in _blocks(rows, steps, *totals):
+        yield from b.ask_contexts(came, block, STEP + 2 * (steps or 0), parts, many)
+
+
+def _advanced(rows, steps, totals, parts, many=1):
+    for block, came, b in _blocks(rows, steps, *totals):
+        if steps is None:
+            b.advance(came, STEP, many, totals[0])
+        yield spread(block, parts), block, TEXT, b.pack()
+        yield 0, len(b.pos), COUNT, b""
+
+
+def _results(rows, n_tokens):
+    for _, _, _, body in rows:
+        b = Block.unpacked(body.as_py())
+        docs = len(b.ids)
+        out = [pa.array(b.ids, pa.int64(), mask=b.ids == NULL_ID), pa.array(~b.train), pa.array(b.n_tokens.astype(np.int64)), pa.array(b.n_known.astype(np.int64))]
+        out += [pa.array(np.full(docs, n_tokens), pa.int64()), pa.array(b.base, pa.float64()), pa.array(b.score, pa.float64())]
         yield pa.RecordBatch.from_arrays(out, names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
 
@@ -269,6 +375,8 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
     training: a boolean column; the model learns from rows where it holds (null: not). Words are lower-cased in A-Z; each
     text ends with an end token; a null text is its end token alone. Ids must be integers. With no training rows, all
     tokens are unknown and score equals base_score.
+
+    One level of context length is a round at first; later ones take as many levels as are done already, within ROUND.
     """
     spark = docs.sparkSession
     source = settled(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.coalesce(training, F.lit(False)).alias("train")))
@@ -277,32 +385,43 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
     asked = source.mapInArrow(lambda it: batches(_ask_words(it, parts)), ROW)
     words = stored(sent(asked, parts, lambda it: batches(_answer_words(rows_of(it), parts))), "words")
     release(spark)
-    totals = {r["tag"]: r["n"] for r in words.where(F.col("tag").isin(TOTAL_N, TOTAL_V)).groupBy("tag").agg(F.sum("block").alias("n")).collect()}
-    n_tokens, n_words = totals.get(TOTAL_N, 0), totals.get(TOTAL_V, 0)
-    threshold = max(LEAST, P_MIN * n_tokens)
-    pick = sent(words.where(F.col("tag") == OFTEN).withColumn("to", F.pmod(F.xxhash64("body"), F.lit(parts)).cast("int")), parts, lambda it: batches(_picked(rows_of(it), threshold)))
-    often, count = _often(_collected(pick, OFTEN), threshold)[:2]
-    answers = words.where(F.col("tag") == ANSWER)
-
-    asked = sent(texts.unionByName(answers), parts, lambda it: batches(_ask_pairs(rows_of(it), parts, often)))
-    pairs = stored(sent(asked, parts, lambda it: batches(_answer_contexts(rows_of(it), parts, count.astype(np.float64), np.full(len(count), float(n_tokens)), threshold))), "pairs")
-    release(spark)
-    kinds = _contexts(pairs, parts, len(count), n_tokens)
-    often2, count2, last = _often(_collected(pairs, OFTEN), threshold)
-    answers = answers.unionByName(pairs.where(F.col("tag") == ANSWER).withColumn("tag", F.lit(ANSWER + 1)))
-
-    asked = sent(texts.unionByName(answers), parts, lambda it: batches(_ask_triples(rows_of(it), parts, often, often2)))
-    triples = stored(sent(asked, parts, lambda it: batches(_answer_contexts(rows_of(it), parts, count2.astype(np.float64), last.astype(np.float64), np.inf))), "triples")
-    release(spark)
-    kinds2 = _contexts(triples, parts, len(count2), n_tokens)
-    answers = answers.unionByName(triples.where(F.col("tag") == ANSWER).withColumn("tag", F.lit(ANSWER + 2)))
+    sums = {r["tag"]: r["n"] for r in words.where(F.col("tag").isin(TOTAL_N, TOTAL_V)).groupBy("tag").agg(F.sum("block").alias("n")).collect()}
+    totals = n_tokens, _ = sums.get(TOTAL_N, 0), sums.get(TOTAL_V, 0)
+    cost = 0.5 * float(np.log(max(2, n_tokens)))
+
+    def counts(asked, tag):
+        pairs = stored(sent(asked, parts, lambda it: batches(_answer_pairs(rows_of(it), parts, tag))), "pairs")
+        release(spark)
+        return pairs
+
+    def contexts(asked, pairs, tag):
+        both = asked.unionByName(pairs.where(F.col("tag") == SUM))
+        found = stored(sent(both, parts, lambda it: batches(_answer_contexts(rows_of(it), parts, tag, cost))), "contexts")
+        release(spark)
+        return found
+
+    state, old = texts.unionByName(words.where(F.col("tag") == ANSWER)), [words]
+    for k in range(FROM_TEXT):
+        tag = STEP + 2 * k
+        pairs = counts(sent(state, parts, lambda it, k=k: batches(_ask_pairs(rows_of(it), parts, k, totals))), tag)
+        answers = state.unionByName(pairs.where(F.col("tag") == tag))
+        found = contexts(sent(answers, parts, lambda it, k=k: batches(_ask_contexts(rows_of(it), parts, k, totals))), pairs, tag + 1)
+        state, old = answers.unionByName(found), [*old, pairs, found]
+    now = stored(sent(state, parts, lambda it: batches(_advanced(rows_of(it), FROM_TEXT, totals, parts))), "state")
+    level = FROM_TEXT + 1
+    while True:
+        for x in old:
+            dropped(x)
+        size = now.where(F.col("tag") == COUNT).agg(F.sum("block"), F.count(F.lit(1))).first()
+        state = now.where(F.col("tag") == TEXT)
+        if not size[0]:
+            break
+        many = int(max(1, min(level - FROM_TEXT, ROUND * size[1] // size[0])))
+        pairs = counts(state.mapInArrow(lambda it, m=many: batches(_ask_pairs(rows_of(it), parts, None, totals, m)), ROW), STEP)
+        answers = state.unionByName(pairs.where(F.col("tag") == STEP))
+        found = contexts(sent(answers, parts, lambda it, m=many: batches(_ask_contexts(rows_of(it), parts, None, totals, m))), pairs, STEP + 1)
+        old = [now, pairs, found]
+        now = stored(sent(answers.unionByName(found), parts, lambda it, m=many: batches(_advanced(rows_of(it), None, totals, parts, m))), "state")
+        level += many
     schema = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return sent(texts.unionByName(answers), parts, lambda it: _scored(rows_of(it), often, count, kinds, often2, count2, kinds2, n_tokens, n_words), schema).withColumnRenamed("id", id_col)
-
-
-def _picked(rows, threshold):
-    for *_, body in rows:
-        d, n = unpack(body.as_py())
-        at = n >= threshold
-        if at.any():
-            yield 0, 0, OFTEN, pack(d[at], n[at])
+    return state.mapInArrow(lambda it: _results(rows_of(it), n_tokens), schema).withColumnRenamed("id", id_col)

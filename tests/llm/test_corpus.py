@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -12,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stakescope.llm import quality as Q
+from stakescope.llm import suffix_tree
 from stakescope.llm.components import components
 from stakescope.llm.jaccard_join import jaccard_components
 from stakescope.llm.recompression import anchors, remove_repeats
@@ -123,6 +125,68 @@ def test_suffix_tree(odd, none):
     assert all(r["train_tokens"] == 0 and r["score"] == r["base_score"] for r in unlearned)
 
 
+def brute_scores(rows, train, least=8):
+    """Scores with every context of any length that is seen often enough and diverges."""
+    streams = {i: [*words_of(t, lower=True), None] for i, t in rows}
+    counts = Counter(w for i in train for w in streams[i])
+    n, v = sum(counts.values()), len(counts)
+    after, longest = {(): counts}, max(map(len, streams.values()))
+    for size in range(1, longest):
+        level = {}
+        for i in train:
+            w = streams[i]
+            for k in range(size, len(w)):
+                if (c := tuple(w[k - size : k])) and (size == 1 or c[1:] in after):
+                    level.setdefault(c, Counter())[w[k]] += 1
+        level = {c: x for c, x in level.items() if sum(x.values()) >= least}
+        if not level:
+            break
+        after.update(level)
+
+    def kept(c):
+        x, y = after[c], after[c[1:]]
+        many, of = sum(x.values()), sum(y.values())
+        return sum(k * math.log(k / many * of / y[w]) for w, k in x.items()) > 0.5 * len(x) * math.log(max(2, n))
+
+    retained = {c: (len(x), sum(x.values()), x) for c, x in after.items() if c and kept(c)}
+    out = {}
+    for i, w in streams.items():
+        total = 0.0
+        for k, x in enumerate(w):
+            p = (counts[x] + 0.1) / (n + 0.1 * (v + 1))
+            for size in range(1, k + 1):
+                c = tuple(w[k - size : k])
+                if c not in after:
+                    break
+                if c in retained:
+                    kinds, many, seen = retained[c]
+                    p = (seen[x] + kinds * p) / (many + kinds)
+            total += math.log10(p)
+        out[i] = total
+    return out, retained
+
+
+@pytest.mark.parametrize("split", [None, 40])
+def test_suffix_tree_scores_with_contexts_of_any_length(spark, monkeypatch, split):
+    rng = random.Random(5)
+    passages = [" ".join(rng.choice("abcdefg") * 2 for _ in range(12)) for _ in range(3)]
+    rows = [(k, " ".join([*(rng.choice("pqrst") for _ in range(rng.randrange(9))), rng.choice(passages), rng.choice("xyz"), *["run"] * (k % 14)])) for k in range(160)] + [(200, None), (201, "aa"), (202, passages[0] + " never")]
+    if split:
+        monkeypatch.setattr(suffix_tree, "SPLIT", split)
+    got = {r["doc_id"]: r["score"] for r in score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), F.col("doc_id") < 140).collect()}
+    want, retained = brute_scores(rows, range(140))
+    assert max(map(len, retained)) > 2
+    assert got == {i: pytest.approx(x, rel=1e-9) for i, x in want.items()}
+
+
+def test_suffix_tree_learns_rare_contexts_of_a_large_corpus(spark):
+    rng = np.random.default_rng(3)
+    words = np.array([f"w{k}" for k in range(1000)])
+    rows = [(k, " ".join(words[rng.integers(0, 1000, 20_000)])) for k in range(50)] + [(100 + k, "odd pair") for k in range(9)] + [(200, "odd pair")]
+    got = score(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), F.col("doc_id") < 200).where("doc_id = 200").first()
+    assert got["score"] > got["base_score"] + 6  # both words and the end after a context that is seen 9 times in 1e6 tokens
+
+
 def test_suffix_tree_retains_what_diverges(spark):
     docs = spark.createDataFrame([(k, "alpha beta gamma delta " * 20 + f"noise{k % 7}") for k in range(60)], "doc_id long, text string")
     rows = score(docs, F.col("doc_id") < 50).collect()
