@@ -6,12 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .specs import ALL, Spec
 
-#: Rows that a tree sees, as in the paper; the bound of what comes to the driver.
+#: Rows that a tree sees, drawn anew for each tree as in the paper; trees * SUBSAMPLE bounds what comes to the driver.
 SUBSAMPLE = 256
 #: Fixed value: Euler's constant.
 _EULER = 0.5772156649015329
@@ -64,22 +64,59 @@ def path_length(tree: tuple[np.ndarray, ...], x: np.ndarray) -> np.ndarray:
     return credit[node]
 
 
+def _hashed(key: np.ndarray, salt: int) -> np.ndarray:
+    """Splitmix64 of the key and a number."""
+    x = key.view(np.uint64) ^ np.uint64(salt * 0x9E3779B97F4A7C15 % (1 << 64))
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (x ^ (x >> np.uint64(31))).view(np.int64)
+
+
+def _least(rank: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at = np.argsort(rank, kind="stable")[:SUBSAMPLE]
+    return rank[at], x[at]
+
+
+def subsamples(filled: DataFrame, numeric: list[str], trees: int, seed: int) -> list[np.ndarray]:
+    """The rows of each tree: one pass, in which every partition hands on its best SUBSAMPLE for each tree only."""
+
+    def best(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for pdf in it:
+            key = pdf["key"].to_numpy(np.int64)
+            x = pdf[numeric].to_numpy(float)
+            found = []
+            for t in range(trees):
+                rank = _hashed(key, seed * 1_000_003 + t)
+                at = np.argpartition(rank, SUBSAMPLE - 1)[:SUBSAMPLE] if len(rank) > SUBSAMPLE else np.arange(len(rank))
+                found.append((rank[at], x[at]))
+            held = found if held is None else [_least(np.concatenate((a, c)), np.concatenate((b, d))) for (a, b), (c, d) in zip(held, found, strict=True)]
+        for t, (rank, x) in enumerate(held or []):
+            yield pd.DataFrame({"tree": t, "rank": rank, **dict(zip(numeric, x.T, strict=True))})
+
+    rows = filled.select(F.xxhash64("player_key").alias("key"), *numeric)
+    schema = "tree int, rank long, " + ", ".join(f"`{n}` double" for n in numeric)
+    order = F.row_number().over(Window.partitionBy("tree").orderBy("rank", *numeric))
+    pdf = rows.mapInPandas(best, schema).withColumn("n", order).where(F.col("n") <= SUBSAMPLE).orderBy("tree", "n").toPandas()
+    return [pdf.loc[pdf["tree"] == t, numeric].to_numpy(float) for t in range(trees)]
+
+
 def isolation_scores(wide: DataFrame, trees: int = 100, seed: int = 42, specs: dict[str, Spec] = ALL) -> DataFrame:
     """(player_key, iforest_score_untrusted): minus the anomaly score, so lower is odder; fewer than two players: 0.
 
-    Missing values take the median, then 0. The forest is grown on the driver from at most SUBSAMPLE rows with the smallest
-    hashes of the key, and applied in Arrow batches.
+    Missing values take the median, then 0. Each tree is grown on the driver from its own SUBSAMPLE rows (those with the
+    smallest hashes of the key and the tree's number), and the forest is applied in Arrow batches.
     """
     numeric = [n for n, s in specs.items() if s.kind != "bool"]
     medians = wide.agg(*(F.percentile(F.col(n).cast("double"), 0.5).alias(n) for n in numeric)).first()
     filled = wide.select("player_key", *(F.coalesce(F.col(n).cast("double"), F.lit(float(medians[n] if medians[n] is not None else 0.0))).alias(n) for n in numeric))
-    sample = np.array([[r[n] for n in numeric] for r in filled.orderBy(F.xxhash64("player_key"), "player_key").limit(SUBSAMPLE).collect()], float).reshape(-1, len(numeric))
-    if len(sample) < 2:
+    samples = subsamples(filled, numeric, trees, seed)
+    if len(samples[0]) < 2:
         return wide.select("player_key", F.lit(0.0).alias("iforest_score_untrusted"))
     rng = np.random.default_rng(seed)
-    limit = int(np.ceil(np.log2(len(sample))))
-    forest = [grow(sample[rng.permutation(len(sample))], rng, limit) for _ in range(trees)]
-    scale = float(average_path(np.array(len(sample))))
+    limit = int(np.ceil(np.log2(len(samples[0]))))
+    forest = [grow(x, rng, limit) for x in samples]
+    scale = float(average_path(np.array(len(samples[0]))))
 
     def apply(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:

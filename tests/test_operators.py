@@ -15,6 +15,7 @@ from stakescope.functions import scalars as S
 from stakescope.operators import flatten, identity, linkage, pairs
 from stakescope.operators.betting import betting
 from stakescope.operators.guards import ContractError, require_currency, require_unique
+from stakescope.operators.iforest import isolation_scores, subsamples
 from stakescope.operators.multi_accounting import multi_accounting
 from stakescope.operators.payment import payment
 from stakescope.operators.specs import ALL
@@ -302,6 +303,17 @@ def test_rebuild(spark, sf_dir, tmp_path):
         rebuild(docs | {"bets": docs["bets"].union(docs["bets"])}, str(tmp_path), "salt")
 
 
+def test_each_tree_of_the_isolation_forest_draws_its_own_rows(spark):
+    names = [n for n, s in ALL.items() if s.kind != "bool"]
+    rows = [(f"p{k}", *(float(k) for _ in names)) for k in range(3000)]
+    wide = spark.createDataFrame(rows, "player_key string, " + ", ".join(f"{n} double" for n in names)).repartition(3)
+    samples = [frozenset(x[:, 0]) for x in subsamples(wide, names, 20, 42)]
+    assert all(len(x) == 256 for x in samples) and len(set(samples)) == 20 and len(frozenset().union(*samples)) > 2000
+    assert samples == [frozenset(x[:, 0]) for x in subsamples(wide.repartition(5), names, 20, 42)]
+    scores = {r["player_key"]: r["iforest_score_untrusted"] for r in isolation_scores(wide).collect()}
+    assert len(scores) == 3000 and scores["p0"] < scores["p1500"] and scores["p2999"] < scores["p1500"]
+
+
 def test_ingest(spark, tmp_path):
     (tmp_path / "in").mkdir()
     for k in range(2):
