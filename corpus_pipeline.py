@@ -30,9 +30,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the smallest id (documents with that same id all stay)."""
-    keep = jaccard_components(docs, SHINGLE).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(keep, "doc_id", "left_semi").select(*COLUMNS)
+    """One document of each group of near duplicates stays: the one with the smallest id (documents with that same id all stay).
+
+    A null id counts as smaller than any other, so documents without an id stay, and of their groups no others do.
+    """
+    keep = jaccard_components(docs, SHINGLE).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
+    docs = docs.select(*COLUMNS)
+    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["kept_id"]), "left_semi").select(*COLUMNS)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

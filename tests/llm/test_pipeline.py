@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 
+from .conftest import SCHEMA, odd_texts
 from .test_corpus import brute_components, brute_repeats
 
 
@@ -31,6 +32,15 @@ def test_near_duplicates_keep_one_of_each_group(spark, docs, sf_dir):
     assert kept.columns == list(P.COLUMNS) and {r["doc_id"] for r in kept.collect()} == want
 
 
+def test_near_duplicates_keep_one_of_each_group_with_null_ids(spark):
+    text = dict(odd_texts())[None]
+    rows = [(None, text), (900, text), (901, text + " "), (5, "one two"), (6, "one two"), (7, "three")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA).coalesce(1)
+    want = {i for i, (_, c) in brute_components(rows).items() if i == c}
+    kept = [r["doc_id"] for r in P.near_duplicates(spark, docs, "").collect()]
+    assert want == {None, 5, 7} and len(kept) == 3 and set(kept) == want
+
+
 def test_repeats(spark, docs, sf_dir):
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
     texts = dict(rows)
