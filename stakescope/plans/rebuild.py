@@ -63,7 +63,10 @@ def reconciliation(docs: dict[str, DataFrame], tables: dict[str, DataFrame]) ->
 
 
 def rebuild(docs: dict[str, DataFrame], folder: str, salt: str, accounts: tuple[DataFrame, DataFrame] | None = None, samples: int = 10) -> Rebuilt:
-    """Checks keys, writes all tables in a stable order, reads them back, checks counts, and reports."""
+    """Checks keys, writes all tables in a stable order, reads them back, checks counts, and reports.
+
+    Phone collisions are written too (phone_collisions), and the identity report lists every one of them.
+    """
     require_unique(docs["bets"], "ticketId", what="bets")
     require_unique(docs["deposits"], "transactionId", what="deposits")
     spark = docs["players"].sparkSession
@@ -71,9 +74,10 @@ def rebuild(docs: dict[str, DataFrame], folder: str, salt: str, accounts: tuple[
     tables = {n: load_table(spark, folder, n) for n in ORDER}
     counts = reconciliation(docs, tables)
     reports = {"unjoined": unjoined_report(tables, samples), "reconciliation": markdown_table(["table", "rows"], sorted(counts.items()))}
-    collisions = phone_collisions(docs["players"])
+    write_tables({"phone_collisions": phone_collisions(docs["players"]).orderBy("phone")}, folder)
+    collisions = spark.read.parquet(f"{folder}/phone_collisions")
     status = audit.distribution(tables["money"].where("txn_type = 'DEPOSIT'"), "final_status")
-    reports["identity"] = markdown_table(["phone", "owner", "others"], [(r["phone"], r["winning_key"], ", ".join(r["losing_keys"])) for r in collisions.orderBy("phone").limit(1000).collect()])
+    reports["identity"] = markdown_table(["phone", "owner", "others"], [(r["phone"], r["winning_key"], ", ".join(r["losing_keys"])) for r in collisions.orderBy("phone").toLocalIterator()])
     reports["deposit_status"] = markdown_table(["status", "rows"], [tuple(r) for r in status.orderBy(F.col("final_status").asc_nulls_last()).collect()])
     if accounts is not None:
         found = flatten.withdrawal_accounts(docs["withdrawals"], *accounts)

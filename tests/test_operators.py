@@ -303,6 +303,15 @@ def test_rebuild(spark, sf_dir, tmp_path):
         rebuild(docs | {"bets": docs["bets"].union(docs["bets"])}, str(tmp_path), "salt")
 
 
+def test_rebuild_reports_every_phone_collision(spark, tmp_path):
+    raw = {"players": schemas.RAW_PLAYERS, "bets": schemas.RAW_BETS, "deposits": schemas.RAW_MONEY, "withdrawals": schemas.RAW_MONEY, "bonus": schemas.RAW_BONUS, "activity": schemas.RAW_ACTIVITY, "logins": schemas.RAW_LOGINS}
+    docs = {n: spark.createDataFrame([], x) for n, x in raw.items()}
+    rows = [{"_id": f"{k:024x}", "contactNo": f"07{k % 1100:08d}", "createdAt": "2024-01-01T00:00:00Z"} for k in range(2200)]
+    done = rebuild(docs | {"players": spark.createDataFrame(rows, raw["players"])}, str(tmp_path), "salt")
+    assert len(done.reports["identity"].split("\n")) == 2 + 1100
+    assert spark.read.parquet(str(tmp_path / "phone_collisions")).count() == 1100
+
+
 def test_each_tree_of_the_isolation_forest_draws_its_own_rows(spark):
     names = [n for n, s in ALL.items() if s.kind != "bool"]
     rows = [(f"p{k}", *(float(k) for _ in names)) for k in range(3000)]
