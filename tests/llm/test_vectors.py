@@ -70,3 +70,14 @@ def test_approximate_top_k(spark):
     assert approximate_top_k(df.limit(0)).count() == 0
     few = approximate_top_k(df.where("vec_id < 5"), 10, 20).collect()
     assert sorted(r["vec_id"] for r in few) == [1, 2, 3, 4]
+
+
+def test_small_index_is_compared_completely(spark):
+    m = np.ones((21, 16)) + 0.1 * np.random.default_rng(21).standard_normal((21, 16))
+    m[20] = -1.0  # opposite to all others: in nobody's best
+    df = spark.createDataFrame([(i, m[i].tolist()) for i in range(21)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in approximate_top_k(df, 20, 20).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    want = dict(brute(dict(enumerate(m)), 20, 20))
+    assert {q: [i for _, i in sorted(x)] for q, x in got.items()} == {q: [i for i, _ in x] for q, x in want.items()}
