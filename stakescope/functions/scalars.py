@@ -26,9 +26,9 @@ def blank_to_null(x: Column) -> Column:
 def normalize_phone(x: Column | str) -> Column:
     """Digits only; a leading country code 256 and then a leading 0 go while more than nine digits are left; empty: null."""
     digits = F.regexp_replace(col(x).cast("string"), r"\D", "")
-    for head in ("256", "0"):
-        digits = F.when(digits.startswith(head) & (F.length(digits) > SUBSCRIBER_DIGITS), F.substring(digits, len(head) + 1, 2**31 - 1)).otherwise(digits)
-    return blank_to_null(digits)
+    for head in ("256", "0"):  # a chain of calls, so that no part of it is copied
+        digits = F.regexp_replace(digits, rf"^{head}(?=\d{{{SUBSCRIBER_DIGITS + 1 - len(head)}}})", "")
+    return F.nullif(digits, F.lit(""))
 
 
 def is_objectid_hex(x: Column | str) -> Column:
@@ -38,7 +38,7 @@ def is_objectid_hex(x: Column | str) -> Column:
 def looks_like_test_number(x: Column | str) -> Column:
     """A digit five times in a row, two digits three times, three digits twice, or at most two distinct characters. Advisory only."""
     p = col(x)
-    found = p.rlike(r"(\d)\1{4}") | p.rlike(r"(\d{2})\1{2}") | p.rlike(r"(\d{3})\1") | (F.size(F.array_distinct(F.split(p, ""))) <= 2)
+    found = p.rlike(r"(\d)\1{4}|(\d{2})\2{2}|(\d{3})\3") | (F.size(F.array_distinct(F.split(p, ""))) <= 2)
     return F.coalesce((p != "") & found, F.lit(False))
 
 

@@ -58,20 +58,19 @@ def resolve(df: DataFrame, column: str, ids: DataFrame, player_id: bool = False,
     """df with the player key and, where there is none, why: pre_registration, test_pattern or unknown.
 
     Order: object id, then player number and referral code if asked for, then phone. An object id that is not known goes
-    on as a phone of its digits. Each kind is one left join on its value; Spark broadcasts the identifiers where they are
-    small enough for that, and shuffles them otherwise.
+    on as a phone of its digits. Phones of players and early phones are one lookup (no phone is both). Each lookup is a
+    left join on a value made once; Spark broadcasts the identifiers where they are small enough, and shuffles otherwise.
     """
     text = F.trim(F.col(column).cast("string"))
-    steps = [(OBJECT, F.when(S.is_objectid_hex(text), F.lower(text)))]
-    steps += [(PLAYER_ID, text)] if player_id else []
-    steps += [(REFERRAL, text)] if referral else []
-    steps += [(PHONE, S.normalize_phone(column)), (PRE_REGISTRATION, S.normalize_phone(column))]
-    found = []
-    for i, (name, value) in enumerate(steps):
-        at, got = f"_id{i}", f"_key{i}"
-        side = ids.where(F.col("id_kind") == name).select(F.col("id_value").alias(at), F.coalesce("player_key", F.lit("")).alias(got))
-        df = df.withColumn(f"_v{i}", value).join(side, F.col(f"_v{i}") == F.col(at), "left").drop(at, f"_v{i}")
-        found.append(got)
-    player = F.coalesce(*found[:-1])
-    why = F.when(F.col(found[-1]).isNotNull(), "pre_registration").when(S.looks_like_test_number(S.normalize_phone(column)), "test_pattern").otherwise("unknown")
-    return df.withColumn(key, player).withColumn(label, F.when(F.col(key).isNull(), why)).drop(*found)
+    steps = [((OBJECT,), F.when(S.is_objectid_hex(text), F.lower(text)))]
+    steps += [((PLAYER_ID,), text)] if player_id else []
+    steps += [((REFERRAL,), text)] if referral else []
+    steps += [((PHONE, PRE_REGISTRATION), S.normalize_phone(column))]
+    df = df.withColumns({f"_v{i}": value for i, (_, value) in enumerate(steps)})
+    for i, (kinds, _) in enumerate(steps):
+        side = ids.where(F.col("id_kind").isin(*kinds)).select(F.col("id_value").alias(f"_v{i}"), F.col("player_key").alias(f"_key{i}"), F.lit(True).alias(f"_hit{i}"))
+        df = df.join(side, f"_v{i}", "left")
+    last = len(steps) - 1
+    why = F.when(F.col(f"_hit{last}"), "pre_registration").when(S.looks_like_test_number(f"_v{last}"), "test_pattern").otherwise("unknown")
+    df = df.withColumn(key, F.coalesce(*(f"_key{i}" for i in range(len(steps)))))
+    return df.withColumn(label, F.when(F.col(key).isNull(), why)).drop(*(f"_{x}{i}" for x in ("v", "key", "hit") for i in range(len(steps))))

@@ -135,7 +135,7 @@ def made_up_sql(p: str) -> str:
 # Raw player documents and what identifiers resolve to.
 IDENTITY = f"""
 ev AS (SELECT event_id, ts, user_id, event_type, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
-docs AS (SELECT c_custkey AS c, lpad(lower(to_hex(c_custkey)), 24, 'a') AS id, '0' || {CUSTOMER_PHONE} AS username, CASE WHEN c_custkey % 4 <> 0 THEN '+256 ' || {CUSTOMER_PHONE} END AS contact, c_custkey % 13 = 0 AS gone FROM customer),
+docs AS (SELECT c_custkey AS c, lpad(lower(to_hex(c_custkey)), 24, '0') AS id, '0' || {CUSTOMER_PHONE} AS username, CASE WHEN c_custkey % 4 <> 0 THEN '+256 ' || {CUSTOMER_PHONE} END AS contact, c_custkey % 13 = 0 AS gone FROM customer),
 claims AS (SELECT DISTINCT {CUSTOMER_PHONE} AS phone, id, NOT gone AS live, c FROM docs JOIN customer ON c = c_custkey),
 owners AS (SELECT phone, arg_max(id, (CASE WHEN live THEN 1000000000 ELSE 0 END) + c) AS id, count(*) AS n FROM claims GROUP BY 1),
 early AS (SELECT CAST(712345000 + s_suppkey AS VARCHAR) AS phone FROM supplier),

@@ -184,7 +184,7 @@ def identity_collisions(spark, d):
 
 @query(
     f"WITH {O.IDENTITY} SELECT id AS player_key, {A.CUSTOMER_PHONE} AS phone, gone AS is_deleted, CASE WHEN c % 7 < 2 THEN sha256('salt' || chr(0) || 'CM' || CAST(c // 2 AS VARCHAR)) END AS nin_hash, CASE WHEN c % 11 < 2 THEN sha256('salt' || chr(0) || 'm' || CAST(c // 3 AS VARCHAR) || '@x.ug') END AS email_hash, "
-    "CASE WHEN c % 5 = 1 THEN CASE WHEN c % 3 = 2 THEN (SELECT w.id FROM owners w WHERE w.phone = CAST(700000000 + c - 1 AS VARCHAR)) ELSE lpad(lower(to_hex(c - 1)), 24, 'a') END END AS referred_by_key FROM docs JOIN customer ON c = c_custkey"
+    "CASE WHEN c % 5 = 1 THEN CASE WHEN c % 3 = 2 THEN (SELECT w.id FROM owners w WHERE w.phone = CAST(700000000 + c - 1 AS VARCHAR)) ELSE lpad(lower(to_hex(c - 1)), 24, '0') END END AS referred_by_key FROM docs JOIN customer ON c = c_custkey"
 )
 def flatten_players(spark, d):
     return flatten.players(A.raw_players(spark, d), _ids(spark, d), A.SALT).select("player_key", "phone", "is_deleted", "nin_hash", "email_hash", "referred_by_key")

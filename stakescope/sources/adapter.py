@@ -74,7 +74,7 @@ def raw_players(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col("c_custkey")
     before = F.when(c % 3 == 0, F.concat(F.lit("P"), c - 1)).when(c % 3 == 1, F.concat(F.lit("R"), c - 1)).otherwise(F.concat(F.lit("0"), F.lit(700000000) + c - 1))
     return _read(spark, sf_dir, "customer").select(
-        F.lpad(F.lower(F.hex(c)), 24, "a").alias("_id"), F.concat(F.lit("0"), _phone("c_custkey")).alias("username"), F.when(c % 4 != 0, F.concat(F.lit("+256 "), _phone("c_custkey"))).alias("contactNo"), F.concat(F.lit("P"), c).alias("playerId"),
+        F.lpad(F.lower(F.hex(c)), 24, "0").alias("_id"), F.concat(F.lit("0"), _phone("c_custkey")).alias("username"), F.when(c % 4 != 0, F.concat(F.lit("+256 "), _phone("c_custkey"))).alias("contactNo"), F.concat(F.lit("P"), c).alias("playerId"),
         F.concat(F.lit(" R"), c, F.lit(" ")).alias("referralCode"), F.when(c % 5 == 1, before).alias("referredBy"), F.when(c % 7 < 2, F.concat(F.lit("cm "), F.floor(c / 2))).alias("nin"), F.when(c % 11 < 2, F.concat(F.lit(" M"), F.floor(c / 3), F.lit("@X.ug"))).alias("emailId"),
         F.when(c % 13 == 0, True).alias("isDeleted"), F.lit(None).cast("boolean").alias("archived"), F.lit("yes").alias("KycVerified"), F.lit("UG").alias("nationality"), F.lit(None).cast("string").alias("DOB"),
         F.date_format(F.expr(f"timestampadd(MINUTE, c_custkey, {_EPOCH})"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("createdAt"),
@@ -90,7 +90,7 @@ def login_id(u: str = "user_id", e: str = "event_id") -> Column:
     n = F.col(e) % 10
     phone = _phone(u)
     return (
-        F.when(n < 4, F.concat(F.lit("0"), phone)).when(n < 6, F.concat(F.lit("256"), phone)).when(n == 6, F.upper(F.lpad(F.lower(F.hex(u)), 24, "a"))).when(n == 7, F.concat(F.lit("0"), F.lit(712345000) + F.col(u) % 7)).when(n == 8, "0777777777").otherwise("n/a")
+        F.when(n < 4, F.concat(F.lit("0"), phone)).when(n < 6, F.concat(F.lit("256"), phone)).when(n == 6, F.upper(F.lpad(F.lower(F.hex(u)), 24, "0"))).when(n == 7, F.concat(F.lit("0"), F.lit(712345000) + F.col(u) % 7)).when(n == 8, "0777777777").otherwise("n/a")
     )
 
 
@@ -156,7 +156,7 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 _P = "CAST(700000000 + CASE WHEN {c} % 50 = 1 THEN {c} - 1 ELSE {c} END AS VARCHAR)"
 _USER, _CUST = _P.format(c="user_id"), _P.format(c="c_custkey")
 _LOGIN = (
-    f"CASE WHEN event_id % 10 < 4 THEN '0' || {_USER} WHEN event_id % 10 < 6 THEN '256' || {_USER} WHEN event_id % 10 = 6 THEN upper(lpad(lower(to_hex(user_id)), 24, 'a')) "
+    f"CASE WHEN event_id % 10 < 4 THEN '0' || {_USER} WHEN event_id % 10 < 6 THEN '256' || {_USER} WHEN event_id % 10 = 6 THEN upper(lpad(lower(to_hex(user_id)), 24, '0')) "
     "WHEN event_id % 10 = 7 THEN '0' || CAST(712345000 + user_id % 7 AS VARCHAR) WHEN event_id % 10 = 8 THEN '0777777777' ELSE 'n/a' END"
 )
 #: Common table expressions of the contracts, to stand after WITH.
