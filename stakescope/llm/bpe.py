@@ -16,11 +16,13 @@ import pyarrow as pa
 import regex
 import tiktoken
 
-from .textcore import PIECE_BYTES, distinct, hash_spans, pieces, string_buffers
+from .textcore import PIECE_BYTES, distinct_spans, hash_spans, pieces, same_spans, string_buffers
 
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 #: A task's cache of merged words is emptied beyond this many entries; this bounds memory and changes no result.
 CACHE_ENTRIES = 120_000
+#: Longer words are merged again each time they come.
+CACHE_BYTES = 200
 _QUOTE, _BLANK = 0x27, 0x20
 #: The classes in the public pre-token pattern, by themselves.
 PROBE_PATTERN = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+|\s+"
@@ -195,16 +197,26 @@ class Vocabulary:
         return np.frombuffer(b"".join(joined), np.uint8), np.concatenate(([0], np.cumsum([len(b) for b in joined]))).astype(np.int64)
 
 
-def keys_of(words: list[bytes]) -> np.ndarray:
-    """The content hashes that hash_spans() gives these byte strings."""
-    ends = np.cumsum([len(w) for w in words]).astype(np.int64)
-    data = np.frombuffer(b"".join(words), np.uint8)
-    out = [np.zeros(0, np.uint64)]
-    offsets = np.concatenate(([0], ends))
-    for i, j in pieces(offsets):
-        at = offsets[i : j + 1] - offsets[i]
-        out.append(hash_spans(data[offsets[i] : offsets[j]], at[:-1], at[1:]))
-    return np.concatenate(out)
+class WholeTokens:
+    """Strings that are one token by themselves, to be found by hash and compared by bytes."""
+
+    def __init__(self, tokens: list[bytes]) -> None:
+        data = np.frombuffer(b"".join(tokens), np.uint8)
+        ends = np.cumsum([len(t) for t in tokens], dtype=np.int64)
+        starts = ends - np.array([len(t) for t in tokens], np.int64)
+        keys = hash_spans(data, starts, ends)
+        order = np.argsort(keys, kind="stable")
+        self.data, self.starts, self.ends, self.keys = data, starts[order], ends[order], keys[order]
+
+    def holds(self, part: np.ndarray, s: np.ndarray, e: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Which spans are one of the strings. Strings whose hashes are equal count as not held, but for the first."""
+        found = np.zeros(len(keys), bool)
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            hit = np.flatnonzero(self.keys[at] == keys)
+            at = at[hit]
+            found[hit] = same_spans(part, s[hit], e[hit], self.data, self.starts[at], self.ends[at])
+        return found
 
 
 def column_tokens(column: pa.Array, vocabulary: Vocabulary, limit: int = PIECE_BYTES):
@@ -219,24 +231,25 @@ def column_tokens(column: pa.Array, vocabulary: Vocabulary, limit: int = PIECE_B
 class Counter:
     """Tokens of pre-tokens: one for proved whole tokens, merged and remembered otherwise."""
 
-    def __init__(self, vocabulary: Vocabulary, whole: np.ndarray) -> None:
+    def __init__(self, vocabulary: Vocabulary, whole: WholeTokens) -> None:
         self.vocabulary, self.whole, self.cache = vocabulary, whole, {}
 
     def counts(self, part: np.ndarray, s: np.ndarray, e: np.ndarray, keys: np.ndarray) -> np.ndarray:
         out = np.ones(len(keys), np.int64)
-        at = np.minimum(np.searchsorted(self.whole, keys), len(self.whole) - 1)
-        rest = np.flatnonzero(self.whole[at] != keys)
+        rest = np.flatnonzero(~self.whole.holds(part, s, e, keys))
         if len(rest):
-            d, inverse, _ = distinct(keys[rest])
-            example = np.empty(len(d), np.int64)
-            example[inverse] = rest
+            d, example, inverse, _ = distinct_spans(part, s[rest], e[rest], keys[rest])
+            example = rest[example]
             cache, encode, n = self.cache, self.vocabulary.encode_word, np.empty(len(d), np.int64)
             if len(cache) > CACHE_ENTRIES:
                 cache.clear()
-            for k, (key, a, b) in enumerate(zip(d.tolist(), s[example].tolist(), e[example].tolist(), strict=True)):
-                c = cache.get(key)
+            for k, (a, b) in enumerate(zip(s[example].tolist(), e[example].tolist(), strict=True)):
+                word = part[a:b].tobytes()
+                c = cache.get(word)
                 if c is None:
-                    c = cache[key] = len(encode(part[a:b].tobytes()))
+                    c = len(encode(word))
+                    if b - a <= CACHE_BYTES:
+                        cache[word] = c
                 n[k] = c
             out[rest] = n[inverse]
         return out
@@ -250,16 +263,17 @@ class Encoder:
 
     def ids(self, part: np.ndarray, s: np.ndarray, e: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and how many each pre-token has."""
-        d, inverse, _ = distinct(keys)
-        example = np.empty(len(d), np.int64)
-        example[inverse] = np.arange(len(keys))
+        _, example, inverse, _ = distinct_spans(part, s, e, keys)
         cache, encode, words = self.cache, self.vocabulary.encode_word, []
         if len(cache) > CACHE_ENTRIES:
             cache.clear()
-        for key, a, b in zip(d.tolist(), s[example].tolist(), e[example].tolist(), strict=True):
-            w = cache.get(key)
+        for a, b in zip(s[example].tolist(), e[example].tolist(), strict=True):
+            word = part[a:b].tobytes()
+            w = cache.get(word)
             if w is None:
-                w = cache[key] = np.array(encode(part[a:b].tobytes()), "<u4").tobytes()
+                w = np.array(encode(word), "<u4").tobytes()
+                if b - a <= CACHE_BYTES:
+                    cache[word] = w
             words.append(w)
         return gathered(np.frombuffer(b"".join(words), "<u4"), np.array([len(w) // 4 for w in words], np.int64), inverse)
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .bpe import Vocabulary, column_tokens, gathered
 from .shared import ROW, batches, block_id, n_parts, rows_of, sent, spread, stored
-from .textcore import bounds, distinct, hash_spans, ids_back, ids_of, pack, pieces, unpack
+from .textcore import bounds, distinct_spans, hash_spans, ids_back, ids_of, pack, pieces, unpack
 
 #: Text bytes of a block, the unit whose words go out once and come back as ids.
 BLOCK_BYTES = 2_000_000
@@ -30,7 +30,7 @@ def _blocks(it, vocabulary, parts, what):
         ids = b.column(0)
         for i, part, s, e, keys, first in column_tokens(b.column(1), vocabulary, BLOCK_BYTES):
             block, sequence = block_id(sequence), sequence + 1
-            d, inverse, n = distinct(keys)
+            d, example, inverse, n = distinct_spans(part, s, e, keys)
             edge = bounds(d, parts)
             bucket = np.repeat(np.arange(parts), np.diff(edge))
             order = np.lexsort((-n, bucket))
@@ -39,8 +39,6 @@ def _blocks(it, vocabulary, parts, what):
                 number[order] = (np.arange(len(d)) - edge[bucket]) * parts + bucket
                 yield spread(block, parts), block, PLACES, pack(ids_of(ids.slice(i, len(first) - 1)), first, number[inverse], edge)
                 continue
-            example = np.empty(len(d), np.int64)
-            example[inverse] = np.arange(len(keys))
             at = example[order]
             length = e[at] - s[at]
             text, _ = gathered(part, e - s, at)
@@ -69,9 +67,7 @@ def _encode_bucket(rows, vocabulary, parts):
     offsets = np.concatenate(([0], ends))
     for i, j in pieces(offsets):
         keys[i:j] = hash_spans(data[offsets[i] : offsets[j]], starts[i:j] - offsets[i], ends[i:j] - offsets[i])
-    d, inverse, _ = distinct(keys)
-    example = np.empty(len(d), np.int64)
-    example[inverse] = np.arange(len(keys))
+    _, example, inverse, _ = distinct_spans(data, starts, ends, keys)
     coded = [vocabulary.encode_word(data[a:b].tobytes()) for a, b in zip(starts[example].tolist(), ends[example].tolist(), strict=True)]
     n = np.array([len(c) for c in coded], np.int64)
     values = np.fromiter((x for c in coded for x in c), np.int64, int(n.sum()))

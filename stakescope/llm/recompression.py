@@ -147,7 +147,7 @@ def _suspects(doc, s, e, first, data, shared, n):
     starts, owner = starts[use], owner[use]
     if not len(starts):
         return starts, owner, name[:0], name[:0]
-    return starts, owner, windows(h, n)[starts], windows(hash_spans(data, s, e, 1), n, 0xD6E8FEB86659FD93)[starts] >> U64(32)
+    return starts, owner, windows(h, n)[starts], windows(hash_spans(data, s, e, 1), n, 1)[starts] >> U64(32)
 
 
 def _pairs_least(one, two, docs):

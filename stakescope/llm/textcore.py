@@ -6,16 +6,22 @@ partition's text is never turned into one Python object per word.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import zstandard
 
 U64 = np.uint64
-#: The multipliers of the 64-bit mixing function (splitmix64) and two odd radices.
+#: The multipliers of the 64-bit mixing function (splitmix64) and two odd factors.
 _M1, _M2, _GOLD = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB), U64(0x9E3779B97F4A7C15)
-_RADIX = (0x2545F4914F6CDD1D, 0xD1342543DE82EF95)
-#: Text is hashed in pieces of about this many bytes, which bounds the working arrays.
+_ODD = (U64(0x2545F4914F6CDD1D), U64(0xD1342543DE82EF95))
+#: Text is worked on in pieces of about this many bytes, which bounds the working arrays.
 PIECE_BYTES = 1_000_000
+#: Spans of more bytes than this are hashed by a library routine, one by one.
+LONG_BYTES = 64
+_KEY = b"stakescope text spans"
+_TAIL = np.array([(1 << 8 * k) - 1 for k in range(8)] + [2**64 - 1], U64)
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
@@ -29,41 +35,73 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-def _byte_table(seed: int, lower: bool) -> np.ndarray:
-    table = mix(np.arange(256, dtype=U64) + U64(seed * 1000 + 7))
-    if lower:
-        table[0x41:0x5B] = table[0x61:0x7B]
-    return table
-
-
-class _Powers:
-    """Powers of an odd radix and of its inverse modulo 2**64, grown on demand."""
-
-    def __init__(self, radix: int) -> None:
-        self.radix, self.inverse = radix, pow(radix, -1, 1 << 64)
-        self.up = self.down = np.ones(1, U64)
-
-    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = 1 << (n - 1).bit_length()
-            with np.errstate(over="ignore"):
-                for name, r in (("up", self.radix), ("down", self.inverse)):
-                    a = np.full(size, U64(r))
-                    a[0] = 1
-                    setattr(self, name, np.cumprod(a, dtype=U64))
-        return self.up, self.down
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 0x20
 
 
-_POWERS = tuple(_Powers(r) for r in _RADIX)
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as one number (zeros beyond the end)."""
+    return np.ndarray(len(data) + 1, "<u8", np.append(data, np.zeros(8, np.uint8)).tobytes(), strides=(1,))
 
 
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lane: int = 0, lower: bool = False) -> np.ndarray:
-    """A 64-bit content hash of each span data[start:end]; equal bytes hash alike wherever they stand."""
-    n = len(data)
-    up, down = _POWERS[lane].get(n + 1)
-    s = np.zeros(n + 1, U64)
-    np.cumsum(_byte_table(lane, lower)[data] * up[:n], out=s[1:])
-    return mix((s[ends] - s[starts]) * down[starts] + (ends - starts).astype(U64))
+    """A 64-bit content hash of each span data[start:end]; equal bytes hash alike wherever they stand. lane: 0 or 1.
+
+    Eight bytes at a time go through a non-linear mixing function; spans of more than LONG_BYTES take keyed BLAKE2.
+    """
+    if lower:
+        data = _LOWER[data]
+    n = ends - starts
+    state = mix(n.astype(U64) * _ODD[lane])
+    eight = _eights(data)
+    at = np.flatnonzero((n > 0) & (n <= LONG_BYTES))
+    done = 0
+    while len(at):
+        left = n[at] - done
+        state[at] = mix((state[at] ^ eight[starts[at] + done] & _TAIL[np.minimum(left, 8)]) * _ODD[lane])
+        at, done = at[left > 8], done + 8
+    long = np.flatnonzero(n > LONG_BYTES)
+    if len(long):
+        whole = data.tobytes()
+        digests = b"".join(hashlib.blake2b(whole[a:b], digest_size=16, key=_KEY).digest() for a, b in zip(starts[long].tolist(), ends[long].tolist(), strict=True))
+        state[long] = np.frombuffer(digests, "<u8").reshape(-1, 2)[:, lane]
+    return state
+
+
+def same_spans(a: np.ndarray, a0: np.ndarray, a1: np.ndarray, b: np.ndarray, b0: np.ndarray, b1: np.ndarray) -> np.ndarray:
+    """Whether the bytes a[a0:a1] and b[b0:b1] are equal, for each pair of spans."""
+    n = a1 - a0
+    same = n == b1 - b0
+    x, y = _eights(a), _eights(b)
+    at = np.flatnonzero(same & (n > 0) & (n <= LONG_BYTES))
+    done = 0
+    while len(at):
+        left = n[at] - done
+        equal = ((x[a0[at] + done] ^ y[b0[at] + done]) & _TAIL[np.minimum(left, 8)]) == 0
+        same[at[~equal]] = False
+        at, done = at[equal & (left > 8)], done + 8
+    for i in np.flatnonzero(same & (n > LONG_BYTES)).tolist():
+        same[i] = bool(np.array_equal(a[a0[i] : a1[i]], b[b0[i] : b1[i]]))
+    return same
+
+
+def distinct_spans(data: np.ndarray, s: np.ndarray, e: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct spans by their bytes: sorted keys, an example of each, the place of each span among them, and their counts.
+
+    Every span is compared with the example of its key; where different bytes share a key, the key stands more than once.
+    """
+    d, inverse, n = distinct(keys)
+    example = np.empty(len(d), np.int64)
+    example[inverse] = np.arange(len(keys))
+    of = example[inverse]
+    if same_spans(data, s, e, data, s[of], e[of]).all():
+        return d, example, inverse, n
+    words = list(zip(keys.tolist(), (data[x:y].tobytes() for x, y in zip(s.tolist(), e.tolist(), strict=True)), strict=True))
+    every = {w: k for k, w in enumerate(sorted(set(words)))}
+    inverse = np.array([every[w] for w in words], np.int64)
+    example = np.empty(len(every), np.int64)
+    example[inverse] = np.arange(len(keys))
+    return keys[example], example, inverse, np.bincount(inverse)
 
 
 def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -117,25 +155,20 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return s, np.flatnonzero(ends) + 1, np.searchsorted(s, offsets)
 
 
-def doc_words(column: pa.Array, lower: bool, second: bool = False):
-    """Word hashes of a column of texts in pieces: (first document, hashes, second hashes or None, first word of each document)."""
-    data, offsets = string_buffers(column)
-    for i, j in pieces(offsets):
-        part = data[offsets[i] : offsets[j]]
-        s, e, first = word_spans(part, offsets[i : j + 1] - offsets[i])
-        yield i, hash_spans(part, s, e, 0, lower), hash_spans(part, s, e, 1, lower) if second else None, first
-
-
-def windows(h: np.ndarray, n: int, radix: int = _RADIX[0]) -> np.ndarray:
-    """Hashes of all n consecutive values of h (they may cross documents; callers mask those)."""
+def windows(h: np.ndarray, n: int, lane: int = 0) -> np.ndarray:
+    """Hashes of all n consecutive values of h (they may cross documents; callers mask those), put together from powers of two."""
     m = len(h) - n + 1
     if m <= 0:
         return np.zeros(0, U64)
-    out = h[:m].copy()
-    for k in range(1, n):
-        out *= U64(radix)
-        out += h[k : m + k]
-    return mix(out)
+    odd, out, done, size, power = _ODD[lane], None, 0, 1, h
+    while size <= n:
+        if n & size:
+            part = power[done : done + m]
+            out = part.copy() if out is None else mix(out * odd + part)
+            done += size
+        power = mix(power[:-size] * odd + power[size:]) if 2 * size <= n else power
+        size *= 2
+    return out
 
 
 def window_ok(first: np.ndarray, n: int, total: int) -> np.ndarray:

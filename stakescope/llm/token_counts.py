@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import Counter, Vocabulary, column_tokens, keys_of
+from .bpe import Counter, Vocabulary, WholeTokens, column_tokens
 from .textcore import string_buffers
 
 
@@ -19,7 +19,7 @@ def token_counts(docs: DataFrame, path: str, pattern: str, limit: int = 512, id_
     Null and empty texts have 0 bytes and 0 tokens; rows are neither merged nor dropped. No shuffle.
     """
     vocabulary = Vocabulary.read(path, pattern)
-    whole = np.sort(keys_of(list(vocabulary.prove_whole())))
+    whole = WholeTokens(list(vocabulary.prove_whole()))
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary, whole))
 
     def count(it):

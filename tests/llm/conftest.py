@@ -22,6 +22,12 @@ def words_of(text, lower=False):
     return [w for w in text.split(" ") if w]
 
 
+def alternating(n: int) -> tuple[str, str]:
+    """The two complementary self-similar words of n letters: each letter by the parity of its place's binary ones."""
+    word = "".join("ab"[k.bit_count() % 2] for k in range(n))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
 def odd_texts(seed: int = 7) -> list[tuple[int | None, str | None]]:
     """(id, text): nulls, empty, short, long, copies, near copies, shared passages, runs, odd characters, specials."""
     rng = random.Random(seed)
@@ -37,6 +43,8 @@ def odd_texts(seed: int = 7) -> list[tuple[int | None, str | None]]:
         texts.append("  ".join(near))
     texts += [prose(20) + "\n" + passage + "\t" + prose(rng.randrange(30)) for _ in range(6)]
     texts += ["it's don't WE'LL they've 's 12 3½ ٣ <|endoftext|> x<|endoftext|>y", "日本語 テキスト 😀😀    a b", "a b\x85c\x1cd e", "'" * 9 + "s", "0777 77\r\n\r\n  x"]
+    for word in alternating(1024):  # every polynomial hash in an odd radix gives both words the same value
+        texts += [word, f"{word} one two three four", f"{word} " + " ".join(vocabulary[:14]), f"{word[:64]} " + " ".join(vocabulary[20:33])]
     texts += [prose(rng.randrange(1, 60)) for _ in range(20)]
     rows = list(enumerate(texts))
     rng.shuffle(rows)
