@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import uuid
 from collections.abc import Callable, Iterator
@@ -62,7 +64,7 @@ def batch(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _ARROW, strict=True)], schema=_ARROW)
 
 
-def batches(rows: Iterator[tuple[int, int, int, bytes]], limit: int = 16_000_000) -> Iterator[pa.RecordBatch]:
+def batches(rows: Iterator[tuple[int, int, int, bytes]], limit: int = 8_000_000) -> Iterator[pa.RecordBatch]:
     held, size = [], 0
     for r in rows:
         held.append(r)
@@ -72,6 +74,14 @@ def batches(rows: Iterator[tuple[int, int, int, bytes]], limit: int = 16_000_000
             held, size = [], 0
     if held:
         yield batch(held)
+    trim()
+
+
+def trim() -> None:
+    """Memory that a task has freed goes back to the system, so that workers which wait for their next task hold little."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library than the one that has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def rows_of(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, int, bytes]]:

@@ -22,6 +22,8 @@ from .shared import ROW, batches, dropped, n_parts, release, rows_of, sent, spre
 from .textblocks import ANSWER, ASK, TEXT, opened, text_blocks, text_rows
 from .textcore import NULL_ID, U64, bounds, deltas, distinct, hash_spans, ids_of, mix, pack, string_buffers, undeltas, unpack, word_spans
 
+#: Text bytes of a block: a worker holds the arrays of one block at a time.
+BLOCK_BYTES = 1_000_000
 #: The count that a context must have.
 LEAST = 8
 #: Next words of a context with more sightings than this are dealt to several buckets.
@@ -29,7 +31,7 @@ SPLIT = 20_000
 #: Levels that are worked out again from the texts; later ones go on from what is still open.
 FROM_TEXT = 2
 #: About as many (place, level) pairs of a block are asked in one round.
-ROUND = 200_000
+ROUND = 100_000
 TOTAL_N, TOTAL_V, SUM, COUNT = 10, 11, 12, 13
 #: Answers of step k of a block: counts at STEP + 2 * k, contexts at STEP + 2 * k + 1.
 STEP = 20
@@ -245,7 +247,7 @@ def _blocks(rows, steps, n_tokens, n_words):
 
 
 def _ask_words(it, parts):
-    for block, rows, _, part, s, e, first in text_blocks(it, 0, 1):
+    for block, rows, _, part, s, e, first in text_blocks(it, 0, 1, BLOCK_BYTES):
         x = Stream(part, s, e, first, rows.column(2).to_numpy(zero_copy_only=False).astype(bool))
         n = np.bincount(x.word_at, weights=x.train, minlength=len(x.words)).astype(np.int64)
         edge = bounds(x.words, parts)
@@ -381,7 +383,7 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     source = settled(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.coalesce(training, F.lit(False)).alias("train")))
     parts = n_parts(source)
-    texts = source.mapInArrow(lambda it: batches(text_rows(it, 0, 1, parts)), ROW)
+    texts = source.mapInArrow(lambda it: batches(text_rows(it, 0, 1, parts, BLOCK_BYTES)), ROW)
     asked = source.mapInArrow(lambda it: batches(_ask_words(it, parts)), ROW)
     words = stored(sent(asked, parts, lambda it: batches(_answer_words(rows_of(it), parts))), "words")
     release(spark)

@@ -12,14 +12,14 @@ BLOCK_BYTES = 2_000_000
 TEXT, ASK, ANSWER = 0, 1, 2
 
 
-def text_blocks(it, id_at: int, text_at: int):
+def text_blocks(it, id_at: int, text_at: int, size: int = BLOCK_BYTES):
     """(block, rows, document ids, bytes, word starts, word ends, first word of each document) of each block."""
     sequence = 0
     for b in it:
         data, offsets = string_buffers(b.column(text_at))
         i = 0
         while i < b.num_rows:
-            j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + BLOCK_BYTES, side="right")) - 1)
+            j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + size, side="right")) - 1)
             part = data[offsets[i] : offsets[j]]
             s, e, first = word_spans(part, offsets[i : j + 1] - offsets[i])
             rows = b.slice(i, j - i)
@@ -27,9 +27,9 @@ def text_blocks(it, id_at: int, text_at: int):
             sequence, i = sequence + 1, j
 
 
-def text_rows(it, id_at, text_at, parts):
+def text_rows(it, id_at, text_at, parts, size: int = BLOCK_BYTES):
     """The rows of each block, whole, as compressed Arrow."""
-    for block, rows, *_ in text_blocks(it, id_at, text_at):
+    for block, rows, *_ in text_blocks(it, id_at, text_at, size):
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
             out.write_batch(rows)
