@@ -183,7 +183,7 @@ def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct keys, the place of each input key among them, and their counts."""
     if not len(keys):
         return keys, np.zeros(0, np.int64), np.zeros(0, np.int64)
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     k = keys[order]
     new = np.empty(len(k), bool)
     new[0] = True

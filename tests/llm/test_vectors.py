@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from stakescope.llm.nn_descent import approximate_top_k
+from stakescope.llm import topk
 from stakescope.llm.topk import exact_top_k
 
 SCHEMA = "vec_id long, embedding array<float>, score string"
@@ -50,6 +51,40 @@ def test_exact_top_k(spark):
     assert exact_top_k(df.where("vec_id in (7, 14, 15)"), 10, 7).count() == 4  # fewer candidates than k
 
 
+def test_exact_top_k_with_repeated_ids_and_far_values(spark):
+    """An id with several vectors asks with the smallest; all rows with another id are candidates; large values stay exact."""
+    rows = [(0, [1.0, 2.0]), (0, [1.0, 1.0]), (0, [1.0, 1.0]), (1, [3.0, 0.0]), (1, [3.0, 0.0]), (2, [-1.0, 9.0]), (3, [1e12, -1e12]), (4, [])]
+    got = sorted(map(tuple, exact_top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 3, 2).collect()))
+    v = [(i, [int(np.floor(64 * x)) for x in m] + [0] * (2 - len(m))) for i, m in rows]
+    want = []
+    for q in (0, 2, 4):
+        own = min(m for i, m in v if i == q)
+        best = sorted((-sum(a * b for a, b in zip(own, m, strict=True)), i) for i, m in v if i != q)[:3]
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
+    assert got == want
+
+
+def searched_share(m, n_queries=200, k=10):
+    m = np.floor(64 * m).astype(np.int64)
+    order = np.argsort(topk.places(m))
+    index = topk.Index(topk.blocks_of(order, m[order]), m.shape[1])
+    none = np.full(n_queries, -(2**63))
+    q, v, s, scored = topk.search(index, np.arange(n_queries), m[:n_queries], none, none, k)
+    for i in range(0, n_queries, 20):
+        own = m @ m[i]
+        best = [int(x) for x in np.lexsort((np.arange(len(m)), -own)) if x != i][:k]
+        assert v[q == i].tolist() == best and s[q == i].tolist() == own[best].tolist()
+    return scored / (n_queries * len(index.blocks))
+
+
+def test_blocks_are_skipped_on_clustered_vectors():
+    rng = np.random.default_rng(4)
+    centres = rng.standard_normal((60, 32))
+    clustered = centres[rng.integers(0, 60, 12_000)] + 0.15 * rng.standard_normal((12_000, 32))
+    assert searched_share(clustered) < 0.25
+    assert searched_share(rng.standard_normal((4000, 32))) <= 1  # directions without clusters: right, though little is skipped
+
+
 def test_approximate_top_k(spark):
     df, rows = table(spark, 1500)
     got = {}
