@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -16,41 +17,41 @@ from pyspark.sql import functions as F
 #: Rows of the exchange: the partition they go to, the block they belong to, what they are, and packed arrays.
 ROW = "to int, block long, tag int, body binary"
 _ARROW = pa.schema([("to", pa.int32()), ("block", pa.int64()), ("tag", pa.int32()), ("body", pa.binary())])
-LOCAL_FALLBACK = "/tmp/stakescope-shared"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; set to a local folder only where nothing is set, as in tests."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """spark.checkpoint.dir of the session. Only a session on one machine may have none; a folder is made for it then."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
-        at = LOCAL_FALLBACK
+        if not (spark.conf.get("spark.master", None) or "").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        at = tempfile.mkdtemp(prefix="stakescope-")
         spark.conf.set("spark.checkpoint.dir", at)
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(at)
     return at.rstrip("/")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read again: cuts the lineage, survives lost executors."""
+def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """df written to the shared folder and read again: cuts the lineage, survives lost executors. by: a column that gets a folder for each value."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(by) if by else writer).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
     out._stored_at = path
+    release(df.sparkSession)
     return out
 
 
-def dropped(df: DataFrame) -> None:
-    """Deletes a table written by stored(), and lets Spark remove shuffle files that nothing refers to any more."""
+def dropped(df: DataFrame, part: str = "") -> None:
+    """Empties a table written by stored() (or one of its folders), once nothing reads it any more."""
     spark, path = df.sparkSession, df._stored_at
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
-    release(spark)
+    spark.createDataFrame([], "gone int").write.mode("overwrite").parquet(f"{path}/{part}" if part else path)
 
 
 def release(spark: SparkSession) -> None:
-    """Shuffle files of plans that are finished and unreachable go when the driver's garbage is collected."""
+    """Shuffle files of finished plans go when the driver's garbage is collected; where the driver is elsewhere, it does so in its own time."""
     gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    if (jvm := getattr(spark, "_jvm", None)) is not None:
+        jvm.System.gc()
 
 
 def n_parts(df: DataFrame) -> int:

@@ -7,7 +7,8 @@ of this one hold less information than one description costs (the divergence of
 growth stops there, which loses nothing; there is no other bound on number or length. A word's probability comes from the
 longest retained suffix of what stands before it, smoothed by interpolation with the next shorter one down to the base.
 Counts of words, of (context, word) pairs and sums over contexts are exact, over all training documents, and stay
-distributed: each block of texts asks for those that it needs.
+distributed: each block of texts asks for those that it needs. Words get numbers by their frequency, in which all that
+follows is written; a context's divergence is decided where its counts are added up.
 """
 
 from __future__ import annotations
@@ -17,157 +18,177 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .byte_bpe import settled
-from .shared import ROW, batches, dropped, n_parts, release, rows_of, sent, spread, stored
-from .textblocks import ANSWER, ASK, TEXT, opened, text_blocks, text_rows
-from .textcore import NULL_ID, U64, bounds, deltas, distinct, hash_spans, ids_of, mix, pack, string_buffers, undeltas, unpack, word_spans
+from .shared import ROW, batches, dropped, n_parts, rows_of, sent, spread, stored
+from .textblocks import text_blocks
+from .textcore import NULL_ID, U64, bounds, deltas, distinct, hash_spans, mix, pack, undeltas, unpack
 
-#: Text bytes of a block: a worker holds the arrays of one block at a time.
-BLOCK_BYTES = 1_000_000
 #: The count that a context must have.
 LEAST = 8
 #: Next words of a context with more sightings than this are dealt to several buckets.
 SPLIT = 20_000
-#: Levels that are worked out again from the texts; later ones go on from what is still open.
-FROM_TEXT = 2
+#: Levels that are worked out from the first state of a block; later ones go on from what is still open.
+FIRST = 2
 #: About as many (place, level) pairs of a block are asked in one round.
 ROUND = 100_000
-TOTAL_N, TOTAL_V, SUM, COUNT = 10, 11, 12, 13
-#: Answers of step k of a block: counts at STEP + 2 * k, contexts at STEP + 2 * k + 1.
-STEP = 20
+STATE, ASK, ANSWER, CONTEXT, SUM, TOTAL_N, TOTAL_V, COUNT = range(8)
+#: Answers to the blocks at level k: counts at LEVEL + 2 * k, contexts at LEVEL + 2 * k + 1.
+LEVEL = 20
+KEPT, OPEN = 1, 2
 _END = mix(np.array([0x454E44], U64))[0]
 _R, _R2 = U64(0x9E3779B97F4A7C15), U64(0xD1342543DE82EF95)
 
 
-class Stream:
-    """Tokens of a block: the words of each document and its end."""
-
-    def __init__(self, data, s, e, first, train) -> None:
-        words = hash_spans(data, s, e, 0, True)
-        docs = len(first) - 1
-        self.first = first + np.arange(docs + 1)
-        self.h = np.full(len(words) + docs, _END)
+def tokenized(it, parts):
+    """Each block as word numbers of its own (frequent words first), and its distinct words with their training counts by bucket."""
+    for block, rows, ids, part, s, e, first in text_blocks(it, 0, 1):
+        words, docs = hash_spans(part, s, e, 0, True), len(first) - 1
+        h = np.full(len(words) + docs, _END)
         owner = np.repeat(np.arange(docs), np.diff(first))
-        self.h[np.arange(len(words)) + owner] = words
-        self.doc = np.repeat(np.arange(docs), np.diff(self.first))
-        self.train = train[self.doc]
-        self.words, self.word_at, _ = distinct(self.h)
+        h[np.arange(len(words)) + owner] = words
+        length = np.diff(first) + 1
+        train = rows.column(2).to_numpy(zero_copy_only=False).astype(bool)
+        keys, at, n = distinct(h)
+        order = np.argsort(-n, kind="stable")
+        number = np.empty(len(keys), np.int64)
+        number[order] = np.arange(len(keys))
+        yield spread(block, parts), block, STATE, pack(ids.view(U64), train, length, number[at], order)
+        learnt = np.bincount(at, weights=np.repeat(train, length), minlength=len(keys)).astype(np.int64)
+        edge = bounds(keys, parts)
+        for p in np.flatnonzero(np.diff(edge)).tolist():
+            i, j = edge[p], edge[p + 1]
+            yield p, block, ASK, pack(deltas(keys[i:j]), learnt[i:j])
 
 
-def _answers(came, tag):
+def _answers(came, tag, columns):
     """Columns of the answers of all buckets, in the order of the keys."""
     got = sorted((unpack(a) for a in came.get(tag, ())), key=lambda a: int(a[0][0]))
-    return [np.concatenate(x) for x in zip(*(a[1:] for a in got), strict=True)] if got else [np.zeros(0, np.int64)] * 4
+    return [np.concatenate(x) for x in zip(*(a[1:] for a in got), strict=True)] if got else [np.zeros(0, np.int64)] * columns
 
 
 class Block:
-    """A block at a level: its texts' tokens, and the places whose context of level words is asked about next.
+    """A block at a level: tokens in runs that contexts cannot leave, and the places whose context of level words is asked about next.
 
-    Of each place: the key of the context, the most that it can count, the count of the word after the suffix and that of
-    the suffix, and the word's probability so far.
+    Of each place: its document, the most that its context can count, the count of the word after the suffix and that of
+    the suffix, and the word's probability so far. Of each document: its results so far.
     """
 
     DOCS = ("ids", "train", "n_tokens", "n_known", "base", "score")
 
     @classmethod
-    def of_text(cls, came, n_tokens, n_words) -> Block:
+    def first(cls, body, came, n_tokens, n_words) -> Block:
         b = cls()
-        batch = opened(came[TEXT][0])
-        data, offsets = string_buffers(batch.column(1))
-        train = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
-        x = Stream(data, *word_spans(data, offsets), train)
-        b.words, b.word_at, b.length = x.words, x.word_at, np.diff(x.first)
-        b.count = _answers(came, ANSWER)[0].astype(np.int64)
-        b.level = 1
-        b._index()
-        sums = lambda v: np.diff(np.concatenate(([0], np.cumsum(v)))[x.first])
-        p = ((b.count + 0.1) / (n_tokens + 0.1 * (n_words + 1)))[x.word_at]
-        before = np.concatenate(([0], b.count[x.word_at[:-1]])) if len(x.h) else np.zeros(0, np.int64)
-        b.pos = np.flatnonzero((np.arange(len(x.h)) > b.start) & (before >= LEAST))
-        b.key, b.most, b.p = x.h[b.pos - 1], before[b.pos], p[b.pos]
-        b.seen, b.of = b.count[x.word_at[b.pos]], np.full(len(b.pos), max(1, n_tokens))
+        ids, train, length, at, order = unpack(body)
+        count, ident = _answers(came, ANSWER, 2)
+        if len(count) != len(order):
+            raise RuntimeError("a block's words and their counts come from different inputs; store the input first")
+        order, length = order.astype(np.int64), length.astype(np.int64)
+        b.count, b.ident, b.at = count.astype(np.int64)[order], ident.astype(U64)[order], at.astype(np.int64)
+        b.ids, b.train, b.n_tokens, b.level = ids.astype(U64).view(np.int64), train.astype(bool), length, 1
+        first = np.concatenate(([0], np.cumsum(length)))
+        n = b.count[b.at]
+        sums = lambda v: np.diff(np.concatenate(([0], np.cumsum(v)))[first])
+        p = (n + 0.1) / (n_tokens + 0.1 * (n_words + 1))
+        before = np.concatenate(([0], n[:-1])) if len(n) else n
+        before[first[:-1]] = 0  # no context crosses documents, nor holds a word seen less than LEAST times
+        b.cut = before < LEAST
+        b.pos = np.flatnonzero(~b.cut)
+        b.doc = np.repeat(np.arange(len(length)), length)[b.pos]
+        b.most, b.seen, b.of, b.p = before[b.pos], n[b.pos], np.full(len(b.pos), max(1, n_tokens)), p[b.pos]
         log = np.log10(p)
-        b.ids, b.train, b.n_tokens, b.n_known = ids_of(batch.column(0)), train, b.length, sums((b.count > 0)[x.word_at].astype(np.int64))
-        b.base = sums(log)
+        b.n_known, b.base = sums((n > 0).astype(np.int64)), sums(log)
         log[b.pos] = 0
         b.score = sums(log)
         return b
 
-    def _index(self) -> None:
-        self.h = self.words[self.word_at]
-        first = np.cumsum(self.length) - self.length
-        self.doc = np.repeat(np.arange(len(self.length)), self.length)
-        self.start = first[self.doc]
-
     def pack(self) -> bytes:
-        """Documents without open places keep their results only."""
-        keep = np.bincount(self.doc[self.pos], minlength=len(self.length)) > 0
-        token = keep[self.doc]
-        words, at, _ = distinct(self.h[token])
-        count = self.count[np.searchsorted(self.words, words)]
-        pos = (np.cumsum(token) - 1)[self.pos]
-        docs = [getattr(self, n) for n in self.DOCS]
-        return pack(np.array([self.level]), *docs, np.where(keep, self.length, 0), deltas(words), at, count, np.diff(pos, prepend=0), self.key, self.most, self.seen, self.of, self.p)
+        """Tokens that no open place's context can reach go."""
+        start = self._start()
+        many = len(self.at) + 1
+        keep = np.cumsum(np.bincount(start, minlength=many) - np.bincount(self.pos + 1, minlength=many))[:-1] > 0
+        cut = self.cut.copy()
+        cut[1:] |= ~keep[:-1]
+        used, at, _ = distinct(self.at[keep])
+        order = np.argsort(self.ident[used], kind="stable")
+        place = np.empty(len(used), np.int64)
+        place[order] = np.arange(len(used))
+        used, pos = used[order], (np.cumsum(keep) - 1)[self.pos]
+        docs = [self.ids.view(U64), *(getattr(self, n) for n in self.DOCS[1:])]
+        return pack(np.array([self.level, int(keep.sum())]), *docs, deltas(self.ident[used]), self.count[used], place[at], np.packbits(cut[keep]), np.diff(pos, prepend=0), np.diff(self.doc, prepend=0), self.most, self.seen, self.of, self.p)
 
     @classmethod
     def unpacked(cls, body) -> Block:
         b = cls()
-        level, *docs, length, words, at, count, pos, b.key, b.most, b.seen, b.of, b.p = unpack(body)
-        b.level = int(level[0])
+        (level, tokens), *docs, ident, count, at, cut, pos, doc, most, seen, of, p = unpack(body)
+        b.level = int(level)
         for n, v in zip(cls.DOCS, docs, strict=True):
             setattr(b, n, v)
-        b.train, b.ids = b.train.astype(bool), b.ids.astype(np.int64)
-        b.length, b.words, b.word_at, b.count, b.pos = length.astype(np.int64), undeltas(words), at.astype(np.int64), count.astype(np.int64), np.cumsum(pos.astype(np.int64))
-        b.most, b.seen, b.of, b.key, b.p = b.most.astype(np.int64), b.seen.astype(np.int64), b.of.astype(np.int64), b.key.astype(U64), np.array(b.p)
-        b._index()
+        b.ids, b.train = b.ids.astype(U64).view(np.int64), b.train.astype(bool)
+        b.ident, b.count, b.at, b.cut = undeltas(ident), count.astype(np.int64), at.astype(np.int64), np.unpackbits(cut, count=int(tokens)).astype(bool)
+        b.pos, b.doc = np.cumsum(pos.astype(np.int64)), np.cumsum(doc.astype(np.int64))
+        b.most, b.seen, b.of, b.p = most.astype(np.int64), seen.astype(np.int64), of.astype(np.int64), np.array(p)
         return b
 
+    def _start(self) -> np.ndarray:
+        """Where the run begins that a place's context lies in."""
+        run = np.maximum.accumulate(np.where(self.cut, np.arange(len(self.cut)), 0))
+        return run[self.pos - 1]
+
     def levels(self, many: int):
         """Each level's places (in pos) and keys of contexts."""
-        at, key = np.arange(len(self.pos)), self.key
-        yield at, key
-        for n in range(self.level + 1, self.level + many):
-            fits = self.pos[at] - n >= self.start[self.pos[at]]
-            at, key = at[fits], key[fits]
-            key = mix(key * _R2 + self.h[self.pos[at] - n] + U64(n))
-            yield at, key
+        at, key, start = np.arange(len(self.pos)), np.zeros(len(self.pos), U64), self._start()
+        for n in range(1, self.level + many):
+            if n >= self.level:
+                fits = self.pos[at] - n >= start[at]
+                at, key = at[fits], key[fits]
+            key = mix(key * _R2 + self.ident[self.at[self.pos[at] - n]] + U64(n))
+            if n >= self.level:
+                yield at, key
 
     def pairs(self, many: int) -> None:
-        """Distinct (context, next word) pairs of many levels, by bucket; a context with many next words has several buckets."""
+        """Distinct (context, next word) pairs of many levels, by unit; a context with many next words has several units."""
         self.found = list(self.levels(many))
         at, key = (np.concatenate(x) for x in zip(*self.found, strict=True))
-        self.asks = self.count[self.word_at[self.pos[at]]] > 0
-        at, key = at[self.asks], key[self.asks]
-        word = self.word_at[self.pos[at]]
-        salt = mix(self.words[word]) % (1 + self.most[at] // SPLIT).astype(U64)
-        unit = np.where(salt > 0, mix(key + salt * _R), key)
-        self.units, unit_at, _ = distinct(unit)
-        self.context = np.empty(len(self.units), U64)
-        self.context[unit_at] = key
-        pair, self.pair_at, _ = distinct(unit_at * max(1, len(self.words)) + word)
-        self.pair_unit, self.pair_word = pair // max(1, len(self.words)), pair % max(1, len(self.words))
-        self.learnt = self.train[self.doc[self.pos[at]]]
-        self.n = np.bincount(self.pair_at, weights=self.learnt, minlength=len(pair)).astype(np.int64)
+        word = self.at[self.pos[at]]
+        known = self.count[word] > 0
+        salts = 1 + self.most[at] // SPLIT
+        salt = np.where(known, mix(self.ident[word]) % salts.astype(U64), U64(0))
+        self.units, self.unit_at, _ = distinct(np.where(salt > 0, mix(key + salt * _R), key))
+        self.context, self.split = np.empty(len(self.units), U64), np.zeros(len(self.units), bool)
+        self.context[self.unit_at], self.split[self.unit_at] = key, salts > 1
+        width = max(1, len(self.count))
+        pair, self.pair_at, _ = distinct(self.unit_at[known] * width + word[known])
+        self.pair_unit, self.pair_word, self.known = pair // width, pair % width, known
+        self.learnt = self.train[self.doc[at]]
+        self.n = np.bincount(self.pair_at, weights=self.learnt[known], minlength=len(pair)).astype(np.int64)
+        self.places, self.keys = at, key
 
     def ask(self, block, parts, many):
+        """Pairs with their training counts by bucket, and where a level stands alone, what is known of its contexts' divergence."""
         self.pairs(many)
         edge = bounds(self.units, parts)
         sizes = np.bincount(self.pair_unit, minlength=len(self.units))
         upto = np.concatenate(([0], np.cumsum(sizes)))
+        cross = np.zeros(len(self.units))
+        if many == 1:
+            logs = np.log(np.maximum(self.seen, 1)) - np.log(self.of)
+            cross = np.bincount(self.unit_at, weights=np.where(self.learnt, logs[self.places], 0.0), minlength=len(self.units))
+            split = np.unique(self.context[self.split])
+            home = bounds(split, parts)
+            for p in np.flatnonzero(np.diff(home)).tolist():
+                keys = split[home[p] : home[p + 1]]
+                yield p, block, CONTEXT, pack(deltas(keys), np.zeros(len(keys)))
         for p in np.flatnonzero(np.diff(edge)).tolist():
             x, y = edge[p], edge[p + 1]
             i, j = upto[x], upto[y]
-            dealt = np.flatnonzero(self.context[x:y] != self.units[x:y])
-            yield p, block, ASK, pack(deltas(self.units[x:y]), sizes[x:y], self.words[self.pair_word[i:j]], self.n[i:j], dealt, self.context[x:y][dealt])
+            home = np.flatnonzero(self.split[x:y] if many == 1 else self.context[x:y] != self.units[x:y])
+            yield p, block, ASK, pack(np.array([many]), deltas(self.units[x:y]), sizes[x:y], self.ident[self.pair_word[i:j]], self.n[i:j], cross[x:y] if many == 1 else cross[:0], home, self.context[x:y][home])
 
-    def counted(self, came, tag, many):
+    def counted(self, totals):
         """Each level's places, keys, counts of the next words, and counts of them after the suffix."""
-        self.pairs(many)
-        total = _answers(came, tag)[0].astype(np.int64)
-        if len(total) != len(self.n):
+        if len(totals) != len(self.n):
             raise RuntimeError("a block's pairs and their counts come from different inputs; store the input first")
-        count = np.zeros(len(self.asks), np.int64)
-        count[self.asks] = total[self.pair_at]
+        count = np.zeros(len(self.places), np.int64)
+        count[self.known] = totals.astype(np.int64)[self.pair_at]
         edge, suffix = 0, self.seen
         for at, key in self.found:
             mine = count[edge : edge + len(at)]
@@ -176,158 +197,194 @@ class Block:
             suffix = np.zeros(len(self.pos), np.int64)
             suffix[at] = mine
 
-    def ask_contexts(self, came, block, tag, parts, many):
-        """What the block's training words add to the sum of n * log(count after the suffix) of each context."""
+    def ask_contexts(self, came, tag, block, parts, many):
+        """What the block's training words add to the divergence of each context, by the context's bucket."""
+        self.pairs(many)
         keys, logs = [], []
-        for at, key, _, suffix in self.counted(came, tag, many):
+        for at, key, _, suffix in self.counted(_answers(came, tag, 1)[0]):
             keys.append(key)
-            logs.append(np.where(self.train[self.doc[self.pos[at]]], np.log(np.maximum(suffix, 1)), 0.0))
+            logs.append(np.where(self.train[self.doc[at]], np.log(np.maximum(suffix, 1)), 0.0))
         d, inverse, _ = distinct(np.concatenate(keys))
         total = np.bincount(inverse, weights=np.concatenate(logs), minlength=len(d))
         edge = bounds(d, parts)
         for p in np.flatnonzero(np.diff(edge)).tolist():
             x, y = edge[p], edge[p + 1]
-            yield p, block, ASK, pack(deltas(d[x:y]), total[x:y])
+            yield p, block, CONTEXT, pack(deltas(d[x:y]), total[x:y])
 
-    def advance(self, came, tag, many, n_tokens) -> None:
+    def advance(self, came, tag, many, cost) -> None:
         """Probabilities with the retained contexts of many levels, and the places whose longer contexts can still be retained."""
-        counted = list(self.counted(came, tag, many))
-        _, inverse, _ = distinct(np.concatenate([key for _, key, *_ in counted]))
-        n_all, kinds_all, value, open_all = _answers(came, tag + 1)
-        cost, edge = 0.5 * np.log(max(2, n_tokens)), 0
+        self.pairs(many)
+        if many == 1:
+            totals, n_all, kinds_all, flags = _answers(came, tag, 4)
+            place = self.unit_at
+            n_all, kinds_all, flags = n_all.astype(np.int64)[place], kinds_all.astype(np.int64)[place], flags[place]
+            far = np.flatnonzero(self.split[self.unit_at])
+            if len(far):
+                where = np.searchsorted(np.unique(self.context[self.split]), self.keys[far])
+                n_far, kinds_far, value, open_far = _answers(came, tag + 1, 4)
+                n_all[far], kinds_all[far] = n_far.astype(np.int64)[where], kinds_far.astype(np.int64)[where]
+                kept = value[where] > kinds_all[far] * cost
+                flags[far] = kept * KEPT + (open_far[where] > 0) * OPEN
+            value = None
+        else:
+            (totals,) = _answers(came, tag, 1)
+            place = distinct(self.keys)[1]
+            n_all, kinds_all, value, open_all = _answers(came, tag + 1, 4)
+            n_all, kinds_all, value, flags = n_all.astype(np.int64)[place], kinds_all.astype(np.int64)[place], value[place], (open_all[place] > 0) * OPEN
+        edge = 0
         alive, of = np.ones(len(self.pos), bool), self.of.copy()
-        seen = np.full(len(self.h), -1, np.int64)
+        seen = np.full(len(self.at), -1, np.int64)
         last = np.zeros(len(self.pos), np.int64)
-        for at, _, mine, _ in counted:
-            place = inverse[edge : edge + len(at)]
+        for at, _, mine, _ in self.counted(totals):
+            n, kinds, flag = (x[edge : edge + len(at)] for x in (n_all, kinds_all, flags))
+            kept = (flag & KEPT) > 0 if value is None else value[edge : edge + len(at)] + n * np.log(np.maximum(1, of[at])) > kinds * cost
             edge += len(at)
-            n, kinds = n_all[place].astype(np.int64), kinds_all[place].astype(np.int64)
-            use = alive[at] & (n >= LEAST) & (value[place] + n * np.log(np.maximum(1, of[at])) > kinds * cost)
+            use = alive[at] & (n >= LEAST) & kept
             i = at[use]
             self.p[i] = (mine[use] + kinds[use] * self.p[i]) / (n[use] + kinds[use])
             still = np.zeros(len(self.pos), bool)
-            still[at] = alive[at] & (n >= LEAST) & (open_all[place] > 0)
+            still[at] = alive[at] & (n >= LEAST) & ((flag & OPEN) > 0)
             alive, of[at], last[at] = still, n, mine
             seen[:] = -1
             seen[self.pos[at]] = mine
+        if self.level == 1:  # no candidate holds two neighbours that stand together less than LEAST times
+            self.cut |= seen < LEAST
         self.level += many
         at = np.flatnonzero(alive)
-        at = at[self.pos[at] - self.level >= self.start[self.pos[at]]]
+        at = at[self.pos[at] - self.level >= self._start()[at]]
         before = seen[self.pos[at] - 1]  # the count of the longer context, where its last word was asked for
         at = at[(before < 0) | (before >= LEAST)]
-        key = mix(self.last_keys(counted, len(self.pos))[at] * _R2 + self.h[self.pos[at] - self.level] + U64(self.level))
         gone = np.ones(len(self.pos), bool)
         gone[at] = False
-        self.score = self.score + np.bincount(self.doc[self.pos[gone]], weights=np.log10(self.p[gone]), minlength=len(self.length))
-        self.pos, self.key, self.most, self.seen, self.of, self.p = self.pos[at], key, of[at], last[at], of[at], self.p[at]
-
-    @staticmethod
-    def last_keys(counted, size):
-        key = np.zeros(size, U64)
-        key[counted[-1][0]] = counted[-1][1]
-        return key
+        self.score = self.score + np.bincount(self.doc[gone], weights=np.log10(self.p[gone]), minlength=len(self.ids))
+        self.pos, self.doc, self.most, self.seen, self.of, self.p = self.pos[at], self.doc[at], of[at], last[at], of[at], self.p[at]
 
 
-def _blocks(rows, steps, n_tokens, n_words):
-    """Each block as it stands: from its texts and the answers of the steps so far (one level each), or as it was stored."""
+def _blocks(rows, steps, totals):
+    """Each block as it stands: its first state and the answers of the steps so far (one level each), or as it was stored (steps: None)."""
     blocks: dict[int, dict[int, list]] = {}
     for _, block, tag, body in rows:
-        blocks.setdefault(block, {}).setdefault(tag, []).append(body.as_py())
+        blocks.setdefault(block, {}).setdefault(tag, []).append(body)
+    n_tokens, n_words = totals
     for block in list(blocks):
         came = blocks.pop(block)
-        if len(came.get(TEXT, ())) != 1:
-            raise RuntimeError("texts and answers of a block come from different inputs; store the input first")
+        if len(came.get(STATE, ())) != 1:
+            raise RuntimeError("a block and its answers come from different inputs; store the input first")
+        came = {tag: [x.as_py() for x in bodies] for tag, bodies in came.items()}
         if steps is None:
-            yield block, came, Block.unpacked(came[TEXT][0])
+            yield block, came, Block.unpacked(came[STATE][0])
             continue
-        b = Block.of_text(came, n_tokens, n_words)
-        for k in range(steps):
-            b.advance(came, STEP + 2 * k, 1, n_tokens)
+        b = Block.first(came[STATE][0], came, n_tokens, n_words)
+        for k in range(1, steps):
+            b.advance(came, LEVEL + 2 * k, 1, _cost(n_tokens))
         yield block, came, b
 
 
-def _ask_words(it, parts):
-    for block, rows, _, part, s, e, first in text_blocks(it, 0, 1, BLOCK_BYTES):
-        x = Stream(part, s, e, first, rows.column(2).to_numpy(zero_copy_only=False).astype(bool))
-        n = np.bincount(x.word_at, weights=x.train, minlength=len(x.words)).astype(np.int64)
-        edge = bounds(x.words, parts)
-        for p in np.flatnonzero(np.diff(edge)).tolist():
-            i, j = edge[p], edge[p + 1]
-            yield p, block, ASK, pack(deltas(x.words[i:j]), n[i:j])
+def _cost(n_tokens) -> float:
+    return 0.5 * float(np.log(max(2, n_tokens)))
 
 
 def _given(bucket, asked, tag, parts, *values):
-    at = 0
-    for block, n in asked:
-        yield spread(block, parts), block, tag, pack(np.array([bucket]), *(v[at : at + n] for v in values))
-        at += n
+    """The answers to each block; values: arrays with the number of their entries for each block."""
+    upto = [0] * len(values)
+    for block, *many in asked:
+        part = []
+        for k, (v, n) in enumerate(zip(values, many, strict=True)):
+            part.append(v[upto[k] : upto[k] + n])
+            upto[k] += n
+        yield spread(block, parts), block, tag, pack(np.array([bucket]), *part)
 
 
 def _answer_words(rows, parts):
+    """Each word's training count, and its number: by rank in the bucket, so that frequent words have small ones."""
     asked, keys, ns, bucket = [], [], [], 0
     for bucket, block, _, body in rows:
         d, n = unpack(body.as_py())
-        asked.append((block, len(d)))
+        asked.append((block, len(d), len(d)))
         keys.append(undeltas(d))
         ns.append(n)
     if asked:
-        _, inverse, _ = distinct(np.concatenate(keys))
+        d, inverse, _ = distinct(np.concatenate(keys))
         total = np.bincount(inverse, weights=np.concatenate(ns)).astype(np.int64)
-        yield from _given(bucket, asked, ANSWER, parts, total[inverse])
+        number = np.empty(len(d), np.int64)
+        number[np.argsort(-total, kind="stable")] = np.arange(len(d)) * parts + bucket
+        number[total == 0] = 0
+        yield from _given(bucket, asked, ANSWER, parts, total[inverse], number[inverse])
         yield 0, int(total.sum()), TOTAL_N, b""
         yield 0, int((total > 0).sum()), TOTAL_V, b""
 
 
-def _answer_pairs(rows, parts, tag):
-    """Counts of (context, word) pairs, and each context's sums over those of this bucket."""
-    asked, units, words, ns, dealt, bucket = [], [], [], [], [], 0
-    for bucket, block, _, body in rows:
-        d, sizes, x, n, at, context = unpack(body.as_py())
+def _answer_pairs(rows, parts, tag, cost):
+    """Counts of (context, word) pairs; of contexts that are whole here, what decides on them, and of others their sums for their own bucket."""
+    asked, units, sizes, words, ns, crosses, home, bucket, many = [], [], [], [], [], [], [], 0, 1
+    for bucket, block, kind, body in rows:
+        if kind == CONTEXT:
+            yield bucket, block, kind, body.as_py()
+            continue
+        (many,), d, size, x, n, cross, at, context = unpack(body.as_py())
         unit = undeltas(d)
-        asked.append((block, len(x)))
-        units.append(np.repeat(unit, sizes.astype(np.int64)))
-        words.append(x.astype(U64))
+        asked.append((block, len(x), *([len(unit)] * 3 if many == 1 else ())))
+        units.append(unit)
+        sizes.append(size.astype(np.int64))
+        words.append(x.astype(np.uint32 if not len(x) or int(x.max()) < 1 << 32 else U64))
         ns.append(n.astype(np.uint32))
-        dealt.append((unit[at.astype(np.int64)], context.astype(U64)))
+        crosses.append(cross)
+        home.append((unit[at.astype(np.int64)], context.astype(U64)))
     if not asked:
         return
-    unit = np.concatenate(units)
+    keys, unit_at, _ = distinct(np.concatenate(units))
     del units
-    d, inverse, _ = distinct(mix(unit * _R + np.concatenate(words)))
+    row = np.repeat(unit_at, np.concatenate(sizes))
+    pair = mix(keys[row] * _R + np.concatenate([w.astype(U64) for w in words]))
     del words
-    total = np.bincount(inverse, weights=np.concatenate(ns)).astype(np.int64)
-    yield from _given(bucket, asked, tag, parts, total[inverse])
-    one = np.empty(len(d), U64)
-    one[inverse] = unit
-    del inverse, unit
+    d, inverse, _ = distinct(pair)
+    del pair
+    total = np.bincount(inverse, weights=np.concatenate(ns), minlength=len(d)).astype(np.int64)
+    unit_of = np.empty(len(d), np.int64)
+    unit_of[inverse] = row
+    del row
     known = total > 0
-    c = total[known].astype(np.float64)
-    keys, at, _ = distinct(one[known])
-    name = keys.copy()
-    for unit, context in dealt:  # back to the context that the unit is a part of
-        if len(unit) and len(keys):
-            i = np.minimum(np.searchsorted(keys, unit), len(keys) - 1)
-            hit = keys[i] == unit
-            name[i[hit]] = context[hit]
-    n, kinds, logs = (np.bincount(at, weights=w, minlength=len(keys)) for w in (c, np.ones(len(c)), c * np.log(c)))
-    order = np.argsort(name)
-    edge = bounds(name[order], parts)
+    c, unit_of = total[known].astype(np.float64), unit_of[known]
+    n, kinds, logs = (np.bincount(unit_of, weights=w, minlength=len(keys)) for w in (c, np.ones(len(c)), c * np.log(c)))
+    if many == 1:
+        cross = np.bincount(unit_at, weights=np.concatenate(crosses), minlength=len(keys))
+        flags = _flags(n, kinds, logs, cross, cost)
+        yield from _given(bucket, asked, tag, parts, total[inverse], n.astype(np.int64)[unit_at], kinds.astype(np.int64)[unit_at], flags[unit_at])
+    else:
+        cross = np.zeros(len(keys))
+        yield from _given(bucket, asked, tag, parts, total[inverse])
+    name, away = keys.copy(), np.full(len(keys), many > 1)
+    for unit, context in home:
+        i = np.searchsorted(keys, unit)
+        name[i], away[i] = context, True
+    at = np.flatnonzero(away)
+    at = at[np.argsort(name[at])]
+    edge = bounds(name[at], parts)
     for p in np.flatnonzero(np.diff(edge)).tolist():
-        i = order[edge[p] : edge[p + 1]]
-        yield p, 0, SUM, pack(deltas(name[i]), n[i].astype(np.int64), kinds[i].astype(np.int64), logs[i])
+        i = at[edge[p] : edge[p + 1]]
+        yield p, 0, SUM, pack(deltas(name[i]), n[i].astype(np.int64), kinds[i].astype(np.int64), logs[i], cross[i])
+
+
+def _open(n, logs, cost):
+    # rounding must not close what is open by a hair
+    return (n >= LEAST) & (n * np.log(np.maximum(n, 1)) - logs > cost * (1 - 1e-9))
+
+
+def _flags(n, kinds, logs, cross, cost):
+    kept = logs - n * np.log(np.maximum(n, 1)) - cross > kinds * cost
+    return (kept * KEPT + _open(n, logs, cost) * OPEN).astype(np.uint8)
 
 
 def _answer_contexts(rows, parts, tag, cost):
-    """Of each asked context: its count, its number of next words, its divergence but for the suffix's count, and whether longer ones can be retained."""
-    asked, keys, values, bucket = [], [], [], 0
-    sums = []
+    """Of each asked context: its count, its number of next words, its divergence as far as the sums go, and whether longer ones can be retained."""
+    asked, keys, values, sums, bucket = [], [], [], [], 0
     for bucket, block, kind, body in rows:
         if kind == SUM:
-            d, n, kinds, logs = unpack(body.as_py())
-            sums.append((undeltas(d), n.astype(np.float64), kinds.astype(np.float64), logs))
+            d, n, kinds, logs, cross = unpack(body.as_py())
+            sums.append((undeltas(d), n.astype(np.float64), kinds.astype(np.float64), logs, cross))
         else:
             d, value = unpack(body.as_py())
-            asked.append((block, len(d)))
+            asked.append((block, *[len(d)] * 4))
             keys.append(undeltas(d))
             values.append(value)
     if not asked:
@@ -336,29 +393,26 @@ def _answer_contexts(rows, parts, tag, cost):
     d, inverse, _ = distinct(np.concatenate([*keys, *(s[0] for s in sums)]))
     add = lambda at, v: np.bincount(at, weights=v, minlength=len(d))
     suffix = add(inverse[:edge], np.concatenate(values))
-    n, kinds, logs = (add(inverse[edge:], np.concatenate([s[k] for s in sums] or [np.zeros(0)])) for k in (1, 2, 3))
-    own = n * np.log(np.maximum(n, 1))
-    # rounding must not close what is open by a hair
-    opened_ = (n >= LEAST) & (own - logs > cost * (1 - 1e-9))
+    n, kinds, logs, cross = (add(inverse[edge:], np.concatenate([s[k] for s in sums] or [np.zeros(0)])) for k in (1, 2, 3, 4))
+    value = logs - n * np.log(np.maximum(n, 1)) - suffix - cross
     i = inverse[:edge]
-    yield from _given(bucket, asked, tag, parts, n[i].astype(np.int64), kinds[i].astype(np.int64), (logs - own - suffix)[i], opened_[i])
+    yield from _given(bucket, asked, tag, parts, n[i].astype(np.int64), kinds[i].astype(np.int64), value[i], _open(n, logs, cost)[i])
 
 
 def _ask_pairs(rows, parts, steps, totals, many=1):
-    for block, _, b in _blocks(rows, steps, *totals):
+    for block, _, b in _blocks(rows, steps, totals):
         yield from b.ask(block, parts, many)
 
 
-def _ask_contexts(rows, parts, steps, totals, many=1):
-    for block, came, b in _blocks(rows, steps, *totals):
-        yield from b.ask_contexts(came, block, STEP + 2 * (steps or 0), parts, many)
+def _ask_contexts(rows, parts, totals, many):
+    for block, came, b in _blocks(rows, None, totals):
+        yield from b.ask_contexts(came, LEVEL, block, parts, many)
 
 
-def _advanced(rows, steps, totals, parts, many=1):
-    for block, came, b in _blocks(rows, steps, *totals):
-        if steps is None:
-            b.advance(came, STEP, many, totals[0])
-        yield spread(block, parts), block, TEXT, b.pack()
+def _advanced(rows, parts, steps, totals, many=1):
+    for block, came, b in _blocks(rows, steps, totals):
+        b.advance(came, LEVEL + 2 * (steps or 0), many, _cost(totals[0]))
+        yield spread(block, parts), block, STATE, b.pack()
         yield 0, len(b.pos), COUNT, b""
 
 
@@ -375,55 +429,53 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
     """id, held_out, n_tokens, n_known, train_tokens, base_score and score of every whole text.
 
     training: a boolean column; the model learns from rows where it holds (null: not). Words are lower-cased in A-Z; each
-    text ends with an end token; a null text is its end token alone. Ids must be integers. With no training rows, all
-    tokens are unknown and score equals base_score.
+    text ends with an end token; a null text is its end token alone. Ids must be integers; a null id stays null, repeated
+    rows are rows of their own. With no training rows, all tokens are unknown and score equals base_score. An empty table
+    gives an empty result.
 
-    One level of context length is a round at first; later ones take as many levels as are done already, within ROUND.
+    One level of context length is a round at first, decided where the counts are; later ones take as many levels as are
+    done already, within ROUND, with one more exchange for the suffixes' counts.
     """
-    spark = docs.sparkSession
-    source = settled(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.coalesce(training, F.lit(False)).alias("train")))
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.coalesce(training, F.lit(False)).alias("train"))
     parts = n_parts(source)
-    texts = source.mapInArrow(lambda it: batches(text_rows(it, 0, 1, parts, BLOCK_BYTES)), ROW)
-    asked = source.mapInArrow(lambda it: batches(_ask_words(it, parts)), ROW)
-    words = stored(sent(asked, parts, lambda it: batches(_answer_words(rows_of(it), parts))), "words")
-    release(spark)
+    begun = stored(source.mapInArrow(lambda it: batches(tokenized(it, parts)), ROW), "tokens", by="tag")
+    words = stored(sent(begun.where(F.col("tag") == ASK), parts, lambda it: batches(_answer_words(rows_of(it), parts))), "words")
+    dropped(begun, f"tag={ASK}")
     sums = {r["tag"]: r["n"] for r in words.where(F.col("tag").isin(TOTAL_N, TOTAL_V)).groupBy("tag").agg(F.sum("block").alias("n")).collect()}
     totals = n_tokens, _ = sums.get(TOTAL_N, 0), sums.get(TOTAL_V, 0)
-    cost = 0.5 * float(np.log(max(2, n_tokens)))
+    cost = _cost(n_tokens)
 
     def counts(asked, tag):
-        pairs = stored(sent(asked, parts, lambda it: batches(_answer_pairs(rows_of(it), parts, tag))), "pairs")
-        release(spark)
-        return pairs
-
-    def contexts(asked, pairs, tag):
-        both = asked.unionByName(pairs.where(F.col("tag") == SUM))
-        found = stored(sent(both, parts, lambda it: batches(_answer_contexts(rows_of(it), parts, tag, cost))), "contexts")
-        release(spark)
-        return found
-
-    state, old = texts.unionByName(words.where(F.col("tag") == ANSWER)), [words]
-    for k in range(FROM_TEXT):
-        tag = STEP + 2 * k
+        """Answered pairs, and what goes on to the contexts' own buckets."""
+        return stored(sent(asked, parts, lambda it: batches(_answer_pairs(rows_of(it), parts, tag, cost))), "pairs")
+
+    def contexts(both, tag):
+        return stored(sent(both, parts, lambda it: batches(_answer_contexts(rows_of(it), parts, tag, cost))), "contexts")
+
+    answered = lambda df: df.where(F.col("tag") >= LEVEL)
+    state, old = begun.where(F.col("tag") == STATE).unionByName(words.where(F.col("tag") == ANSWER)), [begun, words]
+    for k in range(1, FIRST + 1):
+        tag = LEVEL + 2 * k
         pairs = counts(sent(state, parts, lambda it, k=k: batches(_ask_pairs(rows_of(it), parts, k, totals))), tag)
-        answers = state.unionByName(pairs.where(F.col("tag") == tag))
-        found = contexts(sent(answers, parts, lambda it, k=k: batches(_ask_contexts(rows_of(it), parts, k, totals))), pairs, tag + 1)
-        state, old = answers.unionByName(found), [*old, pairs, found]
-    now = stored(sent(state, parts, lambda it: batches(_advanced(rows_of(it), FROM_TEXT, totals, parts))), "state")
-    level = FROM_TEXT + 1
+        found = contexts(pairs.where(F.col("tag").isin(SUM, CONTEXT)), tag + 1)
+        state, old = state.unionByName(answered(pairs)).unionByName(found), [*old, pairs, found]
+    now = stored(sent(state, parts, lambda it: batches(_advanced(rows_of(it), parts, FIRST, totals))), "state")
+    level = FIRST + 1
     while True:
         for x in old:
             dropped(x)
         size = now.where(F.col("tag") == COUNT).agg(F.sum("block"), F.count(F.lit(1))).first()
-        state = now.where(F.col("tag") == TEXT)
+        state = now.where(F.col("tag") == STATE)
         if not size[0]:
             break
-        many = int(max(1, min(level - FROM_TEXT, ROUND * size[1] // size[0])))
-        pairs = counts(state.mapInArrow(lambda it, m=many: batches(_ask_pairs(rows_of(it), parts, None, totals, m)), ROW), STEP)
-        answers = state.unionByName(pairs.where(F.col("tag") == STEP))
-        found = contexts(sent(answers, parts, lambda it, m=many: batches(_ask_contexts(rows_of(it), parts, None, totals, m))), pairs, STEP + 1)
+        many = int(max(1, min(level - FIRST, ROUND * size[1] // size[0])))
+        pairs = counts(state.mapInArrow(lambda it, m=many: batches(_ask_pairs(rows_of(it), parts, None, totals, m)), ROW), LEVEL)
+        both, asked = state.unionByName(answered(pairs)), pairs.where(F.col("tag").isin(SUM, CONTEXT))
+        if many > 1:
+            asked = asked.unionByName(sent(both, parts, lambda it, m=many: batches(_ask_contexts(rows_of(it), parts, totals, m))))
+        found = contexts(asked, LEVEL + 1)
         old = [now, pairs, found]
-        now = stored(sent(answers.unionByName(found), parts, lambda it, m=many: batches(_advanced(rows_of(it), None, totals, parts, m))), "state")
+        now = stored(sent(both.unionByName(found), parts, lambda it, m=many: batches(_advanced(rows_of(it), parts, None, totals, m))), "state")
         level += many
     schema = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return state.mapInArrow(lambda it: _results(rows_of(it), n_tokens), schema).withColumnRenamed("id", id_col)
