@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import Vocabulary, column_tokens, gathered
-from .shared import ROW, batches, block_id, n_parts, rows_of, sent, spread, stored
+from .shared import ROW, batches, block_id, n_parts, rows_of, sent, settled, spread
 from .textcore import bounds, distinct_spans, hash_spans, ids_back, ids_of, pack, pieces, unpack
 
 #: Text bytes of a block, the unit whose words go out once and come back as ids.
@@ -99,17 +99,11 @@ def _assemble(rows):
         yield pa.RecordBatch.from_arrays([ids_back(doc), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids, pa.int32()))], names=["id", "ids"])
 
 
-def settled(docs: DataFrame) -> DataFrame:
-    """docs as it is if it is read from files without a shuffle (each pass over it sees the same partitions), else stored."""
-    plan = docs._jdf.queryExecution().sparkPlan().toString()
-    scan = "FileScan" in plan or "BatchScan" in plan
-    return docs if scan and not any(x in plan for x in ("Join", "Aggregate", "Window", "Sort", "Limit", "Exchange", "Rebalance", "Repartition")) else stored(docs, "settled")
-
-
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", each: tuple[Callable, str] | None = None) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", each: tuple[Callable, str] | None = None, fixed: bool = False) -> DataFrame:
     """(id, ids array<int>) of every whole text, by the ranks of the vocabulary file, without special tokens.
 
     each: a function of Arrow batches (id, ids) that is applied in the task that assembles them, and its result's columns.
+    fixed: docs gives the same partitions on every pass, as tables read from files do; otherwise it is stored first.
 
     Pre-tokens keep their positions in blocks; each block sends each of its distinct words once, each bucket of words
     encodes each distinct word once, and ids come back to the blocks. A word that stands everywhere reaches its bucket
@@ -117,7 +111,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     """
     vocabulary = Vocabulary.read(path, pattern)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    source = settled(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")))
+    source = settled(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")), fixed)
     parts = n_parts(source)
     words = source.mapInArrow(lambda it: batches(_blocks(it, shared.value, parts, WORDS)), ROW)
     places = source.mapInArrow(lambda it: batches(_blocks(it, shared.value, parts, PLACES)), ROW)
@@ -154,8 +148,8 @@ def decode(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     return rows.mapInArrow(lambda it: (decoded_batch(b, *shared.value) for b in it), "id long, ids array<int>, data binary").withColumnRenamed("id", id_col)
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", fixed: bool = False) -> DataFrame:
     """Digests of every text's ids and of the bytes decoded from them, made in the task that assembles the ids."""
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.read(path, pattern).token_bytes())
     each = (lambda b: digest_batch(decoded_batch(b, *shared.value))), "id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return encode(docs, path, pattern, id_col, text_col, each)
+    return encode(docs, path, pattern, id_col, text_col, each, fixed)

@@ -12,9 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .byte_bpe import settled
 from .components import components
-from .shared import ROW, batches, dropped, n_parts, release, rows_of, sent, spread, stored
+from .shared import ROW, batches, dropped, n_parts, rows_of, sent, settled, spread, stored
 from .textblocks import ANSWER, ASK, TEXT, by_block, opened, text_blocks, text_rows
 from .textcore import NULL_ID, U64, bounds, deltas, distinct, hash_spans, ids_of, mix, pack, string_buffers, undeltas, unpack, window_ok, windows, word_spans
 
@@ -121,13 +120,12 @@ def _sets(rows, k, num, den):
         )
 
 
-def shingle_sets(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
-    source = settled(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")))
+def shingle_sets(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str, fixed: bool) -> DataFrame:
+    source = settled(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")), fixed)
     parts = n_parts(source)
     texts = source.mapInArrow(lambda it: batches(text_rows(it, 0, 1, parts)), ROW)
     asked = source.mapInArrow(lambda it: batches(_ask_counts(it, k, parts)), ROW)
     counts = stored(sent(asked, parts, lambda it: batches(_answer_counts(rows_of(it), parts))), "counts")
-    release(docs.sparkSession)
     out = stored(sent(texts.unionByName(counts), parts, lambda it: _sets(rows_of(it), k, num, den), SETS), "sets")
     dropped(counts)
     return out
@@ -149,7 +147,7 @@ def _possible(a: str, b: str, num: int, den: int):
     return (den * F.least(na, nb) >= num * F.greatest(na, nb)) & ((den + num) * most >= num * (na + nb))
 
 
-def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", fixed: bool = False) -> DataFrame:
     """(id, n_shingles, component_id) of every row: the smallest id that links lead to.
 
     Words are compared with A-Z lower-cased. Two documents link when den * intersection >= num * union of their sets of
@@ -160,7 +158,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     its own (in a group of copies of one text, that is the text or close to it); then all other pairs that share a prefix
     shingle and are not yet in one component. Every pair that could link is either checked or already connected.
     """
-    sets = shingle_sets(docs, k, num, den, id_col, text_col)
+    sets = shingle_sets(docs, k, num, den, id_col, text_col, fixed)
     same = ["n", "s1", "s2"]
     nodes = stored(sets.groupBy(*same).agg(F.min(F.struct("doc_id", "row")).alias("r")).select(*same, F.col("r.row").alias("node"), F.col("r.doc_id").alias("least")), "nodes")
     active = sets.where(F.size("prefix") > 0).select("row", "n", "rare", "prefix").join(nodes.select(F.col("node").alias("row")), "row", "left_semi")

@@ -38,14 +38,14 @@ def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .byte_bpe import round_trip
 
-    return round_trip(_table(spark, sf_dir, "documents"), *_vocabulary("byte_bpe_50k.tiktoken"))
+    return round_trip(_table(spark, sf_dir, "documents"), *_vocabulary("byte_bpe_50k.tiktoken"), fixed=True)
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .recompression import remove_repeats
 
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return remove_repeats(docs, 13).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+    return remove_repeats(docs, 13, fixed=True).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +79,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard_join import jaccard_components
 
-    return jaccard_components(_table(spark, sf_dir, "documents"))
+    return jaccard_components(_table(spark, sf_dir, "documents"), fixed=True)
 
 
 def queries() -> dict:

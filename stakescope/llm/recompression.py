@@ -14,8 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .byte_bpe import settled
-from .shared import ROW, batches, n_parts, release, rows_of, sent, spread, stored
+from .shared import ROW, batches, dropped, n_parts, rows_of, sent, settled, spread, stored
 from .textblocks import ANSWER, ASK, TEXT, by_block, opened, text_blocks, text_rows
 from .textcore import U64, bounds, deltas, distinct, hash_spans, ids_of, mix, pack, string_buffers, undeltas, unpack, window_ok, windows, word_spans
 
@@ -231,28 +230,27 @@ def _with_blanks(data, s, e):
     return out, n
 
 
-def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text", fixed: bool = False) -> DataFrame:
     """docs with n_words, n_removed and kept (the words that stay, joined by one space).
 
     A word goes if it lies in a window of `window` words of its document whose words also start somewhere in a document
     with a smaller id. Windows are judged on the input. Null texts have no words; documents with the same id do not
     remove each other's words; columns named n_words, n_removed or kept are replaced. Ids must be integers; a null id counts
-    as smaller than any other.
+    as smaller than any other. fixed: docs gives the same partitions on every pass, as tables read from files do;
+    otherwise it is stored first.
 
     Each window is sent to compare only if its anchor stands in several documents; a block sends a window once however
     many of its documents share it, so a passage that stands everywhere costs one row for each block.
     """
-    docs = settled(docs.drop("n_words", "n_removed", "kept"))
+    docs = settled(docs.drop("n_words", "n_removed", "kept"), fixed)
     names = docs.columns
     id_at, text_at = names.index(id_col), names.index(text_col)
     parts = n_parts(docs)
     texts = docs.mapInArrow(lambda it: batches(text_rows(it, id_at, text_at, parts)), ROW)
     asked = docs.select(id_col, text_col).mapInArrow(lambda it: batches(_ask_anchors(it, 0, 1, window, parts)), ROW)
     shared = stored(sent(asked, parts, lambda it: batches(_answer_anchors(rows_of(it), parts))), "anchors")
-    release(docs.sparkSession)
     asked = sent(texts.unionByName(shared), parts, lambda it: batches(_ask_windows(rows_of(it), id_at, text_at, window, parts)))
     repeated = stored(sent(asked, parts, lambda it: batches(_answer_windows(rows_of(it), parts))), "windows")
-    release(docs.sparkSession)
     rows = texts.unionByName(shared).unionByName(repeated.withColumn("tag", F.lit(ANSWER + 1)))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return sent(rows, parts, lambda it: _removed(rows_of(it), id_at, text_at, window, names), f"{fields}, n_words long, n_removed long, kept string")

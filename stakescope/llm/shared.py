@@ -41,6 +41,11 @@ def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     return out
 
 
+def settled(df: DataFrame, fixed: bool) -> DataFrame:
+    """df if it is fixed (every pass over it sees the same partitions), else stored."""
+    return df if fixed else stored(df, "settled")
+
+
 def dropped(df: DataFrame, part: str = "") -> None:
     """Empties a table written by stored() (or one of its folders), once nothing reads it any more."""
     spark, path = df.sparkSession, df._stored_at
