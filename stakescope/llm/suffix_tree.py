@@ -26,12 +26,14 @@ from .textcore import NULL_ID, U64, bounds, deltas, distinct, hash_spans, mix, p
 LEAST = 8
 #: Next words of a context with more sightings than this are dealt to several buckets.
 SPLIT = 20_000
-#: Levels that are worked out from the first state of a block; later ones go on from what is still open.
-FIRST = 2
+#: Text bytes of a block.
+BLOCK_BYTES = 3_000_000
+#: About as many (place, level) pairs for each partition; rounds with few of them use fewer partitions.
+PART_PLACES = 200_000
 #: About as many (place, level) pairs of a block are asked in one round.
-ROUND = 100_000
+ROUND = 400_000
 STATE, ASK, ANSWER, CONTEXT, SUM, TOTAL_N, TOTAL_V, COUNT = range(8)
-#: Answers to the blocks at level k: counts at LEVEL + 2 * k, contexts at LEVEL + 2 * k + 1.
+#: Answers to the blocks about a level: counts, and contexts that have a bucket of their own.
 LEVEL = 20
 KEPT, OPEN = 1, 2
 _END = mix(np.array([0x454E44], U64))[0]
@@ -40,7 +42,7 @@ _R, _R2 = U64(0x9E3779B97F4A7C15), U64(0xD1342543DE82EF95)
 
 def tokenized(it, parts):
     """Each block as word numbers of its own (frequent words first), and its distinct words with their training counts by bucket."""
-    for block, rows, ids, part, s, e, first in text_blocks(it, 0, 1):
+    for block, rows, ids, part, s, e, first in text_blocks(it, 0, 1, BLOCK_BYTES):
         words, docs = hash_spans(part, s, e, 0, True), len(first) - 1
         h = np.full(len(words) + docs, _END)
         owner = np.repeat(np.arange(docs), np.diff(first))
@@ -87,7 +89,7 @@ class Block:
         first = np.concatenate(([0], np.cumsum(length)))
         n = b.count[b.at]
         sums = lambda v: np.diff(np.concatenate(([0], np.cumsum(v)))[first])
-        p = (n + 0.1) / (n_tokens + 0.1 * (n_words + 1))
+        p = _base(n, n_tokens, n_words)
         before = np.concatenate(([0], n[:-1])) if len(n) else n
         before[first[:-1]] = 0  # no context crosses documents, nor holds a word seen less than LEAST times
         b.cut = before < LEAST
@@ -113,25 +115,33 @@ class Block:
         place[order] = np.arange(len(used))
         used, pos = used[order], (np.cumsum(keep) - 1)[self.pos]
         docs = [self.ids.view(U64), *(getattr(self, n) for n in self.DOCS[1:])]
-        return pack(np.array([self.level, int(keep.sum())]), *docs, deltas(self.ident[used]), self.count[used], place[at], np.packbits(cut[keep]), np.diff(pos, prepend=0), np.diff(self.doc, prepend=0), self.most, self.seen, self.of, self.p)
+        return pack(np.array([self.level, int(keep.sum())]), *docs, deltas(self.ident[used]), self.count[used], place[at], np.packbits(cut[keep]), np.diff(pos, prepend=0), np.diff(self.doc, prepend=0), self.seen, self.of, self.kinds if self.level == 2 else self.p)
 
     @classmethod
-    def unpacked(cls, body) -> Block:
+    def unpacked(cls, body, n_tokens, n_words) -> Block:
+        """p after level one follows from whole numbers, which are shorter."""
         b = cls()
-        (level, tokens), *docs, ident, count, at, cut, pos, doc, most, seen, of, p = unpack(body)
+        (level, tokens), *docs, ident, count, at, cut, pos, doc, seen, of, p = unpack(body)
         b.level = int(level)
         for n, v in zip(cls.DOCS, docs, strict=True):
             setattr(b, n, v)
         b.ids, b.train = b.ids.astype(U64).view(np.int64), b.train.astype(bool)
         b.ident, b.count, b.at, b.cut = undeltas(ident), count.astype(np.int64), at.astype(np.int64), np.unpackbits(cut, count=int(tokens)).astype(bool)
         b.pos, b.doc = np.cumsum(pos.astype(np.int64)), np.cumsum(doc.astype(np.int64))
-        b.most, b.seen, b.of, b.p = most.astype(np.int64), seen.astype(np.int64), of.astype(np.int64), np.array(p)
+        b.seen, b.of = seen.astype(np.int64), of.astype(np.int64)
+        b.most = b.of
+        if b.level == 2:
+            kinds = p.astype(np.float64)
+            base = _base(b.count[b.at[b.pos]], n_tokens, n_words)
+            b.p = np.where(kinds > 0, (b.seen + kinds * base) / (b.of + kinds), base)
+        else:
+            b.p = np.array(p)
         return b
 
     def _start(self) -> np.ndarray:
-        """Where the run begins that a place's context lies in."""
-        run = np.maximum.accumulate(np.where(self.cut, np.arange(len(self.cut)), 0))
-        return run[self.pos - 1]
+        """Where the run begins that each place's context lies in."""
+        run = np.flatnonzero(self.cut)
+        return np.repeat(run, np.diff(np.append(run, len(self.cut))))[self.pos - 1]
 
     def levels(self, many: int):
         """Each level's places (in pos) and keys of contexts."""
@@ -150,11 +160,13 @@ class Block:
         at, key = (np.concatenate(x) for x in zip(*self.found, strict=True))
         word = self.at[self.pos[at]]
         known = self.count[word] > 0
-        salts = 1 + self.most[at] // SPLIT
-        salt = np.where(known, mix(self.ident[word]) % salts.astype(U64), U64(0))
-        self.units, self.unit_at, _ = distinct(np.where(salt > 0, mix(key + salt * _R), key))
-        self.context, self.split = np.empty(len(self.units), U64), np.zeros(len(self.units), bool)
-        self.context[self.unit_at], self.split[self.unit_at] = key, salts > 1
+        hot = np.flatnonzero(self.most[at] >= SPLIT)
+        salt = mix(self.ident[word[hot]]) % (1 + self.most[at[hot]] // SPLIT).astype(U64) * known[hot]
+        unit = key.copy()
+        unit[hot] = np.where(salt > 0, mix(key[hot] + salt * _R), key[hot])
+        self.units, self.unit_at, _ = distinct(unit)
+        self.context, self.split = self.units.copy(), np.zeros(len(self.units), bool)
+        self.context[self.unit_at[hot]], self.split[self.unit_at[hot]] = key[hot], True
         width = max(1, len(self.count))
         pair, self.pair_at, _ = distinct(self.unit_at[known] * width + word[known])
         self.pair_unit, self.pair_word, self.known = pair // width, pair % width, known
@@ -181,7 +193,7 @@ class Block:
             x, y = edge[p], edge[p + 1]
             i, j = upto[x], upto[y]
             home = np.flatnonzero(self.split[x:y] if many == 1 else self.context[x:y] != self.units[x:y])
-            yield p, block, ASK, pack(np.array([many]), deltas(self.units[x:y]), sizes[x:y], self.ident[self.pair_word[i:j]], self.n[i:j], cross[x:y] if many == 1 else cross[:0], home, self.context[x:y][home])
+            yield p, block, ASK, pack(np.array([many]), deltas(self.units[x:y]), sizes[x:y], self.ident[self.pair_word[i:j]], self.n[i:j], cross[x:y].astype(np.float32).view(np.uint32) if many == 1 else cross[:0], home, self.context[x:y][home])
 
     def counted(self, totals):
         """Each level's places, keys, counts of the next words, and counts of them after the suffix."""
@@ -242,6 +254,9 @@ class Block:
             use = alive[at] & (n >= LEAST) & kept
             i = at[use]
             self.p[i] = (mine[use] + kinds[use] * self.p[i]) / (n[use] + kinds[use])
+            if self.level == 1:
+                self.kinds = np.zeros(len(self.pos), np.int64)
+                self.kinds[i] = kinds[use]
             still = np.zeros(len(self.pos), bool)
             still[at] = alive[at] & (n >= LEAST) & ((flag & OPEN) > 0)
             alive, of[at], last[at] = still, n, mine
@@ -257,33 +272,39 @@ class Block:
         gone = np.ones(len(self.pos), bool)
         gone[at] = False
         self.score = self.score + np.bincount(self.doc[gone], weights=np.log10(self.p[gone]), minlength=len(self.ids))
-        self.pos, self.doc, self.most, self.seen, self.of, self.p = self.pos[at], self.doc[at], of[at], last[at], of[at], self.p[at]
+        self.pos, self.doc, self.seen, self.of, self.p = self.pos[at], self.doc[at], last[at], of[at], self.p[at]
+        self.most = self.of
+        if self.level == 2:
+            self.kinds = self.kinds[at]
 
 
-def _blocks(rows, steps, totals):
-    """Each block as it stands: its first state and the answers of the steps so far (one level each), or as it was stored (steps: None)."""
+def _blocks(rows, begun, totals):
+    """Each block with what has come for it: at its first state (begun), or as it was stored."""
     blocks: dict[int, dict[int, list]] = {}
     for _, block, tag, body in rows:
         blocks.setdefault(block, {}).setdefault(tag, []).append(body)
-    n_tokens, n_words = totals
     for block in list(blocks):
         came = blocks.pop(block)
         if len(came.get(STATE, ())) != 1:
             raise RuntimeError("a block and its answers come from different inputs; store the input first")
         came = {tag: [x.as_py() for x in bodies] for tag, bodies in came.items()}
-        if steps is None:
-            yield block, came, Block.unpacked(came[STATE][0])
-            continue
-        b = Block.first(came[STATE][0], came, n_tokens, n_words)
-        for k in range(1, steps):
-            b.advance(came, LEVEL + 2 * k, 1, _cost(n_tokens))
-        yield block, came, b
+        state = came[STATE][0]
+        yield block, came, Block.first(state, came, *totals) if begun else Block.unpacked(state, *totals)
+
+
+def _base(count, n_tokens, n_words):
+    return (count + 0.1) / (n_tokens + 0.1 * (n_words + 1))
 
 
 def _cost(n_tokens) -> float:
     return 0.5 * float(np.log(max(2, n_tokens)))
 
 
+def _home(block, parts):
+    """A block's partition in a round; parts: all partitions, and those of the round."""
+    return spread(block, parts[0]) * parts[1] // parts[0]
+
+
 def _given(bucket, asked, tag, parts, *values):
     """The answers to each block; values: arrays with the number of their entries for each block."""
     upto = [0] * len(values)
@@ -292,7 +313,7 @@ def _given(bucket, asked, tag, parts, *values):
         for k, (v, n) in enumerate(zip(values, many, strict=True)):
             part.append(v[upto[k] : upto[k] + n])
             upto[k] += n
-        yield spread(block, parts), block, tag, pack(np.array([bucket]), *part)
+        yield _home(block, parts), block, tag, pack(np.array([bucket]), *part)
 
 
 def _answer_words(rows, parts):
@@ -307,7 +328,7 @@ def _answer_words(rows, parts):
         d, inverse, _ = distinct(np.concatenate(keys))
         total = np.bincount(inverse, weights=np.concatenate(ns)).astype(np.int64)
         number = np.empty(len(d), np.int64)
-        number[np.argsort(-total, kind="stable")] = np.arange(len(d)) * parts + bucket
+        number[np.argsort(-total, kind="stable")] = np.arange(len(d)) * parts[0] + bucket
         number[total == 0] = 0
         yield from _given(bucket, asked, ANSWER, parts, total[inverse], number[inverse])
         yield 0, int(total.sum()), TOTAL_N, b""
@@ -328,7 +349,7 @@ def _answer_pairs(rows, parts, tag, cost):
         sizes.append(size.astype(np.int64))
         words.append(x.astype(np.uint32 if not len(x) or int(x.max()) < 1 << 32 else U64))
         ns.append(n.astype(np.uint32))
-        crosses.append(cross)
+        crosses.append(cross.astype(np.uint32).view(np.float32) if many == 1 else cross)
         home.append((unit[at.astype(np.int64)], context.astype(U64)))
     if not asked:
         return
@@ -359,7 +380,7 @@ def _answer_pairs(rows, parts, tag, cost):
         name[i], away[i] = context, True
     at = np.flatnonzero(away)
     at = at[np.argsort(name[at])]
-    edge = bounds(name[at], parts)
+    edge = bounds(name[at], parts[1])
     for p in np.flatnonzero(np.diff(edge)).tolist():
         i = at[edge[p] : edge[p + 1]]
         yield p, 0, SUM, pack(deltas(name[i]), n[i].astype(np.int64), kinds[i].astype(np.int64), logs[i], cross[i])
@@ -399,29 +420,28 @@ def _answer_contexts(rows, parts, tag, cost):
     yield from _given(bucket, asked, tag, parts, n[i].astype(np.int64), kinds[i].astype(np.int64), value[i], _open(n, logs, cost)[i])
 
 
-def _ask_pairs(rows, parts, steps, totals, many=1):
-    for block, _, b in _blocks(rows, steps, totals):
+def _ask_pairs(rows, parts, begun, totals, many):
+    for block, _, b in _blocks(rows, begun, totals):
         yield from b.ask(block, parts, many)
 
 
 def _ask_contexts(rows, parts, totals, many):
-    for block, came, b in _blocks(rows, None, totals):
+    for block, came, b in _blocks(rows, False, totals):
         yield from b.ask_contexts(came, LEVEL, block, parts, many)
 
 
-def _advanced(rows, parts, steps, totals, many=1):
-    for block, came, b in _blocks(rows, steps, totals):
-        b.advance(came, LEVEL + 2 * (steps or 0), many, _cost(totals[0]))
+def _advanced(rows, parts, begun, totals, many):
+    for block, came, b in _blocks(rows, begun, totals):
+        b.advance(came, LEVEL, many, _cost(totals[0]))
         yield spread(block, parts), block, STATE, b.pack()
         yield 0, len(b.pos), COUNT, b""
 
 
-def _results(rows, n_tokens):
-    for _, _, _, body in rows:
-        b = Block.unpacked(body.as_py())
+def _results(rows, begun, totals):
+    for _, _, b in _blocks(rows, begun, totals):
         docs = len(b.ids)
         out = [pa.array(b.ids, pa.int64(), mask=b.ids == NULL_ID), pa.array(~b.train), pa.array(b.n_tokens.astype(np.int64)), pa.array(b.n_known.astype(np.int64))]
-        out += [pa.array(np.full(docs, n_tokens), pa.int64()), pa.array(b.base, pa.float64()), pa.array(b.score, pa.float64())]
+        out += [pa.array(np.full(docs, totals[0]), pa.int64()), pa.array(b.base, pa.float64()), pa.array(b.score, pa.float64())]
         yield pa.RecordBatch.from_arrays(out, names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
 
@@ -433,49 +453,36 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
     rows are rows of their own. With no training rows, all tokens are unknown and score equals base_score. An empty table
     gives an empty result.
 
-    One level of context length is a round at first, decided where the counts are; later ones take as many levels as are
-    done already, within ROUND, with one more exchange for the suffixes' counts.
+    One level of context length is a round at first, decided where the counts are; later ones take twice as many levels as
+    are done already, within ROUND, with one more exchange for the suffixes' counts.
     """
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.coalesce(training, F.lit(False)).alias("train"))
     parts = n_parts(source)
     begun = stored(source.mapInArrow(lambda it: batches(tokenized(it, parts)), ROW), "tokens", by="tag")
-    words = stored(sent(begun.where(F.col("tag") == ASK), parts, lambda it: batches(_answer_words(rows_of(it), parts))), "words")
+    words = stored(sent(begun.where(F.col("tag") == ASK), parts, lambda it: batches(_answer_words(rows_of(it), (parts, parts)))), "words")
     dropped(begun, f"tag={ASK}")
     sums = {r["tag"]: r["n"] for r in words.where(F.col("tag").isin(TOTAL_N, TOTAL_V)).groupBy("tag").agg(F.sum("block").alias("n")).collect()}
     totals = n_tokens, _ = sums.get(TOTAL_N, 0), sums.get(TOTAL_V, 0)
-    cost = _cost(n_tokens)
-
-    def counts(asked, tag):
-        """Answered pairs, and what goes on to the contexts' own buckets."""
-        return stored(sent(asked, parts, lambda it: batches(_answer_pairs(rows_of(it), parts, tag, cost))), "pairs")
-
-    def contexts(both, tag):
-        return stored(sent(both, parts, lambda it: batches(_answer_contexts(rows_of(it), parts, tag, cost))), "contexts")
-
-    answered = lambda df: df.where(F.col("tag") >= LEVEL)
-    state, old = begun.where(F.col("tag") == STATE).unionByName(words.where(F.col("tag") == ANSWER)), [begun, words]
-    for k in range(1, FIRST + 1):
-        tag = LEVEL + 2 * k
-        pairs = counts(sent(state, parts, lambda it, k=k: batches(_ask_pairs(rows_of(it), parts, k, totals))), tag)
-        found = contexts(pairs.where(F.col("tag").isin(SUM, CONTEXT)), tag + 1)
-        state, old = state.unionByName(answered(pairs)).unionByName(found), [*old, pairs, found]
-    now = stored(sent(state, parts, lambda it: batches(_advanced(rows_of(it), parts, FIRST, totals))), "state")
-    level = FIRST + 1
-    while True:
-        for x in old:
-            dropped(x)
-        size = now.where(F.col("tag") == COUNT).agg(F.sum("block"), F.count(F.lit(1))).first()
-        state = now.where(F.col("tag") == STATE)
-        if not size[0]:
-            break
-        many = int(max(1, min(level - FIRST, ROUND * size[1] // size[0])))
-        pairs = counts(state.mapInArrow(lambda it, m=many: batches(_ask_pairs(rows_of(it), parts, None, totals, m)), ROW), LEVEL)
-        both, asked = state.unionByName(answered(pairs)), pairs.where(F.col("tag").isin(SUM, CONTEXT))
+    cost, level, now, old = _cost(n_tokens), 1, None, [begun, words]
+    places, blocks = n_tokens, 1
+    state = begun.where(F.col("tag") == STATE).unionByName(words.where(F.col("tag") == ANSWER))
+    while places:
+        many = 1 if level < 4 else int(max(1, min(2 * (level - 2), ROUND * blocks // places)))
+        some = parts if level == 1 else int(max(1, min(parts, -(-places * many // PART_PLACES))))
+        ask = lambda it, m=many, p=some, f=level == 1: batches(_ask_pairs(rows_of(it), p, f, totals, m))
+        asked = sent(state, some, ask) if level == 1 else state.mapInArrow(ask, ROW)
+        pairs = stored(sent(asked, some, lambda it, p=(parts, some): batches(_answer_pairs(rows_of(it), p, LEVEL, cost))), "pairs")
+        state = state.withColumn("to", F.expr(f"cast(cast(to as long) * {some} div {parts} as int)"))
+        both, asked = state.unionByName(pairs.where(F.col("tag") == LEVEL)), pairs.where(F.col("tag").isin(SUM, CONTEXT))
         if many > 1:
-            asked = asked.unionByName(sent(both, parts, lambda it, m=many: batches(_ask_contexts(rows_of(it), parts, totals, m))))
-        found = contexts(asked, LEVEL + 1)
-        old = [now, pairs, found]
-        now = stored(sent(both.unionByName(found), parts, lambda it, m=many: batches(_advanced(rows_of(it), parts, None, totals, m))), "state")
-        level += many
+            asked = asked.unionByName(sent(both, some, lambda it, m=many, p=some: batches(_ask_contexts(rows_of(it), p, totals, m))))
+        found = stored(sent(asked, some, lambda it, p=(parts, some): batches(_answer_contexts(rows_of(it), p, LEVEL + 1, cost))), "contexts")
+        now = stored(sent(both.unionByName(found), some, lambda it, m=many, f=level == 1: batches(_advanced(rows_of(it), parts, f, totals, m))), "state")
+        for x in (*old, pairs, found):
+            dropped(x)
+        places, blocks = now.where(F.col("tag") == COUNT).agg(F.sum("block"), F.count(F.lit(1))).first()
+        state, old, level = now.where(F.col("tag") == STATE), [now], level + many
     schema = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return state.mapInArrow(lambda it: _results(rows_of(it), n_tokens), schema).withColumnRenamed("id", id_col)
+    begun_only = level == 1
+    out = sent(state, parts, lambda it: _results(rows_of(it), begun_only, totals), schema) if begun_only else state.mapInArrow(lambda it: _results(rows_of(it), False, totals), schema)
+    return out.withColumnRenamed("id", id_col)
