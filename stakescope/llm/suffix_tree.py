@@ -2,13 +2,14 @@
 
 Contexts are the last words before a word, as many as the corpus bears out: a context is a candidate if it stands LEAST
 times in the training texts, and it is retained if its next-word counts diverge from those of its suffix (the context
-without its first word) by more than the cost of describing them. No longer context can be retained if the next-word counts
-of this one hold less information than one description costs (the divergence of all that extends it is at most that), so
-growth stops there, which loses nothing; there is no other bound on number or length. A word's probability comes from the
-longest retained suffix of what stands before it, smoothed by interpolation with the next shorter one down to the base.
-Counts of words, of (context, word) pairs and sums over contexts are exact, over all training documents, and stay
-distributed: each block of texts asks for those that it needs. Words get numbers by their frequency, in which all that
-follows is written; a context's divergence is decided where its counts are added up.
+without its first word) by more than the cost of describing them. Contexts of up to SURE words are all tested; longer ones
+where their suffix was retained, level by level until none is, so depth follows the divergence test without a bound on
+length or number. Where the next-word counts of a context hold less information than one description costs, no longer
+context can be retained (the divergence of all that extends it is at most that), and growth stops there as well, which
+loses nothing. A word's probability comes from the longest retained suffix of what stands before it, smoothed by
+interpolation with the next shorter one down to the base. Counts of words, of (context, word) pairs and sums over contexts
+are exact, over all training documents, and stay distributed: each block of texts asks for those that it needs. Words get
+numbers by their frequency, in which all that follows is written; a context is decided on where its counts are added up.
 """
 
 from __future__ import annotations
@@ -22,19 +23,16 @@ from .shared import ROW, batches, dropped, n_parts, rows_of, sent, spread, store
 from .textblocks import text_blocks
 from .textcore import NULL_ID, U64, bounds, deltas, distinct, hash_spans, mix, pack, undeltas, unpack
 
-#: The count that a context must have.
-LEAST = 8
+#: The count that a context must have, and the length up to which contexts are tested whatever came of their suffixes.
+LEAST, SURE = 8, 2
 #: Next words of a context with more sightings than this are dealt to several buckets.
 SPLIT = 20_000
 #: Text bytes of a block.
 BLOCK_BYTES = 3_000_000
-#: About as many (place, level) pairs for each partition; rounds with few of them use fewer partitions.
+#: Open places for each partition at least; levels with few of them use fewer partitions.
 PART_PLACES = 200_000
-#: About as many (place, level) pairs of a block are asked in one round.
-ROUND = 400_000
-STATE, ASK, ANSWER, CONTEXT, SUM, TOTAL_N, TOTAL_V, COUNT = range(8)
-#: Answers to the blocks about a level: counts, and contexts that have a bucket of their own.
-LEVEL = 20
+#: COUNTS and CONTEXTS answer the blocks; the latter about contexts whose words are dealt to several buckets.
+STATE, ASK, ANSWER, CONTEXT, SUM, TOTAL_N, TOTAL_V, COUNT, COUNTS, CONTEXTS = range(10)
 KEPT, OPEN = 1, 2
 _END = mix(np.array([0x454E44], U64))[0]
 _R, _R2 = U64(0x9E3779B97F4A7C15), U64(0xD1342543DE82EF95)
@@ -143,139 +141,76 @@ class Block:
         run = np.flatnonzero(self.cut)
         return np.repeat(run, np.diff(np.append(run, len(self.cut))))[self.pos - 1]
 
-    def levels(self, many: int):
-        """Each level's places (in pos) and keys of contexts."""
-        at, key, start = np.arange(len(self.pos)), np.zeros(len(self.pos), U64), self._start()
-        for n in range(1, self.level + many):
-            if n >= self.level:
-                fits = self.pos[at] - n >= start[at]
-                at, key = at[fits], key[fits]
-            key = mix(key * _R2 + self.ident[self.at[self.pos[at] - n]] + U64(n))
-            if n >= self.level:
-                yield at, key
-
-    def pairs(self, many: int) -> None:
-        """Distinct (context, next word) pairs of many levels, by unit; a context with many next words has several units."""
-        self.found = list(self.levels(many))
-        at, key = (np.concatenate(x) for x in zip(*self.found, strict=True))
-        word = self.at[self.pos[at]]
+    def pairs(self) -> None:
+        """Distinct (context, next word) pairs, by unit; a context with many next words has several units."""
+        self.key = np.zeros(len(self.pos), U64)
+        for n in range(1, self.level + 1):
+            self.key = mix(self.key * _R2 + self.ident[self.at[self.pos - n]] + U64(n))
+        word = self.at[self.pos]
         known = self.count[word] > 0
-        hot = np.flatnonzero(self.most[at] >= SPLIT)
-        salt = mix(self.ident[word[hot]]) % (1 + self.most[at[hot]] // SPLIT).astype(U64) * known[hot]
-        unit = key.copy()
-        unit[hot] = np.where(salt > 0, mix(key[hot] + salt * _R), key[hot])
+        hot = np.flatnonzero(self.most >= SPLIT)
+        salt = mix(self.ident[word[hot]]) % (1 + self.most[hot] // SPLIT).astype(U64) * known[hot]
+        unit = self.key.copy()
+        unit[hot] = np.where(salt > 0, mix(self.key[hot] + salt * _R), self.key[hot])
         self.units, self.unit_at, _ = distinct(unit)
         self.context, self.split = self.units.copy(), np.zeros(len(self.units), bool)
-        self.context[self.unit_at[hot]], self.split[self.unit_at[hot]] = key[hot], True
+        self.context[self.unit_at[hot]], self.split[self.unit_at[hot]] = self.key[hot], True
+        self.apart = np.unique(self.context[self.split])
         width = max(1, len(self.count))
         pair, self.pair_at, _ = distinct(self.unit_at[known] * width + word[known])
         self.pair_unit, self.pair_word, self.known = pair // width, pair % width, known
-        self.learnt = self.train[self.doc[at]]
+        self.learnt = self.train[self.doc]
         self.n = np.bincount(self.pair_at, weights=self.learnt[known], minlength=len(pair)).astype(np.int64)
-        self.places, self.keys = at, key
 
-    def ask(self, block, parts, many):
-        """Pairs with their training counts by bucket, and where a level stands alone, what is known of its contexts' divergence."""
-        self.pairs(many)
+    def ask(self, block, parts):
+        """Pairs with their training counts by bucket, and what the block's training words say of each context's divergence."""
+        self.pairs()
         edge = bounds(self.units, parts)
         sizes = np.bincount(self.pair_unit, minlength=len(self.units))
         upto = np.concatenate(([0], np.cumsum(sizes)))
-        cross = np.zeros(len(self.units))
-        if many == 1:
-            logs = np.log(np.maximum(self.seen, 1)) - np.log(self.of)
-            cross = np.bincount(self.unit_at, weights=np.where(self.learnt, logs[self.places], 0.0), minlength=len(self.units))
-            split = np.unique(self.context[self.split])
-            home = bounds(split, parts)
-            for p in np.flatnonzero(np.diff(home)).tolist():
-                keys = split[home[p] : home[p + 1]]
-                yield p, block, CONTEXT, pack(deltas(keys), np.zeros(len(keys)))
+        logs = np.where(self.learnt, np.log(np.maximum(self.seen, 1)) - np.log(self.of), 0.0)
+        cross = np.bincount(self.unit_at, weights=logs, minlength=len(self.units)).astype(np.float32).view(np.uint32)
+        home = bounds(self.apart, parts)
+        for p in np.flatnonzero(np.diff(home)).tolist():
+            yield p, block, CONTEXT, pack(deltas(self.apart[home[p] : home[p + 1]]))
         for p in np.flatnonzero(np.diff(edge)).tolist():
             x, y = edge[p], edge[p + 1]
             i, j = upto[x], upto[y]
-            home = np.flatnonzero(self.split[x:y] if many == 1 else self.context[x:y] != self.units[x:y])
-            yield p, block, ASK, pack(np.array([many]), deltas(self.units[x:y]), sizes[x:y], self.ident[self.pair_word[i:j]], self.n[i:j], cross[x:y].astype(np.float32).view(np.uint32) if many == 1 else cross[:0], home, self.context[x:y][home])
+            split = np.flatnonzero(self.split[x:y])
+            yield p, block, ASK, pack(deltas(self.units[x:y]), sizes[x:y], self.ident[self.pair_word[i:j]], self.n[i:j], cross[x:y], split, self.context[x:y][split])
 
-    def counted(self, totals):
-        """Each level's places, keys, counts of the next words, and counts of them after the suffix."""
+    def advance(self, came) -> None:
+        """Probabilities with the retained contexts of this level, and the places whose longer contexts are tested next."""
+        self.pairs()
+        totals, n, kinds, flags = _answers(came, COUNTS, 4)
         if len(totals) != len(self.n):
             raise RuntimeError("a block's pairs and their counts come from different inputs; store the input first")
-        count = np.zeros(len(self.places), np.int64)
-        count[self.known] = totals.astype(np.int64)[self.pair_at]
-        edge, suffix = 0, self.seen
-        for at, key in self.found:
-            mine = count[edge : edge + len(at)]
-            yield at, key, mine, suffix[at]
-            edge += len(at)
-            suffix = np.zeros(len(self.pos), np.int64)
-            suffix[at] = mine
-
-    def ask_contexts(self, came, tag, block, parts, many):
-        """What the block's training words add to the divergence of each context, by the context's bucket."""
-        self.pairs(many)
-        keys, logs = [], []
-        for at, key, _, suffix in self.counted(_answers(came, tag, 1)[0]):
-            keys.append(key)
-            logs.append(np.where(self.train[self.doc[at]], np.log(np.maximum(suffix, 1)), 0.0))
-        d, inverse, _ = distinct(np.concatenate(keys))
-        total = np.bincount(inverse, weights=np.concatenate(logs), minlength=len(d))
-        edge = bounds(d, parts)
-        for p in np.flatnonzero(np.diff(edge)).tolist():
-            x, y = edge[p], edge[p + 1]
-            yield p, block, CONTEXT, pack(deltas(d[x:y]), total[x:y])
-
-    def advance(self, came, tag, many, cost) -> None:
-        """Probabilities with the retained contexts of many levels, and the places whose longer contexts can still be retained."""
-        self.pairs(many)
-        if many == 1:
-            totals, n_all, kinds_all, flags = _answers(came, tag, 4)
-            place = self.unit_at
-            n_all, kinds_all, flags = n_all.astype(np.int64)[place], kinds_all.astype(np.int64)[place], flags[place]
-            far = np.flatnonzero(self.split[self.unit_at])
-            if len(far):
-                where = np.searchsorted(np.unique(self.context[self.split]), self.keys[far])
-                n_far, kinds_far, value, open_far = _answers(came, tag + 1, 4)
-                n_all[far], kinds_all[far] = n_far.astype(np.int64)[where], kinds_far.astype(np.int64)[where]
-                kept = value[where] > kinds_all[far] * cost
-                flags[far] = kept * KEPT + (open_far[where] > 0) * OPEN
-            value = None
-        else:
-            (totals,) = _answers(came, tag, 1)
-            place = distinct(self.keys)[1]
-            n_all, kinds_all, value, open_all = _answers(came, tag + 1, 4)
-            n_all, kinds_all, value, flags = n_all.astype(np.int64)[place], kinds_all.astype(np.int64)[place], value[place], (open_all[place] > 0) * OPEN
-        edge = 0
-        alive, of = np.ones(len(self.pos), bool), self.of.copy()
+        mine = np.zeros(len(self.pos), np.int64)
+        mine[self.known] = totals.astype(np.int64)[self.pair_at]
+        n, kinds, flags = n.astype(np.int64)[self.unit_at], kinds.astype(np.int64)[self.unit_at], flags[self.unit_at]
+        far = np.flatnonzero(self.split[self.unit_at])
+        if len(far):
+            where = np.searchsorted(self.apart, self.key[far])
+            for to, x in zip((n, kinds, flags), _answers(came, CONTEXTS, 3), strict=True):
+                to[far] = x[where]
+        kept = (flags & KEPT) > 0
+        self.p[kept] = (mine[kept] + kinds[kept] * self.p[kept]) / (n[kept] + kinds[kept])
         seen = np.full(len(self.at), -1, np.int64)
-        last = np.zeros(len(self.pos), np.int64)
-        for at, _, mine, _ in self.counted(totals):
-            n, kinds, flag = (x[edge : edge + len(at)] for x in (n_all, kinds_all, flags))
-            kept = (flag & KEPT) > 0 if value is None else value[edge : edge + len(at)] + n * np.log(np.maximum(1, of[at])) > kinds * cost
-            edge += len(at)
-            use = alive[at] & (n >= LEAST) & kept
-            i = at[use]
-            self.p[i] = (mine[use] + kinds[use] * self.p[i]) / (n[use] + kinds[use])
-            if self.level == 1:
-                self.kinds = np.zeros(len(self.pos), np.int64)
-                self.kinds[i] = kinds[use]
-            still = np.zeros(len(self.pos), bool)
-            still[at] = alive[at] & (n >= LEAST) & ((flag & OPEN) > 0)
-            alive, of[at], last[at] = still, n, mine
-            seen[:] = -1
-            seen[self.pos[at]] = mine
+        seen[self.pos] = mine
         if self.level == 1:  # no candidate holds two neighbours that stand together less than LEAST times
             self.cut |= seen < LEAST
-        self.level += many
-        at = np.flatnonzero(alive)
-        at = at[self.pos[at] - self.level >= self._start()[at]]
-        before = seen[self.pos[at] - 1]  # the count of the longer context, where its last word was asked for
-        at = at[(before < 0) | (before >= LEAST)]
+        self.level += 1
+        alive = (flags & OPEN) > 0
+        if self.level > SURE:
+            alive &= kept
+        alive &= self.pos - self.level >= self._start()
+        before = seen[self.pos - 1]  # the count of the longer context, where its last word was asked for
+        at = np.flatnonzero(alive & ((before < 0) | (before >= LEAST)))
         gone = np.ones(len(self.pos), bool)
         gone[at] = False
         self.score = self.score + np.bincount(self.doc[gone], weights=np.log10(self.p[gone]), minlength=len(self.ids))
-        self.pos, self.doc, self.seen, self.of, self.p = self.pos[at], self.doc[at], last[at], of[at], self.p[at]
-        self.most = self.of
-        if self.level == 2:
-            self.kinds = self.kinds[at]
+        self.pos, self.doc, self.seen, self.of, self.p = self.pos[at], self.doc[at], mine[at], n[at], self.p[at]
+        self.most, self.kinds = self.of, np.where(kept, kinds, 0)[at]
 
 
 def _blocks(rows, begun, totals):
@@ -335,22 +270,22 @@ def _answer_words(rows, parts):
         yield 0, int((total > 0).sum()), TOTAL_V, b""
 
 
-def _answer_pairs(rows, parts, tag, cost):
-    """Counts of (context, word) pairs; of contexts that are whole here, what decides on them, and of others their sums for their own bucket."""
-    asked, units, sizes, words, ns, crosses, home, bucket, many = [], [], [], [], [], [], [], 0, 1
+def _answer_pairs(rows, parts, cost):
+    """Counts of (context, word) pairs, and what is decided on contexts that are whole here; others' sums go to their own bucket."""
+    asked, units, sizes, words, ns, crosses, apart, bucket = [], [], [], [], [], [], [], 0
     for bucket, block, kind, body in rows:
         if kind == CONTEXT:
             yield bucket, block, kind, body.as_py()
             continue
-        (many,), d, size, x, n, cross, at, context = unpack(body.as_py())
+        d, size, x, n, cross, at, context = unpack(body.as_py())
         unit = undeltas(d)
-        asked.append((block, len(x), *([len(unit)] * 3 if many == 1 else ())))
+        asked.append((block, len(x), *[len(unit)] * 3))
         units.append(unit)
         sizes.append(size.astype(np.int64))
         words.append(x.astype(np.uint32 if not len(x) or int(x.max()) < 1 << 32 else U64))
         ns.append(n.astype(np.uint32))
-        crosses.append(cross.astype(np.uint32).view(np.float32) if many == 1 else cross)
-        home.append((unit[at.astype(np.int64)], context.astype(U64)))
+        crosses.append(cross.astype(np.uint32).view(np.float32))
+        apart.append((unit[at.astype(np.int64)], context.astype(U64)))
     if not asked:
         return
     keys, unit_at, _ = distinct(np.concatenate(units))
@@ -367,15 +302,11 @@ def _answer_pairs(rows, parts, tag, cost):
     known = total > 0
     c, unit_of = total[known].astype(np.float64), unit_of[known]
     n, kinds, logs = (np.bincount(unit_of, weights=w, minlength=len(keys)) for w in (c, np.ones(len(c)), c * np.log(c)))
-    if many == 1:
-        cross = np.bincount(unit_at, weights=np.concatenate(crosses), minlength=len(keys))
-        flags = _flags(n, kinds, logs, cross, cost)
-        yield from _given(bucket, asked, tag, parts, total[inverse], n.astype(np.int64)[unit_at], kinds.astype(np.int64)[unit_at], flags[unit_at])
-    else:
-        cross = np.zeros(len(keys))
-        yield from _given(bucket, asked, tag, parts, total[inverse])
-    name, away = keys.copy(), np.full(len(keys), many > 1)
-    for unit, context in home:
+    cross = np.bincount(unit_at, weights=np.concatenate(crosses), minlength=len(keys))
+    flags = _flags(n, kinds, logs, cross, cost)
+    yield from _given(bucket, asked, COUNTS, parts, total[inverse], n.astype(np.int64)[unit_at], kinds.astype(np.int64)[unit_at], flags[unit_at])
+    name, away = keys.copy(), np.zeros(len(keys), bool)
+    for unit, context in apart:
         i = np.searchsorted(keys, unit)
         name[i], away[i] = context, True
     at = np.flatnonzero(away)
@@ -386,53 +317,39 @@ def _answer_pairs(rows, parts, tag, cost):
         yield p, 0, SUM, pack(deltas(name[i]), n[i].astype(np.int64), kinds[i].astype(np.int64), logs[i], cross[i])
 
 
-def _open(n, logs, cost):
-    # rounding must not close what is open by a hair
-    return (n >= LEAST) & (n * np.log(np.maximum(n, 1)) - logs > cost * (1 - 1e-9))
-
-
 def _flags(n, kinds, logs, cross, cost):
-    kept = logs - n * np.log(np.maximum(n, 1)) - cross > kinds * cost
-    return (kept * KEPT + _open(n, logs, cost) * OPEN).astype(np.uint8)
+    """Whether a context is retained, and whether longer ones can be (rounding must not close what is open by a hair)."""
+    own = n * np.log(np.maximum(n, 1))
+    return ((n >= LEAST) * ((logs - own - cross > kinds * cost) * KEPT + (own - logs > cost * (1 - 1e-9)) * OPEN)).astype(np.uint8)
 
 
-def _answer_contexts(rows, parts, tag, cost):
-    """Of each asked context: its count, its number of next words, its divergence as far as the sums go, and whether longer ones can be retained."""
-    asked, keys, values, sums, bucket = [], [], [], [], 0
+def _answer_contexts(rows, parts, cost):
+    """Of each asked context whose words lie in several buckets: its count, its number of next words, and what is decided on it."""
+    asked, keys, sums, bucket = [], [], [], 0
     for bucket, block, kind, body in rows:
         if kind == SUM:
-            d, n, kinds, logs, cross = unpack(body.as_py())
-            sums.append((undeltas(d), n.astype(np.float64), kinds.astype(np.float64), logs, cross))
+            d, *values = unpack(body.as_py())
+            sums.append((undeltas(d), *(v.astype(np.float64) for v in values)))
         else:
-            d, value = unpack(body.as_py())
-            asked.append((block, *[len(d)] * 4))
-            keys.append(undeltas(d))
-            values.append(value)
+            keys.append(undeltas(unpack(body.as_py())[0]))
+            asked.append((block, *[len(keys[-1])] * 3))
     if not asked:
         return
     edge = sum(map(len, keys))
     d, inverse, _ = distinct(np.concatenate([*keys, *(s[0] for s in sums)]))
-    add = lambda at, v: np.bincount(at, weights=v, minlength=len(d))
-    suffix = add(inverse[:edge], np.concatenate(values))
-    n, kinds, logs, cross = (add(inverse[edge:], np.concatenate([s[k] for s in sums] or [np.zeros(0)])) for k in (1, 2, 3, 4))
-    value = logs - n * np.log(np.maximum(n, 1)) - suffix - cross
-    i = inverse[:edge]
-    yield from _given(bucket, asked, tag, parts, n[i].astype(np.int64), kinds[i].astype(np.int64), value[i], _open(n, logs, cost)[i])
+    n, kinds, logs, cross = (np.bincount(inverse[edge:], weights=np.concatenate([s[k] for s in sums] or [np.zeros(0)]), minlength=len(d)) for k in (1, 2, 3, 4))
+    i, flags = inverse[:edge], _flags(n, kinds, logs, cross, cost)
+    yield from _given(bucket, asked, CONTEXTS, parts, n[i].astype(np.int64), kinds[i].astype(np.int64), flags[i])
 
 
-def _ask_pairs(rows, parts, begun, totals, many):
+def _ask_pairs(rows, parts, begun, totals):
     for block, _, b in _blocks(rows, begun, totals):
-        yield from b.ask(block, parts, many)
-
-
-def _ask_contexts(rows, parts, totals, many):
-    for block, came, b in _blocks(rows, False, totals):
-        yield from b.ask_contexts(came, LEVEL, block, parts, many)
+        yield from b.ask(block, parts)
 
 
-def _advanced(rows, parts, begun, totals, many):
+def _advanced(rows, parts, begun, totals):
     for block, came, b in _blocks(rows, begun, totals):
-        b.advance(came, LEVEL, many, _cost(totals[0]))
+        b.advance(came)
         yield spread(block, parts), block, STATE, b.pack()
         yield 0, len(b.pos), COUNT, b""
 
@@ -453,8 +370,7 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
     rows are rows of their own. With no training rows, all tokens are unknown and score equals base_score. An empty table
     gives an empty result.
 
-    One level of context length is a round at first, decided where the counts are; later ones take twice as many levels as
-    are done already, within ROUND, with one more exchange for the suffixes' counts.
+    One level of context length is a round: blocks ask the buckets of their contexts, and go on with the answers.
     """
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.coalesce(training, F.lit(False)).alias("train"))
     parts = n_parts(source)
@@ -463,25 +379,21 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
     dropped(begun, f"tag={ASK}")
     sums = {r["tag"]: r["n"] for r in words.where(F.col("tag").isin(TOTAL_N, TOTAL_V)).groupBy("tag").agg(F.sum("block").alias("n")).collect()}
     totals = n_tokens, _ = sums.get(TOTAL_N, 0), sums.get(TOTAL_V, 0)
-    cost, level, now, old = _cost(n_tokens), 1, None, [begun, words]
-    places, blocks = n_tokens, 1
+    cost, level, old, places = _cost(n_tokens), 1, [begun, words], n_tokens
     state = begun.where(F.col("tag") == STATE).unionByName(words.where(F.col("tag") == ANSWER))
     while places:
-        many = 1 if level < 4 else int(max(1, min(2 * (level - 2), ROUND * blocks // places)))
-        some = parts if level == 1 else int(max(1, min(parts, -(-places * many // PART_PLACES))))
-        ask = lambda it, m=many, p=some, f=level == 1: batches(_ask_pairs(rows_of(it), p, f, totals, m))
-        asked = sent(state, some, ask) if level == 1 else state.mapInArrow(ask, ROW)
-        pairs = stored(sent(asked, some, lambda it, p=(parts, some): batches(_answer_pairs(rows_of(it), p, LEVEL, cost))), "pairs")
+        some, first = parts if level == 1 else int(max(1, min(parts, -(-places // PART_PLACES)))), level == 1
         state = state.withColumn("to", F.expr(f"cast(cast(to as long) * {some} div {parts} as int)"))
-        both, asked = state.unionByName(pairs.where(F.col("tag") == LEVEL)), pairs.where(F.col("tag").isin(SUM, CONTEXT))
-        if many > 1:
-            asked = asked.unionByName(sent(both, some, lambda it, m=many, p=some: batches(_ask_contexts(rows_of(it), p, totals, m))))
-        found = stored(sent(asked, some, lambda it, p=(parts, some): batches(_answer_contexts(rows_of(it), p, LEVEL + 1, cost))), "contexts")
-        now = stored(sent(both.unionByName(found), some, lambda it, m=many, f=level == 1: batches(_advanced(rows_of(it), parts, f, totals, m))), "state")
+        ask = lambda it, p=some, f=first: batches(_ask_pairs(rows_of(it), p, f, totals))
+        asked = sent(state, some, ask) if first else state.mapInArrow(ask, ROW)
+        pairs = stored(sent(asked, some, lambda it, p=(parts, some): batches(_answer_pairs(rows_of(it), p, cost))), "pairs")
+        found = stored(sent(pairs.where(F.col("tag").isin(SUM, CONTEXT)), some, lambda it, p=(parts, some): batches(_answer_contexts(rows_of(it), p, cost))), "contexts")
+        both = state.unionByName(pairs.where(F.col("tag") == COUNTS)).unionByName(found)
+        now = stored(sent(both, some, lambda it, f=first: batches(_advanced(rows_of(it), parts, f, totals))), "state")
         for x in (*old, pairs, found):
             dropped(x)
-        places, blocks = now.where(F.col("tag") == COUNT).agg(F.sum("block"), F.count(F.lit(1))).first()
-        state, old, level = now.where(F.col("tag") == STATE), [now], level + many
+        places = now.where(F.col("tag") == COUNT).agg(F.sum("block")).first()[0]
+        state, old, level = now.where(F.col("tag") == STATE), [now], level + 1
     schema = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     begun_only = level == 1
     out = sent(state, parts, lambda it: _results(rows_of(it), begun_only, totals), schema) if begun_only else state.mapInArrow(lambda it: _results(rows_of(it), False, totals), schema)

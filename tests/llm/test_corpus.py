@@ -126,30 +126,30 @@ def test_suffix_tree(odd, none):
     assert all(r["train_tokens"] == 0 and r["score"] == r["base_score"] for r in unlearned)
 
 
-def brute_scores(rows, train, least=8):
-    """Scores with every context of any length that is seen often enough and diverges."""
+def brute_scores(rows, train, least=8, sure=2):
+    """Scores with every context that is seen often enough and diverges; beyond `sure` words, those whose suffix is retained."""
     streams = {i: [*words_of(t, lower=True), None] for i, t in rows}
     counts = Counter(w for i in train for w in streams[i])
     n, v = sum(counts.values()), len(counts)
-    after, longest = {(): counts}, max(map(len, streams.values()))
-    for size in range(1, longest):
+    after, grows, retained, size = {(): counts}, {()}, {}, 0
+
+    def kept(x, y):
+        many, of = sum(x.values()), sum(y.values())
+        return sum(k * math.log(k / many * of / y[w]) for w, k in x.items()) > 0.5 * len(x) * math.log(max(2, n))
+
+    while grows:
+        size += 1
         level = {}
         for i in train:
             w = streams[i]
             for k in range(size, len(w)):
-                if (c := tuple(w[k - size : k])) and (size == 1 or c[1:] in after):
+                if (c := tuple(w[k - size : k]))[1:] in grows:
                     level.setdefault(c, Counter())[w[k]] += 1
         level = {c: x for c, x in level.items() if sum(x.values()) >= least}
-        if not level:
-            break
+        found = {c: (len(x), sum(x.values()), x) for c, x in level.items() if kept(x, after[c[1:]])}
+        grows = set(level) if size < sure else set(found)
         after.update(level)
-
-    def kept(c):
-        x, y = after[c], after[c[1:]]
-        many, of = sum(x.values()), sum(y.values())
-        return sum(k * math.log(k / many * of / y[w]) for w, k in x.items()) > 0.5 * len(x) * math.log(max(2, n))
-
-    retained = {c: (len(x), sum(x.values()), x) for c, x in after.items() if c and kept(c)}
+        retained |= found
     out = {}
     for i, w in streams.items():
         total = 0.0
