@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import os
 from dataclasses import dataclass, field, replace
+from functools import lru_cache
 
 # The public address ranges of one content-delivery network, as listed in the settings to be matched.
 CDN_RANGES = (
@@ -27,6 +29,7 @@ class ConfigError(ValueError):
 class Thresholds:
     """Windows, gates and caps of the features."""
 
+    # The defaults to be matched.
     cocreation_minutes: float = 15
     device_max_players: int = 10
     fast_minutes: float = 60
@@ -90,6 +93,7 @@ RULES = (
 class Settings:
     """Everything a run needs besides its inputs."""
 
+    # The defaults to be matched.
     thresholds: Thresholds = field(default_factory=Thresholds)
     rules: tuple[RuleSpec, ...] = RULES
     ruleset_version: str = "2026-06-25.1"
@@ -104,15 +108,28 @@ class Settings:
     samples_per_class: int = 10
 
 
-def load_settings(path: str | None = None) -> Settings:
-    """The defaults, or those of a JSON file whose keys name fields of Settings and Thresholds; unknown keys are errors."""
+@lru_cache(maxsize=8)
+def load_settings(path: str | None = None, complete: bool = False) -> Settings:
+    """The defaults, or those of a JSON or YAML file whose keys name fields of Settings and Thresholds; unknown keys are errors.
+
+    complete: the file must give every threshold. A file is read once.
+    """
     if path is None:
         return Settings()
-    import json
-
     with open(path, encoding="utf-8") as f:
-        given = json.load(f)
-    thresholds = Thresholds.of(**given.pop("thresholds", {}))
+        if path.endswith((".yaml", ".yml")):
+            try:
+                import yaml
+            except ImportError as error:
+                raise ConfigError("YAML settings need the yaml library; JSON does not") from error
+            given = yaml.safe_load(f) or {}
+        else:
+            given = json.load(f)
+    values = given.pop("thresholds", {})
+    missing = set(Thresholds.__dataclass_fields__) - set(values)
+    if complete and missing:
+        raise ConfigError(f"missing thresholds: {', '.join(sorted(missing))}")
+    thresholds = Thresholds.of(**values)
     unknown = set(given) - set(Settings.__dataclass_fields__)
     if unknown:
         raise ConfigError(f"unknown settings: {', '.join(sorted(unknown))}")

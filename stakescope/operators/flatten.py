@@ -122,23 +122,60 @@ def withdrawal_accounts(withdrawals: DataFrame, cash: DataFrame, wallets: DataFr
     """Each withdrawal document with the class of its two accounts: missing, cash (checked first), wallet or unresolved."""
     out = withdrawals.select("_id", "transactionId", "status", "fromAccountId", "toAccountId")
     for side in ("from", "to"):
-        account = f"{side}AccountId"
-        for name, table in (("cash", cash), ("wallet", wallets)):
-            known = table.select(F.col("_id").alias(account), F.lit(True).alias(f"_{name}")).where(F.col(account).isNotNull()).distinct()
-            out = out.join(known, account, "left")
-        kind = F.when(F.coalesce(account, F.lit("")) == "", "missing").when(F.col("_cash"), "cash").when(F.col("_wallet"), "wallet").otherwise("unresolved")
-        out = out.withColumn(f"{side}_class", kind).drop("_cash", "_wallet")
+        out = first_match(out, f"{side}AccountId", {"cash": (cash, "_id"), "wallet": (wallets, "_id")}, f"{side}_class")
     return out
 
 
 def account_crosstab(accounts: DataFrame, side: str) -> DataFrame:
     """Documents by status and class of one side; all classes have a column."""
-    return accounts.groupBy("status").pivot(f"{side}_class", list(ACCOUNT_CLASSES)).count().na.fill(0)
+    return accounts.groupBy(S.lowered("status").alias("status")).pivot(f"{side}_class", list(ACCOUNT_CLASSES)).count().na.fill(0)
+
+
+def missing_from_crosstab(accounts: DataFrame) -> DataFrame:
+    """Documents without a source account, by status and class of the target account."""
+    return account_crosstab(accounts.where("from_class = 'missing'"), "to")
+
+
+# The two rules of the account graph, which rows they look at, and the statuses that they allow.
+ACCOUNT_RULES = {
+    "wallet_pointing_toAccountId_statuses_subset_failed_declined": ("to_class = 'wallet'", ("declined", "failed")),
+    "non_reversal_missing_fromAccountId_statuses_subset_initiated": ("from_class = 'missing' and to_class <> 'wallet'", ("initiated",)),
+}
 
 
 def account_anomalies(accounts: DataFrame) -> DataFrame:
-    """Documents whose money would not come from a wallet and go to cash."""
-    return accounts.where("from_class <> 'wallet' or to_class <> 'cash'").select("_id", "transactionId", "status", "from_class", "to_class")
+    """Documents that break a rule of the account graph: money into a wallet is a reversal, and only a first request has no source account."""
+    status, broken = S.lowered("status"), []
+    for name, (rows, allowed) in ACCOUNT_RULES.items():
+        broken.append(F.when(F.expr(rows) & ~status.isin(*allowed), F.lit(name)))
+    rows = accounts.select(F.explode(F.filter(F.array(*broken), lambda x: x.isNotNull())).alias("invariant"), "_id", "transactionId", status.alias("status"), "from_class", "to_class", "fromAccountId", "toAccountId")
+    return rows.select("invariant", F.col("_id").alias("source_id"), F.col("transactionId").alias("transaction_id"), "status", "from_class", "to_class", "fromAccountId", "toAccountId")
+
+
+def account_invariants(accounts: DataFrame) -> DataFrame:
+    """One row for each rule: whether it holds, the statuses it allows, the rows it looked at and those that break it; one pass."""
+    status, sums = S.lowered("status"), []
+    for i, (rows, allowed) in enumerate(ACCOUNT_RULES.values()):
+        sums += [F.count_if(F.expr(rows)).alias(f"seen{i}"), F.count_if(F.expr(rows) & ~status.isin(*allowed)).alias(f"broken{i}")]
+    items = [F.struct(F.lit(n).alias("name"), (F.col(f"broken{i}") == 0).alias("verified"), F.lit(", ".join(a)).alias("allowed"), F.col(f"seen{i}").alias("n_rows"), F.col(f"broken{i}").alias("offenders")) for i, (n, (_, a)) in enumerate(ACCOUNT_RULES.items())]
+    return accounts.agg(*sums).select(F.explode(F.array(*items)).alias("i")).select("i.*")
+
+
+def first_match(df: DataFrame, column: str, tables: dict[str, tuple[DataFrame, str]], label: str) -> DataFrame:
+    """df with the name of the first of the tables (by order) that holds the value of the column: missing for null, unresolved for none.
+
+    tables: name to (table, its id column). Their ids are one long table, reduced to the first name for each id, so any
+    number of tables costs one join.
+    """
+    names = list(tables)
+    known = None
+    for i, (table, id_col) in enumerate(tables.values()):
+        part = table.select(F.col(id_col).cast("string").alias("_id_value"), F.lit(i).alias("_place")).where("_id_value is not null")
+        known = part if known is None else known.unionByName(part)
+    first = known.groupBy("_id_value").agg(F.min("_place").alias("_place"))
+    out = df.withColumn("_value", F.col(column).cast("string")).join(first, F.col("_value") == F.col("_id_value"), "left")
+    name = F.when(F.col("_place").isNotNull(), F.get(F.array(*map(F.lit, names)), F.col("_place")))
+    return out.withColumn(label, F.when(F.col("_value").isNull(), "missing").otherwise(F.coalesce(name, F.lit("unresolved")))).drop("_value", "_id_value", "_place")
 
 
 def ordered(df: DataFrame, *keys: str) -> DataFrame:

@@ -89,6 +89,7 @@ bet AS (SELECT q.player_key, gt.rate AS bet_win_rate_vs_volume, gt.cv AS bet_tim
 
 ALL_FEATURES = f"{MA}{PAY}{BET},\nwide AS (SELECT * FROM ma JOIN pay USING (player_key) JOIN bet USING (player_key))"
 
+# Group, rule id, condition, points, and whether the rule scores by itself.
 _RULES = [
     ("ma", "R-MA-01", "ma_nin_shared_account_count > 0", 35, True), ("ma", "R-MA-02", "ma_email_shared_account_count > 0", 30, True), ("ma", "R-MA-03", "ma_device_shared_account_count > 0", 25, True),
     ("ma", "R-MA-04", "ma_withdrawal_recipient_shared_count > 0", 35, True), ("ma", "R-MA-05", "ma_identity_phone_collision_count > 0", 40, True), ("ma", "R-MA-06", "ma_referred_by_linked_account", 15, False),
@@ -143,3 +144,96 @@ feed AS (SELECT event_id, ts, user_id, event_type, value, k, {LOGIN_ID} AS login
 phoned AS (SELECT *, {phone_sql("login")} AS phone FROM feed),
 found AS (SELECT f.*, coalesce(d.id, o.id) AS player_key, CASE WHEN d.id IS NULL AND o.id IS NULL THEN CASE WHEN f.phone IN (SELECT phone FROM early) AND f.phone NOT IN (SELECT phone FROM owners) THEN 'pre_registration' WHEN {made_up_sql("f.phone")} THEN 'test_pattern' ELSE 'unknown' END END AS unjoined_class
   FROM phoned f LEFT JOIN docs d ON d.id = lower(f.login) LEFT JOIN owners o ON o.phone = f.phone)"""
+
+
+# What the evidence of the features says, item by item.
+_KIND = "CASE kt WHEN 'nin_hash' THEN 0 WHEN 'email_hash' THEN 1 WHEN 'fingerprint' THEN 2 ELSE 3 END"
+EVIDENCE_MA = f"""WITH {MA},
+rec AS (SELECT DISTINCT 'fingerprint' AS kt, fingerprint AS sk, player_key AS p, source_id AS r FROM logins UNION SELECT 'recipient_normalized', recipient, player_key, transaction_id FROM done WHERE recipient IS NOT NULL),
+recs AS (SELECT kt, sk, p, string_agg(r, ',' ORDER BY r) AS rs FROM rec GROUP BY ALL),
+kinds AS (SELECT DISTINCT p, o, kt, sk FROM links WHERE kt <> 'normalized_phone'),
+both_keys AS (SELECT p, o, string_agg(kt || ':' || sk, ';' ORDER BY {_KIND}, sk) AS ks FROM kinds GROUP BY ALL),
+mine AS (SELECT c.player_key AS p, c.referred_by_key AS o, string_agg(a.kt || ':' || a.sk, ';' ORDER BY {_KIND.replace("kt", "a.kt")}, a.sk) AS ks FROM players c JOIN own a ON a.p = c.player_key JOIN own b ON b.p = c.referred_by_key AND a.kt = b.kt AND a.sk = b.sk GROUP BY ALL)
+SELECT l.p AS player_key, CASE l.kt WHEN 'nin_hash' THEN 'ma_nin_shared_account_count' WHEN 'email_hash' THEN 'ma_email_shared_account_count' WHEN 'fingerprint' THEN 'ma_device_shared_account_count' WHEN 'recipient_normalized' THEN 'ma_withdrawal_recipient_shared_count' ELSE 'ma_identity_phone_collision_count' END AS feature_name, l.sk AS item,
+  string_agg(l.o, ',' ORDER BY l.o) || '|' || coalesce(any_value(a.rs), '') || '|' || string_agg(l.o || '=' || coalesce(b.rs, ''), ';' ORDER BY l.o) AS detail, CAST(NULL AS DOUBLE) AS x, CAST(NULL AS DOUBLE) AS y
+  FROM links l LEFT JOIN recs a ON a.kt = l.kt AND a.sk = l.sk AND a.p = l.p LEFT JOIN recs b ON b.kt = l.kt AND b.sk = l.sk AND b.p = l.o WHERE l.kt <> 'recipient_normalized' OR l.p IN (SELECT player_key FROM done) GROUP BY l.p, l.kt, l.sk
+UNION ALL SELECT p, 'ma_referred_by_linked_account', o, ks, NULL, NULL FROM mine
+UNION ALL SELECT DISTINCT referred_by_key, 'ma_referral_fanout_count', player_key, NULL, NULL, NULL FROM players WHERE referred_by_key IN (SELECT player_key FROM players)
+UNION ALL SELECT k.p, 'ma_cocreated_linked_count', k.o, k.ks, round(abs(epoch(a.created_at) - epoch(b.created_at)) / 60, 6), NULL FROM both_keys k JOIN players a ON a.player_key = k.p JOIN players b ON b.player_key = k.o WHERE abs(epoch(a.created_at) - epoch(b.created_at)) <= 900
+UNION ALL SELECT DISTINCT p, 'ma_device_count', sk, NULL, NULL, NULL FROM obs WHERE kt = 'fingerprint'"""
+
+EVIDENCE_PAY = f"""WITH {ORACLE}{PAY},
+mm AS (SELECT * FROM money WHERE player_key IN (SELECT player_key FROM players)),
+near AS (SELECT *, row_number() OVER (PARTITION BY player_key ORDER BY gap, d_id, w_id) AS nr FROM pairs),
+ex AS (SELECT w.player_key, w.d_id || '>' || w.w_id AS item, coalesce((SELECT string_agg(b.ticket_id, ',' ORDER BY b.ticket_id) FROM bets b JOIN trig t ON t.d_id = w.d_id AND t.w_id = w.w_id AND t.player_key = w.player_key WHERE b.player_key = t.player_key AND b.created_at >= t.d_at AND b.created_at <= t.w_at), '') AS detail,
+  round(w.w_amount / w.d_amount * 100, 6) AS x, round(w.stake_sum, 6) AS y FROM worst w JOIN pay p ON p.player_key = w.player_key WHERE w.rn = 1 AND p.exit_reason IS NULL)
+SELECT player_key, 'pay_deposit_then_exit_flag' AS feature_name, item, detail, x, y FROM ex
+UNION ALL SELECT player_key, 'pay_intervening_turnover_ratio', item, detail, x, y FROM ex
+UNION ALL SELECT player_key, 'pay_min_minutes_deposit_to_withdrawal', d_id || '>' || w_id, NULL, round(gap, 6), NULL FROM near WHERE nr = 1
+UNION ALL SELECT player_key, f, transaction_id, recipient, NULL, NULL FROM mm, (SELECT unnest(['pay_third_party_withdrawal_flag', 'pay_third_party_withdrawal_count']) AS f) WHERE is_out AND third
+UNION ALL SELECT player_key, 'pay_withdrawal_to_deposit_ratio', '', NULL, round(s_in, 6), round(s_out, 6) FROM pay0 WHERE n_in > 0 AND s_in >= 10000
+UNION ALL SELECT player_key, 'pay_fast_withdrawal_count', d_id || '>' || w_id, NULL, NULL, NULL FROM pairs WHERE gap <= 60
+UNION ALL SELECT player_key, f, transaction_id, NULL, NULL, NULL FROM mm, (SELECT unnest(['pay_manual_reconciliation_count', 'pay_manual_reconciliation_ratio']) AS f) WHERE is_in AND final_status = 'manual_reconciliation'
+UNION ALL SELECT player_key, 'pay_' || final_status || '_withdrawal_count', transaction_id, NULL, NULL, NULL FROM mm WHERE txn_type = 'WITHDRAWAL' AND final_status IN ('declined', 'failed')
+UNION ALL SELECT player_key, 'pay_net_money_flow', '', NULL, round(s_in, 6), round(s_out, 6) FROM pay0
+UNION ALL SELECT DISTINCT player_key, 'pay_distinct_payment_methods', payment_method, NULL, NULL, NULL FROM mm
+UNION ALL SELECT DISTINCT player_key, 'pay_distinct_payment_accounts', account_number, NULL, NULL, NULL FROM mm"""
+
+EVIDENCE_BET = f"""WITH {ORACLE}{BET},
+b AS (SELECT g.*, e.k FROM gaps g JOIN ev e ON 'B' || e.event_id = g.ticket_id),
+gs AS (SELECT player_key, game, string_agg(ticket_id, ',' ORDER BY ticket_id) AS ids, coalesce(string_agg(ticket_id, ',' ORDER BY ticket_id) FILTER (status = 'SETTLED' AND won), '') AS winning, count(gap) AS n_gaps, arg_min(ticket_id, struct_pack(a := stake, b := ticket_id)) AS low, arg_max(ticket_id, struct_pack(a := stake, b := ticket_id)) AS high, max(stake) - min(stake) AS spread FROM b GROUP BY ALL),
+ps AS (SELECT player_key, string_agg(ticket_id, ',' ORDER BY ticket_id) AS ids, string_agg(ticket_id, ',' ORDER BY ticket_id) FILTER (stake_bonus > 0 OR k % 10 = 0) AS bonus_ids, max(odds) - min(odds) AS odds_range FROM b GROUP BY 1)
+SELECT player_key, 'bet_win_rate_vs_volume' AS feature_name, game AS item, winning AS detail, round(wins / settled, 6) AS x, settled::DOUBLE AS y FROM gm JOIN gs USING (player_key, game) WHERE settled >= 30
+UNION ALL SELECT player_key, 'bet_timing_regularity', game, ids, round(cv, 6), n_gaps::DOUBLE FROM gm JOIN gs USING (player_key, game) WHERE n >= 20
+UNION ALL SELECT player_key, 'bet_stake_volatility', game, CASE WHEN low < high THEN low || ',' || high WHEN low > high THEN high || ',' || low ELSE low END, round(scv, 6), round(spread, 6) FROM gm JOIN gs USING (player_key, game) WHERE n >= 10
+UNION ALL SELECT player_key, 'bet_bonus_funded_stake_share', '', bonus_ids, round(bonus, 6), round(stakes, 6) FROM bt JOIN ps USING (player_key) WHERE bonus_ids IS NOT NULL
+UNION ALL SELECT gm.player_key, 'bet_game_type_concentration', game, NULL, round(CASE WHEN bt.stakes > 0 THEN gm.stakes / bt.stakes ELSE 0 END, 6), gm.n::DOUBLE FROM gm JOIN bt USING (player_key)
+UNION ALL SELECT player_key, 'bet_avg_odds', '', ids, n::DOUBLE, NULL FROM bt JOIN ps USING (player_key)
+UNION ALL SELECT player_key, 'bet_odds_profile', '', ids, round(om, 6), round(odds_range, 6) FROM bt JOIN ps USING (player_key)
+UNION ALL SELECT player_key, 'bet_count', '', ids, NULL, NULL FROM ps
+UNION ALL SELECT DISTINCT player_key, 'bet_active_days', CAST(created_at::DATE AS VARCHAR), NULL, NULL, NULL FROM b
+UNION ALL SELECT player_key, 'bet_void_rate', ticket_id, NULL, NULL, NULL FROM b WHERE status = 'VOID'"""
+
+
+# Reasons of fired rules, from the evidence above.
+def _list(x: str) -> str:
+    return f"'[' || string_agg(DISTINCT {x}, ', ' ORDER BY {x}) || ']'"
+
+
+_SHARED_RULES = {"R-MA-01": ("nin_hash", "shares NIN hash with"), "R-MA-02": ("email_hash", "shares email hash with"), "R-MA-03": ("fingerprint", "shares valid device fingerprint with")}
+REASONS = (
+    SCORED
+    + f""",
+em AS ({EVIDENCE_MA}), ep AS ({EVIDENCE_PAY}), eb AS ({EVIDENCE_BET}),
+others AS (SELECT p AS player_key, kt, count(DISTINCT o) AS n, {_list("o")} AS os, {_list("sk")} AS ks FROM links GROUP BY ALL),
+ids AS (SELECT player_key, feature_name, {_list("item")} AS items, count(*) AS n FROM (SELECT * FROM em UNION ALL SELECT * FROM ep UNION ALL SELECT * FROM eb) GROUP BY ALL),
+kinds AS (SELECT c.player_key, {_list("a.kt")} AS ts, any_value(c.referred_by_key) AS ref FROM players c JOIN own a ON a.p = c.player_key JOIN own b ON b.p = c.referred_by_key AND a.kt = b.kt AND a.sk = b.sk GROUP BY 1),
+first_win AS (SELECT player_key, arg_min(struct_pack(s := settled, w := wins), struct_pack(o := -wins / settled, g := game)) AS e FROM gm WHERE settled >= 30 GROUP BY 1),
+timed AS (SELECT player_key, sum(n) AS n FROM gm WHERE n >= 20 GROUP BY 1),
+first_stake AS (SELECT g.player_key, arg_min(struct_pack(a := g.low, b := g.high), struct_pack(o := -m.scv, g := g.game)) AS e FROM (SELECT player_key, game, min(stake) AS low, max(stake) AS high FROM gaps GROUP BY ALL) g JOIN gm m USING (player_key, game) WHERE m.n >= 10 GROUP BY 1),
+said AS (
+"""
+    + " UNION ALL ".join(f"SELECT player_key, '{r}' AS rule_id, '{text} ' || n || ' other account(s): ' || os AS reason FROM others WHERE kt = '{kt}'" for r, (kt, text) in _SHARED_RULES.items())
+    + """
+UNION ALL SELECT player_key, 'R-MA-04', 'shares withdrawal recipient(s) ' || ks || ' with ' || n || ' other account(s): ' || os FROM others WHERE kt = 'recipient_normalized'
+UNION ALL SELECT player_key, 'R-MA-05', 'normalized phone collides with ' || n || ' other player record(s): ' || os FROM others WHERE kt = 'normalized_phone'
+UNION ALL SELECT player_key, 'R-MA-06', 'referred by linked account ' || ref || ' with corroborating linkage ' || ts FROM kinds
+UNION ALL SELECT player_key, 'R-MA-07', 'referred ' || n || ' account(s): ' || items FROM ids WHERE feature_name = 'ma_referral_fanout_count'
+UNION ALL SELECT player_key, 'R-MA-08', 'created close in time to ' || n || ' directly linked account(s): ' || items FROM ids WHERE feature_name = 'ma_cocreated_linked_count'
+UNION ALL SELECT player_key, 'R-PAY-01', 'deposit ' || replace(item, '>', ' -> withdrawal ') || ': withdrew ' || printf('%.1f', x) || '% of deposit, intervening stake ' || printf('%g', y) FROM ep WHERE feature_name = 'pay_deposit_then_exit_flag'
+UNION ALL SELECT player_key, 'R-PAY-02', 'completed withdrawal to third-party recipient(s) ' || '[' || string_agg(DISTINCT detail, ', ' ORDER BY detail) || ']' FROM ep WHERE feature_name = 'pay_third_party_withdrawal_flag' GROUP BY 1
+UNION ALL SELECT player_key, 'R-PAY-03', 'minimum deposit-to-withdrawal gap is ' || printf('%.1f', x) || ' min via ' || replace(item, '>', '->') FROM ep WHERE feature_name = 'pay_min_minutes_deposit_to_withdrawal'
+UNION ALL SELECT player_key, 'R-PAY-04', 'withdrawal/deposit ratio is ' || printf('%.2f', y / x) || '; completed money_out UGX ' || printf('%g', y) || ' / completed money_in UGX ' || printf('%g', x) FROM ep WHERE feature_name = 'pay_withdrawal_to_deposit_ratio'
+UNION ALL SELECT player_key, 'R-PAY-05', n || ' fast withdrawal(s) after deposits' FROM ids WHERE feature_name = 'pay_fast_withdrawal_count'
+UNION ALL SELECT player_key, 'R-PAY-06', n || ' manual reconciliation deposit(s): ' || items FROM ids WHERE feature_name = 'pay_manual_reconciliation_count'
+UNION ALL SELECT player_key, 'R-PAY-07', 'manual reconciliation ratio is ' || printf('%.2f', pay_manual_reconciliation_ratio) || '; deposit IDs ' || items FROM ids JOIN pay USING (player_key) WHERE feature_name = 'pay_manual_reconciliation_ratio'
+UNION ALL SELECT player_key, 'R-PAY-08', n || ' declined withdrawal(s): ' || items FROM ids WHERE feature_name = 'pay_declined_withdrawal_count'
+UNION ALL SELECT player_key, 'R-BET-01', 'settled win rate ' || printf('%.2f', bet_win_rate_vs_volume) || ' over ' || e.s || ' settled bet(s); wins ' || e.w FROM first_win JOIN bet USING (player_key)
+UNION ALL SELECT player_key, 'R-BET-02', 'near-regular betting cadence: CV ' || printf('%.3f', bet_timing_regularity) || ' across ' || timed.n || ' ticket(s)' FROM timed JOIN bet USING (player_key)
+UNION ALL SELECT player_key, 'R-BET-03', 'stake volatility CV ' || printf('%.2f', bet_stake_volatility) || '; stake range ' || printf('%g', e.a) || '-' || printf('%g', e.b) FROM first_stake JOIN bet USING (player_key)
+UNION ALL SELECT player_key, 'R-BET-04', 'bonus-funded stake share ' || printf('%.2f', bet_bonus_funded_stake_share) || '; bonus tickets [' || replace(detail, ',', ', ') || ']' FROM eb JOIN bet USING (player_key) WHERE feature_name = 'bet_bonus_funded_stake_share'),
+fired AS (SELECT player_key, unnest(string_split(rules, ',')) AS rule_id FROM flags),
+pts AS (SELECT * FROM (VALUES """
+    + ", ".join(f"('{r[1]}', {r[3]})" for r in _RULES)
+    + ") AS t(rule_id, points))"
+)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import Thresholds
 from ..operators.betting import betting
-from ..operators.guards import ContractError, population, require_currency, require_unique
+from ..operators.guards import ContractError, population, require_currency, require_same_keys, require_unique
 from ..operators.multi_accounting import multi_accounting
 from ..operators.payment import payment
 from ..operators.specs import ALL, Spec, barrier
@@ -54,13 +54,25 @@ def broken_contract(structs: DataFrame, specs: dict[str, Spec] = ALL) -> DataFra
     return flat.where("(value is null and null_reason is null) or (value is not null and null_reason is not null) or (coalesce(value, 0) <> 0 and evidence = '[]')")
 
 
+def combine(groups: list[DataFrame]) -> DataFrame:
+    """Feature groups of the same players, one to one; different players or doubled keys are an error."""
+    out = barrier(groups[0])
+    for g in groups[1:]:
+        require_same_keys(groups[0], g, "player_key", "feature groups")
+        out = out.join(barrier(g), "player_key")
+    return out
+
+
 def build_features(players: DataFrame, logins: DataFrame, money: DataFrame, bets: DataFrame, t: Thresholds | None = None, check: bool = True) -> FeatureTables:
     """All 33 features of every player with a key, one join of three groups."""
     t = t or Thresholds()
     if check:
         check_inputs(players, money, bets)
     groups = [multi_accounting(players, logins, money, t), payment(players, money, bets, t), betting(players, bets, t)]
-    structs = barrier(groups[0]).join(barrier(groups[1]), "player_key").join(barrier(groups[2]), "player_key")
+    if check:
+        structs = combine(groups)
+    else:
+        structs = barrier(groups[0]).join(barrier(groups[1]), "player_key").join(barrier(groups[2]), "player_key")
     missing = [n for n in ALL if n not in structs.columns]
     if missing:
         raise ContractError(f"features missing: {missing}")

@@ -15,7 +15,7 @@ from .. import schemas
 from ..config import ConfigError, Settings
 from ..functions import scalars as S
 from ..operators.guards import ContractError, require_none, require_unique
-from ..sources.tables import append, exists, read_or_empty
+from ..sources.tables import append, exists, read_or_empty, write_text
 
 # Decisions, fraud types, case states and sources.
 DECISIONS = ("true_positive", "false_positive", "inconclusive", "escalated")
@@ -76,12 +76,19 @@ def labels(cases: DataFrame, reviews: DataFrame) -> DataFrame:
     return joined.withColumn("is_trainable_label", F.col("decision").isin("true_positive", "false_positive")).withColumn("is_false_negative", missed)
 
 
-def manifest(cases: DataFrame, reviews: DataFrame, labelled: DataFrame) -> dict[str, int]:
+def trainable(labelled: DataFrame) -> DataFrame:
+    """The labels that a model may learn from."""
+    return labelled.where("is_trainable_label")
+
+
+def manifest(cases: DataFrame, reviews: DataFrame, labelled: DataFrame, flags: DataFrame, settings: Settings) -> dict[str, int]:
     """Counters of a run, one row from each table."""
-    a = cases.agg(F.count(F.lit(1)).alias("cases"), F.count_if(F.col("case_source") == ROUTED).alias("routed"), F.count_if(F.col("case_source") == HUMAN).alias("human_discovered"))
-    b = reviews.agg(F.count(F.lit(1)).alias("reviews"))
-    c = labelled.agg(F.count(F.lit(1)).alias("labels"), F.count_if("is_trainable_label").alias("trainable"), F.count_if("is_false_negative").alias("false_negatives"), *(F.count_if(F.col("decision") == d).alias(d) for d in DECISIONS))
-    return {k: v for df in (a, b, c) for k, v in df.first().asDict().items()}
+    a = cases.agg(F.count(F.lit(1)).alias("case_row_count"), F.count_if(F.col("case_source") == HUMAN).alias("human_discovered_case_count"))
+    b = reviews.agg(F.count(F.lit(1)).alias("review_row_count"))
+    clear = F.col("is_trainable_label")
+    c = labelled.agg(F.count(F.lit(1)).alias("reviewed_case_count"), F.count_if(clear).alias("trainable_label_count"), F.count_if(~clear).alias("non_trainable_reviewed_count"), F.count_if(clear & F.col("is_false_negative")).alias("false_negative_label_count"), *(F.count_if(F.col("decision") == d).alias(d) for d in DECISIONS))
+    d = flags.agg(F.count(F.lit(1)).alias("flags_row_count"), F.count_if(F.col("band").isin(*settings.routing_bands)).alias("routed_case_count"))
+    return {k: v for df in (a, b, c, d) for k, v in df.first().asDict().items()}
 
 
 @dataclass
@@ -136,31 +143,40 @@ class FeedbackStore:
 
 @dataclass(frozen=True)
 class FeedbackRun:
+    """labels: those that a model may learn from; reviewed: all cases with their latest review; manifest: what was written as JSON."""
+
     run_id: str
     cases: DataFrame
     labels: DataFrame
-    manifest: dict[str, int]
+    reviewed: DataFrame
+    manifest: dict
 
 
-def run_feedback(store: FeedbackStore, flags: DataFrame, requests: DataFrame | None, reviews, settings: Settings, snapshot: str, run_id: str | None = None) -> FeedbackRun:
-    """Routes flags, adds cases opened by people, records reviews, and writes the run's labels.
+def run_feedback(store: FeedbackStore, flags: DataFrame, requests: DataFrame | None, reviews, settings: Settings, snapshot: str, run_id: str | None = None, flags_path: str = "") -> FeedbackRun:
+    """Routes flags, adds cases opened by people, records reviews, and writes the run's labels, reviewed cases and manifest.
 
     reviews: a function of the run's cases that gives review rows (case_id, decision, reviewed_at, notes, fraud_type).
     """
-    run_id = run_id or new_run_id(settings, snapshot)
+    run_id, spark = run_id or new_run_id(settings, snapshot), store.spark
+    created = datetime.now(timezone.utc).isoformat()
     store.write_cases(route(flags, run_id, settings, snapshot))
     if requests is not None:
         store.write_cases(human_cases(requests, flags, run_id, settings, snapshot))
     own = store.cases().where(F.col("run_id") == run_id)
+    before = store.reviews().count()
     made = reviews(own)
     if made is not None:
         store.write_reviews(made)
     cases = store.cases().where(F.col("run_id") == run_id)
     own_reviews = store.reviews().join(cases.select("case_id"), "case_id", "left_semi")
-    labelled = labels(cases, own_reviews)
-    path = f"{store.path}/runs/{run_id}/labels"
-    if exists(store.spark, path):
+    path = f"{store.path}/runs/{run_id}"
+    if exists(spark, f"{path}/labels"):
         raise ContractError(f"run {run_id} has labels already")
-    labelled.write.parquet(path)
-    done = store.spark.read.parquet(path)
-    return FeedbackRun(run_id, cases, done, manifest(cases, own_reviews, done))
+    labels(cases, own_reviews).write.parquet(f"{path}/reviewed")
+    reviewed = spark.read.parquet(f"{path}/reviewed")
+    trainable(reviewed).write.parquet(f"{path}/labels")
+    told = {"run_id": run_id, "created_at": created, "ruleset_version": settings.ruleset_version, "snapshot_id": snapshot, "flags_input_path": flags_path, "routing_bands": sorted(settings.routing_bands)}
+    told |= manifest(cases, own_reviews, reviewed, flags, settings) | {"reviews_recorded_this_run": store.reviews().count() - before}
+    told |= {"artifact_paths": {"labels": f"{path}/labels", "run_manifest": f"{path}/run_manifest"}, "notes": ["Reviews are what was given to this run; no quality of labels is measured."]}
+    write_text(spark, json.dumps(told, indent=2, sort_keys=True), f"{path}/run_manifest")
+    return FeedbackRun(run_id, cases, spark.read.parquet(f"{path}/labels"), reviewed, told)

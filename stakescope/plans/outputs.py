@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import Settings
-from ..operators.guards import require_same_keys, require_unique
+from ..operators.guards import require_unique
 from ..operators.iforest import isolation_scores
+from ..sources.tables import write_text
 from .features import FeatureTables
 from .scoring import report, score_players
 
@@ -19,15 +21,6 @@ class Scored:
     report: str
 
 
-def combine(groups: list[DataFrame]) -> DataFrame:
-    """Feature groups of the same players, one to one; different players or doubled keys are an error."""
-    out = groups[0]
-    for g in groups[1:]:
-        require_same_keys(out, g, "player_key", "feature groups")
-        out = out.join(g, "player_key")
-    return out
-
-
 def write_features(features: FeatureTables, folder: str) -> None:
     features.wide.write.mode("overwrite").parquet(f"{folder}/player_features")
     features.evidence.write.mode("overwrite").parquet(f"{folder}/player_features_evidence")
@@ -40,18 +33,23 @@ def load_features(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFram
 
 
 def score_and_write(features: FeatureTables, folder: str, settings: Settings | None = None) -> Scored:
-    """Scores with the isolation forest if it is on, writes the flags, and makes the report from what was written.
+    """Scores with the isolation forest if it is on, writes the flags, and writes the report made from them (flags_report).
 
-    If the forest fails, its scores are zero, unless its weight says that somebody relies on them.
+    The forest's scores are written first, so that a failure inside it shows here: then they are zero, with a warning,
+    unless its weight says that somebody relies on them.
     """
     settings = settings or Settings()
-    forest = None
+    forest, spark = None, features.wide.sparkSession
     if settings.iforest_enabled:
         try:
-            forest = isolation_scores(features.wide, settings.iforest_trees, settings.iforest_seed)
+            isolation_scores(features.wide, settings.iforest_trees, settings.iforest_seed).write.mode("overwrite").parquet(f"{folder}/iforest")
+            forest = spark.read.parquet(f"{folder}/iforest")
         except Exception as error:
             if settings.iforest_weight:
                 raise RuntimeError("isolation forest failed although its weight is not zero") from error
+            logging.getLogger(__name__).warning("isolation forest failed; its scores are zero, and its weight is", exc_info=True)
     score_players(features.structs, settings, forest).write.mode("overwrite").parquet(f"{folder}/flags")
-    flags = features.wide.sparkSession.read.parquet(f"{folder}/flags")
-    return Scored(flags, report(flags, settings))
+    flags = spark.read.parquet(f"{folder}/flags")
+    text = report(flags, settings)
+    write_text(spark, text, f"{folder}/flags_report")
+    return Scored(flags, text)

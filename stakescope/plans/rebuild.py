@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import flatten
 from ..operators.guards import ContractError, require_unique
 from ..operators.identity import identity_map, phone_collisions
-from ..sources.tables import load_table, write_tables
+from ..sources.tables import load_table, write_tables, write_text
 from . import audit
 
 ORDER = {"players": ["player_key"], "bets": ["created_at", "ticket_id"], "money": ["requested_at", "txn_type", "transaction_id"], "bonus": ["created_at", "ref_trans_id", "txn_type"], "activity": ["created_at", "action", "page"], "logins": ["created_at", "user_type", "player_key"]}
@@ -40,6 +40,18 @@ def flat_tables(docs: dict[str, DataFrame], salt: str) -> dict[str, DataFrame]:
     }
 
 
+def invariant_report(accounts: DataFrame, anomalies: DataFrame) -> str:
+    """Whether each rule of the account graph holds; rows that break one are listed, streamed to the driver in order."""
+    blocks = []
+    for r in flatten.account_invariants(accounts).orderBy(F.desc("name")).collect():
+        if r["verified"]:
+            blocks.append(f"VERIFIED invariant `{r['name']}`; allowed statuses: {r['allowed']}.")
+        else:
+            rows = anomalies.where(F.col("invariant") == r["name"]).drop("invariant").orderBy("source_id")
+            blocks.append(f"ANOMALY invariant `{r['name']}` violated; allowed statuses: {r['allowed']}.\n\n" + markdown_table(rows.columns, [tuple(x) for x in rows.toLocalIterator()]))
+    return "\n\n".join(blocks)
+
+
 def unjoined_report(tables: dict[str, DataFrame], samples: int) -> str:
     """Rows without a player by table and class, with the first ids of each class."""
     lines = ["# Rows without a player", ""]
@@ -65,7 +77,8 @@ def reconciliation(docs: dict[str, DataFrame], tables: dict[str, DataFrame]) ->
 def rebuild(docs: dict[str, DataFrame], folder: str, salt: str, accounts: tuple[DataFrame, DataFrame] | None = None, samples: int = 10) -> Rebuilt:
     """Checks keys, writes all tables in a stable order, reads them back, checks counts, and reports.
 
-    Phone collisions are written too (phone_collisions), and the identity report lists every one of them.
+    Phone collisions and rows that break a rule of the account graph are written too (phone_collisions, account_anomalies),
+    and the reports list every one of them. Reports are written as Markdown below reports/.
     """
     require_unique(docs["bets"], "ticketId", what="bets")
     require_unique(docs["deposits"], "transactionId", what="deposits")
@@ -81,8 +94,11 @@ def rebuild(docs: dict[str, DataFrame], folder: str, salt: str, accounts: tuple[
     reports["deposit_status"] = markdown_table(["status", "rows"], [tuple(r) for r in status.orderBy(F.col("final_status").asc_nulls_last()).collect()])
     if accounts is not None:
         found = flatten.withdrawal_accounts(docs["withdrawals"], *accounts)
-        for side in ("from", "to"):
-            table = flatten.account_crosstab(found, side)
-            reports[f"accounts_{side}"] = markdown_table(table.columns, [tuple(r) for r in table.orderBy("status").collect()])
-        reports["accounts_anomalies"] = str(flatten.account_anomalies(found).count())
+        crosstabs = {"accounts_from": flatten.account_crosstab(found, "from"), "accounts_to": flatten.account_crosstab(found, "to"), "accounts_missing_from": flatten.missing_from_crosstab(found)}
+        for name, table in crosstabs.items():
+            reports[name] = markdown_table(table.columns, [tuple(r) for r in table.orderBy("status").collect()])
+        write_tables({"account_anomalies": flatten.account_anomalies(found).orderBy("invariant", "source_id")}, folder)
+        reports["accounts_anomalies"] = invariant_report(found, spark.read.parquet(f"{folder}/account_anomalies"))
+    for name, text in reports.items():
+        write_text(spark, text, f"{folder}/reports/{name}.md")
     return Rebuilt(tables, counts, reports)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import string
 
 from pyspark.sql import Column, DataFrame
@@ -118,11 +119,24 @@ def top_flags(flags: DataFrame, n: int) -> DataFrame:
 
 
 def report(flags: DataFrame, settings: Settings | None = None) -> str:
-    """A Markdown report of the riskiest players (the only rows that come to the driver)."""
+    """A Markdown report of the riskiest players with a line for each fired rule and each feature that could not be measured.
+
+    Only those players' rows come to the driver, besides one row of counts.
+    """
     settings = settings or Settings()
-    counts = {r["rule_id"]: r["players"] for r in rule_counts(flags).collect()}
-    lines = ["# Risk report", "", f"Rules: {settings.ruleset_version}", ""]
-    lines += [f"Device sharing (R-MA-03) fired for {counts['R-MA-03']} player(s); shared devices may be offices." if counts.get("R-MA-03") else "No device sharing fired.", ""]
+    device = F.count_if(F.array_contains("fired_rule_ids", "R-MA-03"))
+    counts = flags.agg(F.count_if(F.col("overall_risk") > 0).alias("risky"), F.count_if(F.col("band") == "medium").alias("medium"), device.alias("device")).first()
+    if counts["device"]:
+        note = f"{counts['risky']} players with risk and {counts['medium']} of medium band; device sharing (R-MA-03) fired for {counts['device']}, and shared devices may be offices."
+    else:
+        note = "No device sharing (R-MA-03) fired."
+    lines = ["# Risk report", "", f"Rules: {settings.ruleset_version}", "", note, ""]
     for r in top_flags(flags, settings.report_top_n).collect():
-        lines += [f"## {r['player_key']}: {r['overall_risk']:g} ({r['band']})", "", f"- rules: {r['fired_rules']}", f"- not measured: {r['unmeasured_features']}", ""]
+        lines += [f"## {r['player_key']}", "", f"- Band: {r['band']}", f"- Overall risk: {r['overall_risk']:g}"]
+        lines += [f"- {name.replace('_score', '').replace('_', ' ').capitalize()}: {r[name]:g}" for name in GROUPS.values()]
+        lines += [f"- Isolation forest (untrusted): {r['iforest_score_untrusted']:g}", "", "### Fired rules"]
+        lines += [f"- {x['rule_id']} ({x['points']:g}): {x['reason']}" for x in json.loads(r["fired_rules"])] or ["- none"]
+        lines += ["", "### Not measurable"]
+        lines += [f"- {x['feature_name']}: {x['null_reason']}" for x in json.loads(r["unmeasured_features"])] or ["- none"]
+        lines.append("")
     return "\n".join(lines)

@@ -18,6 +18,7 @@ from .operators.multi_accounting import multi_accounting
 from .operators.payment import payment
 from .operators.specs import BET, MA, PAY
 from .plans import audit, feedback
+from .plans.evidence import BET_SHAPES, MA_SHAPES, PAY_SHAPES, evidence_rows
 from .plans.features import broken_contract, build_features, wide_table
 from .plans.scoring import rule_counts, score_players, top_flags
 from .sources import adapter as A
@@ -89,6 +90,27 @@ def features_betting(spark, d):
     return _values(betting(A.players(spark, d), A.bets(spark, d), Thresholds()), BET, rate_reason="bet_win_rate_vs_volume", timing_reason="bet_timing_regularity", volatility_reason="bet_stake_volatility")
 
 
+def _evidence(structs: DataFrame, shapes: dict) -> DataFrame:
+    return evidence_rows(structs, shapes).withColumns({"x": _r(F.col("x")), "y": _r(F.col("y"))})
+
+
+@query(O.EVIDENCE_MA)
+def evidence_multi_accounting(spark, d):
+    t = A.tables(spark, d)
+    return _evidence(multi_accounting(t["players"], t["logins"], t["money"], Thresholds()), MA_SHAPES)
+
+
+@query(O.EVIDENCE_PAY)
+def evidence_payment(spark, d):
+    t = A.tables(spark, d)
+    return _evidence(payment(t["players"], t["money"], t["bets"], Thresholds()), PAY_SHAPES)
+
+
+@query(O.EVIDENCE_BET)
+def evidence_betting(spark, d):
+    return _evidence(betting(A.players(spark, d), A.bets(spark, d), Thresholds()), BET_SHAPES)
+
+
 @query(f"WITH {O.SCORED} SELECT player_key, multi_accounting_score, payment_fraud_score, betting_anomaly_score, overall_risk, band, rules FROM flags")
 def score_flags(spark, d):
     f = score_players(_structs(spark, d))
@@ -110,9 +132,11 @@ def score_isolation_forest(spark, d):
     return isolation_scores(wide_table(_structs(spark, d)))
 
 
-@query()
+@query(f"WITH {O.REASONS} SELECT player_key, rule_id, points::DOUBLE AS points, reason || ' (+' || points || ')' AS reason FROM fired JOIN said USING (player_key, rule_id) JOIN pts USING (rule_id)")
 def score_reasons(spark, d):
-    return score_players(_structs(spark, d)).select("player_key", "band", "fired_rules", "unmeasured_features", "feature_snapshot")
+    """Why each rule fired, as reviewers read it."""
+    fired = F.from_json("fired_rules", "array<struct<rule_id: string, points: double, reason: string>>")
+    return score_players(_structs(spark, d)).select("player_key", F.explode(fired).alias("r")).select("player_key", "r.*")
 
 
 @query(f"WITH {O.SCORED} SELECT player_key, overall_risk, band, 'open' AS status, 'routed' AS case_source, 'case_' || substr(sha256('run1|' || player_key || '|routed'), 1, 20) AS case_id FROM flags WHERE band IN ('medium', 'high')")
@@ -249,14 +273,37 @@ def _accounts(spark, d):
     return flatten.withdrawal_accounts(A.raw_withdrawals(spark, d), cash, wallets)
 
 
-@query(f"WITH {O.IDENTITY}{_LIFE} SELECT lower(status) AS status, count(*) FILTER (k % 4 = 3) AS missing, count(*) FILTER (k % 4 = 1) AS cash, count(*) FILTER (k % 4 = 0) AS wallet, count(*) FILTER (k % 4 = 2) AS unresolved FROM lc GROUP BY 1")
+_ACC = f"""WITH {O.IDENTITY}{_LIFE}, acc AS (SELECT id, status, CASE k % 4 WHEN 0 THEN 'wallet' WHEN 1 THEN 'cash' WHEN 2 THEN 'unresolved' ELSE 'missing' END AS f, CASE WHEN k % 5 < 3 THEN 'cash' WHEN k % 5 = 3 THEN 'wallet' ELSE 'missing' END AS t FROM lc)"""
+_CLASSES = lambda c: ", ".join(f"count(*) FILTER ({c} = '{x}') AS {x}" for x in flatten.ACCOUNT_CLASSES)
+
+
+@query(f"{_ACC} SELECT status, {_CLASSES('f')} FROM acc GROUP BY 1")
 def flatten_account_crosstab(spark, d):
-    return flatten.account_crosstab(_accounts(spark, d).withColumn("status", S.lowered("status")), "from")
+    return flatten.account_crosstab(_accounts(spark, d), "from")
+
+
+@query(f"{_ACC} SELECT status, {_CLASSES('t')} FROM acc GROUP BY 1")
+def flatten_account_crosstab_to(spark, d):
+    return flatten.account_crosstab(_accounts(spark, d), "to")
 
 
-@query(f"WITH {O.IDENTITY}{_LIFE} SELECT id AS doc, CASE k % 4 WHEN 0 THEN 'wallet' WHEN 1 THEN 'cash' WHEN 2 THEN 'unresolved' ELSE 'missing' END AS from_class, CASE WHEN k % 5 < 3 THEN 'cash' WHEN k % 5 = 3 THEN 'wallet' ELSE 'missing' END AS to_class FROM lc WHERE k % 4 <> 0 OR k % 5 >= 3")
+@query(f"{_ACC} SELECT status, {_CLASSES('t')} FROM acc WHERE f = 'missing' GROUP BY 1")
+def flatten_account_missing_from(spark, d):
+    return flatten.missing_from_crosstab(_accounts(spark, d))
+
+
+_W_RULE, _M_RULE = flatten.ACCOUNT_RULES
+_BROKEN = f"SELECT '{_W_RULE}' AS name, status IN ('failed', 'declined') AS allowed_one, * FROM acc WHERE t = 'wallet' UNION ALL SELECT '{_M_RULE}', status = 'initiated', * FROM acc WHERE f = 'missing' AND t <> 'wallet'"
+
+
+@query(f"{_ACC}, b AS ({_BROKEN}) SELECT name AS invariant, id AS source_id, status, f AS from_class, t AS to_class FROM b WHERE NOT allowed_one")
 def flatten_account_anomalies(spark, d):
-    return flatten.account_anomalies(_accounts(spark, d)).select(F.col("_id").alias("doc"), "from_class", "to_class")
+    return flatten.account_anomalies(_accounts(spark, d)).select("invariant", "source_id", "status", "from_class", "to_class")
+
+
+@query(f"{_ACC}, b AS ({_BROKEN}) SELECT name, bool_and(allowed_one) AS verified, CASE WHEN name LIKE 'wallet%' THEN 'declined, failed' ELSE 'initiated' END AS allowed, count(*) AS n_rows, count(*) FILTER (NOT allowed_one) AS offenders FROM b GROUP BY 1")
+def flatten_account_invariants(spark, d):
+    return flatten.account_invariants(_accounts(spark, d))
 
 
 @query(f"WITH {O.IDENTITY} SELECT event_id, phone, {O.made_up_sql('phone')} AS made_up FROM phoned")
@@ -340,11 +387,9 @@ def audit_status_by_result(spark, d):
     return audit.crosstab(A.bets(spark, d), "status", "result", ["WIN", "LOSS"])
 
 
-@query("SELECT count(*) AS n, avg(g) AS mean, stddev_samp(g) AS std, min(g) AS least, quantile_cont(g, 0.25) AS q1, quantile_cont(g, 0.5) AS median, quantile_cont(g, 0.75) AS q3, max(g) AS most FROM (SELECT CAST(l_quantity AS DOUBLE) AS g FROM lineitem)")
+@query(f"WITH {A.ORACLE} SELECT count(*) AS n, avg(g) AS mean, stddev_samp(g) AS std, min(g) AS least, quantile_cont(g, 0.25) AS q1, quantile_cont(g, 0.5) AS median, quantile_cont(g, 0.75) AS q3, max(g) AS most FROM (SELECT CAST(k AS DOUBLE) AS g FROM ev WHERE event_type IN ('click', 'view'))")
 def audit_settlement_gaps(spark, d):
-    t = F.lit("2024-01-01").cast("timestamp_ntz")
-    rows = spark.read.parquet(f"{d}/lineitem.parquet").select(t.alias("created_at"), F.expr("timestampadd(MINUTE, cast(l_quantity as bigint), TIMESTAMP_NTZ'2024-01-01 00:00:00')").alias("settled_at"))
-    return audit.settlement_gaps(rows)
+    return audit.settlement_gaps(flatten.bets(A.raw_bets(spark, d), _ids(spark, d)))
 
 
 @query(f"WITH {A.ORACLE}, last AS (SELECT player_key, max(requested_at) AS t FROM money WHERE txn_type = 'DEPOSIT' AND final_status = 'completed' GROUP BY 1) SELECT count(*) AS initiated, count(*) FILTER (t >= requested_at) AS with_twin FROM money LEFT JOIN last USING (player_key) WHERE txn_type = 'DEPOSIT' AND final_status = 'initiated'")
@@ -392,24 +437,46 @@ def audit_coverage(spark, d):
     return audit.coverage(wide_table(_structs(spark, d)))
 
 
-@query()
+_REASONS = {"exit_reason": ["pay_deposit_then_exit_flag"], "pair_reason": ["pay_min_minutes_deposit_to_withdrawal"], "ratio_reason": ["pay_withdrawal_to_deposit_ratio"], "rate_reason": ["bet_win_rate_vs_volume"], "timing_reason": ["bet_timing_regularity"], "volatility_reason": ["bet_stake_volatility"], "device_reason": ["ma_device_shared_account_count", "ma_device_count"], "recipient_reason": ["ma_withdrawal_recipient_shared_count"]}
+
+
+@query(
+    f"WITH {O.ALL_FEATURES}, r AS ("
+    + " UNION ALL ".join(f"SELECT '{n}' AS feature_name, {c} AS null_reason FROM wide" for c, names in _REASONS.items() for n in names)
+    + ") SELECT feature_name, null_reason, count(*) AS n FROM r WHERE null_reason IS NOT NULL GROUP BY ALL"
+)
 def audit_null_reasons(spark, d):
-    return audit.null_reasons(wide_table(_structs(spark, d)))
+    return audit.null_reasons(wide_table(_structs(spark, d))).where(F.col("feature_name").isin(*(n for names in _REASONS.values() for n in names)))
+
+
+_N = "CAST(substr(player_key, 2) AS BIGINT)"
 
 
-@query(f"WITH {A.ORACLE} SELECT player_key, '' AS feature_name FROM players WHERE false")
+@query(
+    f"WITH {O.ALL_FEATURES} SELECT player_key, 'bet_count' AS feature_name FROM wide WHERE {_N} % 7 = 0 AND bet_count > 0 UNION ALL SELECT player_key, 'ma_device_count' FROM wide WHERE {_N} % 11 = 0 AND ma_device_count IS NULL "
+    f"UNION ALL SELECT player_key, 'pay_net_money_flow' FROM wide WHERE {_N} % 13 = 0"
+)
 def audit_null_contract(spark, d):
-    return broken_contract(_structs(spark, d)).select("player_key", "feature_name")
+    """The features with three kinds of planted faults: a value without evidence, a null without a reason, a reason beside a value."""
+    n, s = F.substring("player_key", 2, 20).cast("long"), _structs(spark, d)
+    bet, device, flow = (F.col(c) for c in ("bet_count", "ma_device_count", "pay_net_money_flow"))
+    s = s.withColumns({"bet_count": F.when(n % 7 == 0, bet.withField("evidence", F.lit("[]"))).otherwise(bet), "ma_device_count": F.when(n % 11 == 0, device.withField("null_reason", F.lit(None).cast("string"))).otherwise(device)})
+    s = s.withColumn("pay_net_money_flow", F.when(n % 13 == 0, flow.withField("null_reason", F.lit("planted"))).otherwise(flow))
+    return broken_contract(s).select("player_key", "feature_name")
 
 
-@query(f"WITH {A.ORACLE}, n AS (SELECT count(*) AS n FROM players WHERE player_key IN (SELECT player_key FROM bets)) SELECT n AS betting, n AS payment, CAST(0 AS BIGINT) AS different FROM n")
+@query(f"WITH {A.ORACLE}, p AS (SELECT {_N} % 9 = 0 AS planted FROM players WHERE player_key IN (SELECT player_key FROM bets)) SELECT count(*) FILTER (NOT planted) AS betting, count(*) AS payment, count(*) FILTER (planted) AS different FROM p")
 def audit_active_sets(spark, d):
-    return audit.active_sets(wide_table(_structs(spark, d)))
+    """Every ninth player's bets are hidden from one side."""
+    wide = wide_table(_structs(spark, d))
+    return audit.active_sets(wide.withColumn("bet_count", F.when(F.substring("player_key", 2, 20).cast("long") % 9 == 0, F.lit(0)).otherwise(F.col("bet_count"))))
 
 
-@query("SELECT count(*) AS n, CAST(0 AS BIGINT) AS different, count(*) FILTER (c_custkey % 4 = 0) AS without_contact FROM customer")
+@query("SELECT count(*) AS n, count(*) FILTER (c_custkey % 17 = 0 AND c_custkey % 4 <> 0) AS different, count(*) FILTER (c_custkey % 4 = 0) AS without_contact FROM customer")
 def audit_name_mismatch(spark, d):
-    return audit.name_mismatch(A.raw_players(spark, d))
+    """Every seventeenth player has another contact number."""
+    docs, c = A.raw_players(spark, d), F.substring("playerId", 2, 20).cast("long")
+    return audit.name_mismatch(docs.withColumn("contactNo", F.when(F.col("contactNo").isNotNull() & (c % 17 == 0), (F.lit(790000000) + c).cast("string")).otherwise(F.col("contactNo"))))
 
 
 @query(f"WITH {A.ORACLE} SELECT count(*) AS n, count(fingerprint) AS usable, count(DISTINCT player_key) AS players FROM logins")
@@ -422,9 +489,9 @@ def audit_test_pattern_share(spark, d):
     return audit.test_pattern_share(A.raw_players(spark, d))
 
 
-@query()
+@query(f"WITH {O.MA} SELECT player_key, ma_identity_phone_collision_count::DOUBLE AS value FROM ma WHERE ma_identity_phone_collision_count > 0 ORDER BY value DESC, player_key LIMIT 3")
 def audit_drill_down(spark, d):
-    return audit.drill_down(_structs(spark, d), "ma_identity_phone_collision_count")
+    return audit.drill_down(_structs(spark, d), "ma_identity_phone_collision_count").select("player_key", "value")
 
 
 @query(f"WITH {O.IDENTITY}, r AS (SELECT unjoined_class, 'B' || event_id AS id, row_number() OVER (PARTITION BY unjoined_class ORDER BY 'B' || event_id) AS rn, count(*) OVER (PARTITION BY unjoined_class) AS n FROM found WHERE event_type IN ('click', 'view') AND player_key IS NULL) SELECT unjoined_class, any_value(n) AS n, string_agg(id, ',' ORDER BY id) AS samples FROM r WHERE rn <= 10 GROUP BY 1")
@@ -433,6 +500,138 @@ def audit_unjoined_samples(spark, d):
     return out.select("unjoined_class", "n", F.array_join("samples", ",").alias("samples"))
 
 
+@query(f"WITH {A.ORACLE} SELECT txn_type, 'UGX' AS currency, count(*) AS n, round(sum(amount), 3) AS total FROM money GROUP BY 1")
+def audit_money_by_currency(spark, d):
+    return audit.by_currency(A.money(spark, d), "txn_type").withColumn("total", F.round("total", 3))
+
+
+@query(f"WITH {O.IDENTITY}{_LIFE} SELECT 'auto' AS execution_type, count(*) AS n FROM lc")
+def audit_execution_types(spark, d):
+    return audit.distribution(A.raw_withdrawals(spark, d).withColumnRenamed("executionType", "execution_type"), "execution_type")
+
+
+@query(f"WITH {A.ORACLE}, a AS (SELECT 'T' || event_id AS id FROM ev WHERE event_type = 'purchase'), b AS (SELECT 'T' || event_id AS id FROM ev WHERE event_type IN ('purchase', 'signup') AND event_id % 3 = 0) SELECT (SELECT count(*) FROM a WHERE id IN (SELECT id FROM b)) AS \"both\", (SELECT count(*) FROM a WHERE id NOT IN (SELECT id FROM b)) AS only_a, (SELECT count(*) FROM b WHERE id NOT IN (SELECT id FROM a)) AS only_b")
+def audit_ledger_overlap(spark, d):
+    """Deposits against a gateway's ledger, by transaction id."""
+    gateway = A.events(spark, d).where("event_type in ('purchase', 'signup') and event_id % 3 = 0").select(F.concat(F.lit("T"), "event_id").alias("transactionId"))
+    return audit.overlap(A.raw_deposits(spark, d), gateway, "transactionId")
+
+
+@query(f"WITH {A.ORACLE} SELECT CAST(CASE WHEN k % 5 = 0 THEN 0 ELSE 2 END AS INTEGER) AS length, count(*) AS n FROM ev WHERE event_type = 'view' GROUP BY 1")
+def audit_chain_lengths(spark, d):
+    return audit.chain_lengths(A.raw_activity(spark, d))
+
+
+@query(f"WITH {O.IDENTITY}, ip AS (SELECT player_key, CASE k % 5 WHEN 1 THEN '80.227.' || k || '.' || (user_id % 256) WHEN 2 THEN '80.227.' || k || '.' || (user_id % 256) WHEN 4 THEN '2606:4700::1' END AS client_ip FROM found WHERE event_type = 'view') SELECT client_ip, count(DISTINCT player_key) AS owners FROM ip WHERE client_ip IS NOT NULL GROUP BY 1 ORDER BY owners DESC, 1 LIMIT 10")
+def audit_players_per_ip(spark, d):
+    return audit.top_values(flatten.activity(A.raw_activity(spark, d), _ids(spark, d)), "client_ip", "player_key", 10)
+
+
+@query("SELECT 'players._id' AS identifier, CAST(0 AS BIGINT) AS shared UNION ALL SELECT 'players.playerId', (SELECT count(*) FROM customer WHERE c_custkey IN (SELECT user_id FROM events WHERE event_id % 5 = 0)) UNION ALL SELECT 'bets.ticketId', (SELECT count(DISTINCT user_id) FROM events WHERE event_id % 5 = 1 AND user_id IN (SELECT event_id FROM events WHERE event_type IN ('click', 'view')))")
+def audit_casino_ids(spark, d):
+    """Ids of game telemetry against every identifier of the platform."""
+    e = A.events(spark, d)
+    ids = e.where("event_id % 5 = 0").select(F.concat(F.lit("P"), "user_id").alias("id")).unionByName(e.where("event_id % 5 = 1").select(F.concat(F.lit("B"), "user_id").alias("id")))
+    return audit.id_overlaps(ids, "id", {"players._id": (A.raw_players(spark, d), "_id"), "players.playerId": (A.raw_players(spark, d), "playerId"), "bets.ticketId": (A.raw_bets(spark, d), "ticketId")})
+
+
+@query("WITH f AS (SELECT DISTINCT sha256('dev' || CASE WHEN event_id % 10 = 0 THEN 'office' ELSE CAST(user_id // 2 AS VARCHAR) END) AS f, CAST(json_extract_string(props, '$.k') AS INTEGER) < 95 AS player FROM events WHERE event_type = 'signup'), g AS (SELECT f, bool_or(player) AS p, bool_or(NOT player) AS s FROM f GROUP BY 1) SELECT count(*) FILTER (p AND NOT s) AS players_only, count(*) FILTER (s AND NOT p) AS staff_only, count(*) FILTER (p AND s) AS \"both\" FROM g")
+def audit_staff_crossover(spark, d):
+    return audit.staff_crossover(A.logins(spark, d))
+
+
+@query(f"WITH {A.ORACLE}, b AS (SELECT CASE k % 4 WHEN 0 THEN 'ALLOCATED' WHEN 1 THEN 'RELEASE' WHEN 2 THEN 'CONSUME' ELSE 'EXPIRED' END AS t, k % 4 = 0 AND event_type = 'purchase' AS d, k % 4 = 1 AND EXISTS (SELECT 1 FROM ev x WHERE x.event_id = ev.event_id - 1 AND x.event_type IN ('click', 'view')) AS b FROM ev WHERE event_type IN ('purchase', 'signup')) SELECT t AS \"transactionType\", count(*) AS n, avg(d::INT) AS is_deposit, avg(b::INT) AS is_bet FROM b GROUP BY 1")
+def audit_bonus_lineage(spark, d):
+    return audit.bonus_lineage(A.raw_bonus(spark, d), A.raw_deposits(spark, d), A.raw_bets(spark, d))
+
+
+# The account tables in the order in which they are asked.
+ACCOUNT_TABLES = ("walletaccounts", "userbettingpools", "cashaccounts", "bonusaccounts", "payoutaccounts", "lostaccounts", "betting-tax-payable-accounts", "wht-payable-accounts", "bonuswallets")
+_PLACE = "CASE " + " ".join(f"WHEN a % 9 <= {i} AND a % 10 <> 9 THEN '{t}'" for i, t in enumerate(ACCOUNT_TABLES)) + " ELSE 'unresolved' END"
+
+
+@query(f"WITH x AS (SELECT 'bets.fromAccountId' AS feed, user_id AS a FROM events WHERE event_type = 'click' UNION ALL SELECT 'bets.toAccountId', event_id FROM events WHERE event_type = 'click' AND event_id % 4 <> 0 UNION ALL SELECT 'deposits.fromAccountId', event_id FROM events WHERE event_type = 'purchase' UNION ALL SELECT 'deposits.toAccountId', user_id FROM events WHERE event_type = 'purchase') SELECT feed, {_PLACE} AS target, count(*) AS n FROM x GROUP BY ALL")
+def audit_account_targets(spark, d):
+    """Where account ids lie, among nine tables with overlapping ids: the first in order holds."""
+    e = A.events(spark, d)
+    ids = e.select(F.col("event_id").alias("a")).union(e.select("user_id")).distinct().where("a % 10 <> 9")
+    tables = {t: (ids.where(F.col("a") % 9 <= i).select(F.concat(F.lit("a"), "a").alias("_id")), "_id") for i, t in enumerate(ACCOUNT_TABLES)}
+    account = lambda c: F.concat(F.lit("a"), c)
+    feeds = {"bets": e.where("event_type = 'click'").select(account("user_id").alias("fromAccountId"), F.when(F.col("event_id") % 4 != 0, account("event_id")).alias("toAccountId")), "deposits": e.where("event_type = 'purchase'").select(account("event_id").alias("fromAccountId"), account("user_id").alias("toAccountId"))}
+    return audit.account_targets(feeds, tables)
+
+
+@query(f"WITH {O.IDENTITY} SELECT event_id AS wallet, CASE WHEN event_id % 10 = 6 THEN 'objectid' ELSE 'phone' END AS form, CASE WHEN event_id % 10 = 6 AND lower(login) IN (SELECT id FROM docs) THEN 'player' WHEN phone IN (SELECT phone FROM owners) THEN 'player_phone' ELSE 'orphan' END AS owner FROM phoned WHERE event_type = 'purchase'")
+def audit_wallet_owners(spark, d):
+    wallets = A.events(spark, d).where("event_type = 'purchase'").select(F.col("event_id").alias("wallet"), F.lower(A.login_id()).alias("userId"))
+    docs = A.raw_players(spark, d)
+    return audit.wallet_owners(wallets, docs, identity.phone_owners(docs)).drop("userId")
+
+
+@query("SELECT count(*) AS collisions FROM (SELECT o_custkey, o_orderdate FROM orders GROUP BY ALL HAVING count(*) > 1)")
+def audit_user_time_collisions(spark, d):
+    return audit.collisions(spark.read.parquet(f"{d}/orders.parquet"), "o_custkey", "o_orderdate")
+
+
+@query(f"WITH {O.IDENTITY}{_LIFE} SELECT 'withdrawals' AS table_name, count(*) AS n_rows, count(DISTINCT txn) AS distinct_keys, count(*) - count(DISTINCT coalesce(txn, 'none')) AS duplicated FROM lc UNION ALL SELECT 'deposits', count(*), count(*), 0 FROM ev WHERE event_type = 'purchase'")
+def audit_key_uniqueness(spark, d):
+    return audit.key_uniqueness({"withdrawals": (A.raw_withdrawals(spark, d), "transactionId"), "deposits": (A.raw_deposits(spark, d), "transactionId")})
+
+
+@query(f"WITH {A.ORACLE} SELECT 'bets' AS table_name, CASE WHEN k % 3 = 0 THEN ' inr ' ELSE 'UGX' END AS note, count(*) AS n FROM ev WHERE event_type IN ('click', 'view') GROUP BY ALL UNION ALL SELECT 'bonus', 'has amount, no currency field', count(*) FROM ev WHERE event_type IN ('purchase', 'signup') UNION ALL SELECT 'logins', 'no amount field', count(*) FROM ev WHERE event_type = 'signup'")
+def audit_currencies(spark, d):
+    return audit.currencies({"bets": A.raw_bets(spark, d), "bonus": A.raw_bonus(spark, d), "logins": A.raw_logins(spark, d)})
+
+
+def _currency(spark, d):
+    """Stakes in the relabelled currency, in whole hundreds, and deposits."""
+    e = A.events(spark, d)
+    stakes = e.where("event_type in ('click', 'view') and k % 3 = 0").select(F.concat(F.lit("C"), "user_id").alias("player_key"), F.round("value", 0).alias("stake"))
+    deposits = e.where("event_type = 'purchase'").select(F.concat(F.lit("C"), "user_id").alias("player_key"), F.round("value", 0).alias("amount"))
+    return stakes, deposits
+
+
+_CUR = f"WITH {A.ORACLE}, s AS (SELECT 'C' || user_id AS p, round(value, 0) AS x FROM ev WHERE event_type IN ('click', 'view') AND k % 3 = 0), d AS (SELECT 'C' || user_id AS p, round(value, 0) AS x FROM ev WHERE event_type = 'purchase')"
+
+
+@query(f"{_CUR}, a AS (SELECT p, count(*) AS n_bets, median(x) AS m FROM s GROUP BY 1), b AS (SELECT p, count(*) AS n_deposits, median(x) AS m FROM d GROUP BY 1) SELECT a.p AS player_key, n_bets, a.m AS median_stake, n_deposits, b.m AS median_deposit, CASE WHEN a.m <> 0 THEN b.m / a.m END AS ratio FROM a JOIN b USING (p)")
+def audit_currency_players(spark, d):
+    return audit.currency_players(*_currency(spark, d))
+
+
+@query(f"{_CUR}, v AS (SELECT 'stake' AS what, x FROM s UNION ALL SELECT 'deposit', x FROM d WHERE p IN (SELECT p FROM s)) " + " UNION ALL ".join(f"SELECT what, {x}::DOUBLE AS quantile, quantile_cont(x, {x}) AS value FROM v GROUP BY 1" for x in audit.QUANTILES))
+def audit_currency_quantiles(spark, d):
+    return audit.currency_quantiles(*_currency(spark, d))
+
+
+@query(f"{_CUR} SELECT DISTINCT x AS value FROM s WHERE x IN (SELECT x FROM d WHERE p IN (SELECT p FROM s))")
+def audit_shared_denominations(spark, d):
+    return audit.shared_denominations(*_currency(spark, d))
+
+
+@query(f"WITH {O.IDENTITY}, ph AS (SELECT *, {A.CUSTOMER_PHONE} AS phone FROM customer) SELECT 'staff' AS kind, count(DISTINCT phone) AS phones FROM phoned WHERE event_type = 'signup' AND k % 7 = 0 UNION ALL SELECT 'deleted', count(DISTINCT phone) FROM ph WHERE c_custkey % 13 = 0 UNION ALL SELECT 'pre_registration', count(DISTINCT phone) FROM early UNION ALL SELECT 'players', count(DISTINCT phone) FROM ph UNION ALL SELECT 'made_up', count(DISTINCT phone) FROM ph WHERE {O.made_up_sql('phone')}")
+def audit_evidence_sets(spark, d):
+    return audit.evidence_sets(A.raw_players(spark, d), A.raw_otps(spark, d), A.raw_logins(spark, d).where("userType <> 'PLAYER'"))
+
+
+@query("SELECT 'game catalog' AS table_name, count(*) AS n_rows FROM part UNION ALL SELECT 'game_shown', count(*) FROM events WHERE event_type = 'view' UNION ALL SELECT 'game_clicked', count(*) FROM events WHERE event_type = 'click'")
+def audit_casino_volumes(spark, d):
+    e = A.events(spark, d)
+    return audit.volumes({"game catalog": spark.read.parquet(f"{d}/part.parquet"), "game_shown": e.where("event_type = 'view'"), "game_clicked": e.where("event_type = 'click'")})
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in audit.CAPABILITIES) + ") AS t(capability, supported, notes)")
+def audit_capabilities(spark, d):
+    return audit.capabilities(spark)
+
+
+@query(f"WITH {A.ORACLE}{O.PAY}, top3 AS (SELECT player_key FROM pay WHERE pay_declined_withdrawal_count > 0 ORDER BY pay_declined_withdrawal_count DESC, player_key LIMIT 3) SELECT player_key, transaction_id, final_status FROM money WHERE player_key IN (SELECT player_key FROM top3) AND txn_type = 'WITHDRAWAL' AND final_status = 'declined'")
+def audit_drill_sources(spark, d):
+    """The source rows behind the declined withdrawals of the three players with most of them."""
+    t = A.tables(spark, d)
+    return audit.drill_sources(payment(t["players"], t["money"], t["bets"], Thresholds()), "pay_declined_withdrawal_count", t["money"], "transaction_id").select("player_key", "transaction_id", "final_status")
+
+
 @query("SELECT o_custkey AS player_key, count(*) AS n, round(sum(l_extendedprice), 2) AS stakes, count(DISTINCT o_orderdate::DATE) AS days, count(*) FILTER (l_returnflag = 'R') AS void FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1")
 def bench_scale_bet_totals(spark, d):
     """The betting totals over the largest table: 600 k tickets at sf0.1."""

@@ -121,7 +121,7 @@ def raw_bets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).where("event_type in ('click', 'view')").select(
         F.concat(F.lit("B"), "event_id").alias("ticketId"), login_id().alias("loginId"), F.lit("football").alias("gameType"), F.lit("SETTLED").alias("status"), F.lit("WIN").alias("result"), F.col("value").alias("stake"), F.col("value").alias("stakeReal"), none.cast("double").alias("stakeBonus"),
         (k % 10 == 0).alias("isFreeBet"), none.cast("double").alias("payout"), none.cast("double").alias("potentialPayout"), F.when(k % 8 == 0, "n/a").otherwise((k / 4).cast("string")).alias("totalOdds"), F.when(k % 3 == 0, " inr ").otherwise("UGX").alias("currency"),
-        F.when(k % 2 == 0, _iso("ts")).alias("createdDate"), _iso("ts").alias("createdAt"), _iso("ts").alias("updatedAt"), F.lit("multi").alias("betType"), F.when(k % 9 != 0, parts).alias("betParts"),
+        F.when(k % 2 == 0, _iso("ts")).alias("createdDate"), _iso("ts").alias("createdAt"), F.date_format(F.expr("timestampadd(MINUTE, k, ts)"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("updatedAt"), F.lit("multi").alias("betType"), F.when(k % 9 != 0, parts).alias("betParts"),
     )
 
 

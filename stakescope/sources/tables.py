@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,8 +15,23 @@ from ..operators.guards import ContractError
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    """Whether Spark can find the path, in whatever store it lies."""
+    try:
+        spark.read.text(path).schema
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    """A report or manifest, replaced: a folder with one text file, in whatever store Spark can reach."""
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    return "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect()).rstrip("\n")
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -78,3 +96,59 @@ def count_all(tables: dict[str, DataFrame]) -> DataFrame:
         one = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows")
         out = one if out is None else out.unionByName(one)
     return out
+
+
+@dataclass(frozen=True)
+class DocumentStore:
+    """Read-only access to the collections of one source: folders below a location, tables of a database, or a document store.
+
+    kind: json, parquet, table or mongodb (by its connector). collections: name to schema, those that a run may read.
+    """
+
+    spark: SparkSession
+    location: str
+    kind: str = "json"
+    collections: dict[str, T.StructType] = field(default_factory=dict)
+    timeout_ms: int = 5000
+
+    def _place(self, name: str) -> str:
+        if not self.location:
+            raise ConfigError("no location is set")
+        return f"{self.location}.{name}" if self.kind == "table" else name if self.kind == "mongodb" else f"{self.location.rstrip('/')}/{name}"
+
+    def read(self, name: str) -> DataFrame:
+        """A collection with its declared schema; one that is not declared, missing, or a view is an error."""
+        if name not in self.collections:
+            raise ConfigError(f"collection {name!r} is not configured; known: {', '.join(sorted(self.collections))}")
+        if self.kind == "mongodb":
+            reader = self.spark.read.format("mongodb").schema(self.collections[name]).option("connection.uri", self.location).option("collection", name)
+            return reader.option("serverSelectionTimeoutMS", str(self.timeout_ms)).option("connectTimeoutMS", str(self.timeout_ms)).load()
+        return read_documents(self.spark, self._place(name), self.collections[name], self.kind)
+
+    def ping(self) -> bool:
+        """Whether the source answers."""
+        if self.kind == "table":
+            return self.spark.catalog.databaseExists(self.location)
+        if self.kind == "mongodb":
+            return all(self.read(name).limit(1).count() >= 0 for name in list(self.collections)[:1])
+        return bool(self.location) and exists(self.spark, self.location)
+
+    def names(self) -> list[str]:
+        """The collections that are there, sorted."""
+        if self.kind == "table":
+            return sorted(t.name for t in self.spark.catalog.listTables(self.location) if t.tableType not in ("VIEW", "TEMPORARY"))
+        if self.kind == "mongodb":
+            return sorted(self.collections)
+        return sorted(n for n in self.collections if exists(self.spark, self._place(n)))
+
+    def count(self, name: str) -> int:
+        return self.read(name).count()
+
+    def counts(self) -> DataFrame:
+        return count_all({name: self.read(name) for name in self.names() if name in self.collections})
+
+    def sample(self, name: str, n: int = 5) -> DataFrame:
+        return sample(self.read(name), n)
+
+    def find(self, name: str, predicate: Column | None = None, columns: list[str] | None = None, limit: int | None = None) -> DataFrame:
+        return find(self.read(name), predicate, columns, limit)

@@ -8,9 +8,10 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stakescope import schemas
-from stakescope.config import ConfigError, RuleSpec, Settings, Thresholds
+from stakescope.config import ConfigError, RuleSpec, Settings, Thresholds, load_settings
 from stakescope.functions import scalars as S
 from stakescope.operators import flatten, identity, linkage, pairs
 from stakescope.operators.betting import betting
@@ -19,13 +20,14 @@ from stakescope.operators.iforest import isolation_scores, subsamples
 from stakescope.operators.multi_accounting import multi_accounting
 from stakescope.operators.payment import payment
 from stakescope.operators.specs import ALL
+from stakescope.plans import audit
 from stakescope.plans.features import broken_contract, build_features
 from stakescope.plans.feedback import FeedbackStore, run_feedback
 from stakescope.plans.outputs import load_features, score_and_write, write_features
 from stakescope.plans.rebuild import rebuild
 from stakescope.plans.scoring import check_rules, score_players
 from stakescope.sources import adapter as A
-from stakescope.sources.tables import load_table
+from stakescope.sources.tables import DocumentStore, load_table, read_text
 from stakescope.streaming.ingest import ingest
 
 T0 = datetime(2024, 1, 1, 10)
@@ -209,11 +211,26 @@ def test_tables(spark, features, tmp_path):
     assert (wide.count(), evidence.count()) == (n, n * len(ALL))
     assert broken_contract(features.structs).count() == 0
     scored = score_and_write(features, str(tmp_path))
-    assert scored.flags.count() == n and "# Risk report" in scored.report
+    assert scored.flags.count() == n and "# Risk report" in scored.report and read_text(spark, f"{tmp_path}/flags_report").strip() == scored.report.strip()
+    top = scored.flags.orderBy(F.desc("overall_risk"), "player_key").first()
+    assert all(f"- {x['rule_id']} ({x['points']:g}): {x['reason']}" in scored.report for x in json.loads(top["fired_rules"]))
     forest = scored.flags.agg(F.min("iforest_score_untrusted"), F.max("iforest_score_untrusted")).first()
     assert -1 < forest[0] < forest[1] < 0
 
 
+def test_a_failing_forest_gives_zeros_unless_it_counts(spark, features, tmp_path, monkeypatch):
+    from stakescope.plans import outputs
+
+    def broken(*_):
+        return spark.range(1).select(F.raise_error(F.lit("forest")).alias("player_key"))
+
+    monkeypatch.setattr(outputs, "isolation_scores", broken)
+    scored = score_and_write(features, str(tmp_path))
+    assert {r[0] for r in scored.flags.select("iforest_score_untrusted").distinct().collect()} == {0.0}
+    with pytest.raises(RuntimeError, match="weight"):
+        score_and_write(features, str(tmp_path), Settings(iforest_weight=1.0))
+
+
 def test_doubled_players_are_an_error(spark, sf_dir):
     t = A.tables(spark, sf_dir)
     with pytest.raises(ContractError):
@@ -274,7 +291,10 @@ def test_feedback(spark, tmp_path):
         return spark.createDataFrame(at, "case_id string, decision string, reviewed_at timestamp, notes string, fraud_type string")
 
     run = run_feedback(store, flags, people_, reviews, settings, "snap", "run1")
-    assert run.manifest == {"cases": 2, "routed": 1, "human_discovered": 1, "reviews": 4, "labels": 2, "trainable": 2, "false_negatives": 1, "true_positive": 2, "false_positive": 0, "inconclusive": 0, "escalated": 0}
+    counts = {"case_row_count": 2, "flags_row_count": 1, "routed_case_count": 1, "human_discovered_case_count": 1, "review_row_count": 4, "reviews_recorded_this_run": 4, "reviewed_case_count": 2, "trainable_label_count": 2, "non_trainable_reviewed_count": 0, "false_negative_label_count": 1, "true_positive": 2, "false_positive": 0, "inconclusive": 0, "escalated": 0}
+    assert {k: run.manifest[k] for k in counts} == counts and run.manifest["ruleset_version"] == settings.ruleset_version
+    assert json.loads(read_text(spark, run.manifest["artifact_paths"]["run_manifest"])) == run.manifest
+    assert run.labels.count() == 2 and run.reviewed.count() == 2
     assert {r["status"] for r in store.cases().collect()} == {"closed"}
     assert store.write_cases(store.cases()) == 0
     with pytest.raises(ContractError):
@@ -292,6 +312,40 @@ def test_feedback(spark, tmp_path):
         store.set_status(case, "lost")
 
 
+def test_settings_files(tmp_path):
+    (tmp_path / "a.json").write_text('{"medium_cut": 50, "thresholds": {"fast_minutes": 5}}')
+    (tmp_path / "a.yaml").write_text("medium_cut: 50\nthresholds:\n  fast_minutes: 5\n")
+    for name in ("a.json", "a.yaml"):
+        assert load_settings(str(tmp_path / name)).thresholds.fast_minutes == 5 and load_settings(str(tmp_path / name)).medium_cut == 50
+        with pytest.raises(ConfigError, match="missing thresholds"):
+            load_settings(str(tmp_path / name), complete=True)
+
+
+def test_document_store(spark, tmp_path):
+    schema = T.StructType([T.StructField("_id", T.StringType()), T.StructField("amount", T.DoubleType())])
+    spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 3.0)], schema).write.json(str(tmp_path / "money"))
+    store = DocumentStore(spark, str(tmp_path), "json", {"money": schema, "gone": schema})
+    assert store.ping() and store.names() == ["money"] and store.count("money") == 3
+    assert [tuple(r) for r in store.counts().collect()] == [("money", 3)]
+    assert store.sample("money", 2).count() == 2 and [tuple(r) for r in store.find("money", F.col("amount") > 1.5, ["_id"], 5).collect()] == [("b",), ("c",)]
+    with pytest.raises(ContractError, match="missing"):
+        store.read("gone")
+    with pytest.raises(ConfigError, match="not configured"):
+        store.read("other")
+    assert not DocumentStore(spark, str(tmp_path / "no")).ping()
+    with pytest.raises(ConfigError, match="no location"):
+        DocumentStore(spark, "", "json", {"x": schema}).read("x")
+
+
+def test_currency_check(spark):
+    stakes = spark.createDataFrame([("p", 100.0), ("p", 200.0), ("q", 300.0)], "player_key string, stake double")
+    pays = lambda *x: spark.createDataFrame([("p", v) for v in x], "player_key string, amount double")
+    assert audit.check_currency(stakes, pays(200.0, 200.0)) == 1.0
+    for bad, why in ((pays(6000.0), "converted"), (pays(250.0), "no amount"), (pays().limit(0), "same players")):
+        with pytest.raises(ContractError, match=why):
+            audit.check_currency(stakes, bad)
+
+
 def test_rebuild(spark, sf_dir, tmp_path):
     docs = {"players": A.raw_players(spark, sf_dir), "otps": A.raw_otps(spark, sf_dir), "bets": A.raw_bets(spark, sf_dir), "deposits": A.raw_deposits(spark, sf_dir), "withdrawals": A.raw_withdrawals(spark, sf_dir), "bonus": A.raw_bonus(spark, sf_dir), "activity": A.raw_activity(spark, sf_dir), "logins": A.raw_logins(spark, sf_dir)}
     accounts = (spark.createDataFrame([("c1",)], "_id string"), spark.createDataFrame([("w1",)], "_id string"))
