@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -53,10 +54,15 @@ def dropped(df: DataFrame, part: str = "") -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Shuffle files of finished plans go when the driver's garbage is collected; where the driver is elsewhere, it does so in its own time."""
+    """Shuffle files of finished plans go when the driver's garbage is collected; where the driver is elsewhere, it does so in its own time.
+
+    Plans that have just ended are still held for a moment by events on their way to listeners, hence the pauses.
+    """
     gc.collect()
     if (jvm := getattr(spark, "_jvm", None)) is not None:
+        time.sleep(0.2)
         jvm.System.gc()
+        time.sleep(0.2)
 
 
 def n_parts(df: DataFrame) -> int:
