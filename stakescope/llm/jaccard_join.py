@@ -17,6 +17,8 @@ from .shared import ROW, batches, dropped, n_parts, rows_of, sent, settled, spre
 from .textblocks import ANSWER, ASK, TEXT, by_block, opened, text_blocks, text_rows
 from .textcore import NULL_ID, U64, bounds, deltas, distinct, hash_spans, ids_of, mix, pack, string_buffers, undeltas, unpack, window_ok, windows, word_spans
 
+#: Rounds against one document a shingle go on until so few pairs for each listed row are open, or until a round leaves more than this share open.
+FEW, FALL = 4, 0.7
 SETS = "row long, doc_id long, n long, s1 long, s2 long, rare long, tokens array<long>, prefix array<long>, second array<long>, third array<long>"
 
 
@@ -132,10 +134,14 @@ def shingle_sets(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_
 
 
 def _links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Of candidate pairs (a, b): those that share a prefix shingle under the other orders too, verified by their whole sets."""
-    side = lambda x: sets.select(F.col("row").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("n", "tokens", "second", "third")))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    both = both.where(F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b"))
+    """Of candidate pairs (a, b): those that share a prefix shingle under the other orders too, verified by their whole sets.
+
+    The short prefixes decide first; whole sets are joined only to the pairs that are left.
+    """
+    side = lambda x, *columns: sets.select(F.col("row").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in columns))
+    near = pairs.join(side("a", "second", "third"), "a").join(side("b", "second", "third"), "b")
+    near = near.where(F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b")).select("a", "b")
+    both = near.join(side("a", "n", "tokens"), "a").join(side("b", "n", "tokens"), "b")
     both = both.select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n"), F.size(F.array_intersect("tokens_a", "tokens_b")).alias("c"))
     return both.where(den * F.col("c") >= num * (F.col("n") - F.col("c"))).select("a", "b")
 
@@ -153,33 +159,54 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     Words are compared with A-Z lower-cased. Two documents link when den * intersection >= num * union of their sets of
     distinct k-word shingles; fewer words make one shingle of all of them; no words or null link with nothing. A null id counts as smaller than any other.
 
-    Equal sets are one node from the start. Candidates are checked in two rounds, so that a group of near copies does not
-    cost all its pairs: first, for each prefix shingle, its documents against the one among them with the fewest shingles of
-    its own (in a group of copies of one text, that is the text or close to it); then all other pairs that share a prefix
-    shingle and are not yet in one component. Every pair that could link is either checked or already connected.
+    Equal sets are one node from the start. Candidates are checked in rounds, so that a group of near copies does not cost all
+    its pairs: for each prefix shingle, all its documents against one of them, first the one with the fewest shingles of its
+    own (in a group of copies of one text, that is the text or close to it), then one of those that are not yet connected
+    with it, as long as this leaves far fewer pairs open; at last, all other pairs that share a prefix shingle and are not yet
+    in one component. Every pair that could link is either checked or already connected.
     """
     sets = shingle_sets(docs, k, num, den, id_col, text_col, fixed)
     same = ["n", "s1", "s2"]
     nodes = stored(sets.groupBy(*same).agg(F.min(F.struct("doc_id", "row")).alias("r")).select(*same, F.col("r.row").alias("node"), F.col("r.doc_id").alias("least")), "nodes")
     active = sets.where(F.size("prefix") > 0).select("row", "n", "rare", "prefix").join(nodes.select(F.col("node").alias("row")), "row", "left_semi")
-    listed = stored(active.select("row", "n", "rare", F.posexplode("prefix").alias("at", "token")).select("token", "row", "n", "rare", (F.col("rare") + F.col("at")).alias("place")), "listed")
-    heads = listed.groupBy("token").agg(F.min(F.struct("rare", "row", "n", "place")).alias("h"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    heads = stored(heads.select("token", "h.row", "h.n", "h.place"), "heads")
-    star = listed.alias("y").join(heads.alias("x"), "token").where((F.col("y.row") != F.col("x.row")) & _possible("x", "y", num, den))
-    star = stored(star.select(F.least("x.row", "y.row").alias("a"), F.greatest("x.row", "y.row").alias("b")).distinct(), "star")
-    linked = stored(_links(star, sets, num, den), "links")
-    found = components(linked)
-    marked = listed.join(heads.select("token"), "token", "left_semi").join(found.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row"))
-    marked = stored(marked, "marked")
-    open_tokens = stored(marked.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("token"), "open")
-    rest = stored(marked.join(open_tokens, "token", "left_semi"), "rest")
+    listed = active.select("row", "n", "rare", F.posexplode("prefix").alias("at", "token")).select("token", "row", "n", "rare", (F.col("rare") + F.col("at")).alias("place"), F.col("row").alias("root"))
+    rest = stored(listed.join(listed.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token"), "token", "left_semi"), "listed")
+    ends = lambda: (F.least("x.row", "y.row").alias("a"), F.greatest("x.row", "y.row").alias("b"))
+    checked, linked, found, open_pairs = None, None, None, None
+    while True:
+        open_ = rest.groupBy("token", "root").agg(F.count(F.lit(1)).cast("double").alias("c")).groupBy("token").agg((F.pow(F.sum("c"), 2) - F.sum(F.col("c") * F.col("c"))).alias("p"))
+        before, open_pairs, rows = open_pairs, open_.agg(F.coalesce(F.sum("p"), F.lit(0.0)) / 2).first()[0], rest.count()
+        if not open_pairs or before is not None and (open_pairs <= FEW * rows or open_pairs > FALL * before):
+            break
+        # the head: fewest shingles of its own, of the documents whose component is not that of the last round's head
+        fresh = rest
+        if checked is not None:
+            last = heads.join(found.withColumnRenamed("node", "row").withColumnRenamed("root", "now"), "row", "left").select("token", F.coalesce("now", "row").alias("last"))
+            fresh = rest.join(last, "token").where("root <> last")
+        heads = fresh.groupBy("token").agg(F.min(F.struct("rare", "row", "n", "place", "root")).alias("h")).select("token", "h.row", "h.n", "h.place", "h.root")
+        heads = stored(heads, "heads")
+        star = rest.alias("y").join(heads.alias("x"), "token").where((F.col("y.root") != F.col("x.root")) & _possible("x", "y", num, den)).select(*ends()).distinct()
+        star = stored(star if checked is None else star.join(checked, ["a", "b"], "left_anti"), "star")
+        more = stored(_links(star, sets, num, den), "links")
+        checked, linked = (star, more) if checked is None else (checked.unionByName(star), linked.unionByName(more))
+        found = components(linked)
+        rest = stored(_open(rest, found), "rest")
     pairs = rest.alias("x").join(rest.alias("y"), "token").where((F.col("x.row") < F.col("y.row")) & (F.col("x.root") != F.col("y.root")) & _possible("x", "y", num, den))
-    pairs = pairs.select(F.col("x.row").alias("a"), F.col("y.row").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
-    more = stored(_links(stored(pairs, "pairs"), sets, num, den), "links")
-    found = components(linked.unionByName(more))
-    named = nodes.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = stored(named, "named")
+    pairs = pairs.select(F.col("x.row").alias("a"), F.col("y.row").alias("b")).distinct()
+    pairs = stored(pairs if checked is None else pairs.join(checked, ["a", "b"], "left_anti"), "pairs")
+    more = stored(_links(pairs, sets, num, den), "links")
+    found = components(more if linked is None else linked.unionByName(more))
+    named = stored(nodes.join(found, "node", "left").withColumn("root", F.coalesce("root", "node")), "named")
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     of = stored(named.join(least, "root").select(*same, "component_id"), "classes")
+    for x in (nodes, rest, pairs, more, found, named):
+        dropped(x)
     known = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
     return sets.select("doc_id", *same).join(of, same).select(known("doc_id").alias(id_col), F.col("n").alias("n_shingles"), known("component_id").alias("component_id"))
+
+
+def _open(rest: DataFrame, found: DataFrame) -> DataFrame:
+    """Listed documents with their present root, of the tokens whose documents are not all connected."""
+    marked = rest.drop("root").join(found.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row"))
+    several = marked.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("token")
+    return marked.join(several, "token", "left_semi").select(*rest.columns)

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import heapq
+import uuid
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .ranking import ranked
-from .shared import dropped, n_parts, stored
+from .shared import dropped, n_parts, shared_dir, stored
 
 #: A plan of at most so many rows is broadcast; a larger one is joined by a shuffle.
 BROADCAST_ROWS = 200_000
@@ -52,12 +54,25 @@ def lpt(histogram: Iterable[tuple[int, int]], shards: int) -> Iterator[tuple[int
         yield size, used, upto
 
 
+def planned(spark: SparkSession, rows: Iterator[tuple], at_once: int = BROADCAST_ROWS) -> DataFrame:
+    """The plan as a table. It is written in pieces as it is made, so the driver never holds more than one; a plan of one piece is broadcast."""
+    schema = "_total long, _shards array<int>, _upto array<long>"
+    piece = list(islice(rows, at_once))
+    if len(piece) < at_once:
+        return F.broadcast(spark.createDataFrame(piece, schema))
+    path = f"{shared_dir(spark)}/shard-plan-{uuid.uuid4().hex}"
+    while piece:
+        spark.createDataFrame(piece, schema).write.mode("append").parquet(path)
+        piece = list(islice(rows, at_once))
+    return spark.read.schema(schema).parquet(path)
+
+
 def shard_by_bytes(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text", overhead: int = 8) -> DataFrame:
     """Every row with its shard and a gapless slot in it; equal texts share a shard, shards are near equal in bytes.
 
     Size of a row: UTF-8 bytes of its text (null: none, and the same group as the empty text) plus `overhead`.
-    The driver sees only the histogram of group sizes, one row for each distinct size, in a stream: k distinct
-    sizes add up to at least k*k/2 bytes, so there are at most the square root of twice the input.
+    The driver sees only the histogram of group sizes, one row for each distinct size, in a stream, and writes the plan in
+    pieces: k distinct sizes add up to at least k*k/2 bytes, so there are at most the square root of twice the input.
     An empty table gives an empty result; repeated rows are rows of their own, ordered by id and then by content.
     Columns: the id, size, text_crc32, shard, slot.
     """
@@ -71,10 +86,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", te
     buckets = n_parts(rows)
     groups = stored(rows.groupBy("_text").agg(F.sum("size").alias("_total")), "shard-groups")
     histogram = ((r[0], r[1]) for r in groups.groupBy("_total").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("_total")).toLocalIterator())
-    placed = list(lpt(histogram, shards))
-    plan = docs.sparkSession.createDataFrame(placed, "_total long, _shards array<int>, _upto array<long>")
-    if len(placed) <= BROADCAST_ROWS:
-        plan = F.broadcast(plan)
+    plan = planned(docs.sparkSession, lpt(histogram, shards))
     shard = F.element_at("_shards", F.size(F.filter("_upto", lambda u: u <= F.col("_rank"))) + 1)
     where = ranked(groups, ["_total"], ["_text"], buckets, "_rank").join(plan, "_total").select("_text", shard.alias("shard"))
     out = stored(rows.join(where, "_text").select(id_col, "size", "text_crc32", "shard"), "shard-of")

@@ -13,12 +13,12 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
+from stakescope.llm import jaccard_join, suffix_tree
 from stakescope.llm import quality as Q
-from stakescope.llm import suffix_tree
 from stakescope.llm.components import components
 from stakescope.llm.jaccard_join import jaccard_components
 from stakescope.llm.recompression import anchors, remove_repeats
-from stakescope.llm.sharding import lpt, shard_by_bytes
+from stakescope.llm.sharding import lpt, planned, shard_by_bytes
 from stakescope.llm.suffix_tree import score
 
 from .conftest import odd_texts, words_of
@@ -101,6 +101,24 @@ def test_jaccard_components(odd, none):
     assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in twice) == Counter({(i, *v): 2 for i, v in want.items()})
 
 
+def test_a_group_without_a_central_text(spark, monkeypatch):
+    """A long chain of texts, each linked with its neighbours only, and copies of every link: exact, without all pairs."""
+    rng = random.Random(11)
+    words, rows = [f"w{k}" for k in range(60)], []
+    for k in range(60):
+        rows += [(1000 * j + k, " ".join(words)) for j in range(3)]
+        words = [*words[3:], *(f"n{k}x{j}" for j in range(3))]
+    rng.shuffle(rows)
+    counted, real = [], jaccard_join._links
+    monkeypatch.setattr(jaccard_join, "_links", lambda pairs, *a: (counted.append(pairs.count()), real(pairs, *a))[1])
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: c for i, (_, c) in brute_components(rows).items()} and set(got.values()) == {0}
+    same = " ".join(f"s{k}" for k in range(40))  # one hot shingle among many unlike texts
+    rows = [(k, " ".join(rng.choice("abcdefgh") + str(rng.randrange(9)) for _ in range(9)) + " the very same five words " + (same if k % 5 == 0 else str(k))) for k in range(150)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_components(rows)
+
+
 def test_components_of_a_chain(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 90), (90, 95)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -209,6 +227,12 @@ def test_lpt_equals_the_heap():
         assert sorted(loads) == sorted(x for x, _ in heap), trial
 
 
+def test_a_plan_of_many_pieces(spark):
+    rows = [(s, [s % 3], [s]) for s in range(50, 0, -1)]
+    for at_once in (7, 50, 60):
+        assert sorted(map(tuple, planned(spark, iter(rows), at_once).collect())) == sorted(rows)
+
+
 def test_sharding(odd, none):
     rows = shard_by_bytes(odd.union(odd).withColumn("shard", F.lit("x")), 5).collect()
     assert len(rows) == 2 * len(odd_texts())
