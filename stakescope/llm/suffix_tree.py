@@ -24,7 +24,7 @@ from .textblocks import text_blocks
 from .textcore import NULL_ID, U64, bounds, deltas, distinct, hash_spans, mix, pack, undeltas, unpack
 
 #: The count that a context must have, and the length up to which contexts are tested whatever came of their suffixes.
-LEAST, SURE = 8, 2
+LEAST, SURE = 8, 1
 #: Next words of a context with more sightings than this are dealt to several buckets.
 SPLIT = 20_000
 #: Text bytes of a block.
@@ -82,7 +82,11 @@ class Block:
         if len(count) != len(order):
             raise RuntimeError("a block's words and their counts come from different inputs; store the input first")
         order, length = order.astype(np.int64), length.astype(np.int64)
-        b.count, b.ident, b.at = count.astype(np.int64)[order], ident.astype(U64)[order], at.astype(np.int64)
+        by_number = np.argsort(ident[order], kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[by_number] = np.arange(len(order))
+        order = order[by_number]
+        b.count, b.ident, b.at = count.astype(np.int64)[order], ident.astype(U64)[order], place[at.astype(np.int64)]
         b.ids, b.train, b.n_tokens, b.level = ids.astype(U64).view(np.int64), train.astype(bool), length, 1
         first = np.concatenate(([0], np.cumsum(length)))
         n = b.count[b.at]
@@ -141,22 +145,31 @@ class Block:
         run = np.flatnonzero(self.cut)
         return np.repeat(run, np.diff(np.append(run, len(self.cut))))[self.pos - 1]
 
-    def pairs(self) -> None:
-        """Distinct (context, next word) pairs, by unit; a context with many next words has several units."""
-        self.key = np.zeros(len(self.pos), U64)
-        for n in range(1, self.level + 1):
-            self.key = mix(self.key * _R2 + self.ident[self.at[self.pos - n]] + U64(n))
+    def pairs(self, parts) -> None:
+        """Distinct (context, next word) pairs, by unit; a context with many next words has several units. Units stand by bucket, then by their words."""
+        before = [self.at[self.pos - n] for n in range(1, self.level + 1)]
+        self.key = _context(self.ident[w] for w in before)
         word = self.at[self.pos]
         known = self.count[word] > 0
         hot = np.flatnonzero(self.most >= SPLIT)
         salt = mix(self.ident[word[hot]]) % (1 + self.most[hot] // SPLIT).astype(U64) * known[hot]
         unit = self.key.copy()
-        unit[hot] = np.where(salt > 0, mix(self.key[hot] + salt * _R), self.key[hot])
-        self.units, self.unit_at, _ = distinct(unit)
-        self.context, self.split = self.units.copy(), np.zeros(len(self.units), bool)
-        self.context[self.unit_at[hot]], self.split[self.unit_at[hot]] = self.key[hot], True
-        self.apart = np.unique(self.context[self.split])
-        width = max(1, len(self.count))
+        unit[hot] = _salted(self.key[hot], salt)
+        units, unit_at, _ = distinct(unit)
+        example = np.empty(len(units), np.int64)
+        example[unit_at] = np.arange(len(unit_at))
+        edge, width = bounds(units, parts), max(1, len(self.count))
+        order = np.repeat(np.arange(parts), np.diff(edge))
+        for w in before[:2]:
+            order = order * width + w[example]
+        order = np.argsort(order, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.unit_at, self.edge = place[unit_at], edge
+        self.words = [w[example[order]] for w in before]
+        self.split, self.salt = np.zeros(len(units), bool), np.zeros(len(units), U64)
+        self.split[self.unit_at[hot]], self.salt[self.unit_at[hot]] = True, salt
+        self.apart = np.unique(self.key[hot])
         pair, self.pair_at, _ = distinct(self.unit_at[known] * width + word[known])
         self.pair_unit, self.pair_word, self.known = pair // width, pair % width, known
         self.learnt = self.train[self.doc]
@@ -164,24 +177,24 @@ class Block:
 
     def ask(self, block, parts):
         """Pairs with their training counts by bucket, and what the block's training words say of each context's divergence."""
-        self.pairs()
-        edge = bounds(self.units, parts)
-        sizes = np.bincount(self.pair_unit, minlength=len(self.units))
+        self.pairs(parts)
+        sizes = np.bincount(self.pair_unit, minlength=len(self.split))
         upto = np.concatenate(([0], np.cumsum(sizes)))
         logs = np.where(self.learnt, np.log(np.maximum(self.seen, 1)) - np.log(self.of), 0.0)
-        cross = np.bincount(self.unit_at, weights=logs, minlength=len(self.units)).astype(np.float32).view(np.uint32)
+        cross = np.bincount(self.unit_at, weights=logs, minlength=len(sizes)).astype(np.float32).view(np.uint32)
         home = bounds(self.apart, parts)
         for p in np.flatnonzero(np.diff(home)).tolist():
             yield p, block, CONTEXT, pack(deltas(self.apart[home[p] : home[p + 1]]))
-        for p in np.flatnonzero(np.diff(edge)).tolist():
-            x, y = edge[p], edge[p + 1]
+        last, *more = (self.ident[w] for w in self.words)
+        for p in np.flatnonzero(np.diff(self.edge)).tolist():
+            x, y = self.edge[p], self.edge[p + 1]
             i, j = upto[x], upto[y]
             split = np.flatnonzero(self.split[x:y])
-            yield p, block, ASK, pack(deltas(self.units[x:y]), sizes[x:y], self.ident[self.pair_word[i:j]], self.n[i:j], cross[x:y], split, self.context[x:y][split])
+            yield p, block, ASK, pack(deltas(last[x:y]), sizes[x:y], self.ident[self.pair_word[i:j]], self.n[i:j], cross[x:y], split, self.salt[x:y][split], *(w[x:y] for w in more))
 
-    def advance(self, came) -> None:
+    def advance(self, came, parts) -> None:
         """Probabilities with the retained contexts of this level, and the places whose longer contexts are tested next."""
-        self.pairs()
+        self.pairs(parts)
         totals, n, kinds, flags = _answers(came, COUNTS, 4)
         if len(totals) != len(self.n):
             raise RuntimeError("a block's pairs and their counts come from different inputs; store the input first")
@@ -213,6 +226,19 @@ class Block:
         self.most, self.kinds = self.of, np.where(kept, kinds, 0)[at]
 
 
+def _context(words) -> np.ndarray:
+    """Keys of contexts, given their last words, the words before those, and so on."""
+    key = U64(0)
+    for n, w in enumerate(words, 1):
+        key = mix(key * _R2 + w + U64(n))
+    return key
+
+
+def _salted(key, salt):
+    """Units of contexts whose next words are dealt to several buckets."""
+    return np.where(salt > 0, mix(key + salt * _R), key)
+
+
 def _blocks(rows, begun, totals):
     """Each block with what has come for it: at its first state (begun), or as it was stored."""
     blocks: dict[int, dict[int, list]] = {}
@@ -277,15 +303,17 @@ def _answer_pairs(rows, parts, cost):
         if kind == CONTEXT:
             yield bucket, block, kind, body.as_py()
             continue
-        d, size, x, n, cross, at, context = unpack(body.as_py())
-        unit = undeltas(d)
+        last, size, x, n, cross, at, salt, *more = unpack(body.as_py())
+        key, at = _context([undeltas(last), *(w.astype(U64) for w in more)]), at.astype(np.int64)
+        unit = key.copy()
+        unit[at] = _salted(key[at], salt.astype(U64))
         asked.append((block, len(x), *[len(unit)] * 3))
         units.append(unit)
         sizes.append(size.astype(np.int64))
         words.append(x.astype(np.uint32 if not len(x) or int(x.max()) < 1 << 32 else U64))
         ns.append(n.astype(np.uint32))
         crosses.append(cross.astype(np.uint32).view(np.float32))
-        apart.append((unit[at.astype(np.int64)], context.astype(U64)))
+        apart.append((unit[at], key[at]))
     if not asked:
         return
     keys, unit_at, _ = distinct(np.concatenate(units))
@@ -349,8 +377,8 @@ def _ask_pairs(rows, parts, begun, totals):
 
 def _advanced(rows, parts, begun, totals):
     for block, came, b in _blocks(rows, begun, totals):
-        b.advance(came)
-        yield spread(block, parts), block, STATE, b.pack()
+        b.advance(came, parts[1])
+        yield spread(block, parts[0]), block, STATE, b.pack()
         yield 0, len(b.pos), COUNT, b""
 
 
@@ -389,7 +417,7 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
         pairs = stored(sent(asked, some, lambda it, p=(parts, some): batches(_answer_pairs(rows_of(it), p, cost))), "pairs")
         found = stored(sent(pairs.where(F.col("tag").isin(SUM, CONTEXT)), some, lambda it, p=(parts, some): batches(_answer_contexts(rows_of(it), p, cost))), "contexts")
         both = state.unionByName(pairs.where(F.col("tag") == COUNTS)).unionByName(found)
-        now = stored(sent(both, some, lambda it, f=first: batches(_advanced(rows_of(it), parts, f, totals))), "state")
+        now = stored(sent(both, some, lambda it, p=(parts, some), f=first: batches(_advanced(rows_of(it), p, f, totals))), "state")
         for x in (*old, pairs, found):
             dropped(x)
         places = now.where(F.col("tag") == COUNT).agg(F.sum("block")).first()[0]

@@ -144,7 +144,7 @@ def test_suffix_tree(odd, none):
     assert all(r["train_tokens"] == 0 and r["score"] == r["base_score"] for r in unlearned)
 
 
-def brute_scores(rows, train, least=8, sure=2):
+def brute_scores(rows, train, least=8, sure=suffix_tree.SURE):
     """Scores with every context that is seen often enough and diverges; beyond `sure` words, those whose suffix is retained."""
     streams = {i: [*words_of(t, lower=True), None] for i, t in rows}
     counts = Counter(w for i in train for w in streams[i])
