@@ -89,8 +89,10 @@ def amount(x: Column | str) -> Column:
     return F.coalesce(as_double(x), F.lit(0.0))
 
 
-def as_list(x: Column | str) -> Column:
-    return F.coalesce(col(x), F.array().cast("array<string>"))
+def as_list(x: Column | str, scalar: bool = False) -> Column:
+    """A list as it is, a scalar (scalar=True) as a list of one; null: an empty list."""
+    value = F.when(col(x).isNotNull(), F.array(col(x).cast("string"))) if scalar else col(x)
+    return F.coalesce(value, F.array().cast("array<string>"))
 
 
 def lowered(x: Column | str) -> Column:

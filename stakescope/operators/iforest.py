@@ -101,6 +101,14 @@ def subsamples(filled: DataFrame, numeric: list[str], trees: int, seed: int) ->
     return [pdf.loc[pdf["tree"] == t, numeric].to_numpy(float) for t in range(trees)]
 
 
+def medians(wide: DataFrame, numeric: list[str]) -> dict[str, float]:
+    """Exact medians of all columns that have values: equal values are counted first, then each column is a group of its own."""
+    pairs = F.array(*(F.struct(F.lit(n).alias("name"), F.col(n).cast("double").alias("x")) for n in numeric))
+    rows = wide.select(F.explode(pairs).alias("p")).select("p.*").where("x is not null")
+    counted = rows.groupBy("name", "x").agg(F.count(F.lit(1)).alias("n"))
+    return {r["name"]: float(r["m"]) for r in counted.groupBy("name").agg(F.percentile("x", F.lit(0.5), F.col("n")).alias("m")).collect()}
+
+
 def isolation_scores(wide: DataFrame, trees: int = 100, seed: int = 42, specs: dict[str, Spec] = ALL) -> DataFrame:
     """(player_key, iforest_score_untrusted): minus the anomaly score, so lower is odder; fewer than two players: 0.
 
@@ -108,8 +116,8 @@ def isolation_scores(wide: DataFrame, trees: int = 100, seed: int = 42, specs: d
     smallest hashes of the key and the tree's number), and the forest is applied in Arrow batches.
     """
     numeric = [n for n, s in specs.items() if s.kind != "bool"]
-    medians = wide.agg(*(F.percentile(F.col(n).cast("double"), 0.5).alias(n) for n in numeric)).first()
-    filled = wide.select("player_key", *(F.coalesce(F.col(n).cast("double"), F.lit(float(medians[n] if medians[n] is not None else 0.0))).alias(n) for n in numeric))
+    known = medians(wide, numeric)
+    filled = wide.select("player_key", *(F.coalesce(F.col(n).cast("double"), F.lit(known.get(n, 0.0))).alias(n) for n in numeric))
     samples = subsamples(filled, numeric, trees, seed)
     if len(samples[0]) < 2:
         return wide.select("player_key", F.lit(0.0).alias("iforest_score_untrusted"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -63,16 +64,25 @@ def combine(groups: list[DataFrame]) -> DataFrame:
     return out
 
 
-def build_features(players: DataFrame, logins: DataFrame, money: DataFrame, bets: DataFrame, t: Thresholds | None = None, check: bool = True) -> FeatureTables:
-    """All 33 features of every player with a key, one join of three groups."""
+def build_features(players: DataFrame, logins: DataFrame, money: DataFrame, bets: DataFrame, t: Thresholds | None = None, check: bool = True, keep: Callable[[DataFrame, str], DataFrame] | None = None) -> FeatureTables:
+    """All 33 features of every player with a key, one join of three groups.
+
+    keep: a function that writes a table once and reads it again (such as sources.tables.kept). With it, each input is read
+    once, and holders of shared keys and the three groups are tables; without it, everything is one lazy plan.
+    """
     t = t or Thresholds()
+    if keep is not None:
+        players, logins, money, bets = (keep(df, name) for df, name in ((players, "players"), (logins, "logins"), (money, "money"), (bets, "bets")))
     if check:
         check_inputs(players, money, bets)
-    groups = [multi_accounting(players, logins, money, t), payment(players, money, bets, t), betting(players, bets, t)]
+    groups = [multi_accounting(players, logins, money, t, keep=keep), payment(players, money, bets, t), betting(players, bets, t)]
+    if keep is not None:
+        groups = [keep(g, name) for g, name in zip(groups, ("multi-accounting", "payment", "betting"), strict=True)]
     if check:
         structs = combine(groups)
     else:
-        structs = barrier(groups[0]).join(barrier(groups[1]), "player_key").join(barrier(groups[2]), "player_key")
+        apart = barrier if keep is None else lambda df: df
+        structs = apart(groups[0]).join(apart(groups[1]), "player_key").join(apart(groups[2]), "player_key")
     missing = [n for n in ALL if n not in structs.columns]
     if missing:
         raise ContractError(f"features missing: {missing}")

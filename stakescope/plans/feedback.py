@@ -18,10 +18,11 @@ from ..operators.guards import ContractError, require_none, require_unique
 from ..sources.tables import append, exists, read_or_empty, write_text
 
 # Decisions, fraud types, case states and sources.
-DECISIONS = ("true_positive", "false_positive", "inconclusive", "escalated")
+DECISIONS = ("true_positive", "false_positive", "needs_more_review", "insufficient_evidence")
+TRAINABLE = ("true_positive", "false_positive")
 FRAUD_TYPES = ("multi_accounting", "payment_fraud", "betting_anomaly", "other")
 STATES = ("open", "in_review", "closed")
-ROUTED, HUMAN = "routed", "human_discovered"
+MODEL, HUMAN = "model_flagged", "human_discovered"
 
 
 def new_run_id(settings: Settings, snapshot: str, now: datetime | None = None) -> str:
@@ -30,25 +31,32 @@ def new_run_id(settings: Settings, snapshot: str, now: datetime | None = None) -
     return "-".join(re.sub(r"[^A-Za-z0-9._]+", "_", x) for x in (at, settings.ruleset_version, snapshot, uuid.uuid4().hex[:8]))
 
 
-def _cases(rows: DataFrame, run_id: str, source: str, settings: Settings, snapshot: str, created: Column, routed: bool) -> DataFrame:
-    score = lambda c: F.coalesce(F.col(c), F.lit(0.0)).alias(c)
-    text = lambda c: F.coalesce(F.col(c), F.lit("[]")).alias(c)
-    return rows.select(
-        S.hashed_id("case_", F.lit(run_id), F.col("player_key"), F.lit(source)).alias("case_id"), F.lit(run_id).alias("run_id"), "player_key", F.lit(source).alias("case_source"), F.lit("open").alias("status"), created.alias("created_at"),
-        score("multi_accounting_score"), score("payment_fraud_score"), score("betting_anomaly_score"), score("overall_risk"), F.coalesce("band", F.lit("low")).alias("band"), text("fired_rules"), text("unmeasured_features"),
-        F.coalesce("feature_snapshot", F.lit("{}")).alias("feature_snapshot"), F.lit(settings.ruleset_version).alias("ruleset_version"), F.lit(snapshot).alias("snapshot_id"), F.lit(json.dumps(list(settings.routing_bands))).alias("routing_bands"), F.lit(routed).alias("was_routed"),
-    )
+def _cases(rows: DataFrame, run_id: str, source: str, settings: Settings, snapshot: str, created: Column | None, available: Column) -> DataFrame:
+    """Cases with what the model said of the player; a player that it has not seen has no scores, no band and was not routed."""
+    text = lambda c, empty: F.coalesce(F.col(c), F.lit(empty)).alias(c)
+    made = {
+        "case_id": S.hashed_id("case_", F.lit(run_id), F.col("player_key"), F.lit(source)), "run_id": F.lit(run_id), "created_at": created if created is not None else F.current_timestamp(), "fired_rules": text("fired_rules", "[]"),
+        "unmeasured_features": text("unmeasured_features", "[]"), "feature_snapshot": text("feature_snapshot", "{}"), "status": F.lit("open"), "ruleset_version": F.lit(settings.ruleset_version), "snapshot_id": F.lit(snapshot),
+        "detection_source": F.lit(source), "model_output_available": available, "model_routed": F.coalesce(F.col("band").isin(*settings.routing_bands), F.lit(False)),
+    }
+    return rows.select(*(made[f.name].alias(f.name) if f.name in made else F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.CASES))
 
 
 def route(flags: DataFrame, run_id: str, settings: Settings, snapshot: str, created: Column | None = None) -> DataFrame:
     """A case for every flag whose band is routed."""
-    return _cases(flags.where(F.col("band").isin(*settings.routing_bands)), run_id, ROUTED, settings, snapshot, created if created is not None else F.current_timestamp(), True)
+    return _cases(flags.where(F.col("band").isin(*settings.routing_bands)), run_id, MODEL, settings, snapshot, created, F.lit(True))
 
 
 def human_cases(requests: DataFrame, flags: DataFrame, run_id: str, settings: Settings, snapshot: str, created: Column | None = None) -> DataFrame:
     """Cases that people opened, with what the model said of the player at that time, or nothing."""
-    known = flags.drop("fired_rule_ids")
-    return _cases(requests.select("player_key").distinct().join(known, "player_key", "left"), run_id, HUMAN, settings, snapshot, created if created is not None else F.current_timestamp(), False)
+    known = flags.drop("fired_rule_ids").withColumn("_seen", F.lit(True))
+    rows = requests.select("player_key").distinct().join(known, "player_key", "left")
+    return _cases(rows, run_id, HUMAN, settings, snapshot, created, F.coalesce("_seen", F.lit(False)))
+
+
+def unrouted_player(flags: DataFrame, settings: Settings) -> DataFrame:
+    """The first player, by key, that the model did not route: one row (player_key), or none."""
+    return flags.where(~F.coalesce(F.col("band").isin(*settings.routing_bands), F.lit(False))).orderBy("player_key").limit(1).select("player_key")
 
 
 def check_reviews(reviews: DataFrame) -> None:
@@ -72,8 +80,8 @@ def labels(cases: DataFrame, reviews: DataFrame) -> DataFrame:
     """Cases with their latest review (then greatest id): trainable if the decision is clear, false negative if people found what was not routed."""
     last = latest(reviews, "case_id", F.desc("reviewed_at"), F.desc("review_id"))
     joined = cases.join(last, "case_id")
-    missed = (F.col("decision") == "true_positive") & (F.col("case_source") == HUMAN) & ~F.col("was_routed")
-    return joined.withColumn("is_trainable_label", F.col("decision").isin("true_positive", "false_positive")).withColumn("is_false_negative", missed)
+    missed = (F.col("decision") == "true_positive") & (F.col("detection_source") == HUMAN) & ~F.col("model_routed")
+    return joined.withColumn("is_trainable_label", F.col("decision").isin(*TRAINABLE)).withColumn("is_false_negative", missed)
 
 
 def trainable(labelled: DataFrame) -> DataFrame:
@@ -83,7 +91,7 @@ def trainable(labelled: DataFrame) -> DataFrame:
 
 def manifest(cases: DataFrame, reviews: DataFrame, labelled: DataFrame, flags: DataFrame, settings: Settings) -> dict[str, int]:
     """Counters of a run, one row from each table."""
-    a = cases.agg(F.count(F.lit(1)).alias("case_row_count"), F.count_if(F.col("case_source") == HUMAN).alias("human_discovered_case_count"))
+    a = cases.agg(F.count(F.lit(1)).alias("case_row_count"), F.count_if(F.col("detection_source") == HUMAN).alias("human_discovered_case_count"))
     b = reviews.agg(F.count(F.lit(1)).alias("review_row_count"))
     clear = F.col("is_trainable_label")
     c = labelled.agg(F.count(F.lit(1)).alias("reviewed_case_count"), F.count_if(clear).alias("trainable_label_count"), F.count_if(~clear).alias("non_trainable_reviewed_count"), F.count_if(clear & F.col("is_false_negative")).alias("false_negative_label_count"), *(F.count_if(F.col("decision") == d).alias(d) for d in DECISIONS))
@@ -124,7 +132,7 @@ class FeedbackStore:
         require_none(rows.join(self.reviews().select("review_id"), "review_id", "left_semi").select("review_id"), "review exists already")
         require_none(rows.join(self.cases().select("case_id"), "case_id", "left_anti").select("case_id"), "unknown case")
         append(rows, f"{self.path}/reviews")
-        state = F.when(F.col("decision").isin("true_positive", "false_positive"), "closed").otherwise("in_review")
+        state = F.when(F.col("decision").isin(*TRAINABLE), "closed").otherwise("in_review")
         self._events(rows.select("case_id", state.alias("status"), "reviewed_at", "review_id"))
 
     def set_status(self, case_id: str, status: str) -> None:

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..config import CURRENCY, STATUS_RANK
 from ..operators import flatten
 from ..operators.guards import ContractError, require_unique
 from ..operators.identity import identity_map, phone_collisions
@@ -74,6 +75,15 @@ def reconciliation(docs: dict[str, DataFrame], tables: dict[str, DataFrame]) ->
     return counts
 
 
+def reconciliation_report(counts: dict[str, int]) -> str:
+    """Documents and rows of each source, and what explains the difference."""
+    why = {"players": "one row per player", "bets": "one row per ticket; rows without a player stay", "bonus": f"one row per movement; the currency is taken to be {CURRENCY}", "activity": "one row per event; rows without a player stay", "logins": "one row per login; staff without a player stay"}
+    rows = [(n, counts[f"raw_{n}"], counts[n], text) for n, text in why.items()]
+    rows += [("deposits", counts["raw_deposits"], "in money", "no deposit is dropped; flags tell money in"), ("withdrawals", counts["raw_withdrawals"], f"{counts['withdrawal_groups']} groups", "life cycles collapsed by transaction: " + " > ".join(sorted(STATUS_RANK, key=STATUS_RANK.get, reverse=True)))]
+    rows.append(("money", f"{counts['raw_deposits']} + {counts['withdrawal_groups']}", counts["money"], "checked: deposits plus collapsed withdrawals"))
+    return "# Reconciliation\n\n" + markdown_table(["source", "documents", "rows", "difference"], rows)
+
+
 def rebuild(docs: dict[str, DataFrame], folder: str, salt: str, accounts: tuple[DataFrame, DataFrame] | None = None, samples: int = 10) -> Rebuilt:
     """Checks keys, writes all tables in a stable order, reads them back, checks counts, and reports.
 
@@ -86,7 +96,7 @@ def rebuild(docs: dict[str, DataFrame], folder: str, salt: str, accounts: tuple[
     write_tables({n: flatten.ordered(df, *ORDER[n]) for n, df in flat_tables(docs, salt).items()}, folder)
     tables = {n: load_table(spark, folder, n) for n in ORDER}
     counts = reconciliation(docs, tables)
-    reports = {"unjoined": unjoined_report(tables, samples), "reconciliation": markdown_table(["table", "rows"], sorted(counts.items()))}
+    reports = {"unjoined": unjoined_report(tables, samples), "reconciliation": reconciliation_report(counts)}
     write_tables({"phone_collisions": phone_collisions(docs["players"]).orderBy("phone")}, folder)
     collisions = spark.read.parquet(f"{folder}/phone_collisions")
     status = audit.distribution(tables["money"].where("txn_type = 'DEPOSIT'"), "final_status")

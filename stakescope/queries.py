@@ -22,6 +22,7 @@ from .plans.evidence import BET_SHAPES, MA_SHAPES, PAY_SHAPES, evidence_rows
 from .plans.features import broken_contract, build_features, wide_table
 from .plans.scoring import rule_counts, score_players, top_flags
 from .sources import adapter as A
+from .sources.tables import kept
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -56,7 +57,7 @@ def _rounded(specs: dict) -> str:
 
 def _structs(spark: SparkSession, d: str) -> DataFrame:
     t = A.tables(spark, d)
-    return build_features(t["players"], t["logins"], t["money"], t["bets"], check=False).structs
+    return build_features(t["players"], t["logins"], t["money"], t["bets"], check=False, keep=kept).structs
 
 
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
@@ -76,7 +77,7 @@ def flagship_deposit_then_exit(spark, d):
 @query(f"WITH {O.MA} SELECT player_key, {', '.join(MA)}, device_reason, recipient_reason FROM ma")
 def features_multi_accounting(spark, d):
     t = A.tables(spark, d)
-    return _values(multi_accounting(t["players"], t["logins"], t["money"], Thresholds(), evidence=False), MA, device_reason="ma_device_shared_account_count", recipient_reason="ma_withdrawal_recipient_shared_count")
+    return _values(multi_accounting(t["players"], t["logins"], t["money"], Thresholds(), evidence=False, keep=kept), MA, device_reason="ma_device_shared_account_count", recipient_reason="ma_withdrawal_recipient_shared_count")
 
 
 @query(f"WITH {A.ORACLE}{O.PAY} SELECT player_key, {_rounded(PAY)}, exit_reason, pair_reason, ratio_reason FROM pay")
@@ -97,7 +98,7 @@ def _evidence(structs: DataFrame, shapes: dict) -> DataFrame:
 @query(O.EVIDENCE_MA)
 def evidence_multi_accounting(spark, d):
     t = A.tables(spark, d)
-    return _evidence(multi_accounting(t["players"], t["logins"], t["money"], Thresholds()), MA_SHAPES)
+    return _evidence(multi_accounting(t["players"], t["logins"], t["money"], Thresholds(), keep=kept), MA_SHAPES)
 
 
 @query(O.EVIDENCE_PAY)
@@ -139,24 +140,36 @@ def score_reasons(spark, d):
     return score_players(_structs(spark, d)).select("player_key", F.explode(fired).alias("r")).select("player_key", "r.*")
 
 
-@query(f"WITH {O.SCORED} SELECT player_key, overall_risk, band, 'open' AS status, 'routed' AS case_source, 'case_' || substr(sha256('run1|' || player_key || '|routed'), 1, 20) AS case_id FROM flags WHERE band IN ('medium', 'high')")
+@query(f"WITH {O.SCORED} SELECT player_key, overall_risk, band, 'open' AS status, 'model_flagged' AS detection_source, true AS model_routed, 'case_' || substr(sha256('run1|' || player_key || '|model_flagged'), 1, 20) AS case_id FROM flags WHERE band IN ('medium', 'high')")
 def feedback_cases(spark, d):
     cases = feedback.route(score_players(_structs(spark, d)), "run1", Settings(), "snap")
-    return cases.select("player_key", "overall_risk", "band", "status", "case_source", "case_id")
+    return cases.select("player_key", "overall_risk", "band", "status", "detection_source", "model_routed", "case_id")
 
 
 @query(
-    f"WITH {A.ORACLE}, rv AS (SELECT 'C' || user_id AS case_id, event_id, CASE k % 4 WHEN 0 THEN 'true_positive' WHEN 1 THEN 'false_positive' WHEN 2 THEN 'inconclusive' ELSE 'escalated' END AS decision, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, 'V' || event_id DESC) AS rn FROM ev WHERE event_type = 'signup') "
+    f"WITH {A.ORACLE}, rv AS (SELECT 'C' || user_id AS case_id, event_id, CASE k % 4 WHEN 0 THEN 'true_positive' WHEN 1 THEN 'false_positive' WHEN 2 THEN 'needs_more_review' ELSE 'insufficient_evidence' END AS decision, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, 'V' || event_id DESC) AS rn FROM ev WHERE event_type = 'signup') "
     "SELECT case_id, decision, decision IN ('true_positive', 'false_positive') AS is_trainable_label, decision = 'true_positive' AND CAST(substr(case_id, 2) AS INTEGER) % 2 = 1 AS is_false_negative FROM rv WHERE rn = 1 AND case_id IN (SELECT player_key FROM players)"
 )
 def feedback_labels(spark, d):
-    cases = A.players(spark, d).select(F.col("player_key").alias("case_id"), F.when(F.substring("player_key", 2, 20).cast("int") % 2 == 1, feedback.HUMAN).otherwise(feedback.ROUTED).alias("case_source")).withColumn("was_routed", F.col("case_source") == feedback.ROUTED)
+    odd = F.substring("player_key", 2, 20).cast("int") % 2 == 1
+    cases = A.players(spark, d).select(F.col("player_key").alias("case_id"), F.when(odd, feedback.HUMAN).otherwise(feedback.MODEL).alias("detection_source"), (~odd).alias("model_routed"))
     k = F.col("k") % 4
-    decision = F.when(k == 0, "true_positive").when(k == 1, "false_positive").when(k == 2, "inconclusive").otherwise("escalated")
+    decision = F.when(k == 0, "true_positive").when(k == 1, "false_positive").when(k == 2, "needs_more_review").otherwise("insufficient_evidence")
     reviews = A.events(spark, d).where("event_type = 'signup'").select(F.concat(F.lit("C"), "user_id").alias("case_id"), F.concat(F.lit("V"), "event_id").alias("review_id"), decision.alias("decision"), F.col("ts").alias("reviewed_at"))
     return feedback.labels(cases, reviews).select("case_id", "decision", "is_trainable_label", "is_false_negative")
 
 
+@query(
+    f"WITH {O.SCORED} SELECT 'C' || c_custkey AS player_key, overall_risk, band, 'human_discovered' AS detection_source, overall_risk IS NOT NULL AS model_output_available, coalesce(band IN ('medium', 'high'), false) AS model_routed, "
+    "'case_' || substr(sha256('run1|C' || c_custkey || '|human_discovered'), 1, 20) AS case_id FROM (SELECT c_custkey FROM customer WHERE c_custkey % 10 = 0 UNION ALL SELECT -1) LEFT JOIN flags ON player_key = 'C' || c_custkey"
+)
+def feedback_human_cases(spark, d):
+    """Cases that people open: for every tenth player, and for one that the model has never seen."""
+    asked = A.players(spark, d).where(F.substring("player_key", 2, 20).cast("int") % 10 == 0).select("player_key").unionByName(spark.createDataFrame([("C-1",)], "player_key string"))
+    cases = feedback.human_cases(asked, score_players(_structs(spark, d)), "run1", Settings(), "snap")
+    return cases.select("player_key", "overall_risk", "band", "detection_source", "model_output_available", "model_routed", "case_id")
+
+
 @query(f"WITH {A.ORACLE}{O.PAIRS} SELECT player_key, d_id AS deposit_id, w_id AS withdrawal_id, round(gap, 6) AS gap_minutes FROM pairs")
 def pairs_as_of(spark, d):
     return _pairs(spark, d).select("player_key", "deposit_id", "withdrawal_id", _r(F.col("gap_minutes")).alias("gap_minutes"))
@@ -170,8 +183,8 @@ def pairs_interval_turnover(spark, d):
 
 def _links(spark, d):
     t = A.tables(spark, d)
-    obs = linkage.observations(t["players"], t["logins"], t["money"])
-    return obs, linkage.edges(linkage.shared_holders(linkage.holders(obs), Thresholds().device_max_players))
+    held = kept(linkage.holders(linkage.observations(t["players"], t["logins"], t["money"])), "holders")
+    return held, linkage.edges(kept(linkage.shared_holders(held, Thresholds().device_max_players), "shared"))
 
 
 @query(f"WITH {O.LINKS} SELECT p AS player_key, o AS other, kt AS key_type, sk AS shared_key FROM links")
@@ -186,7 +199,7 @@ def linkage_counts(spark, d):
 
 @query(f"WITH {O.LINKS} SELECT kt AS key_type, n AS holders, count(*) AS n_keys FROM sized GROUP BY ALL")
 def linkage_cardinality(spark, d):
-    return linkage.holders(_links(spark, d)[0]).groupBy("key_type", "shared_key").agg(F.count(F.lit(1)).alias("holders")).groupBy("key_type", "holders").agg(F.count(F.lit(1)).alias("n_keys"))
+    return _links(spark, d)[0].groupBy("key_type", "shared_key").agg(F.count(F.lit(1)).alias("holders")).groupBy("key_type", "holders").agg(F.count(F.lit(1)).alias("n_keys"))
 
 
 @query(f"WITH {O.LINKS} SELECT p AS player_key, o AS other, string_agg(DISTINCT kt, ',' ORDER BY kt) AS kinds FROM links WHERE kt <> 'normalized_phone' GROUP BY ALL")

@@ -25,8 +25,8 @@ BONUS = _schema("player_key:s unjoined_class:s source_id:s txn_type:s amount:d b
 ACTIVITY = _schema("player_key:s unjoined_class:s source_id:s action:s client_ip:s page:s device_type:s created_at:t")
 LOGINS = _schema("player_key:s unjoined_class:s source_id:s fingerprint:s user_type:s success:b failure_reason:s created_at:t")
 CASES = _schema(
-    "case_id:s run_id:s player_key:s case_source:s status:s created_at:t multi_accounting_score:d payment_fraud_score:d betting_anomaly_score:d overall_risk:d band:s "
-    "fired_rules:s unmeasured_features:s feature_snapshot:s ruleset_version:s snapshot_id:s routing_bands:s was_routed:b"
+    "case_id:s run_id:s player_key:s created_at:t overall_risk:d band:s multi_accounting_score:d payment_fraud_score:d betting_anomaly_score:d fired_rules:s unmeasured_features:s feature_snapshot:s "
+    "status:s ruleset_version:s snapshot_id:s detection_source:s model_output_available:b model_routed:b"
 )
 REVIEWS = _schema("review_id:s case_id:s decision:s reviewed_at:t notes:s fraud_type:s")
 STATUS_EVENTS = _schema("case_id:s seq:l status:s")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -39,6 +41,24 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
 
 
+def work_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir, the folder that driver and executors share. Only a session on one machine may have none; it gets one."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        if not (spark.conf.get("spark.master", None) or "").startswith("local"):
+            raise ConfigError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        at = tempfile.mkdtemp(prefix="stakescope-")
+        spark.conf.set("spark.checkpoint.dir", at)
+    return at.rstrip("/")
+
+
+def kept(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """df written once and read again: what many later steps use is computed once, and a lost executor costs a stage, not the run."""
+    path = f"{folder or work_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 

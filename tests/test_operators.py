@@ -287,11 +287,11 @@ def test_feedback(spark, tmp_path):
     people_ = spark.createDataFrame([("q",)], "player_key string")
 
     def reviews(cases):
-        at = [(r["case_id"], "inconclusive" if k == 0 else "true_positive", minutes(k), None, "other") for r in cases.collect() for k in range(2)]
+        at = [(r["case_id"], "needs_more_review" if k == 0 else "true_positive", minutes(k), None, "other") for r in cases.collect() for k in range(2)]
         return spark.createDataFrame(at, "case_id string, decision string, reviewed_at timestamp, notes string, fraud_type string")
 
     run = run_feedback(store, flags, people_, reviews, settings, "snap", "run1")
-    counts = {"case_row_count": 2, "flags_row_count": 1, "routed_case_count": 1, "human_discovered_case_count": 1, "review_row_count": 4, "reviews_recorded_this_run": 4, "reviewed_case_count": 2, "trainable_label_count": 2, "non_trainable_reviewed_count": 0, "false_negative_label_count": 1, "true_positive": 2, "false_positive": 0, "inconclusive": 0, "escalated": 0}
+    counts = {"case_row_count": 2, "flags_row_count": 1, "routed_case_count": 1, "human_discovered_case_count": 1, "review_row_count": 4, "reviews_recorded_this_run": 4, "reviewed_case_count": 2, "trainable_label_count": 2, "non_trainable_reviewed_count": 0, "false_negative_label_count": 1, "true_positive": 2, "false_positive": 0, "needs_more_review": 0, "insufficient_evidence": 0}
     assert {k: run.manifest[k] for k in counts} == counts and run.manifest["ruleset_version"] == settings.ruleset_version
     assert json.loads(read_text(spark, run.manifest["artifact_paths"]["run_manifest"])) == run.manifest
     assert run.labels.count() == 2 and run.reviewed.count() == 2
