@@ -1,4 +1,8 @@
-"""The corpus pipeline: quality classifier, n-gram Jaccard join, substring dedup, best-fit packing."""
+"""The corpus pipeline: quality classifier, n-gram Jaccard join, substring dedup, best-fit packing.
+
+Every stage but the last takes and returns the columns of documents; others that a table may have go in the first stage.
+Null ids, null and empty texts and repeated rows go through; an empty table stays empty.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +14,7 @@ from stakescope.llm.jaccard_join import jaccard_components
 from stakescope.llm.packing import pack
 from stakescope.llm.quality import fit, labelled_sample, score
 from stakescope.llm.recompression import remove_repeats
-from stakescope.llm.shared import stored
+from stakescope.llm.shared import dropped, stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 WINDOW, CAPACITY, SHINGLE = 13, 2048, 5
@@ -30,18 +34,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the smallest id (documents with that same id all stay).
+    """One document of each group of near duplicates stays: the one with the smallest id (no id counts as largest; of several such rows, the first).
 
-    A null id counts as smaller than any other, so documents without an id stay, and of their groups no others do.
+    Rows are told apart by their place in the table, so repeated rows and rows without an id are documents like others.
+    Documents without words are in no group and stay.
     """
-    keep = jaccard_components(docs, SHINGLE).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    docs = docs.select(*COLUMNS)
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["kept_id"]), "left_semi").select(*COLUMNS)
+    docs = docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row"))
+    found = jaccard_components(docs, SHINGLE, id_col="_row", fixed=True)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
+    first = docs.select("_row", "doc_id").join(found, "_row").groupBy("component_id").agg(F.min(order)["_row"].alias("_row")).select("_row")
+    return docs.join(first, "_row", "left_semi").select(*COLUMNS)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of passages that a document with a smaller id has too go; texts without such passages stay as they are."""
-    found = remove_repeats(docs.select(*COLUMNS), WINDOW)
+    found = remove_repeats(docs.select(*COLUMNS), WINDOW, fixed=True)
     text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
     return found.withColumn("text", text).withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
@@ -59,6 +66,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on documents; each stage's rows are written and read again as the next one's."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    old = None
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        if old is not None:
+            dropped(old)
+        old = docs
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -172,12 +172,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     listed = active.select("row", "n", "rare", F.posexplode("prefix").alias("at", "token")).select("token", "row", "n", "rare", (F.col("rare") + F.col("at")).alias("place"), F.col("row").alias("root"))
     rest = stored(listed.join(listed.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token"), "token", "left_semi"), "listed")
     ends = lambda: (F.least("x.row", "y.row").alias("a"), F.greatest("x.row", "y.row").alias("b"))
-    checked, linked, found, open_pairs = None, None, None, None
+    checked, linked, found, open_pairs = None, None, None, float("inf")
     while True:
-        open_ = rest.groupBy("token", "root").agg(F.count(F.lit(1)).cast("double").alias("c")).groupBy("token").agg((F.pow(F.sum("c"), 2) - F.sum(F.col("c") * F.col("c"))).alias("p"))
-        before, open_pairs, rows = open_pairs, open_.agg(F.coalesce(F.sum("p"), F.lit(0.0)) / 2).first()[0], rest.count()
-        if not open_pairs or before is not None and (open_pairs <= FEW * rows or open_pairs > FALL * before):
-            break
         # the head: fewest shingles of its own, of the documents whose component is not that of the last round's head
         fresh = rest
         if checked is not None:
@@ -190,12 +186,16 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
         more = stored(_links(star, sets, num, den), "links")
         checked, linked = (star, more) if checked is None else (checked.unionByName(star), linked.unionByName(more))
         found = components(linked)
-        rest = stored(_open(rest, found), "rest")
+        old, rest = rest, stored(_open(rest, found), "rest")
+        dropped(old)
+        before, (open_pairs, rows) = open_pairs, _open_pairs(rest)
+        if open_pairs <= FEW * rows or open_pairs > FALL * before:
+            break
     pairs = rest.alias("x").join(rest.alias("y"), "token").where((F.col("x.row") < F.col("y.row")) & (F.col("x.root") != F.col("y.root")) & _possible("x", "y", num, den))
     pairs = pairs.select(F.col("x.row").alias("a"), F.col("y.row").alias("b")).distinct()
-    pairs = stored(pairs if checked is None else pairs.join(checked, ["a", "b"], "left_anti"), "pairs")
+    pairs = stored(pairs.join(checked, ["a", "b"], "left_anti"), "pairs")
     more = stored(_links(pairs, sets, num, den), "links")
-    found = components(more if linked is None else linked.unionByName(more))
+    found = components(linked.unionByName(more))
     named = stored(nodes.join(found, "node", "left").withColumn("root", F.coalesce("root", "node")), "named")
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     of = stored(named.join(least, "root").select(*same, "component_id"), "classes")
@@ -205,6 +205,14 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     return sets.select("doc_id", *same).join(of, same).select(known("doc_id").alias(id_col), F.col("n").alias("n_shingles"), known("component_id").alias("component_id"))
 
 
+def _open_pairs(rest: DataFrame) -> tuple[float, int]:
+    """Pairs that share a token and are in different components (a pair counts for each token), and listed rows."""
+    by_root = rest.groupBy("token", "root").agg(F.count(F.lit(1)).cast("double").alias("c"))
+    by_token = by_root.groupBy("token").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
+    r = by_token.agg((F.coalesce(F.sum(F.col("s") * F.col("s") - F.col("q")), F.lit(0.0)) / 2).alias("p"), F.coalesce(F.sum("s"), F.lit(0.0)).alias("n")).first()
+    return r["p"], int(r["n"])
+
+
 def _open(rest: DataFrame, found: DataFrame) -> DataFrame:
     """Listed documents with their present root, of the tokens whose documents are not all connected."""
     marked = rest.drop("root").join(found.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row"))

@@ -140,6 +140,12 @@ def test_suffix_tree(odd, none):
         assert r["base_score"] == pytest.approx(base, rel=1e-9) and r["score"] < 0
     assert sum(r["score"] for r in got.values()) > sum(r["base_score"] for r in got.values())
     assert score(none, column).count() == 0
+    twice = {}
+    for r in score(odd.union(odd), column).collect():
+        twice.setdefault(r["doc_id"], []).append(r)
+    for i, (a, b) in twice.items():  # repeated rows are rows of their own, in training too
+        assert a == b and (a["n_tokens"], a["train_tokens"], a["held_out"]) == (got[i]["n_tokens"], 2 * n, got[i]["held_out"])
+        assert a["base_score"] == pytest.approx(sum(math.log10((2 * counts[x] + 0.1) / (2 * n + 0.1 * (v + 1))) for x in [*words_of(dict(rows)[i], lower=True), None]), rel=1e-9)
     unlearned = score(odd, F.lit(False)).collect()
     assert all(r["train_tokens"] == 0 and r["score"] == r["base_score"] for r in unlearned)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,7 @@ from stakescope.llm.byte_bpe import decode, encode, round_trip
 from stakescope.llm.packing import pack, pack_plan
 from stakescope.llm.token_counts import token_counts
 
-from .conftest import odd_texts
+from .conftest import alternating, odd_texts
 
 
 @pytest.fixture(scope="module")
@@ -53,7 +54,7 @@ def test_token_counts(odd, none, vocabulary, library):
         assert got[i] == (len((t or "").encode()), n, n > 512)
     assert token_counts(none, *vocabulary("byte_bpe_50k.json")).count() == 0
     twice = token_counts(odd.union(odd), *vocabulary("byte_bpe_50k.json"))
-    assert twice.count() == 2 * len(odd_texts())
+    assert Counter(map(tuple, twice.collect())) == Counter({(i, *v): 2 for i, v in got.items()})
 
 
 def test_byte_bpe(odd, none, vocabulary):
@@ -70,6 +71,8 @@ def test_byte_bpe(odd, none, vocabulary):
         d = digests[r["doc_id"]]
         assert (d["n_tokens"], d["ids_sha256"], d["decoded_sha256"]) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(t.encode()).hexdigest())
     assert round_trip(none, *ranks).count() == 0
+    twice = round_trip(odd.union(odd).withColumn("data", F.lit("x")), *ranks).collect()
+    assert Counter(map(tuple, twice)) == Counter({tuple(r): 2 for r in digests.values()})
 
 
 def fits(plan, bins, histogram, capacity):
@@ -144,3 +147,40 @@ def test_packing(odd, none, vocabulary, library):
                 assert offset == at
                 at += length
             assert at <= 256
+
+
+def test_packing_of_repeated_rows_and_clashing_columns(odd, vocabulary, library):
+    twice = odd.union(odd).withColumn("length", F.lit("x")).withColumn("offset", F.lit(1)).withColumn("_rank", F.lit(2))
+    rows = pack(twice, *vocabulary("byte_bpe_50k.json"), 256).collect()
+    want = Counter()
+    for i, t in odd_texts():
+        n = len(library.encode(t or "", add_special_tokens=False).ids) + 1
+        first = (n - 1) % 256 + 1
+        for k in range(-(-n // 256)):
+            want[i, k, 0 if not k else first + 256 * (k - 1), first if not k else 256] += 2
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"]) for r in rows) == want
+    taken = {}
+    for r in rows:
+        taken.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert all(sum(n for _, n in x) <= 256 and all(a[0] + a[1] == b[0] for a, b in zip(sorted(x), sorted(x)[1:])) for x in taken.values())
+
+
+def test_spans_that_collide_are_told_apart():
+    """With a hash of two bits nearly all words collide; bytes still decide."""
+    from stakescope.llm import textcore
+
+    text = " ".join(f"w{k % 37}" for k in range(500)).encode()
+    data = np.frombuffer(text, np.uint8)
+    s, e, _ = textcore.word_spans(data, np.array([0, len(data)]))
+    keys = textcore.hash_spans(data, s, e) % np.uint64(4)
+    d, example, inverse, n = textcore.distinct_spans(data, s, e, keys)
+    words = [text[a:b] for a, b in zip(s, e, strict=True)]
+    assert len(d) == 37 and n.sum() == 500 and (np.diff(d.astype(np.int64)) >= 0).all()
+    assert [words[example[k]] for k in inverse] == words
+    whole = bpe.WholeTokens([b"w1", b"w2", b"w30"])
+    assert whole.holds(data, s, e, textcore.hash_spans(data, s, e)).tolist() == [w in (b"w1", b"w2", b"w30") for w in words]
+    a, b = (np.frombuffer(w.encode(), np.uint8) for w in alternating(1024))
+    for lane in (0, 1):
+        for m in (8, 24, 64, 1024):
+            one, two = (textcore.hash_spans(x, np.array([0]), np.array([m]), lane)[0] for x in (a, b))
+            assert one != two

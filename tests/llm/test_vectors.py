@@ -116,3 +116,22 @@ def test_small_index_is_compared_completely(spark):
         got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
     want = dict(brute(dict(enumerate(m)), 20, 20))
     assert {q: [i for _, i in sorted(x)] for q, x in got.items()} == {q: [i for i, _ in x] for q, x in want.items()}
+
+
+def test_approximate_top_k_with_repeated_ids(spark):
+    """An id with several vectors asks with the smallest and counts once, with its best; rows without an id take no part."""
+    rng = np.random.default_rng(8)
+    m = rng.standard_normal((60, 8)).astype(np.float32)
+    rows = [(k, m[k].tolist()) for k in range(60)] + [(0, [-9.0] * 8), (3, m[7].tolist()), (3, m[3].tolist()), (None, m[0].tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {}
+    for r in approximate_top_k(df, 20, 20).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    for q in (0, 20, 40):
+        own = np.array(min(v for i, v in rows if i == q), np.float32).astype(float)
+        best = {}
+        for i, v in rows:
+            if i is not None and i != q:
+                best[i] = max(best.get(i, -np.inf), float(np.array(v, np.float32).astype(float) @ own))
+        want = sorted(best.items(), key=lambda x: (-x[1], x[0]))[:20]
+        assert [i for _, i, _ in sorted(got[q])] == [i for i, _ in want] and [s for *_, s in sorted(got[q])] == pytest.approx([s for _, s in want])
