@@ -117,7 +117,7 @@ class Block:
         place[order] = np.arange(len(used))
         used, pos = used[order], (np.cumsum(keep) - 1)[self.pos]
         docs = [self.ids.view(U64), *(getattr(self, n) for n in self.DOCS[1:])]
-        return pack(np.array([self.level, int(keep.sum())]), *docs, deltas(self.ident[used]), self.count[used], place[at], np.packbits(cut[keep]), np.diff(pos, prepend=0), np.diff(self.doc, prepend=0), self.seen, self.of, self.kinds if self.level == 2 else self.p)
+        return pack(np.array([self.level, int(keep.sum())]), *docs, deltas(self.ident[used]), self.count[used], place[at], np.packbits(cut[keep]), np.diff(pos, prepend=0), np.diff(self.doc, prepend=0), self.seen, self.of[:0] if self.level == 2 else self.of, self.kinds if self.level == 2 else self.p)
 
     @classmethod
     def unpacked(cls, body, n_tokens, n_words) -> Block:
@@ -131,13 +131,14 @@ class Block:
         b.ident, b.count, b.at, b.cut = undeltas(ident), count.astype(np.int64), at.astype(np.int64), np.unpackbits(cut, count=int(tokens)).astype(bool)
         b.pos, b.doc = np.cumsum(pos.astype(np.int64)), np.cumsum(doc.astype(np.int64))
         b.seen, b.of = seen.astype(np.int64), of.astype(np.int64)
-        b.most = b.of
-        if b.level == 2:
+        if b.level == 2:  # something follows each sighting of a word, be it the end
+            b.of = b.count[b.at[b.pos - 1]]
             kinds = p.astype(np.float64)
             base = _base(b.count[b.at[b.pos]], n_tokens, n_words)
             b.p = np.where(kinds > 0, (b.seen + kinds * base) / (b.of + kinds), base)
         else:
             b.p = np.array(p)
+        b.most = b.of
         return b
 
     def _start(self) -> np.ndarray:
@@ -170,18 +171,19 @@ class Block:
         self.split, self.salt = np.zeros(len(units), bool), np.zeros(len(units), U64)
         self.split[self.unit_at[hot]], self.salt[self.unit_at[hot]] = True, salt
         self.apart = np.unique(self.key[hot])
-        pair, self.pair_at, _ = distinct(self.unit_at[known] * width + word[known])
-        self.pair_unit, self.pair_word, self.known = pair // width, pair % width, known
         self.learnt = self.train[self.doc]
-        self.n = np.bincount(self.pair_at, weights=self.learnt[known], minlength=len(pair)).astype(np.int64)
+        self.asks = asks = known & (self.seen > 0)  # what never stands after the suffix never stands after the context
+        pair, self.pair_at, _ = distinct(self.unit_at[asks] * width + word[asks])
+        self.pair_unit, self.pair_word = pair // width, pair % width
+        self.n = np.bincount(self.pair_at, weights=self.learnt[asks], minlength=len(pair)).astype(np.int64)
 
     def ask(self, block, parts):
         """Pairs with their training counts by bucket, and what the block's training words say of each context's divergence."""
         self.pairs(parts)
         sizes = np.bincount(self.pair_unit, minlength=len(self.split))
         upto = np.concatenate(([0], np.cumsum(sizes)))
-        logs = np.where(self.learnt, np.log(np.maximum(self.seen, 1)) - np.log(self.of), 0.0)
-        cross = np.bincount(self.unit_at, weights=logs, minlength=len(sizes)).astype(np.float32).view(np.uint32)
+        of, seen = np.zeros(len(sizes), np.int64), np.zeros(len(self.pair_unit), np.int64)
+        of[self.unit_at], seen[self.pair_at] = self.of, self.seen[self.asks]
         home = bounds(self.apart, parts)
         for p in np.flatnonzero(np.diff(home)).tolist():
             yield p, block, CONTEXT, pack(deltas(self.apart[home[p] : home[p + 1]]))
@@ -190,7 +192,7 @@ class Block:
             x, y = self.edge[p], self.edge[p + 1]
             i, j = upto[x], upto[y]
             split = np.flatnonzero(self.split[x:y])
-            yield p, block, ASK, pack(deltas(last[x:y]), sizes[x:y], self.ident[self.pair_word[i:j]], self.n[i:j], cross[x:y], split, self.salt[x:y][split], *(w[x:y] for w in more))
+            yield p, block, ASK, pack(deltas(last[x:y]), sizes[x:y], self.ident[self.pair_word[i:j]], self.n[i:j], seen[i:j], of[x:y], split, self.salt[x:y][split], *(w[x:y] for w in more))
 
     def advance(self, came, parts) -> None:
         """Probabilities with the retained contexts of this level, and the places whose longer contexts are tested next."""
@@ -199,7 +201,7 @@ class Block:
         if len(totals) != len(self.n):
             raise RuntimeError("a block's pairs and their counts come from different inputs; store the input first")
         mine = np.zeros(len(self.pos), np.int64)
-        mine[self.known] = totals.astype(np.int64)[self.pair_at]
+        mine[self.asks] = totals.astype(np.int64)[self.pair_at]
         n, kinds, flags = n.astype(np.int64)[self.unit_at], kinds.astype(np.int64)[self.unit_at], flags[self.unit_at]
         far = np.flatnonzero(self.split[self.unit_at])
         if len(far):
@@ -298,39 +300,37 @@ def _answer_words(rows, parts):
 
 def _answer_pairs(rows, parts, cost):
     """Counts of (context, word) pairs, and what is decided on contexts that are whole here; others' sums go to their own bucket."""
-    asked, units, sizes, words, ns, crosses, apart, bucket = [], [], [], [], [], [], [], 0
+    asked, came, apart, bucket = [], [], [], 0
     for bucket, block, kind, body in rows:
         if kind == CONTEXT:
             yield bucket, block, kind, body.as_py()
             continue
-        last, size, x, n, cross, at, salt, *more = unpack(body.as_py())
+        last, size, x, n, seen, of, at, salt, *more = unpack(body.as_py())
         key, at = _context([undeltas(last), *(w.astype(U64) for w in more)]), at.astype(np.int64)
         unit = key.copy()
         unit[at] = _salted(key[at], salt.astype(U64))
         asked.append((block, len(x), *[len(unit)] * 3))
-        units.append(unit)
-        sizes.append(size.astype(np.int64))
-        words.append(x.astype(np.uint32 if not len(x) or int(x.max()) < 1 << 32 else U64))
-        ns.append(n.astype(np.uint32))
-        crosses.append(cross.astype(np.uint32).view(np.float32))
+        narrow = lambda a: a.astype(np.uint32 if not len(a) or int(a.max()) < 1 << 32 else U64)
+        came.append((unit, size.astype(np.int64), *map(narrow, (x, n, seen, of))))
         apart.append((unit[at], key[at]))
     if not asked:
         return
-    keys, unit_at, _ = distinct(np.concatenate(units))
-    del units
-    row = np.repeat(unit_at, np.concatenate(sizes))
-    pair = mix(keys[row] * _R + np.concatenate([w.astype(U64) for w in words]))
-    del words
+    units, sizes, words, ns, seen, of = map(np.concatenate, zip(*came, strict=True))
+    del came
+    keys, unit_at, _ = distinct(units)
+    row = np.repeat(unit_at, sizes)
+    pair = mix(keys[row] * _R + words.astype(U64))
+    del units, sizes, words
     d, inverse, _ = distinct(pair)
     del pair
-    total = np.bincount(inverse, weights=np.concatenate(ns), minlength=len(d)).astype(np.int64)
-    unit_of = np.empty(len(d), np.int64)
-    unit_of[inverse] = row
+    total = np.bincount(inverse, weights=ns, minlength=len(d)).astype(np.int64)
+    unit_of, suffix, context_of = np.empty(len(d), np.int64), np.ones(len(d)), np.ones(len(keys))
+    unit_of[inverse], suffix[inverse], context_of[unit_at] = row, np.maximum(seen, 1), np.maximum(of, 1)
     del row
     known = total > 0
     c, unit_of = total[known].astype(np.float64), unit_of[known]
-    n, kinds, logs = (np.bincount(unit_of, weights=w, minlength=len(keys)) for w in (c, np.ones(len(c)), c * np.log(c)))
-    cross = np.bincount(unit_at, weights=np.concatenate(crosses), minlength=len(keys))
+    n, kinds, logs, cross = (np.bincount(unit_of, weights=w, minlength=len(keys)) for w in (c, np.ones(len(c)), c * np.log(c), c * np.log(suffix[known])))
+    cross -= n * np.log(context_of)
     flags = _flags(n, kinds, logs, cross, cost)
     yield from _given(bucket, asked, COUNTS, parts, total[inverse], n.astype(np.int64)[unit_at], kinds.astype(np.int64)[unit_at], flags[unit_at])
     name, away = keys.copy(), np.zeros(len(keys), bool)
