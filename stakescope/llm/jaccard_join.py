@@ -127,8 +127,8 @@ def shingle_sets(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_
     parts = n_parts(source)
     texts = source.mapInArrow(lambda it: batches(text_rows(it, 0, 1, parts)), ROW)
     asked = source.mapInArrow(lambda it: batches(_ask_counts(it, k, parts)), ROW)
-    counts = stored(sent(asked, parts, lambda it: batches(_answer_counts(rows_of(it), parts))), "counts")
-    out = stored(sent(texts.unionByName(counts), parts, lambda it: _sets(rows_of(it), k, num, den), SETS), "sets")
+    counts = stored(sent(asked, parts, lambda it: batches(_answer_counts(rows_of(it), parts))), "counts", free=True)
+    out = stored(sent(texts.unionByName(counts), parts, lambda it: _sets(rows_of(it), k, num, den), SETS), "sets", free=True)
     dropped(counts)
     return out
 

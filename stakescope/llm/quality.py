@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 #: Labelled documents of each class, and bytes of them, that fitting brings to the driver at most (whole texts, smallest hashes of the id first).
 SAMPLE_DOCS, SAMPLE_BYTES = 1200, 32_000_000
 #: Bytes of each dictionary at most, and of the chunks into which whole texts are cut, so that a dictionary counts all along a long text.
-DICTIONARY_BYTES, CHUNK_BYTES, LEVEL = 440_000, 128, 9
+DICTIONARY_BYTES, CHUNK_BYTES, LEVEL = 440_000, 64, 9
 
 
 class CompressionModel:
@@ -50,7 +50,7 @@ class CompressionModel:
         return 1 / (1 + np.exp(-np.clip(self.weights[0] + self.weights[1] * x, -35, 35)))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 60) -> np.ndarray:
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 60) -> np.ndarray:
     """Intercept and slope of a ridge logistic regression on x (scaled to unit deviation while fitting), by Newton's method."""
     scale = float(x.std()) or 1.0
     design = np.column_stack([np.ones(len(x)), x / scale])

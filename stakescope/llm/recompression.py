@@ -248,9 +248,9 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
     parts = n_parts(docs)
     texts = docs.mapInArrow(lambda it: batches(text_rows(it, id_at, text_at, parts)), ROW)
     asked = docs.select(id_col, text_col).mapInArrow(lambda it: batches(_ask_anchors(it, 0, 1, window, parts)), ROW)
-    shared = stored(sent(asked, parts, lambda it: batches(_answer_anchors(rows_of(it), parts))), "anchors")
+    shared = stored(sent(asked, parts, lambda it: batches(_answer_anchors(rows_of(it), parts))), "anchors", free=True)
     asked = sent(texts.unionByName(shared), parts, lambda it: batches(_ask_windows(rows_of(it), id_at, text_at, window, parts)))
-    repeated = stored(sent(asked, parts, lambda it: batches(_answer_windows(rows_of(it), parts))), "windows")
+    repeated = stored(sent(asked, parts, lambda it: batches(_answer_windows(rows_of(it), parts))), "windows", free=True)
     rows = texts.unionByName(shared).unionByName(repeated.withColumn("tag", F.lit(ANSWER + 1)))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return sent(rows, parts, lambda it: _removed(rows_of(it), id_at, text_at, window, names), f"{fields}, n_words long, n_removed long, kept string")

@@ -31,14 +31,19 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
-def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
-    """df written to the shared folder and read again: cuts the lineage, survives lost executors. by: a column that gets a folder for each value."""
+def stored(df: DataFrame, name: str, by: str | None = None, free: bool = False) -> DataFrame:
+    """df written to the shared folder and read again: cuts the lineage, survives lost executors.
+
+    by: a column that gets a folder for each value. free: let go of the shuffle files of what has been written, which is
+    worth a pause after exchanges of whole texts.
+    """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(by) if by else writer).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
     out._stored_at = path
-    release(df.sparkSession)
+    if free:
+        release(df.sparkSession)
     return out
 
 

@@ -402,8 +402,8 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
     """
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.coalesce(training, F.lit(False)).alias("train"))
     parts = n_parts(source)
-    begun = stored(source.mapInArrow(lambda it: batches(tokenized(it, parts)), ROW), "tokens", by="tag")
-    words = stored(sent(begun.where(F.col("tag") == ASK), parts, lambda it: batches(_answer_words(rows_of(it), (parts, parts)))), "words")
+    begun = stored(source.mapInArrow(lambda it: batches(tokenized(it, parts)), ROW), "tokens", by="tag", free=True)
+    words = stored(sent(begun.where(F.col("tag") == ASK), parts, lambda it: batches(_answer_words(rows_of(it), (parts, parts)))), "words", free=True)
     dropped(begun, f"tag={ASK}")
     sums = {r["tag"]: r["n"] for r in words.where(F.col("tag").isin(TOTAL_N, TOTAL_V)).groupBy("tag").agg(F.sum("block").alias("n")).collect()}
     totals = n_tokens, _ = sums.get(TOTAL_N, 0), sums.get(TOTAL_V, 0)
@@ -414,10 +414,10 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
         state = state.withColumn("to", F.expr(f"cast(cast(to as long) * {some} div {parts} as int)"))
         ask = lambda it, p=some, f=first: batches(_ask_pairs(rows_of(it), p, f, totals))
         asked = sent(state, some, ask) if first else state.mapInArrow(ask, ROW)
-        pairs = stored(sent(asked, some, lambda it, p=(parts, some): batches(_answer_pairs(rows_of(it), p, cost))), "pairs")
+        pairs = stored(sent(asked, some, lambda it, p=(parts, some): batches(_answer_pairs(rows_of(it), p, cost))), "pairs", free=level < 4)
         found = stored(sent(pairs.where(F.col("tag").isin(SUM, CONTEXT)), some, lambda it, p=(parts, some): batches(_answer_contexts(rows_of(it), p, cost))), "contexts")
         both = state.unionByName(pairs.where(F.col("tag") == COUNTS)).unionByName(found)
-        now = stored(sent(both, some, lambda it, p=(parts, some), f=first: batches(_advanced(rows_of(it), p, f, totals))), "state")
+        now = stored(sent(both, some, lambda it, p=(parts, some), f=first: batches(_advanced(rows_of(it), p, f, totals))), "state", free=level < 4)
         for x in (*old, pairs, found):
             dropped(x)
         places = now.where(F.col("tag") == COUNT).agg(F.sum("block")).first()[0]

@@ -285,7 +285,7 @@ def test_quality_scores_equal_brute_force(odd, spark):
         assert made == b"\n".join(held) and made
         raw.precompute_compress(level=9)
         tool = zstandard.ZstdCompressor(dict_data=raw, write_content_size=False, write_checksum=False, write_dict_id=False)
-        sizes.append(lambda t, tool=tool: sum(len(tool.compress(t[i : i + 128])) for i in range(0, len(t), 128)))
+        sizes.append(lambda t, tool=tool: sum(len(tool.compress(t[i : i + Q.CHUNK_BYTES])) for i in range(0, len(t), Q.CHUNK_BYTES)))
     feature = lambda t: (sizes[1](t) - sizes[0](t)) / len(t) if t else 0.0
     a, b = model.weights
     want = lambda t: 1 / (1 + math.exp(-max(-35, min(35, a + b * feature(t)))))

@@ -19,13 +19,15 @@ def docs(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def test_quality_keeps_clean_documents(spark, docs, sf_dir):
+def test_quality_keeps_clean_documents(spark, sf_dir):
+    sf_dir = sf_dir.replace("sf0.001", "sf0.1")  # enough labels to tell a rate from chance
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     kept = P.quality(spark, docs, sf_dir)
     assert kept.columns == list(P.COLUMNS)
     assert kept.join(docs, list(P.COLUMNS), "left_anti").count() == 0
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     rates = {r["quality"]: r["k"] for r in labels.join(kept.select("doc_id", F.lit(1).alias("k")), "doc_id", "left").groupBy("quality").agg(F.avg(F.coalesce("k", F.lit(0))).alias("k")).collect()}
-    assert rates[1] > 0.9 and rates.get(0, 0) < 0.4
+    assert rates[1] > 0.97 and rates.get(0, 0) < 0.2
 
 
 def test_near_duplicates_keep_one_of_each_group(spark, docs, sf_dir):
