@@ -107,7 +107,8 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
 
     Pre-tokens keep their positions in blocks; each block sends each of its distinct words once, each bucket of words
     encodes each distinct word once, and ids come back to the blocks. A word that stands everywhere reaches its bucket
-    once from each block. Null and empty texts have no ids. Ids of rows must be integers; repeated rows stay.
+    once from each block. Null and empty texts have no ids. Ids of rows must be integers (null stays null); repeated rows
+    stay; an empty table gives an empty result; other columns go.
     """
     vocabulary = Vocabulary.read(path, pattern)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)

@@ -157,7 +157,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     """(id, n_shingles, component_id) of every row: the smallest id that links lead to.
 
     Words are compared with A-Z lower-cased. Two documents link when den * intersection >= num * union of their sets of
-    distinct k-word shingles; fewer words make one shingle of all of them; no words or null link with nothing. A null id counts as smaller than any other.
+    distinct k-word shingles; fewer words make one shingle of all of them; no words or null link with nothing. A null id counts
+    as smaller than any other. Repeated rows stay; an empty table gives an empty result; other columns go. fixed: docs gives
+    the same partitions on every pass, as tables read from files do; otherwise it is stored first.
 
     Equal sets are one node from the start. Candidates are checked in rounds, so that a group of near copies does not cost all
     its pairs: for each prefix shingle, all its documents against one of them, first the one with the fewest shingles of its

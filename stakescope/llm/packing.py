@@ -150,8 +150,8 @@ def pack(docs: DataFrame, path: str, pattern: str, capacity: int = 2048, end_id:
     """All pieces of docs with the sequence that each goes to and its offset there, in few sequences.
 
     The driver sees the histogram of piece lengths (at most `capacity` rows) and makes a plan of ranges of ranks; pieces are
-    ranked within their length in a distributed way, and join the plan. Documents with the same id are told apart by content.
-    An empty table gives an empty result.
+    ranked within their length in a distributed way, and join the plan. Documents with the same id are told apart by content;
+    repeated rows are documents of their own. An empty table gives an empty result; other columns go.
     """
     pieces = stored(token_pieces(docs, path, pattern, capacity, end_id), "pieces")
     histogram = [(r[0], r[1]) for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()]

@@ -16,7 +16,7 @@ def token_counts(docs: DataFrame, path: str, pattern: str, limit: int = 512, id_
 
     The strings of the vocabulary that encode alone as one token are found once on the driver (at most as many as
     the vocabulary has); a pre-token among them counts one, others are merged and remembered by each task.
-    Null and empty texts have 0 bytes and 0 tokens; rows are neither merged nor dropped. No shuffle.
+    Null and empty texts have 0 bytes and 0 tokens; rows are neither merged nor dropped; other columns go. No shuffle.
     """
     vocabulary = Vocabulary.read(path, pattern)
     whole = WholeTokens(list(vocabulary.prove_whole()))

@@ -128,7 +128,8 @@ def exact_top_k(rows: DataFrame, k: int = 20, every: int = 20, id_col: str = "ve
 
     Queries are the rows whose id is divisible by `every`, once for each id (the smallest vector, if an id has several);
     every row with another id is a candidate. Vectors that are null or hold null or non-finite components take no part, nor
-    do rows without an id; vectors of other lengths count as padded with zeros.
+    do rows without an id; vectors of other lengths count as padded with zeros. Repeated rows are candidates of their own;
+    an empty table gives an empty result; other columns go.
 
     Rows are ordered along a space-filling curve and dealt to groups of GROUP_ROWS; a task cuts its group into blocks and
     gives its own queries a first threshold. Then query blocks meet groups in cells, which prune with it. What is sent
