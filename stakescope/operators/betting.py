@@ -11,38 +11,46 @@ from .guards import population
 from .specs import BET, barrier, feature, item, nonempty
 
 
-def by_game(bets: DataFrame) -> DataFrame:
-    """One row per player and game: counts, stakes, gaps between consecutive bets (order: time, ticket)."""
+def by_game(bets: DataFrame, evidence: bool = True) -> DataFrame:
+    """One row per player and game: counts, stakes, gaps between consecutive bets (order: time, ticket); without evidence, no lists."""
     order = Window.partitionBy("player_key", "game").orderBy(F.col("created_at").asc_nulls_last(), "ticket_id")
     rows = bets.select("player_key", F.coalesce(S.optional_text("game_type"), F.lit("unknown")).alias("game"), "ticket_id", "status", "result", "created_at", S.amount("stake").alias("stake"))
     rows = rows.withColumn("gap", S.seconds_between(F.lag("created_at").over(order), "created_at"))
     settled = F.coalesce(F.col("status") == "SETTLED", F.lit(False))
     won = settled & F.coalesce(F.col("result") == "WIN", F.lit(False))
-    ends = F.struct("stake", "ticket_id")
+    ends, gathered = F.struct("stake", "ticket_id"), _gathered(rows, evidence)
     g = rows.groupBy("player_key", "game").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(settled).alias("settled"), F.count_if(won).alias("wins"), F.array_sort(F.collect_list(F.when(won, F.col("ticket_id")))).alias("winning"),
-        F.array_sort(F.collect_list("ticket_id")).alias("tickets"), F.array_sort(F.collect_list(F.struct("created_at", "ticket_id", "gap"))).alias("timed"), F.avg("gap").alias("gap_mean"), F.stddev_pop("gap").alias("gap_std"),
+        F.count(F.lit(1)).alias("n"), F.count_if(settled).alias("settled"), F.count_if(won).alias("wins"), gathered(F.when(won, F.col("ticket_id"))).alias("winning"),
+        gathered(F.col("ticket_id")).alias("tickets"), gathered(F.struct("created_at", "ticket_id", "gap")).alias("timed"), F.avg("gap").alias("gap_mean"), F.stddev_pop("gap").alias("gap_std"),
         F.sum("stake").alias("stake_sum"), F.avg("stake").alias("stake_mean"), F.stddev_pop("stake").alias("stake_std"), F.min(ends).alias("least"), F.max(ends).alias("most"),
     )
     return g.withColumn("win_rate", F.try_divide("wins", "settled")).withColumn("timing_cv", S.variation(F.col("gap_mean"), F.col("gap_std"))).withColumn("stake_cv", F.when(F.col("stake_mean") > 0, F.col("stake_std") / F.col("stake_mean")).otherwise(0.0))
 
 
-def bet_totals(bets: DataFrame) -> DataFrame:
-    """One row per player over all games."""
+def _gathered(df: DataFrame, evidence: bool):
+    """Sorted lists of a column as an aggregate; without evidence, nulls of the same type."""
+    if evidence:
+        return lambda x: F.array_sort(F.collect_list(x))
+    return lambda x: F.max(F.lit(None).cast(df.select(F.array(x).alias("x")).schema["x"].dataType))
+
+
+def bet_totals(bets: DataFrame, evidence: bool = True) -> DataFrame:
+    """One row per player over all games; without evidence, no lists of tickets."""
     odds, bonus, free = S.as_double("total_odds"), S.amount("stake_bonus"), F.coalesce("is_free_bet", F.lit(False))
-    tickets = lambda c: F.array_sort(F.collect_list(F.when(c, F.col("ticket_id"))))
+    gathered = _gathered(bets, evidence)
+    tickets = lambda c: gathered(F.when(c, F.col("ticket_id")))
     return bets.groupBy("player_key").agg(
         F.count(F.lit(1)).alias("bets"), tickets(F.lit(True)).alias("all_tickets"), F.sum(S.amount("stake")).alias("stakes"), F.sum(bonus).alias("bonus"), tickets((bonus > 0) | free).alias("bonus_tickets"), F.count_if(free).alias("free"),
         F.avg(odds).alias("odds_mean"), F.stddev_pop(odds).alias("odds_std"), F.min(odds).alias("odds_min"), F.max(odds).alias("odds_max"), F.count(odds).alias("odds_n"), tickets(odds.isNotNull()).alias("odds_tickets"),
-        F.array_sort(F.collect_set(F.to_date("created_at").cast("string"))).alias("days"), tickets(F.col("status") == "VOID").alias("void"),
+        F.array_sort(F.collect_set(F.to_date("created_at").cast("string"))).alias("days"), tickets(F.col("status") == "VOID").alias("void"), F.count_if(F.col("status") == "VOID").alias("n_void"),
     )
 
 
-def betting(players: DataFrame, bets: DataFrame, t: Thresholds) -> DataFrame:
-    """player_key and one struct for each feature."""
+def betting(players: DataFrame, bets: DataFrame, t: Thresholds, evidence: bool = True) -> DataFrame:
+    """player_key and one struct for each feature. Without evidence, no lists of tickets are gathered."""
     people = players.where("player_key is not null").select("player_key")
     own = population(bets, people)
-    games = by_game(own)
+    games = by_game(own, evidence)
     rated = F.struct((-F.col("win_rate")).alias("order"), "game", F.struct(F.col("game").alias("game_type"), F.col("settled").alias("settled_bets"), F.concat_ws("", F.col("wins"), F.lit(" wins / "), F.col("settled"), F.lit(" settled bets")).alias("reason_text"), "win_rate", F.col("winning").alias("winning_ticket_ids"), "wins").alias("e"))
     timed = F.struct(F.col("timing_cv").alias("order"), "game", F.struct(F.col("timing_cv").alias("coefficient_of_variation"), F.col("game").alias("game_type"), F.filter(F.transform("timed", lambda x: x["gap"]), lambda x: x.isNotNull()).alias("gap_seconds"), F.col("tickets").alias("ticket_ids"), F.transform("timed", lambda x: F.date_format(x["created_at"], "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")).alias("timestamps")).alias("e"))
     extremes = S.sorted_distinct(F.array(F.col("least.ticket_id"), F.col("most.ticket_id")))
@@ -50,7 +58,7 @@ def betting(players: DataFrame, bets: DataFrame, t: Thresholds) -> DataFrame:
     kept = lambda gate, x: F.array_sort(F.collect_list(F.when(gate, x)))
     per_game = F.struct("game", "n", "stake_sum", "tickets")
     top = games.groupBy("player_key").agg(kept(F.col("settled") >= t.min_settled, rated).alias("rated"), kept(F.col("n") >= t.min_timing, timed).alias("timed"), kept(F.col("n") >= t.min_volatility, varied).alias("varied"), F.array_sort(F.collect_list(per_game)).alias("games"))
-    base = people.join(top, "player_key", "left").join(bet_totals(own), "player_key", "left")
+    base = people.join(top, "player_key", "left").join(bet_totals(own, evidence), "player_key", "left")
     base = barrier(base)
     none = [(F.col("bets").isNull(), "no_bets")]
     first = lambda c: F.get(F.col(c), F.lit(0))["e"]
@@ -71,7 +79,7 @@ def betting(players: DataFrame, bets: DataFrame, t: Thresholds) -> DataFrame:
         feature("bet_odds_profile", F.col("odds_std"), item(ticket_ids=F.col("odds_tickets"), odds_mean=F.col("odds_mean"), odds_std=F.col("odds_std"), odds_min=F.col("odds_min"), odds_max=F.col("odds_max")), [*none, (F.col("odds_n") == 0, "no_bets")]),
         feature("bet_count", F.coalesce("bets", F.lit(0)), nonempty(tickets, item(ticket_ids=tickets))),
         feature("bet_active_days", F.coalesce(F.size(days), F.lit(0)), nonempty(days, item(active_dates=days, ticket_ids=tickets))),
-        feature("bet_void_rate", F.size(void) / F.col("bets"), nonempty(void, item(void_ticket_ids=void)), none),
+        feature("bet_void_rate", F.col("n_void") / F.col("bets"), nonempty(void, item(void_ticket_ids=void)), none),
     ]
     assert len(out) == len(BET)
     return base.select("player_key", *out)

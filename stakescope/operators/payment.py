@@ -12,22 +12,23 @@ from .pairs import as_of_pairs, interval_turnover, trigger_pairs, worst_turnover
 from .specs import PAY, barrier, feature, item, nonempty
 
 
-def money_totals(money: DataFrame) -> DataFrame:
-    """One row per player with every count, sum and list that the ledger gives, in one pass."""
+def money_totals(money: DataFrame, evidence: bool = True) -> DataFrame:
+    """One row per player with every count, sum and list that the ledger gives, in one pass; without evidence, counts stand for the lists of ids."""
     into, out = F.coalesce("is_money_in", F.lit(False)), (F.col("txn_type") == "WITHDRAWAL") & F.coalesce("is_money_out", F.lit(False))
     withdrawal, status, third = F.col("txn_type") == "WITHDRAWAL", F.col("final_status"), F.coalesce("is_third_party_recipient", F.lit(False))
     total = lambda c: F.coalesce(F.sum(F.when(c, S.amount("amount"))), F.lit(0.0))
-    ids = lambda c: F.array_sort(F.collect_list(F.when(c, F.col("transaction_id"))))
+    ids = lambda c, x=F.col("transaction_id"): F.array_sort(F.collect_list(F.when(c, x))) if evidence else F.count_if(c)
+    recipient = F.struct(F.col("transaction_id").alias("withdrawal_id"), F.col("recipient_normalized").alias("recipient_number"))
     return money.groupBy("player_key").agg(
         F.count_if(into).alias("n_in"), F.count_if(out).alias("n_out"), F.count_if(withdrawal).alias("n_withdrawals"), total(into).alias("sum_in"), total(out).alias("sum_out"),
         ids(into & (status == "manual_reconciliation")).alias("manual"), ids(withdrawal & (status == "declined")).alias("declined"), ids(withdrawal & (status == "failed")).alias("failed"),
-        F.array_sort(F.collect_list(F.when(out & third, F.struct(F.col("transaction_id").alias("withdrawal_id"), F.col("recipient_normalized").alias("recipient_number"))))).alias("third"),
+        ids(out & third, recipient).alias("third"),
         F.array_sort(F.collect_set(S.optional_text("payment_method"))).alias("methods"), F.array_sort(F.collect_set(S.optional_text("account_number"))).alias("accounts"),
     )
 
 
-def payment(players: DataFrame, money: DataFrame, bets: DataFrame, t: Thresholds) -> DataFrame:
-    """player_key and one struct for each feature."""
+def payment(players: DataFrame, money: DataFrame, bets: DataFrame, t: Thresholds, evidence: bool = True) -> DataFrame:
+    """player_key and one struct for each feature. Without evidence, ids of transactions are counted and not gathered."""
     people = players.where("player_key is not null").select("player_key")
     ledger, own_bets = population(money, people), population(bets, people)
     ins = ledger.where(F.coalesce("is_money_in", F.lit(False)))
@@ -38,7 +39,7 @@ def payment(players: DataFrame, money: DataFrame, bets: DataFrame, t: Thresholds
     paired = pairs.groupBy("player_key").agg(F.min(brief).alias("nearest"), F.array_sort(F.collect_list(F.when(F.col("gap_minutes") <= t.fast_minutes, fast))).alias("fast"))
     worst = worst_turnover(interval_turnover(trigger_pairs(pairs, t), own_bets))
     active = own_bets.select("player_key").distinct().withColumn("active", F.lit(True))
-    base = people.join(money_totals(ledger), "player_key", "left").join(paired, "player_key", "left").join(worst, "player_key", "left").join(active, "player_key", "left")
+    base = people.join(money_totals(ledger, evidence), "player_key", "left").join(paired, "player_key", "left").join(worst, "player_key", "left").join(active, "player_key", "left")
     base = barrier(base)
     zero = {c: F.coalesce(c, F.lit(0)) for c in ("n_in", "n_out", "n_withdrawals")}
     sums = {c: F.coalesce(c, F.lit(0.0)) for c in ("sum_in", "sum_out")}
@@ -50,12 +51,20 @@ def payment(players: DataFrame, money: DataFrame, bets: DataFrame, t: Thresholds
     pct = w["withdrawal_amount"] / w["deposit_amount"] * 100
     exit_item = F.when(w.isNotNull(), item(deposit_id=w["deposit_id"], withdrawal_id=w["withdrawal_id"], pct_withdrawn=pct, intervening_bet_ids=w["bet_ids"], intervening_stake_sum=w["stake_sum"]))
     context = {"deposit_id": w["deposit_id"], "withdrawal_id": w["withdrawal_id"], "pct_withdrawn": pct, "intervening_stake_sum": w["stake_sum"]}
-    third, manual, declined, failed = F.col("third"), none("manual"), none("declined"), none("failed")
-    third_json = F.when(F.size(third) > 0, S.json_text(third))
-    numbers = S.list_text(S.sorted_distinct(F.transform(third, lambda x: x["recipient_number"])))
+    many = lambda c: F.coalesce(F.size(c), F.lit(0)) if evidence else F.coalesce(c, F.lit(0))
+    nothing = F.lit(None).cast("string")
+    if evidence:
+        third, manual, declined, failed = F.col("third"), none("manual"), none("declined"), none("failed")
+        third_json = F.when(F.size(third) > 0, S.json_text(third))
+        numbers = S.list_text(S.sorted_distinct(F.transform(third, lambda x: x["recipient_number"])))
+        listed, shown = (lambda c, **f: nonempty(c, item(**f))), S.list_text
+    else:
+        third, manual, declined, failed = (F.col(c) for c in ("third", "manual", "declined", "failed"))
+        third_json = numbers = nothing
+        listed, shown = (lambda c, **f: nothing), (lambda c: nothing)
     unpaid = [(no_out, "no_completed_withdrawals")]
     ratio_text = F.concat(F.lit("completed money_out UGX "), S.general(sums["sum_out"]), F.lit(" / completed money_in UGX "), S.general(sums["sum_in"]))
-    near, ids = F.col("nearest"), S.list_text
+    near = F.col("nearest")
     fast_pairs = F.coalesce("fast", F.array().cast("array<struct<deposit_id:string,withdrawal_id:string>>"))
     no_deposit, no_withdrawal = [(no_in, "no_completed_deposits")], [(zero["n_withdrawals"] == 0, "no_withdrawals")]
     methods, accounts = none("methods"), none("accounts")
@@ -63,14 +72,14 @@ def payment(players: DataFrame, money: DataFrame, bets: DataFrame, t: Thresholds
         feature("pay_deposit_then_exit_flag", F.coalesce(w["turnover_ratio"] < t.turnover_pct, F.lit(False)), exit_item, unseen, **context),
         feature("pay_intervening_turnover_ratio", w["turnover_ratio"], exit_item, [*unseen, (w.isNull(), "no_triggering_deposit_withdrawal_pair")], **context),
         feature("pay_min_minutes_deposit_to_withdrawal", near["gap_minutes"], item(deposit_id=near["deposit_id"], withdrawal_id=near["withdrawal_id"], gap_minutes=near["gap_minutes"]), unpaired, deposit_id=near["deposit_id"], withdrawal_id=near["withdrawal_id"]),
-        feature("pay_third_party_withdrawal_flag", F.size(third) > 0, third_json, unpaid, recipient_numbers=numbers),
-        feature("pay_third_party_withdrawal_count", F.size(third), third_json, unpaid, recipient_numbers=numbers),
+        feature("pay_third_party_withdrawal_flag", many(third) > 0, third_json, unpaid, recipient_numbers=numbers),
+        feature("pay_third_party_withdrawal_count", many(third), third_json, unpaid, recipient_numbers=numbers),
         feature("pay_withdrawal_to_deposit_ratio", F.try_divide(sums["sum_out"], sums["sum_in"]), item(reason_text=ratio_text, money_in_sum_ugx=sums["sum_in"], money_out_sum_ugx=sums["sum_out"]), [(no_in, "no_completed_deposits"), (sums["sum_in"] < t.min_deposit, "insufficient_deposit_denominator")], reason_text=ratio_text),
         feature("pay_fast_withdrawal_count", F.size(fast_pairs), nonempty(fast_pairs, S.json_text(fast_pairs)), [(no_in, "no_completed_deposits"), (no_out, "no_completed_withdrawals")]),
-        feature("pay_manual_reconciliation_count", F.size(manual), nonempty(manual, item(deposit_ids=manual)), no_deposit, deposit_ids=ids(manual)),
-        feature("pay_manual_reconciliation_ratio", F.try_divide(F.size(manual), zero["n_in"]), nonempty(manual, item(deposit_ids=manual)), no_deposit, deposit_ids=ids(manual)),
-        feature("pay_declined_withdrawal_count", F.size(declined), nonempty(declined, item(withdrawal_ids=declined)), no_withdrawal, withdrawal_ids=ids(declined)),
-        feature("pay_failed_withdrawal_count", F.size(failed), nonempty(failed, item(withdrawal_ids=failed)), no_withdrawal, withdrawal_ids=ids(failed)),
+        feature("pay_manual_reconciliation_count", many(manual), listed(manual, deposit_ids=manual), no_deposit, deposit_ids=shown(manual)),
+        feature("pay_manual_reconciliation_ratio", F.try_divide(many(manual), zero["n_in"]), listed(manual, deposit_ids=manual), no_deposit, deposit_ids=shown(manual)),
+        feature("pay_declined_withdrawal_count", many(declined), listed(declined, withdrawal_ids=declined), no_withdrawal, withdrawal_ids=shown(declined)),
+        feature("pay_failed_withdrawal_count", many(failed), listed(failed, withdrawal_ids=failed), no_withdrawal, withdrawal_ids=shown(failed)),
         feature("pay_net_money_flow", sums["sum_in"] - sums["sum_out"], item(money_in_sum_ugx=sums["sum_in"], money_out_sum_ugx=sums["sum_out"])),
         feature("pay_distinct_payment_methods", F.size(methods), nonempty(methods, item(payment_methods=methods))),
         feature("pay_distinct_payment_accounts", F.size(accounts), nonempty(accounts, item(payment_accounts=accounts))),

@@ -69,7 +69,7 @@ def _pairs(spark: SparkSession, d: str) -> DataFrame:
 def flagship_deposit_then_exit(spark, d):
     """Who deposited and left without playing."""
     t = A.tables(spark, d)
-    s = payment(t["players"], t["money"], t["bets"], Thresholds())
+    s = payment(t["players"], t["money"], t["bets"], Thresholds(), evidence=False)
     flag = F.col("pay_deposit_then_exit_flag.value")
     return s.select("player_key", flag.alias("pay_deposit_then_exit_flag"), _r(F.col("pay_intervening_turnover_ratio.value")).alias("turnover_ratio"), F.col("pay_deposit_then_exit_flag.null_reason").alias("exit_reason"), F.when(flag, 40.0).otherwise(0.0).alias("points"))
 
@@ -83,12 +83,12 @@ def features_multi_accounting(spark, d):
 @query(f"WITH {A.ORACLE}{O.PAY} SELECT player_key, {_rounded(PAY)}, exit_reason, pair_reason, ratio_reason FROM pay")
 def features_payment(spark, d):
     t = A.tables(spark, d)
-    return _values(payment(t["players"], t["money"], t["bets"], Thresholds()), PAY, exit_reason="pay_deposit_then_exit_flag", pair_reason="pay_min_minutes_deposit_to_withdrawal", ratio_reason="pay_withdrawal_to_deposit_ratio")
+    return _values(payment(t["players"], t["money"], t["bets"], Thresholds(), evidence=False), PAY, exit_reason="pay_deposit_then_exit_flag", pair_reason="pay_min_minutes_deposit_to_withdrawal", ratio_reason="pay_withdrawal_to_deposit_ratio")
 
 
 @query(f"WITH {A.ORACLE}{O.BET} SELECT player_key, {_rounded(BET)}, rate_reason, timing_reason, volatility_reason FROM bet")
 def features_betting(spark, d):
-    return _values(betting(A.players(spark, d), A.bets(spark, d), Thresholds()), BET, rate_reason="bet_win_rate_vs_volume", timing_reason="bet_timing_regularity", volatility_reason="bet_stake_volatility")
+    return _values(betting(A.players(spark, d), A.bets(spark, d), Thresholds(), evidence=False), BET, rate_reason="bet_win_rate_vs_volume", timing_reason="bet_timing_regularity", volatility_reason="bet_stake_volatility")
 
 
 def _evidence(structs: DataFrame, shapes: dict) -> DataFrame:
