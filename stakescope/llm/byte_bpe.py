@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import Vocabulary, column_tokens, gathered
-from .shared import ROW, batches, block_id, n_parts, rows_of, sent, settled, spread
+from .shared import ROW, batches, block_id, n_parts, rows_of, sent, settled, spread, trimmed
 from .textcore import bounds, distinct_spans, hash_spans, ids_back, ids_of, pack, pieces, unpack
 
 #: Text bytes of a block, the unit whose words go out once and come back as ids.
@@ -118,7 +118,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     places = source.mapInArrow(lambda it: batches(_blocks(it, shared.value, parts, PLACES)), ROW)
     ids = sent(words, parts, lambda it: batches(_encode_bucket(rows_of(it), shared.value, parts)))
     change, schema = each or ((lambda b: b), "id long, ids array<int>")
-    out = sent(places.unionByName(ids), parts, lambda it: map(change, _assemble(rows_of(it))), schema)
+    out = sent(places.unionByName(ids), parts, lambda it: trimmed(map(change, _assemble(rows_of(it)))), schema)
     return out.withColumnRenamed("id", id_col)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import ROW, batches, dropped, n_parts, rows_of, sent, settled, spread, stored
+from .shared import ROW, batches, dropped, n_parts, rows_of, sent, settled, spread, stored, trimmed
 from .textblocks import ANSWER, ASK, TEXT, by_block, opened, text_blocks, text_rows
 from .textcore import NULL_ID, U64, bounds, deltas, distinct, hash_spans, ids_of, mix, pack, string_buffers, undeltas, unpack, window_ok, windows, word_spans
 
@@ -128,7 +128,7 @@ def shingle_sets(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_
     texts = source.mapInArrow(lambda it: batches(text_rows(it, 0, 1, parts)), ROW)
     asked = source.mapInArrow(lambda it: batches(_ask_counts(it, k, parts)), ROW)
     counts = stored(sent(asked, parts, lambda it: batches(_answer_counts(rows_of(it), parts))), "counts", free=True)
-    out = stored(sent(texts.unionByName(counts), parts, lambda it: _sets(rows_of(it), k, num, den), SETS), "sets", free=True)
+    out = stored(sent(texts.unionByName(counts), parts, lambda it: trimmed(_sets(rows_of(it), k, num, den)), SETS), "sets", free=True)
     dropped(counts)
     return out
 

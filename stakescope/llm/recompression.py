@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import ROW, batches, dropped, n_parts, rows_of, sent, settled, spread, stored
+from .shared import ROW, batches, dropped, n_parts, rows_of, sent, settled, spread, stored, trimmed
 from .textblocks import ANSWER, ASK, TEXT, by_block, opened, text_blocks, text_rows
 from .textcore import U64, bounds, deltas, distinct, hash_spans, ids_of, mix, pack, string_buffers, undeltas, unpack, window_ok, windows, word_spans
 
@@ -253,4 +253,4 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
     repeated = stored(sent(asked, parts, lambda it: batches(_answer_windows(rows_of(it), parts))), "windows", free=True)
     rows = texts.unionByName(shared).unionByName(repeated.withColumn("tag", F.lit(ANSWER + 1)))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return sent(rows, parts, lambda it: _removed(rows_of(it), id_at, text_at, window, names), f"{fields}, n_words long, n_removed long, kept string")
+    return sent(rows, parts, lambda it: trimmed(_removed(rows_of(it), id_at, text_at, window, names)), f"{fields}, n_words long, n_removed long, kept string")
