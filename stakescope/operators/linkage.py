@@ -10,6 +10,8 @@ from .guards import population
 
 NIN, EMAIL, DEVICE, RECIPIENT, PHONE = "nin_hash", "email_hash", "fingerprint", "recipient_normalized", "normalized_phone"
 CORROBORATING = (NIN, EMAIL, DEVICE, RECIPIENT)
+#: A key with more holders is hot: its unions are counted by classes of players, its pairs dealt in tiles.
+HOT_HOLDERS = 1000
 
 
 def frame_observations(df: DataFrame, key_type: str, key: str, record: Column | None = None) -> DataFrame:
@@ -40,21 +42,84 @@ def holders(obs: DataFrame) -> DataFrame:
 
 
 def shared_holders(held: DataFrame, device_cap: int) -> DataFrame:
-    """Holders of keys that at least two players have; fingerprints with more than device_cap players are left out before any join."""
+    """Holders of keys that at least two players have, with the key's number of `players`; fingerprints with more than device_cap players are left out before any join."""
     sizes = held.groupBy("key_type", "shared_key").agg(F.count(F.lit(1)).alias("players")).where(F.col("players") >= 2)
     return held.join(sizes.where((F.col("key_type") != DEVICE) | (F.col("players") <= device_cap)), ["key_type", "shared_key"])
 
 
-def edges(shared: DataFrame) -> DataFrame:
-    """(player_key, other, key_type, shared_key, records of both): one hop, both directions; never closed transitively."""
-    a, b = shared.alias("a"), shared.alias("b")
-    same = (F.col("a.key_type") == F.col("b.key_type")) & (F.col("a.shared_key") == F.col("b.shared_key")) & (F.col("a.player_key") != F.col("b.player_key"))
+def _tile(players: str = "players", hot: int = HOT_HOLDERS) -> tuple[Column, Column]:
+    """Into how many parts a key's holders are dealt, and the part of a row's player."""
+    tiles = F.ceil(F.col(players) / F.lit(hot)).cast("int")
+    return tiles, F.pmod(F.xxhash64("player_key"), tiles.cast("long")).cast("int")
+
+
+def edges(shared: DataFrame, hot: int = HOT_HOLDERS) -> DataFrame:
+    """(player_key, other, key_type, shared_key, records of both): one hop, both directions; never closed transitively.
+
+    A key with more than `hot` holders is dealt into tiles of about hot x hot pairs: its rows go to one part by their player
+    and are repeated for each part of the other side, so no task sees a whole key. The pairs themselves are the result; who
+    needs only counts takes linked_counts.
+    """
+    tiles, mine = _tile(hot=hot)
+    every = F.explode(F.sequence(F.lit(0), tiles - 1))
+    a = shared.withColumn("_i", mine).withColumn("_j", every).alias("a")
+    b = shared.withColumn("_j", mine).withColumn("_i", every).alias("b")
+    same = (F.col("a.player_key") != F.col("b.player_key")) & F.lit(True)
+    for c in ("key_type", "shared_key", "_i", "_j"):
+        same = same & (F.col(f"a.{c}") == F.col(f"b.{c}"))
     return a.join(b, same).select(F.col("a.player_key").alias("player_key"), F.col("b.player_key").alias("other"), F.col("a.key_type").alias("key_type"), F.col("a.shared_key").alias("shared_key"), F.col("a.record_ids").alias("own_records"), F.col("b.record_ids").alias("other_records"))
 
 
-def linked_counts(links: DataFrame) -> DataFrame:
-    """Distinct others of each player by kind of key."""
-    return links.groupBy("player_key", "key_type").agg(F.count_distinct("other").alias("linked"))
+def linked_counts(shared: DataFrame, hot: int = HOT_HOLDERS) -> DataFrame:
+    """(player_key, key_type, linked): distinct others that share a key of the kind, from the groups of holders, without pairs.
+
+    A player with one shared key has as many others as the key has other holders. With several keys the union of their
+    holders is counted in two parts. Hot keys (more than `hot` holders): players are classed by the set of hot keys that they
+    hold, and the union is the sum of the classes that meet the player's own. Other keys: their holders, `hot` at most a key,
+    are listed and made distinct, without those that the first part has counted.
+    """
+    is_hot = F.col("players") > hot
+    signature = F.array_sort(F.collect_set(F.when(is_hot, F.col("shared_key")))).alias("sig")
+    mine = shared.groupBy("player_key", "key_type").agg(signature, F.count(F.lit(1)).alias("n_keys"), F.max("players").alias("size"))
+    one = mine.where("n_keys = 1").select("player_key", "key_type", (F.col("size") - 1).alias("linked"))
+    many = mine.where("n_keys > 1").select("player_key", "key_type", "sig")
+
+    classes = mine.where(F.size("sig") > 0).groupBy("key_type", "sig").agg(F.count(F.lit(1)).alias("n"))
+    by_key = classes.withColumn("shared_key", F.explode("sig"))
+    asked = many.where(F.size("sig") > 0).select("key_type", "sig").distinct().withColumn("shared_key", F.explode("sig"))
+    met = asked.join(by_key.withColumnRenamed("sig", "_sig"), ["key_type", "shared_key"]).groupBy("key_type", "sig", "_sig").agg(F.max("n").alias("n"))
+    hot_union = met.groupBy("key_type", "sig").agg((F.sum("n") - 1).alias("_hot"))  # the player is in it
+
+    cold = shared.where(~is_hot).select("key_type", "shared_key", "player_key")
+    own = cold.join(many, ["player_key", "key_type"])
+    holding = cold.join(mine.select("player_key", "key_type", "sig"), ["player_key", "key_type"])
+    theirs = holding.select("key_type", "shared_key", F.col("player_key").alias("other"), F.col("sig").alias("_sig"))
+    listed = own.join(theirs, ["key_type", "shared_key"]).where((F.col("other") != F.col("player_key")) & ~F.arrays_overlap("sig", "_sig"))
+    cold_union = listed.select("player_key", "key_type", "other").distinct().groupBy("player_key", "key_type").agg(F.count(F.lit(1)).alias("_cold"))
+    several = many.join(hot_union, ["key_type", "sig"], "left").join(cold_union, ["player_key", "key_type"], "left")
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    return one.unionByName(several.select("player_key", "key_type", (zero("_hot") + zero("_cold")).alias("linked")))
+
+
+def created_close(shared: DataFrame, people: DataFrame, minutes: float) -> DataFrame:
+    """(player_key, near): distinct others with a corroborating key in common whose account was created within `minutes`.
+
+    Times are cut into slots of that length, so only holders of the same key in neighbouring slots meet.
+    """
+    micros = max(int(minutes * 60_000_000), 1)
+    born = people.where("created_at is not null").select("player_key", F.unix_micros(F.col("created_at").cast("timestamp")).alias("_t"))
+    rows = shared.where(F.col("key_type").isin(*CORROBORATING)).select("key_type", "shared_key", "player_key").join(born, "player_key").withColumn("_slot", F.floor(F.col("_t") / micros))
+    near = rows.select("key_type", "shared_key", F.explode(F.array(*(F.col("_slot") + k for k in (-1, 0, 1)))).alias("_slot"), F.col("player_key").alias("other"), F.col("_t").alias("_u"))
+    close = rows.join(near, ["key_type", "shared_key", "_slot"]).where((F.col("other") != F.col("player_key")) & (F.abs(F.col("_t") - F.col("_u")) <= F.lit(int(minutes * 60_000_000))))
+    return close.select("player_key", "other").distinct().groupBy("player_key").agg(F.count(F.lit(1)).alias("near"))
+
+
+def keys_with_referrer(shared: DataFrame, people: DataFrame) -> DataFrame:
+    """(player_key, key_type, shared_key): corroborating keys that a player shares with the one it names as referrer; each player meets its referrer only."""
+    rows = shared.where(F.col("key_type").isin(*CORROBORATING)).select("key_type", "shared_key", "player_key")
+    named = people.where("referred_by_key <> player_key").select("player_key", "referred_by_key")
+    theirs = rows.withColumnRenamed("player_key", "referred_by_key")
+    return rows.join(named, "player_key").join(theirs, ["referred_by_key", "key_type", "shared_key"], "left_semi").select("player_key", "key_type", "shared_key")
 
 
 def shared_groups(links: DataFrame) -> DataFrame:

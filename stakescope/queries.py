@@ -181,30 +181,34 @@ def pairs_interval_turnover(spark, d):
     return out.select("player_key", "deposit_id", "withdrawal_id", _r(F.col("stake_sum")).alias("stake_sum"), F.size("bet_ids").cast("long").alias("n_bets"))
 
 
-def _links(spark, d):
+def _shared(spark, d):
     t = A.tables(spark, d)
     held = kept(linkage.holders(linkage.observations(t["players"], t["logins"], t["money"])), "holders")
-    return held, linkage.edges(kept(linkage.shared_holders(held, Thresholds().device_max_players), "shared"))
+    return held, kept(linkage.shared_holders(held, Thresholds().device_max_players), "shared")
+
+
+def _links(spark, d):
+    return linkage.edges(_shared(spark, d)[1])
 
 
 @query(f"WITH {O.LINKS} SELECT p AS player_key, o AS other, kt AS key_type, sk AS shared_key FROM links")
 def linkage_edges(spark, d):
-    return _links(spark, d)[1].select("player_key", "other", "key_type", "shared_key")
+    return _links(spark, d).select("player_key", "other", "key_type", "shared_key")
 
 
 @query(f"WITH {O.LINKS} SELECT p AS player_key, kt AS key_type, count(DISTINCT o) AS linked FROM links GROUP BY ALL")
 def linkage_counts(spark, d):
-    return linkage.linked_counts(_links(spark, d)[1])
+    return linkage.linked_counts(_shared(spark, d)[1])
 
 
 @query(f"WITH {O.LINKS} SELECT kt AS key_type, n AS holders, count(*) AS n_keys FROM sized GROUP BY ALL")
 def linkage_cardinality(spark, d):
-    return _links(spark, d)[0].groupBy("key_type", "shared_key").agg(F.count(F.lit(1)).alias("holders")).groupBy("key_type", "holders").agg(F.count(F.lit(1)).alias("n_keys"))
+    return _shared(spark, d)[0].groupBy("key_type", "shared_key").agg(F.count(F.lit(1)).alias("holders")).groupBy("key_type", "holders").agg(F.count(F.lit(1)).alias("n_keys"))
 
 
 @query(f"WITH {O.LINKS} SELECT p AS player_key, o AS other, string_agg(DISTINCT kt, ',' ORDER BY kt) AS kinds FROM links WHERE kt <> 'normalized_phone' GROUP BY ALL")
 def linkage_between(spark, d):
-    out = linkage.keys_between(_links(spark, d)[1])
+    out = linkage.keys_between(_links(spark, d))
     return out.select("player_key", "other", F.array_join(F.array_sort(F.array_distinct(F.transform("shared_linkages", lambda x: x["shared_key_type"]))), ",").alias("kinds"))
 
 
@@ -633,11 +637,6 @@ def audit_casino_volumes(spark, d):
     return audit.volumes({"game catalog": spark.read.parquet(f"{d}/part.parquet"), "game_shown": e.where("event_type = 'view'"), "game_clicked": e.where("event_type = 'click'")})
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in audit.CAPABILITIES) + ") AS t(capability, supported, notes)")
-def audit_capabilities(spark, d):
-    return audit.capabilities(spark)
-
-
 @query(f"WITH {A.ORACLE}{O.PAY}, top3 AS (SELECT player_key FROM pay WHERE pay_declined_withdrawal_count > 0 ORDER BY pay_declined_withdrawal_count DESC, player_key LIMIT 3) SELECT player_key, transaction_id, final_status FROM money WHERE player_key IN (SELECT player_key FROM top3) AND txn_type = 'WITHDRAWAL' AND final_status = 'declined'")
 def audit_drill_sources(spark, d):
     """The source rows behind the declined withdrawals of the three players with most of them."""
