@@ -2,25 +2,63 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Thresholds
 from ..functions import scalars as S
 
 
-def as_of_pairs(deposits: DataFrame, withdrawals: DataFrame) -> DataFrame:
+#: Length of a time slice in seconds: one task sees a player's rows of one slice, whatever the player's number of rows.
+SLICE_SECONDS = 86_400
+_EXACT = "decimal(38,12)"
+
+
+def _slice(time: str, seconds: int) -> Column:
+    return F.floor(F.unix_seconds(F.col(time).cast("timestamp")) / seconds)
+
+
+def _stream(deposits: DataFrame, withdrawals: DataFrame, bets: DataFrame | None, seconds: int) -> DataFrame:
+    """Deposits (d), withdrawals (w) and stakes (s) with a time, one row each, with the slice of the time."""
+    ins = deposits.where("finalized_at is not null").select("player_key", F.col("finalized_at").alias("t"), F.struct(F.col("finalized_at").alias("at"), F.col("transaction_id").alias("id"), S.amount("amount").alias("amount")).alias("d"), F.lit(None).cast("struct<id:string,amount:double>").alias("w"), F.lit(None).cast(_EXACT).alias("s"))
+    outs = withdrawals.where("requested_at is not null").select("player_key", F.col("requested_at").alias("t"), F.lit(None).cast(ins.schema["d"].dataType).alias("d"), F.struct(F.col("transaction_id").alias("id"), S.amount("amount").alias("amount")).alias("w"), F.lit(None).cast(_EXACT).alias("s"))
+    rows = ins.unionByName(outs)
+    if bets is not None:
+        stake = F.coalesce(S.amount("stake").try_cast(_EXACT), F.lit(0).cast(_EXACT))
+        rows = rows.unionByName(bets.where("created_at is not null").select("player_key", F.col("created_at").alias("t"), F.lit(None).cast(ins.schema["d"].dataType).alias("d"), F.lit(None).cast("struct<id:string,amount:double>").alias("w"), stake.alias("s")))
+    return rows.withColumn("slice", _slice("t", seconds))
+
+
+def as_of_pairs(deposits: DataFrame, withdrawals: DataFrame, bets: DataFrame | None = None, seconds: int = SLICE_SECONDS) -> DataFrame:
     """Each withdrawal with the latest deposit finalised at or before its request (equal times: greatest transaction id).
 
-    Both sides in one stream per player: a running maximum over a window, peers at the same time included. No join, so
-    a player's rows are sorted once whatever their number. Rows without a time, and withdrawals without a deposit
-    before them, have no pair.
+    With bets also stake_sum and n_bets: the stakes placed from the deposit to the withdrawal, both ends included, as the
+    difference of two running totals, in exact decimals. Nothing is joined by a range. A scan in two passes: windows over a
+    player's slice of time give the last deposit and the totals inside it; what the slices before hold (one row for each) is
+    carried on and joined by player and slice. So a player's rows are spread over its slices. Rows at the same time count as
+    peers; rows without a time, and withdrawals without a deposit before them, have no pair.
     """
-    ins = deposits.where("finalized_at is not null").select("player_key", F.col("finalized_at").alias("t"), F.struct(F.col("finalized_at").alias("at"), F.col("transaction_id").alias("id"), S.amount("amount").alias("amount")).alias("d"), F.lit(None).cast("struct<id:string,amount:double>").alias("w"))
-    outs = withdrawals.where("requested_at is not null").select("player_key", F.col("requested_at").alias("t"), F.lit(None).cast(ins.schema["d"].dataType).alias("d"), F.struct(F.col("transaction_id").alias("id"), S.amount("amount").alias("amount")).alias("w"))
-    before = Window.partitionBy("player_key").orderBy("t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    both = ins.unionByName(outs).withColumn("last", F.max("d").over(before)).where("w is not null and last is not null")
-    return both.select("player_key", F.col("last.id").alias("deposit_id"), F.col("last.amount").alias("deposit_amount"), F.col("last.at").alias("deposit_at"), F.col("w.id").alias("withdrawal_id"), F.col("w.amount").alias("withdrawal_amount"), F.col("t").alias("withdrawal_at"), S.minutes_between("last.at", "t").alias("gap_minutes"))
+    inside = Window.partitionBy("player_key", "slice").orderBy("t")
+    upto, peers = inside.rangeBetween(Window.unboundedPreceding, Window.currentRow), inside.rangeBetween(Window.currentRow, Window.currentRow)
+    zero = F.lit(0).cast(_EXACT)
+    total = lambda w: F.coalesce(F.sum("s").over(w), zero)
+    rows = _stream(deposits, withdrawals, bets, seconds)
+    rows = rows.withColumns({"p": total(upto).cast(_EXACT), "n": F.count("s").over(upto), "_p": total(peers).cast(_EXACT), "_n": F.count("s").over(peers)})
+    before = {"q": (F.col("p") - F.col("_p")).cast(_EXACT), "m": F.col("n") - F.col("_n")}  # stakes of the slice before the deposit
+    rows = rows.withColumn("d", F.when(F.col("d").isNotNull(), F.struct("d.*", *(c.alias(k) for k, c in before.items()))))
+
+    slices = rows.groupBy("player_key", "slice").agg(F.coalesce(F.sum("s"), zero).cast(_EXACT).alias("p"), F.count("s").alias("n"), F.max("d").alias("d"))
+    earlier = Window.partitionBy("player_key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    slices = slices.withColumns({"_p": F.coalesce(F.sum("p").over(earlier), zero).cast(_EXACT), "_n": F.coalesce(F.sum("n").over(earlier), F.lit(0))})
+    whole = F.when(F.col("d").isNotNull(), F.struct("d.at", "d.id", "d.amount", (F.col("d.q") + F.col("_p")).cast(_EXACT).alias("q"), (F.col("d.m") + F.col("_n")).alias("m")))
+    carried = slices.withColumn("d", whole).select("player_key", "slice", F.max("d").over(earlier).alias("c"), F.col("_p").alias("cp"), F.col("_n").alias("cn"))
+
+    asked = rows.withColumn("last", F.max("d").over(upto)).where("w is not null").join(carried, ["player_key", "slice"])
+    own = F.col("last").isNotNull()
+    use = F.when(own, F.col("last")).otherwise(F.col("c"))
+    asked = asked.withColumns({"u": use, "stakes": F.when(own, F.col("p") - F.col("last.q")).otherwise(F.col("p") + F.col("cp") - F.col("c.q")), "plays": F.when(own, F.col("n") - F.col("last.m")).otherwise(F.col("n") + F.col("cn") - F.col("c.m"))}).where("u is not null")
+    turnover = [] if bets is None else [F.col("stakes").cast("double").alias("stake_sum"), F.col("plays").alias("n_bets")]
+    return asked.select("player_key", F.col("u.id").alias("deposit_id"), F.col("u.amount").alias("deposit_amount"), F.col("u.at").alias("deposit_at"), F.col("w.id").alias("withdrawal_id"), F.col("w.amount").alias("withdrawal_amount"), F.col("t").alias("withdrawal_at"), S.minutes_between("u.at", "t").alias("gap_minutes"), *turnover)
 
 
 def trigger_pairs(pairs: DataFrame, t: Thresholds) -> DataFrame:
@@ -28,21 +66,21 @@ def trigger_pairs(pairs: DataFrame, t: Thresholds) -> DataFrame:
     return pairs.where((F.col("gap_minutes") <= t.fast_minutes) & (F.col("deposit_amount") > 0) & (F.col("withdrawal_amount") >= t.pct_withdrawn * F.col("deposit_amount")))
 
 
-def interval_turnover(pairs: DataFrame, bets: DataFrame) -> DataFrame:
-    """Each pair with the stakes placed from its deposit to its withdrawal, both ends included; no bets: 0.
-
-    Pairs that overlap in time are few (fast ones only), so the join on the player with a range condition stays close to
-    the number of bets.
-    """
-    key = ["player_key", "deposit_id", "withdrawal_id", "deposit_at", "withdrawal_at", "gap_minutes", "deposit_amount", "withdrawal_amount"]
-    b = bets.where("created_at is not null").select(F.col("player_key").alias("bp"), F.col("created_at").alias("bt"), F.col("ticket_id").alias("ticket"), S.amount("stake").alias("bs"))
-    joined = pairs.join(b, (F.col("player_key") == F.col("bp")) & (F.col("bt") >= F.col("deposit_at")) & (F.col("bt") <= F.col("withdrawal_at")), "left")
-    out = joined.groupBy(*key).agg(F.coalesce(F.sum("bs"), F.lit(0.0)).alias("stake_sum"), F.array_sort(F.collect_list("ticket")).alias("bet_ids"))
-    return out.withColumn("turnover_ratio", F.col("stake_sum") / F.col("deposit_amount"))
+def turnover(pairs: DataFrame) -> DataFrame:
+    """Pairs with stakes (as_of_pairs with bets) and the share of the deposit that was staked."""
+    return pairs.withColumn("turnover_ratio", F.col("stake_sum") / F.col("deposit_amount"))
 
 
 def worst_turnover(measured: DataFrame) -> DataFrame:
     """Each player's pair with the smallest turnover, then gap, then ids."""
     order = F.struct("turnover_ratio", "gap_minutes", "deposit_id", "withdrawal_id")
-    row = F.struct("turnover_ratio", "gap_minutes", "deposit_id", "withdrawal_id", "deposit_amount", "withdrawal_amount", "stake_sum", "bet_ids")
+    row = F.struct("turnover_ratio", "gap_minutes", "deposit_id", "withdrawal_id", "deposit_amount", "withdrawal_amount", "deposit_at", "withdrawal_at", "stake_sum", "n_bets")
     return measured.groupBy("player_key").agg(F.min_by(row, order).alias("worst"))
+
+
+def bets_between(worst: DataFrame, bets: DataFrame, seconds: int = SLICE_SECONDS) -> DataFrame:
+    """(player_key, bet_ids): the tickets of each player's worst pair, for evidence; only bets of the slices that the pair touches meet it."""
+    ends = worst.select("player_key", F.col("worst.deposit_at").alias("a"), F.col("worst.withdrawal_at").alias("b"))
+    ends = ends.withColumn("slice", F.explode(F.sequence(_slice("a", seconds), _slice("b", seconds))))
+    played = bets.where("created_at is not null").select("player_key", F.col("created_at").alias("t"), "ticket_id", _slice("created_at", seconds).alias("slice"))
+    return played.join(ends, ["player_key", "slice"]).where("t >= a and t <= b").groupBy("player_key").agg(F.array_sort(F.collect_list("ticket_id")).alias("bet_ids"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..config import Thresholds
 from ..functions import scalars as S
 from .guards import population
-from .pairs import as_of_pairs, interval_turnover, trigger_pairs, worst_turnover
+from .pairs import as_of_pairs, bets_between, trigger_pairs, turnover, worst_turnover
 from .specs import PAY, barrier, feature, item, nonempty
 
 
@@ -33,11 +33,13 @@ def payment(players: DataFrame, money: DataFrame, bets: DataFrame, t: Thresholds
     ledger, own_bets = population(money, people), population(bets, people)
     ins = ledger.where(F.coalesce("is_money_in", F.lit(False)))
     outs = ledger.where((F.col("txn_type") == "WITHDRAWAL") & F.coalesce("is_money_out", F.lit(False)))
-    pairs = as_of_pairs(ins, outs)
+    pairs = as_of_pairs(ins, outs, own_bets)
     brief = F.struct("gap_minutes", "deposit_id", "withdrawal_id")
     fast = F.struct("deposit_id", "withdrawal_id")
     paired = pairs.groupBy("player_key").agg(F.min(brief).alias("nearest"), F.array_sort(F.collect_list(F.when(F.col("gap_minutes") <= t.fast_minutes, fast))).alias("fast"))
-    worst = worst_turnover(interval_turnover(trigger_pairs(pairs, t), own_bets))
+    worst = worst_turnover(turnover(trigger_pairs(pairs, t)))
+    if evidence:
+        worst = worst.join(bets_between(worst, own_bets), "player_key", "left")
     active = own_bets.select("player_key").distinct().withColumn("active", F.lit(True))
     base = people.join(money_totals(ledger, evidence), "player_key", "left").join(paired, "player_key", "left").join(worst, "player_key", "left").join(active, "player_key", "left")
     base = barrier(base)
@@ -49,7 +51,8 @@ def payment(players: DataFrame, money: DataFrame, bets: DataFrame, t: Thresholds
     unseen = [(F.col("active").isNull(), "casino_activity_not_observable"), *unpaired]
     w = F.col("worst")
     pct = w["withdrawal_amount"] / w["deposit_amount"] * 100
-    exit_item = F.when(w.isNotNull(), item(deposit_id=w["deposit_id"], withdrawal_id=w["withdrawal_id"], pct_withdrawn=pct, intervening_bet_ids=w["bet_ids"], intervening_stake_sum=w["stake_sum"]))
+    played = none("bet_ids") if evidence else F.array().cast("array<string>")
+    exit_item = F.when(w.isNotNull(), item(deposit_id=w["deposit_id"], withdrawal_id=w["withdrawal_id"], pct_withdrawn=pct, intervening_bet_ids=played, intervening_stake_sum=w["stake_sum"]))
     context = {"deposit_id": w["deposit_id"], "withdrawal_id": w["withdrawal_id"], "pct_withdrawn": pct, "intervening_stake_sum": w["stake_sum"]}
     many = lambda c: F.coalesce(F.size(c), F.lit(0)) if evidence else F.coalesce(c, F.lit(0))
     nothing = F.lit(None).cast("string")

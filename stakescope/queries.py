@@ -60,9 +60,9 @@ def _structs(spark: SparkSession, d: str) -> DataFrame:
     return build_features(t["players"], t["logins"], t["money"], t["bets"], check=False, keep=kept).structs
 
 
-def _pairs(spark: SparkSession, d: str) -> DataFrame:
+def _pairs(spark: SparkSession, d: str, bets: DataFrame | None = None) -> DataFrame:
     money = population(A.money(spark, d), A.players(spark, d))
-    return pairs.as_of_pairs(money.where("is_money_in"), money.where("is_money_out"))
+    return pairs.as_of_pairs(money.where("is_money_in"), money.where("is_money_out"), bets)
 
 
 @query(f"WITH {A.ORACLE}{O.PAY} SELECT player_key, pay_deposit_then_exit_flag, round(pay_intervening_turnover_ratio, 6) AS turnover_ratio, exit_reason, CASE WHEN pay_deposit_then_exit_flag THEN 40.0::DOUBLE ELSE 0.0::DOUBLE END AS points FROM pay")
@@ -177,8 +177,8 @@ def pairs_as_of(spark, d):
 
 @query(f"WITH {A.ORACLE}{O.PAIRS} SELECT player_key, d_id AS deposit_id, w_id AS withdrawal_id, round(stake_sum, 6) AS stake_sum, n_bets FROM turn")
 def pairs_interval_turnover(spark, d):
-    out = pairs.interval_turnover(pairs.trigger_pairs(_pairs(spark, d), Thresholds()), population(A.bets(spark, d), A.players(spark, d)))
-    return out.select("player_key", "deposit_id", "withdrawal_id", _r(F.col("stake_sum")).alias("stake_sum"), F.size("bet_ids").cast("long").alias("n_bets"))
+    out = pairs.trigger_pairs(_pairs(spark, d, population(A.bets(spark, d), A.players(spark, d))), Thresholds())
+    return out.select("player_key", "deposit_id", "withdrawal_id", _r(F.col("stake_sum")).alias("stake_sum"), "n_bets")
 
 
 def _shared(spark, d):

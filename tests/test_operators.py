@@ -207,6 +207,49 @@ def test_as_of_pairs(spark):
     assert got == {"w1": ("d3", 0.0), "w2": ("d1", 4.0)}
 
 
+def brute_pairs(ins, outs, bets):
+    out = []
+    for p, _, w, amount, *_, at in [(r[0], r[1], r[2], r[3], r[8]) for r in outs]:
+        before = [(r[9], r[2], r[3]) for r in ins if r[0] == p and r[9] is not None and at is not None and r[9] <= at]
+        if before:
+            d_at, d, d_amount = max(before)
+            stakes = [b[5] or 0.0 for b in bets if b[0] == p and b[-1] is not None and d_at <= b[-1] <= at]
+            out.append((p, d, w, d_amount, amount, round(sum(stakes), 6), len(stakes)))
+    return sorted(out)
+
+
+def test_turnover_from_running_totals(spark):
+    """Against brute force: ties in time, overlapping pairs, deposits and totals carried over several slices, odd amounts."""
+    rng = random.Random(5)
+    at = lambda: None if rng.random() < 0.03 else minutes(rng.randrange(-300, 300) / 2)
+    ins = [deposit(p, f"d{k}", rng.choice([0.1, 100.0, 33.3]), at()) for k, p in enumerate("aab" * 12)] + [deposit("c", "dc", 5.0, minutes(-9000))]
+    outs = [withdrawal(p, f"w{k}", 1.0, at()) for k, p in enumerate("aabz" * 15)] + [withdrawal("c", "wc", 1.0, minutes(9000))]
+    bets = [bet(p, f"t{k}", rng.choice([0.1, 0.2, 1e9 + 0.3, None]), at()) for k, p in enumerate("aaabc" * 40)]
+    want = brute_pairs(ins, outs, bets)
+    frames = [spark.createDataFrame(x, s) for x, s in ((ins, MONEY), (outs, MONEY), (bets, BETS))]
+    for seconds in (600, 3600, pairs.SLICE_SECONDS):
+        got = pairs.as_of_pairs(*frames, seconds)
+        assert sorted((r["player_key"], r["deposit_id"], r["withdrawal_id"], r["deposit_amount"], r["withdrawal_amount"], round(r["stake_sum"], 6), r["n_bets"]) for r in got.collect()) == want
+        assert sorted((r[0], r[1]) for r in pairs.as_of_pairs(frames[0], frames[1], seconds=seconds).select("withdrawal_id", "deposit_id").collect()) == sorted((w, d) for _, d, w, *_ in want)
+    worst = pairs.worst_turnover(pairs.turnover(pairs.as_of_pairs(*frames, 600)))
+    listed = {r["player_key"]: r["bet_ids"] for r in pairs.bets_between(worst, frames[2], 600).collect()}
+    for r in worst.select("player_key", "worst.*").collect():
+        assert listed.get(r["player_key"], []) == sorted(b[1] for b in bets if b[0] == r["player_key"] and b[-1] is not None and r["deposit_at"] <= b[-1] <= r["withdrawal_at"])
+
+
+def test_one_players_rows_are_spread(spark):
+    """300,000 rows of one player: no join by a range, and no window's task sees more than a slice."""
+    n = 100_000
+    t = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 60)
+    row = spark.range(n).select(F.lit("p").alias("player_key"), F.col("id").cast("string").alias("transaction_id"), F.lit(2.0).alias("amount"), F.lit(1.0).alias("stake"), t.alias("finalized_at"), t.alias("created_at"), F.timestamp_seconds(F.unix_seconds(t) + 30).alias("requested_at"))
+    got = pairs.as_of_pairs(row, row, row)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(player_key" in plan and ", slice" in plan and "NestedLoop" not in plan and ">=" not in plan
+    assert got.where("deposit_id = withdrawal_id and stake_sum = 1.0 and n_bets = 1").count() == n
+    largest = pairs._stream(row, row, row, pairs.SLICE_SECONDS).groupBy("player_key", "slice").count().agg(F.max("count")).first()[0]
+    assert largest <= 3 * 1440
+
+
 def test_exit_flag(spark):
     players = people(spark, *"abcdefg")
     rows = [deposit("a", "d", 10000.0, minutes(0)), withdrawal("a", "w", 9000.0, minutes(30), "7", True), deposit("b", "d", 10000.0, minutes(0)), withdrawal("b", "w", 9000.0, minutes(30))]
