@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import quantiles
 from .specs import ALL, Spec
 
 #: Rows that a tree sees, drawn anew for each tree as in the paper; trees * SUBSAMPLE bounds what comes to the driver.
@@ -102,11 +103,8 @@ def subsamples(filled: DataFrame, numeric: list[str], trees: int, seed: int) ->
 
 
 def medians(wide: DataFrame, numeric: list[str]) -> dict[str, float]:
-    """Exact medians of all columns that have values: equal values are counted first, then each column is a group of its own."""
-    pairs = F.array(*(F.struct(F.lit(n).alias("name"), F.col(n).cast("double").alias("x")) for n in numeric))
-    rows = wide.select(F.explode(pairs).alias("p")).select("p.*").where("x is not null")
-    counted = rows.groupBy("name", "x").agg(F.count(F.lit(1)).alias("n"))
-    return {r["name"]: float(r["m"]) for r in counted.groupBy("name").agg(F.percentile("x", F.lit(0.5), F.col("n")).alias("m")).collect()}
+    """Exact medians of all columns that have values."""
+    return {c: q[0] for c, q in quantiles(wide, {c: (0.5,) for c in numeric}).items() if q is not None}
 
 
 def isolation_scores(wide: DataFrame, trees: int = 100, seed: int = 42, specs: dict[str, Spec] = ALL) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 import random
 from collections import Counter
 from datetime import datetime, timedelta
@@ -21,6 +22,7 @@ from stakescope.operators.guards import ContractError, require_currency, require
 from stakescope.operators.iforest import isolation_scores, subsamples
 from stakescope.operators.multi_accounting import multi_accounting
 from stakescope.operators.payment import payment
+from stakescope.operators.quantiles import quantiles
 from stakescope.operators.specs import ALL, MA
 from stakescope.plans import audit
 from stakescope.plans.features import broken_contract, build_features
@@ -422,6 +424,26 @@ def test_document_store(spark, tmp_path):
         DocumentStore(spark, "", "json", {"x": schema}).read("x")
 
 
+def test_quantiles_by_selection(spark):
+    """Against sorting: ties, one value, few and no values, huge spans; brackets are searched although a task could hold all."""
+    rng = random.Random(8)
+    columns = {
+        "ties": [float(rng.randrange(7)) for _ in range(3000)], "wide": [rng.choice([-1, 1]) * 10.0 ** rng.uniform(-300, 300) for _ in range(3000)], "same": [4.5] * 3000,
+        "some": [rng.random() if k % 50 == 0 else None for k in range(3000)], "one": [7.0, *[None] * 2999], "none": [None] * 3000, "half": [0.0] * 1500 + [rng.random() for _ in range(1500)],
+    }
+    df = spark.createDataFrame(list(zip(*columns.values(), strict=True)), ", ".join(f"{c} double" for c in columns)).repartition(7)
+    at = (0.0, 0.5, 0.731)
+    want = {}
+    for c, x in columns.items():
+        x = sorted(v for v in x if v is not None)
+        spots = [p * (len(x) - 1) for p in at]
+        low = lambda s: x[math.floor(s)]  # noqa: B023, E731
+        want[c] = [low(s) if low(s) == x[math.ceil(s)] or s == math.floor(s) else (math.ceil(s) - s) * low(s) + (s - math.floor(s)) * x[math.ceil(s)] for s in spots] if x else None
+    for limit, accuracy in ((10**6, 2000), (20, 100)):
+        assert quantiles(df, {c: at for c in columns}, limit, accuracy) == want
+    assert quantiles(df.limit(0), {"ties": at}) == {"ties": None} and quantiles(df, {}) == {}
+
+
 def test_currency_check(spark):
     stakes = spark.createDataFrame([("p", 100.0), ("p", 200.0), ("q", 300.0)], "player_key string, stake double")
     pays = lambda *x: spark.createDataFrame([("p", v) for v in x], "player_key string, amount double")
