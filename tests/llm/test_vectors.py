@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from stakescope.llm.nn_descent import approximate_top_k
-from stakescope.llm import topk
+from stakescope.llm import nn_descent, topk
 from stakescope.llm.topk import exact_top_k
 
 SCHEMA = "vec_id long, embedding array<float>, score string"
@@ -135,3 +138,49 @@ def test_approximate_top_k_with_repeated_ids(spark):
                 best[i] = max(best.get(i, -np.inf), float(np.array(v, np.float32).astype(float) @ own))
         want = sorted(best.items(), key=lambda x: (-x[1], x[0]))[:20]
         assert [i for _, i, _ in sorted(got[q])] == [i for i, _ in want] and [s for *_, s in sorted(got[q])] == pytest.approx([s for _, s in want])
+
+
+def hubs(n, width=32, seed=17):
+    """Directions of unequal length: the long ones are near to very many."""
+    rng = np.random.default_rng(seed)
+    m = rng.standard_normal((n, width))
+    return m / np.linalg.norm(m, axis=1, keepdims=True) * np.exp(0.5 * rng.standard_normal((n, 1)))
+
+
+def test_members_that_are_not_drawn_stay_new(spark):
+    """After a round each node holds back exactly its new members beyond those that it drew; the next round starts with them."""
+    m = hubs(1200).astype(np.float32)
+    nodes = spark.createDataFrame([(k, m[k].tolist()) for k in range(len(m))], "node long, v array<float>")
+    parts = 4
+    state = nn_descent.stored(nn_descent._seeded(nodes, 4, parts, np.float32), "graph")
+    before = None
+    for turn in range(2):
+        state = nn_descent.stored(nn_descent._round(state.where(F.col("tag") != nn_descent.COUNT), parts, np.float32, turn), "graph")
+        rows = state.collect()
+        lists = [nn_descent.unpack(r["body"]) for r in rows if r["tag"] == nn_descent.STATE]
+        held = [nn_descent.unpack(r["body"]) for r in rows if r["tag"] == nn_descent.HELD]
+        late = {(int(a), int(b)) for h in held for a, b in zip(h[0], h[1], strict=True)}
+        assert sum(r["block"] for r in rows if r["tag"] == nn_descent.HELD) == len(late) > 0
+        members = {}
+        for x in lists:
+            for a, b in zip(x[3].tolist(), x[4].tolist(), strict=True):
+                members.setdefault(a, set()).add(b)
+                members.setdefault(b, set()).add(a)
+        waits = Counter(a for a, _ in late)
+        assert all(b in members[a] for a, b in late)
+        if turn == 0:  # all members are new
+            assert waits == Counter({a: len(x) - nn_descent.MEMBERS for a, x in members.items() if len(x) > nn_descent.MEMBERS})
+        else:  # what waited and is still a member was drawn or waits on, and takes its turn with the others
+            drawn = {(a, b) for a, b in before if b in members[a]} - late
+            assert all(sum(x == a for x, _ in drawn) <= nn_descent.MEMBERS for a in {a for a, _ in drawn}) and drawn
+        before = late
+
+
+def test_approximate_top_k_with_hubs(spark):
+    m = hubs(3000)
+    df = spark.createDataFrame([(k, m[k].tolist()) for k in range(len(m))], "vec_id long, embedding array<double>")
+    got = {}
+    for r in approximate_top_k(df, 10, 20).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    want = dict(brute(dict(enumerate(m)), 10, 20))
+    assert sum(len(got[q] & {i for i, _ in x}) for q, x in want.items()) / sum(len(x) for x in want.values()) >= 0.9
