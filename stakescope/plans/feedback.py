@@ -15,7 +15,8 @@ from .. import schemas
 from ..config import ConfigError, Settings
 from ..functions import scalars as S
 from ..operators.guards import ContractError, require_none, require_unique
-from ..sources.tables import append, exists, read_or_empty, write_text
+from ..sources.commits import CommitLog
+from ..sources.tables import exists, write_text
 
 # Decisions, fraud types, case states and sources.
 DECISIONS = ("true_positive", "false_positive", "needs_more_review", "insufficient_evidence")
@@ -101,52 +102,58 @@ def manifest(cases: DataFrame, reviews: DataFrame, labelled: DataFrame, flags: D
 
 @dataclass
 class FeedbackStore:
-    """Append-only tables below one folder: cases, reviews, status events."""
+    """Append-only tables below one folder: cases, reviews, status events. Several runs may write at once."""
 
     spark: SparkSession
     path: str
 
+    def _log(self, name: str) -> CommitLog:
+        return CommitLog(self.spark, f"{self.path}/{name}", {"cases": schemas.CASES, "reviews": schemas.REVIEWS, "status": schemas.STATUS_EVENTS}[name])
+
     def cases(self) -> DataFrame:
         """Cases with their current state: the last event by order of writing."""
-        rows = read_or_empty(self.spark, f"{self.path}/cases", schemas.CASES)
-        last = latest(read_or_empty(self.spark, f"{self.path}/status", schemas.STATUS_EVENTS), "case_id", F.desc("seq")).select("case_id", F.col("status").alias("_now"))
-        return rows.join(last, "case_id", "left").withColumn("status", F.coalesce("_now", "status")).drop("_now").select(*schemas.CASES.fieldNames())
+        last = latest(self._log("status").read(), "case_id", F.desc("seq")).select("case_id", F.col("status").alias("_now"))
+        return self._log("cases").read().join(last, "case_id", "left").withColumn("status", F.coalesce("_now", "status")).drop("_now").select(*schemas.CASES.fieldNames())
 
     def reviews(self) -> DataFrame:
-        return read_or_empty(self.spark, f"{self.path}/reviews", schemas.REVIEWS)
+        return self._log("reviews").read()
 
     def write_cases(self, cases: DataFrame) -> int:
-        """Appends cases whose id is not there yet; returns how many."""
+        """Appends cases whose id is not there yet; returns how many. Of writers with the same id, one writes it."""
         require_unique(cases, "case_id", what="cases")
-        fresh = cases.join(read_or_empty(self.spark, f"{self.path}/cases", schemas.CASES).select("case_id"), "case_id", "left_anti").select(*schemas.CASES.fieldNames())
-        n = fresh.count()
-        if n:
-            append(fresh, f"{self.path}/cases")
-        return n
+        return self._log("cases").commit(lambda there: cases.join(there.select("case_id"), "case_id", "left_anti"))
 
     def write_reviews(self, reviews: DataFrame) -> None:
         """Appends reviews of known cases; an id that is there already, or an unknown case, is an error. States follow."""
         check_reviews(reviews)
         rows = with_ids(reviews) if "review_id" not in reviews.columns else reviews.select(*schemas.REVIEWS.fieldNames())
         require_unique(rows, "review_id", what="reviews")
-        require_none(rows.join(self.reviews().select("review_id"), "review_id", "left_semi").select("review_id"), "review exists already")
-        require_none(rows.join(self.cases().select("case_id"), "case_id", "left_anti").select("case_id"), "unknown case")
-        append(rows, f"{self.path}/reviews")
+        require_none(rows.join(self._log("cases").read().select("case_id"), "case_id", "left_anti").select("case_id"), "unknown case")  # cases never go
+
+        def fresh(there: DataFrame) -> DataFrame:
+            require_none(rows.join(there.select("review_id"), "review_id", "left_semi").select("review_id"), "review exists already")
+            return rows
+
+        self._log("reviews").commit(fresh)
         state = F.when(F.col("decision").isin(*TRAINABLE), "closed").otherwise("in_review")
         self._events(rows.select("case_id", state.alias("status"), "reviewed_at", "review_id"))
 
     def set_status(self, case_id: str, status: str) -> None:
         if status not in STATES:
             raise ConfigError(f"unknown state: {status}")
-        if self.cases().where(F.col("case_id") == case_id).isEmpty():
+        if self._log("cases").read().where(F.col("case_id") == case_id).isEmpty():
             raise KeyError(case_id)
         self._events(self.spark.createDataFrame([(case_id, status)], "case_id string, status string").withColumn("reviewed_at", F.current_timestamp()).withColumn("review_id", F.lit("")))
 
     def _events(self, rows: DataFrame) -> None:
-        """Events of one call are numbered after all earlier ones; a batch of reviews is small, and made by people."""
-        old = read_or_empty(self.spark, f"{self.path}/status", schemas.STATUS_EVENTS).agg(F.max("seq")).first()[0] or 0
+        """Events of one call are numbered after all earlier ones, whoever writes at the same time; a batch of reviews is small, and made by people."""
         order = Window.partitionBy("case_id").orderBy("reviewed_at", "review_id")
-        append(rows.select("case_id", (F.row_number().over(order) + F.lit(old)).cast("long").alias("seq"), "status"), f"{self.path}/status")
+
+        def numbered(there: DataFrame) -> DataFrame:
+            old = there.agg(F.max("seq")).first()[0] or 0
+            return rows.select("case_id", (F.row_number().over(order) + F.lit(old)).cast("long").alias("seq"), "status")
+
+        self._log("status").commit(numbered)
 
 
 @dataclass(frozen=True)

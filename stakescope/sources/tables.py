@@ -36,11 +36,6 @@ def read_text(spark: SparkSession, path: str) -> str:
     return "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect()).rstrip("\n")
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table, or an empty one with its schema."""
-    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
-
-
 def work_folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir, the folder that driver and executors share. Only a session on one machine may have none; it gets one."""
     at = spark.conf.get("spark.checkpoint.dir", None)
@@ -59,10 +54,6 @@ def kept(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def append(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
-
-
 def load_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the six flat tables by name, with its declared schema."""
     if name not in schemas.TABLES:

@@ -6,10 +6,12 @@ import hashlib
 import json
 import math
 import random
+import threading
 from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +33,7 @@ from stakescope.plans.outputs import load_features, score_and_write, write_featu
 from stakescope.plans.rebuild import rebuild
 from stakescope.plans.scoring import check_rules, score_players
 from stakescope.sources import adapter as A
+from stakescope.sources.commits import CommitLog, renamed
 from stakescope.sources.tables import DocumentStore, load_table, read_text
 from stakescope.streaming.ingest import ingest
 
@@ -399,6 +402,37 @@ def test_feedback(spark, tmp_path):
         store.set_status(case, "lost")
 
 
+def test_two_writers(spark, tmp_path):
+    """Writers at the same time: every id once, every event kept with a number of its own, drafts unseen."""
+    log = CommitLog(spark, str(tmp_path / "log"), T.StructType([T.StructField("id", T.LongType()), T.StructField("seq", T.LongType())]))
+    assert log.version() == 0 and log.read().count() == 0
+    barrier, failed = threading.Barrier(3), []
+
+    def write(k):
+        def make(there):
+            if there.isEmpty() and not failed:  # all three have seen the empty table before one of them writes
+                barrier.wait(60)
+                failed.append(k)
+            old = there.agg(F.max("seq")).first()[0] or 0
+            return spark.range(10 * k, 10 * k + 20).join(there.select("id"), "id", "left_anti").select("id", (F.lit(old) + F.row_number().over(Window.orderBy("id"))).alias("seq"))
+
+        log.commit(make)
+
+    threads = [threading.Thread(target=write, args=(k,)) for k in range(3)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join(120)
+    rows = [tuple(r) for r in log.read().collect()]
+    assert sorted(i for i, _ in rows) == list(range(40)) and sorted(n for _, n in rows) == list(range(1, 41))
+    assert log.version() == 3 and log.read(1).count() == 20
+    assert log.commit(lambda there: there.limit(0)) == 0 and log.version() == 3
+    spark.range(5).selectExpr("id", "id AS seq").write.parquet(str(tmp_path / "log" / "_draft-x"))  # of a writer that was lost
+    assert log.read().count() == 40
+    spark.range(5).write.parquet(str(tmp_path / "other"))
+    assert not renamed(spark, str(tmp_path / "other"), str(tmp_path / "log" / "version=3")) and renamed(spark, str(tmp_path / "other"), str(tmp_path / "new"))
+
+
 def test_settings_files(tmp_path):
     (tmp_path / "a.json").write_text('{"medium_cut": 50, "thresholds": {"fast_minutes": 5}}')
     (tmp_path / "a.yaml").write_text("medium_cut: 50\nthresholds:\n  fast_minutes: 5\n")
