@@ -34,14 +34,6 @@ def require_none(df: DataFrame, message: str) -> None:
         raise ContractError(f"{message}: {[tuple(r) for r in rows]}")
 
 
-def require_same_keys(a: DataFrame, b: DataFrame, key: str, what: str) -> None:
-    """Error unless both have the same keys, each once."""
-    require_unique(a, key, what=what)
-    require_unique(b, key, what=what)
-    odd = a.select(key).withColumn("_a", F.lit(1)).join(b.select(key).withColumn("_b", F.lit(1)), key, "full").where("_a is null or _b is null")
-    require_none(odd.select(key), f"{what}: keys on one side only")
-
-
 def population(df: DataFrame, players: DataFrame) -> DataFrame:
     """Rows whose player is one of players."""
     return df.join(players.select("player_key"), "player_key", "left_semi")

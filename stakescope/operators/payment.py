@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Thresholds
 from ..functions import scalars as S
+from . import specs
 from .guards import population
 from .pairs import as_of_pairs, bets_between, trigger_pairs, turnover, worst_turnover
-from .specs import PAY, barrier, feature, item, nonempty
+from .specs import PAY, barrier, item, nonempty
 
 
 def money_totals(money: DataFrame, evidence: bool = True) -> DataFrame:
@@ -71,6 +74,7 @@ def payment(players: DataFrame, money: DataFrame, bets: DataFrame, t: Thresholds
     fast_pairs = F.coalesce("fast", F.array().cast("array<struct<deposit_id:string,withdrawal_id:string>>"))
     no_deposit, no_withdrawal = [(no_in, "no_completed_deposits")], [(zero["n_withdrawals"] == 0, "no_withdrawals")]
     methods, accounts = none("methods"), none("accounts")
+    feature = partial(specs.feature, gathered=evidence)
     out = [
         feature("pay_deposit_then_exit_flag", F.coalesce(w["turnover_ratio"] < t.turnover_pct, F.lit(False)), exit_item, unseen, **context),
         feature("pay_intervening_turnover_ratio", w["turnover_ratio"], exit_item, [*unseen, (w.isNull(), "no_triggering_deposit_withdrawal_pair")], **context),

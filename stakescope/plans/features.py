@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..config import Thresholds
 from ..operators.betting import betting
-from ..operators.guards import ContractError, population, require_currency, require_same_keys, require_unique
+from ..operators.guards import ContractError, population, require_currency, require_unique
 from ..operators.multi_accounting import multi_accounting
 from ..operators.payment import payment
 from ..operators.specs import ALL, Spec, barrier
@@ -56,26 +57,46 @@ def broken_contract(structs: DataFrame, specs: dict[str, Spec] = ALL) -> DataFra
 
 
 def combine(groups: list[DataFrame]) -> DataFrame:
-    """Feature groups of the same players, one to one; different players or doubled keys are an error."""
-    out = barrier(groups[0])
-    for g in groups[1:]:
-        require_same_keys(groups[0], g, "player_key", "feature groups")
-        out = out.join(barrier(g), "player_key")
-    return out
+    """Feature groups of the same players, one to one; a player that is missing in one or stands twice ends the run.
 
+    The check is part of the merge: counts over the player, on which each side is sorted for the join anyway.
+    """
+    of_player = Window.partitionBy("player_key")
+    sides = [barrier(g).withColumn(f"_n{k}", F.count(F.lit(1)).over(of_player)) for k, g in enumerate(groups)]
+    out = reduce(lambda a, b: a.join(b, "player_key", "full"), sides)
+    once = reduce(lambda a, b: a & b, (F.coalesce(F.col(f"_n{k}"), F.lit(0)) == 1 for k in range(len(groups))))
+    fault = F.raise_error(F.concat(F.lit("feature groups: not once in each: player_key "), F.col("player_key"))).cast("boolean")
+    return out.where(F.when(once, F.lit(True)).otherwise(fault)).drop(*(f"_n{k}" for k in range(len(groups))))
+
+
+def _observed(df: DataFrame, keep, name: str, rows, currency: str = "UGX") -> tuple[DataFrame, bool]:
+    """The table as kept, and whether one of its player's rows has another currency, counted while it is written."""
+    seen = Observation(name)
+    other = F.count_if(F.col("player_key").isNotNull() & rows & (F.col("currency") != currency))
+    return keep(df.observe(seen, other.alias("other")), name), bool(seen.get["other"])
 
-def build_features(players: DataFrame, logins: DataFrame, money: DataFrame, bets: DataFrame, t: Thresholds | None = None, check: bool = True, keep: Callable[[DataFrame, str], DataFrame] | None = None) -> FeatureTables:
+
+def build_features(
+    players: DataFrame, logins: DataFrame, money: DataFrame, bets: DataFrame, t: Thresholds | None = None, check: bool = True, keep: Callable[[DataFrame, str], DataFrame] | None = None, evidence: bool = True
+) -> FeatureTables:
     """All 33 features of every player with a key, one join of three groups.
 
     keep: a function that writes a table once and reads it again (such as sources.tables.kept). With it, each input is read
-    once, and holders of shared keys and the three groups are tables; without it, everything is one lazy plan.
+    once, and holders of shared keys and the three groups are tables; without it, everything is one lazy plan. check: players
+    that stand twice and other currencies are errors; with keep they are found in the passes that are made anyway (a second
+    look is taken only at tables with another currency, since it may stand in rows of nobody). evidence: without it, values
+    and reasons only; nothing is listed, and no pairs of players are made.
     """
     t = t or Thresholds()
     if keep is not None:
-        players, logins, money, bets = (keep(df, name) for df, name in ((players, "players"), (logins, "logins"), (money, "money"), (bets, "bets")))
-    if check:
+        moved = F.coalesce("is_money_in", F.lit(False)) | F.coalesce("is_money_out", F.lit(False))
+        players, logins = keep(players, "players"), keep(logins, "logins")
+        (money, odd_money), (bets, odd_bets) = _observed(money, keep, "money", moved), _observed(bets, keep, "bets", F.lit(True))
+        if check and (odd_money or odd_bets):
+            check_inputs(players, money, bets)
+    elif check:
         check_inputs(players, money, bets)
-    groups = [multi_accounting(players, logins, money, t, keep=keep), payment(players, money, bets, t), betting(players, bets, t)]
+    groups = [multi_accounting(players, logins, money, t, evidence, keep), payment(players, money, bets, t, evidence), betting(players, bets, t, evidence)]
     if keep is not None:
         groups = [keep(g, name) for g, name in zip(groups, ("multi-accounting", "payment", "betting"), strict=True)]
     if check:

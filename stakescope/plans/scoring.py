@@ -64,11 +64,11 @@ def reason(rule: RuleSpec, context: set[str]) -> Column:
 
 
 def fires(rule: RuleSpec) -> Column:
-    """Measured, and the condition holds; without evidence that is an error when it happens."""
+    """Measured, and the condition holds; with evidence that is empty it is an error when it happens (evidence that was not gathered is null)."""
     f = F.col(rule.feature)
     met = F.coalesce(S.condition(f["value"], rule.op, rule.threshold), F.lit(False))
     unproved = f"rule {rule.rule_id} fired without evidence"
-    return F.when(met & (f["evidence"] == "[]"), F.raise_error(F.lit(unproved)).cast("boolean")).otherwise(met)
+    return F.when(met & F.coalesce(f["evidence"] == "[]", F.lit(False)), F.raise_error(F.lit(unproved)).cast("boolean")).otherwise(met)
 
 
 def score_players(structs: DataFrame, settings: Settings | None = None, iforest: DataFrame | None = None) -> DataFrame:

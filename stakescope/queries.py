@@ -55,9 +55,10 @@ def _rounded(specs: dict) -> str:
     return ", ".join(f"round({n}, 6) AS {n}" if s.kind == "float" else n for n, s in specs.items())
 
 
-def _structs(spark: SparkSession, d: str) -> DataFrame:
+def _structs(spark: SparkSession, d: str, evidence: bool = False) -> DataFrame:
+    """All features, checked; most queries return values and reasons only."""
     t = A.tables(spark, d)
-    return build_features(t["players"], t["logins"], t["money"], t["bets"], check=False, keep=kept).structs
+    return build_features(t["players"], t["logins"], t["money"], t["bets"], keep=kept, evidence=evidence).structs
 
 
 def _pairs(spark: SparkSession, d: str, bets: DataFrame | None = None) -> DataFrame:
@@ -137,7 +138,7 @@ def score_isolation_forest(spark, d):
 def score_reasons(spark, d):
     """Why each rule fired, as reviewers read it."""
     fired = F.from_json("fired_rules", "array<struct<rule_id: string, points: double, reason: string>>")
-    return score_players(_structs(spark, d)).select("player_key", F.explode(fired).alias("r")).select("player_key", "r.*")
+    return score_players(_structs(spark, d, evidence=True)).select("player_key", F.explode(fired).alias("r")).select("player_key", "r.*")
 
 
 @query(f"WITH {O.SCORED} SELECT player_key, overall_risk, band, 'open' AS status, 'model_flagged' AS detection_source, true AS model_routed, 'case_' || substr(sha256('run1|' || player_key || '|model_flagged'), 1, 20) AS case_id FROM flags WHERE band IN ('medium', 'high')")
@@ -475,7 +476,7 @@ _N = "CAST(substr(player_key, 2) AS BIGINT)"
 )
 def audit_null_contract(spark, d):
     """The features with three kinds of planted faults: a value without evidence, a null without a reason, a reason beside a value."""
-    n, s = F.substring("player_key", 2, 20).cast("long"), _structs(spark, d)
+    n, s = F.substring("player_key", 2, 20).cast("long"), _structs(spark, d, evidence=True)
     bet, device, flow = (F.col(c) for c in ("bet_count", "ma_device_count", "pay_net_money_flow"))
     s = s.withColumns({"bet_count": F.when(n % 7 == 0, bet.withField("evidence", F.lit("[]"))).otherwise(bet), "ma_device_count": F.when(n % 11 == 0, device.withField("null_reason", F.lit(None).cast("string"))).otherwise(device)})
     s = s.withColumn("pay_net_money_flow", F.when(n % 13 == 0, flow.withField("null_reason", F.lit("planted"))).otherwise(flow))

@@ -27,14 +27,14 @@ from stakescope.operators.payment import payment
 from stakescope.operators.quantiles import quantiles
 from stakescope.operators.specs import ALL, MA
 from stakescope.plans import audit
-from stakescope.plans.features import broken_contract, build_features
+from stakescope.plans.features import broken_contract, build_features, combine
 from stakescope.plans.feedback import FeedbackStore, run_feedback
 from stakescope.plans.outputs import load_features, score_and_write, write_features
 from stakescope.plans.rebuild import rebuild
 from stakescope.plans.scoring import check_rules, score_players
 from stakescope.sources import adapter as A
 from stakescope.sources.commits import CommitLog, renamed
-from stakescope.sources.tables import DocumentStore, load_table, read_text
+from stakescope.sources.tables import DocumentStore, kept, load_table, read_text
 from stakescope.streaming.ingest import ingest
 
 T0 = datetime(2024, 1, 1, 10)
@@ -325,6 +325,23 @@ def test_doubled_players_are_an_error(spark, sf_dir):
     t = A.tables(spark, sf_dir)
     with pytest.raises(ContractError):
         build_features(t["players"].union(t["players"]), t["logins"], t["money"], t["bets"])
+    with pytest.raises(Exception, match="not once in each"):  # found by the merge itself
+        build_features(t["players"].union(t["players"]), t["logins"], t["money"], t["bets"], keep=kept, evidence=False).structs.collect()
+    kenyan = t["bets"].withColumn("currency", F.when(F.col("ticket_id") == t["bets"].where("player_key is not null").first()["ticket_id"], "KES").otherwise(F.col("currency")))
+    with pytest.raises(ContractError, match="KES"):
+        build_features(t["players"], t["logins"], t["money"], kenyan, keep=kept, evidence=False)
+    strangers = t["bets"].withColumn("currency", F.lit("KES")).withColumn("player_key", F.lit("nobody"))
+    built = build_features(t["players"], t["logins"], t["money"], t["bets"].unionByName(strangers), keep=kept, evidence=False)
+    assert built.structs.count() == t["players"].count()
+    assert built.structs.where("bet_count.evidence is not null or ma_device_count.evidence is not null").isEmpty()
+
+
+def test_merge_of_groups(spark):
+    group = lambda *keys, c="x": spark.createDataFrame([(k, 1) for k in keys], f"player_key string, {c} int")
+    assert sorted(r[0] for r in combine([group("a", "b"), group("b", "a", c="y"), group("a", "b", c="z")]).collect()) == ["a", "b"]
+    for bad in (("a",), ("a", "b", "c"), ("a", "a", "b")):
+        with pytest.raises(Exception, match="not once in each"):
+            combine([group("a", "b"), group(*bad, c="y")]).collect()
 
 
 def structs(spark, **set_values):
