@@ -642,7 +642,28 @@ def audit_casino_volumes(spark, d):
 def audit_drill_sources(spark, d):
     """The source rows behind the declined withdrawals of the three players with most of them."""
     t = A.tables(spark, d)
-    return audit.drill_sources(payment(t["players"], t["money"], t["bets"], Thresholds()), "pay_declined_withdrawal_count", t["money"], "transaction_id").select("player_key", "transaction_id", "final_status")
+    named = audit.drill_sources(payment(t["players"], t["money"], t["bets"], Thresholds()), ["pay_declined_withdrawal_count"], t)
+    return named.join(t["money"].select(F.col("player_key").alias("owner"), F.col("transaction_id").alias("id"), "final_status"), ["owner", "id"]).select("player_key", F.col("id").alias("transaction_id"), "final_status")
+
+
+_TOP = "(SELECT player_key, {f}::DOUBLE AS value FROM wide WHERE {f} > 0 ORDER BY {f} DESC, player_key LIMIT 3)"
+
+
+@query(
+    f"""WITH {O.ALL_FEATURES}, t_ma AS {_TOP.format(f="ma_device_shared_account_count")}, t_pay AS {_TOP.format(f="pay_third_party_withdrawal_count")}, t_exit AS {_TOP.format(f="pay_fast_withdrawal_count")}, t_bet AS {_TOP.format(f="bet_count")},
+u AS (SELECT DISTINCT p, o, sk FROM links WHERE kt = 'fingerprint' AND p IN (SELECT player_key FROM t_ma)),
+r AS (SELECT 'ma_device_shared_account_count' AS feature_name, u.p AS player_key, 'logins' AS source, l.player_key AS owner, l.source_id AS id, NULL::DOUBLE AS amount FROM u JOIN logins l ON l.fingerprint = u.sk AND l.player_key IN (u.p, u.o)
+  UNION SELECT 'pay_third_party_withdrawal_count', player_key, 'money', player_key, transaction_id, amount FROM money WHERE is_out AND third AND player_key IN (SELECT player_key FROM t_pay)
+  UNION SELECT 'pay_fast_withdrawal_count', player_key, 'money', player_key, unnest([d_id, w_id]), unnest([d_amount, w_amount]) FROM pairs WHERE gap <= 60 AND player_key IN (SELECT player_key FROM t_exit)
+  UNION SELECT 'bet_count', player_key, 'bets', player_key, ticket_id, stake FROM bets WHERE player_key IN (SELECT player_key FROM t_bet)),
+t AS (SELECT 'ma_device_shared_account_count' AS feature_name, * FROM t_ma UNION ALL SELECT 'pay_third_party_withdrawal_count', * FROM t_pay UNION ALL SELECT 'pay_fast_withdrawal_count', * FROM t_exit UNION ALL SELECT 'bet_count', * FROM t_bet)
+SELECT feature_name, player_key, value, source, owner, id, 1 AS found, round(amount, 6) AS amount FROM t JOIN r USING (feature_name, player_key)"""
+)
+def audit_drill_evidence(spark, d):
+    """Features of all three groups down to the source rows, those of the other side of a link included."""
+    features = ["ma_device_shared_account_count", "pay_third_party_withdrawal_count", "pay_fast_withdrawal_count", "bet_count"]
+    return audit.drill_sources(_structs(spark, d, evidence=True), features, A.tables(spark, d)).withColumn("amount", _r(F.col("amount")))
+
 
 
 @query("SELECT o_custkey AS player_key, count(*) AS n, round(sum(l_extendedprice), 2) AS stakes, count(DISTINCT o_orderdate::DATE) AS days, count(*) FILTER (l_returnflag = 'R') AS void FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1")
