@@ -646,6 +646,23 @@ def audit_drill_sources(spark, d):
     return named.join(t["money"].select(F.col("player_key").alias("owner"), F.col("transaction_id").alias("id"), "final_status"), ["owner", "id"]).select("player_key", F.col("id").alias("transaction_id"), "final_status")
 
 
+_DOC_SQL = """'{"_id": "' || event_id || '", "fromAccountId": ' || CASE k % 4 WHEN 0 THEN '"W' || user_id || '"' WHEN 1 THEN '[{"ref": "main"}, {"ref": "bonus"}]' WHEN 2 THEN '[{"ref": "main", "at": ' || k || '}, 7, {"other": 1}]' ELSE 'null' END ||
+  CASE k % 5 WHEN 0 THEN ', "toAccountId": []' WHEN 1 THEN ', "toAccountId": 12' WHEN 2 THEN ', "toAccountId": "lost"' WHEN 3 THEN ', "toAccountId": [{"ref": "lost' || (k % 3) || '"}]' ELSE '' END || CASE WHEN event_id % 50 = 0 THEN '' ELSE '}' END"""
+
+
+@query(
+    f"""WITH {A.ORACLE}, docs AS (SELECT event_id AS i, CASE event_type WHEN 'click' THEN 'lost_bets' ELSE 'payouts' END AS feed, {_DOC_SQL} AS doc FROM ev WHERE event_type IN ('click', 'view')),
+f AS (SELECT i, feed, field, NOT json_valid(doc) AS bad, CASE WHEN json_valid(doc) THEN json_extract(doc, '$.' || field) END AS x FROM docs, (VALUES ('fromAccountId'), ('toAccountId')) AS c(field)),
+g AS (SELECT *, CASE WHEN bad THEN 'unreadable' WHEN x IS NULL OR json_type(x) = 'NULL' THEN 'missing' WHEN json_type(x) = 'VARCHAR' THEN 'id' WHEN json_type(x) = 'ARRAY' THEN 'names' ELSE 'other' END AS form FROM f),
+e AS (SELECT feed, field, json_extract_string(unnest(json_extract(x, '$[*]')), '$.ref') AS name FROM g WHERE form = 'names')
+SELECT feed, field, form, NULL::VARCHAR AS name, count(*) AS n FROM g GROUP BY ALL UNION ALL SELECT feed, field, 'name', name, count(*) FROM e WHERE name IS NOT NULL GROUP BY ALL"""
+)
+def audit_account_references(spark, d):
+    """Account fields that hold an id in some documents and a list of names in others; some documents are cut off."""
+    rows = A.events(spark, d).select("event_type", F.expr(_DOC_SQL).alias("doc"))
+    return audit.account_references({"lost_bets": rows.where("event_type = 'click'"), "payouts": rows.where("event_type = 'view'")})
+
+
 _TOP = "(SELECT player_key, {f}::DOUBLE AS value FROM wide WHERE {f} > 0 ORDER BY {f} DESC, player_key LIMIT 3)"
 
 

@@ -336,6 +336,15 @@ def test_doubled_players_are_an_error(spark, sf_dir):
     assert built.structs.where("bet_count.evidence is not null or ma_device_count.evidence is not null").isEmpty()
 
 
+def test_account_references(spark):
+    docs = ['{"fromAccountId": "a1", "toAccountId": [{"ref": "x"}, {"ref": "y"}, {"id": 1}, "z", null]}', '{"fromAccountId": null, "toAccountId": []}', '{"fromAccountId": {"ref": "q"}}', '{"toAccountId": [{"ref": "x"}]}', "{cut", None]
+    got = audit.account_references({"f": spark.createDataFrame([(x,) for x in docs], "doc string")})
+    assert {tuple(r)[1:4]: r["n"] for r in got.collect()} == {
+        ("fromAccountId", "id", None): 1, ("fromAccountId", "missing", None): 3, ("fromAccountId", "other", None): 1, ("fromAccountId", "unreadable", None): 1,
+        ("toAccountId", "names", None): 3, ("toAccountId", "missing", None): 2, ("toAccountId", "unreadable", None): 1, ("toAccountId", "name", "x"): 2, ("toAccountId", "name", "y"): 1,
+    }
+
+
 def test_merge_of_groups(spark):
     group = lambda *keys, c="x": spark.createDataFrame([(k, 1) for k in keys], f"player_key string, {c} int")
     assert sorted(r[0] for r in combine([group("a", "b"), group("b", "a", c="y"), group("a", "b", c="z")]).collect()) == ["a", "b"]
