@@ -6,7 +6,8 @@ import tempfile
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -132,25 +133,35 @@ class DocumentStore:
         if name not in self.collections:
             raise ConfigError(f"collection {name!r} is not configured; known: {', '.join(sorted(self.collections))}")
         if self.kind == "mongodb":
-            reader = self.spark.read.format("mongodb").schema(self.collections[name]).option("connection.uri", self.location).option("collection", name)
-            return reader.option("serverSelectionTimeoutMS", str(self.timeout_ms)).option("connectTimeoutMS", str(self.timeout_ms)).load()
+            return self._asked(name, self.collections[name])
         return read_documents(self.spark, self._place(name), self.collections[name], self.kind)
 
+    def _asked(self, name: str, schema: T.StructType) -> DataFrame:
+        reader = self.spark.read.format("mongodb").schema(schema).option("connection.uri", self.location).option("collection", name)
+        return reader.option("serverSelectionTimeoutMS", str(self.timeout_ms)).option("connectTimeoutMS", str(self.timeout_ms)).load()
+
     def ping(self) -> bool:
-        """Whether the source answers."""
+        """Whether the source answers, whatever collections are declared; one that is away, or has no connector here, does not."""
         if self.kind == "table":
             return self.spark.catalog.databaseExists(self.location)
         if self.kind == "mongodb":
-            return all(self.read(name).limit(1).count() >= 0 for name in list(self.collections)[:1])
+            try:  # a collection that is not there is empty, if the server answers at all
+                return bool(self.location) and self._asked(next(iter(self.collections), "ping"), T.StructType([T.StructField("_id", T.StringType())])).limit(1).count() >= 0
+            except (PySparkException, Py4JJavaError):
+                return False
         return bool(self.location) and exists(self.spark, self.location)
 
     def names(self) -> list[str]:
-        """The collections that are there, sorted."""
+        """The collections that are there, declared or not, sorted; a connector without a list of its own is asked for the declared ones."""
         if self.kind == "table":
             return sorted(t.name for t in self.spark.catalog.listTables(self.location) if t.tableType not in ("VIEW", "TEMPORARY"))
         if self.kind == "mongodb":
-            return sorted(self.collections)
-        return sorted(n for n in self.collections if exists(self.spark, self._place(n)))
+            return sorted(n for n, schema in self.collections.items() if not self._asked(n, schema).limit(1).isEmpty())
+        if not self.ping():
+            return []
+        below = F.regexp_extract(F.col("path"), r"/([^/]+)/[^/]+$", 1)  # only names of files are read
+        files = self.spark.read.format("binaryFile").load(f"{self.location.rstrip('/')}/*").select(below.alias("name"))
+        return sorted(r[0] for r in files.distinct().collect())
 
     def count(self, name: str) -> int:
         return self.read(name).count()

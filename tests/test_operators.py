@@ -479,7 +479,12 @@ def test_document_store(spark, tmp_path):
         store.read("gone")
     with pytest.raises(ConfigError, match="not configured"):
         store.read("other")
-    assert not DocumentStore(spark, str(tmp_path / "no")).ping()
+    assert not DocumentStore(spark, str(tmp_path / "no")).ping() and DocumentStore(spark, str(tmp_path / "no")).names() == []
+    spark.range(2).write.json(str(tmp_path / "extra"))
+    assert store.names() == ["extra", "money"] and DocumentStore(spark, str(tmp_path)).names() == ["extra", "money"]
+    assert [tuple(r) for r in store.counts().collect()] == [("money", 3)]
+    for declared in ({}, {"money": schema}):  # no server, no connector
+        assert not DocumentStore(spark, "mongodb://127.0.0.1:1/db", "mongodb", declared).ping()
     with pytest.raises(ConfigError, match="no location"):
         DocumentStore(spark, "", "json", {"x": schema}).read("x")
 
