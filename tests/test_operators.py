@@ -451,12 +451,13 @@ def test_two_writers(spark, tmp_path):
         t.join(120)
     rows = [tuple(r) for r in log.read().collect()]
     assert sorted(i for i, _ in rows) == list(range(40)) and sorted(n for _, n in rows) == list(range(1, 41))
-    assert log.version() == 3 and log.read(1).count() == 20
-    assert log.commit(lambda there: there.limit(0)) == 0 and log.version() == 3
+    last = log.version()  # the middle writer has nothing left to add if it comes last
+    assert last in (2, 3) and log.read(1).count() == 20
+    assert log.commit(lambda there: there.limit(0)) == 0 and log.version() == last
     spark.range(5).selectExpr("id", "id AS seq").write.parquet(str(tmp_path / "log" / "_draft-x"))  # of a writer that was lost
     assert log.read().count() == 40
     spark.range(5).write.parquet(str(tmp_path / "other"))
-    assert not renamed(spark, str(tmp_path / "other"), str(tmp_path / "log" / "version=3")) and renamed(spark, str(tmp_path / "other"), str(tmp_path / "new"))
+    assert not renamed(spark, str(tmp_path / "other"), str(tmp_path / "log" / f"version={last}")) and renamed(spark, str(tmp_path / "other"), str(tmp_path / "new"))
 
 
 def test_settings_files(tmp_path):
