@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+from .operators.specs import ALL
 from .sources.adapter import CUSTOMER_PHONE, LOGIN_ID, ORACLE
 
 # One-hop links: observations, holders, capped keys, edges.
@@ -237,3 +240,33 @@ pts AS (SELECT * FROM (VALUES """
     + ", ".join(f"('{r[1]}', {r[3]})" for r in _RULES)
     + ") AS t(rule_id, points))"
 )
+
+
+def forest_sql(trees: int = 100, seed: int = 42, subsample: int = 256) -> str:
+    """The isolation forest: draws, trees and scores of all players, level by level."""
+    numeric = [n for n, s in ALL.items() if s.kind != "bool"]
+    levels = math.ceil(math.log2(subsample))
+    value = "s.lo + s.share * (s.hi - s.lo)"
+    parts = [
+        "medians AS (SELECT " + ", ".join(f"median({n}::DOUBLE) AS {n}" for n in numeric) + " FROM wide)",
+        "filled AS MATERIALIZED (SELECT w.player_key, [" + ", ".join(f"round(coalesce(w.{n}::DOUBLE, m.{n}, 0), 6)" for n in numeric) + "] AS x FROM wide w, medians m)",
+        f"""walk0 AS MATERIALIZED (SELECT tree, player_key, x, 1 AS node,
+  row_number() OVER (PARTITION BY tree ORDER BY md5('{seed}:' || tree || ':' || player_key), player_key) <= {subsample} AS drawn FROM filled, range({trees}) t(tree))""",
+        f"size AS (SELECT least({subsample}, count(*)) AS n FROM filled)",
+    ]
+    for d in range(levels):
+        parts += [
+            f"""cells{d} AS (SELECT tree, node, i, min(x[i + 1]) AS lo, max(x[i + 1]) AS hi FROM walk{d}, range({len(numeric)}) t(i) WHERE drawn GROUP BY ALL HAVING lo < hi)""",
+            f"""ranked{d} AS (SELECT *, md5('{seed}:' || tree || ':' || node) AS h, row_number() OVER (PARTITION BY tree, node ORDER BY i) - 1 AS k, count(*) OVER (PARTITION BY tree, node) AS usable FROM cells{d})""",
+            f"""split{d} AS MATERIALIZED (SELECT s.tree, s.node, s.i, CASE WHEN {value} <= s.lo THEN s.hi ELSE {value} END AS value
+  FROM (SELECT *, ('0x' || h[9:16])::BIGINT / 4294967296.0::DOUBLE AS share FROM ranked{d} WHERE k = ('0x' || h[1:8])::BIGINT % usable) s, size WHERE {d} < ceil(log2(size.n)))""",
+            f"""walk{d + 1} AS MATERIALIZED (SELECT w.tree, w.player_key, w.x, w.drawn, CASE WHEN s.node IS NULL THEN w.node WHEN w.x[s.i + 1] < s.value THEN 2 * w.node ELSE 2 * w.node + 1 END AS node
+  FROM walk{d} w LEFT JOIN split{d} s ON s.tree = w.tree AND s.node = w.node)""",
+        ]
+    mean = "(CASE WHEN {n} > 2 THEN 2 * (ln({n} - 1) + 0.5772156649015329) - 2 * ({n} - 1) / {n}::DOUBLE WHEN {n} = 2 THEN 1 ELSE 0 END)"
+    parts += [
+        f"leaves AS (SELECT tree, node, round((floor(log2(node)) + {mean.format(n='count(*)')}) * 1e9)::BIGINT AS credit FROM walk{levels} WHERE drawn GROUP BY tree, node)",
+        f"lengths AS (SELECT player_key, sum(credit)::DOUBLE / 1e9 / {trees} AS length FROM walk{levels} JOIN leaves USING (tree, node) GROUP BY 1)",
+    ]
+    score = f"CASE WHEN n < 2 THEN 0 ELSE -pow(2.0, -(length / {mean.format(n='n')})) END"
+    return f"WITH {ALL_FEATURES},\n" + ",\n".join(parts) + f"\nSELECT player_key, round({score}, 6) AS iforest_score_untrusted FROM lengths, size"

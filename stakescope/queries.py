@@ -129,9 +129,9 @@ def score_top_players(spark, d):
     return top_flags(score_players(_structs(spark, d)), 20).select("player_key", "overall_risk", "band")
 
 
-@query()
+@query(O.forest_sql())
 def score_isolation_forest(spark, d):
-    return isolation_scores(wide_table(_structs(spark, d)))
+    return isolation_scores(wide_table(_structs(spark, d))).select("player_key", _r("iforest_score_untrusted").alias("iforest_score_untrusted"))
 
 
 @query(f"WITH {O.REASONS} SELECT player_key, rule_id, points::DOUBLE AS points, reason || ' (+' || points || ')' AS reason FROM fired JOIN said USING (player_key, rule_id) JOIN pts USING (rule_id)")

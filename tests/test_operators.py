@@ -10,6 +10,7 @@ import threading
 from collections import Counter
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from stakescope.functions import scalars as S
 from stakescope.operators import flatten, identity, linkage, pairs
 from stakescope.operators.betting import betting
 from stakescope.operators.guards import ContractError, require_currency, require_unique
-from stakescope.operators.iforest import isolation_scores, subsamples
+from stakescope.operators.iforest import average_path, grow, isolation_scores, subsamples
 from stakescope.operators.multi_accounting import multi_accounting
 from stakescope.operators.payment import payment
 from stakescope.operators.quantiles import quantiles
@@ -550,6 +551,35 @@ def test_each_tree_of_the_isolation_forest_draws_its_own_rows(spark):
     assert len(scores) == 3000 and scores["p0"] < scores["p1500"] and scores["p2999"] < scores["p1500"]
 
 
+def test_isolation_forest_equals_a_descent_row_by_row(spark):
+    """Ties, constant columns, missing values and few players; the plan has no Python in it."""
+    names = [n for n, s in ALL.items() if s.kind != "bool"]
+    schema = "player_key string, " + ", ".join(f"{n} double" for n in names)
+    for n in (1, 3, 300):
+        rows = [(f"p{k}", *(None if (k + j) % 7 == 0 else 5.0 if j % 3 == 0 else float((k * (j + 1)) % 11) for j in range(len(names)))) for k in range(n)]
+        wide = spark.createDataFrame(rows, schema).repartition(3)
+        scored = isolation_scores(wide, trees=9)
+        got = {r[0]: r[1] for r in scored.collect()}
+        if n < 2:
+            assert got == {r[0]: 0.0 for r in rows}
+            continue
+        assert "Python" not in scored._jdf.queryExecution().executedPlan().toString()
+        mid = {c: float(np.median([r[j] for r in rows if r[j] is not None])) if any(r[j] is not None for r in rows) else 0.0 for j, c in enumerate(["key", *names]) if j}
+        full = {r[0]: [round(mid[c] if v is None else v, 6) for c, v in zip(names, r[1:], strict=True)] for r in rows}
+        total = dict.fromkeys(full, 0)
+        for tree in range(9):
+            drawn = sorted(full, key=lambda k, tree=tree: (hashlib.md5(f"42:{tree}:{k}".encode()).hexdigest(), k))[:256]
+            nodes = {r[1]: r for r in grow(np.array([full[k] for k in drawn]), tree, 42, math.ceil(math.log2(len(drawn))))}
+            for k, x in full.items():
+                at = 1
+                while nodes[at][2] >= 0:
+                    at = 2 * at + (x[nodes[at][2]] >= nodes[at][3])
+                total[k] += nodes[at][4]
+        scale = float(average_path(np.array(min(n, 256))))
+        want = {k: -(2 ** (-v / 1e9 / 9 / scale)) for k, v in total.items()}
+        assert set(got) == set(want) and all(math.isclose(got[k], want[k], rel_tol=1e-12) for k in want)
+
+
 def test_ingest(spark, tmp_path):
     (tmp_path / "in").mkdir()
     for k in range(2):
