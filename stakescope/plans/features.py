@@ -17,6 +17,10 @@ from ..operators.payment import payment
 from ..operators.specs import ALL, Spec, barrier
 
 
+#: Names of the tables of the three groups.
+GROUPS = ("multi-accounting", "payment", "betting")
+
+
 @dataclass(frozen=True)
 class FeatureTables:
     """structs: player_key and a struct for each feature; wide: values and metadata; evidence: one row per player and feature."""
@@ -56,17 +60,26 @@ def broken_contract(structs: DataFrame, specs: dict[str, Spec] = ALL) -> DataFra
     return flat.where("(value is null and null_reason is null) or (value is not null and null_reason is not null) or (coalesce(value, 0) <> 0 and evidence = '[]')")
 
 
-def combine(groups: list[DataFrame]) -> DataFrame:
+def _once(names: list[str]):
+    """True where all counts are 1; anything else ends the run."""
+    once = reduce(lambda a, b: a & b, (F.coalesce(F.col(n), F.lit(0)) == 1 for n in names))
+    return F.when(once, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("feature groups: not once in each: player_key "), F.col("player_key"))).cast("boolean"))
+
+
+def combine(groups: list[DataFrame], written: bool = False) -> DataFrame:
     """Feature groups of the same players, one to one; a player that is missing in one or stands twice ends the run.
 
-    The check is part of the merge: counts over the player, on which each side is sorted for the join anyway.
+    The check is part of the merge: counts over the player, on which each side is sorted for the join anyway. written: the
+    groups are tables. Their sizes are then counted from the files' footers, and with equal sizes a left join, which unlike a
+    full one keeps the layout of its sides, finds every fault: with tables bucketed by the player nothing is exchanged.
     """
     of_player = Window.partitionBy("player_key")
-    sides = [barrier(g).withColumn(f"_n{k}", F.count(F.lit(1)).over(of_player)) for k, g in enumerate(groups)]
-    out = reduce(lambda a, b: a.join(b, "player_key", "full"), sides)
-    once = reduce(lambda a, b: a & b, (F.coalesce(F.col(f"_n{k}"), F.lit(0)) == 1 for k in range(len(groups))))
-    fault = F.raise_error(F.concat(F.lit("feature groups: not once in each: player_key "), F.col("player_key"))).cast("boolean")
-    return out.where(F.when(once, F.lit(True)).otherwise(fault)).drop(*(f"_n{k}" for k in range(len(groups))))
+    names = [f"_n{k}" for k in range(len(groups))]
+    sides = [(g if written else barrier(g)).withColumn(n, F.count(F.lit(1)).over(of_player)) for n, g in zip(names, groups, strict=True)]
+    if written and len(sizes := {g.count() for g in groups}) > 1:
+        raise ContractError(f"feature groups: not once in each: {sorted(sizes)} rows")
+    out = reduce(lambda a, b: a.join(b, "player_key", "left" if written else "full"), sides)
+    return out.where(_once(names)).drop(*names)
 
 
 def _observed(df: DataFrame, keep, name: str, rows, currency: str = "UGX") -> tuple[DataFrame, bool]:
@@ -77,12 +90,13 @@ def _observed(df: DataFrame, keep, name: str, rows, currency: str = "UGX") -> tu
 
 
 def build_features(
-    players: DataFrame, logins: DataFrame, money: DataFrame, bets: DataFrame, t: Thresholds | None = None, check: bool = True, keep: Callable[[DataFrame, str], DataFrame] | None = None, evidence: bool = True
+    players: DataFrame, logins: DataFrame, money: DataFrame, bets: DataFrame, t: Thresholds | None = None, check: bool = True, keep: Callable[..., DataFrame] | None = None, evidence: bool = True
 ) -> FeatureTables:
     """All 33 features of every player with a key, one join of three groups.
 
-    keep: a function that writes a table once and reads it again (such as sources.tables.kept). With it, each input is read
-    once, and holders of shared keys and the three groups are tables; without it, everything is one lazy plan. check: players
+    keep: writes a table once and reads it again (a sources.tables.Workspace, or kept). With it, each input is read once, and
+    holders of shared keys and the three groups, bucketed by the player, are tables; the result reads the groups only. Without
+    it, everything is one lazy plan. check: players
     that stand twice and other currencies are errors; with keep they are found in the passes that are made anyway (a second
     look is taken only at tables with another currency, since it may stand in rows of nobody). evidence: without it, values
     and reasons only; nothing is listed, and no pairs of players are made.
@@ -98,9 +112,9 @@ def build_features(
         check_inputs(players, money, bets)
     groups = [multi_accounting(players, logins, money, t, evidence, keep), payment(players, money, bets, t, evidence), betting(players, bets, t, evidence)]
     if keep is not None:
-        groups = [keep(g, name) for g, name in zip(groups, ("multi-accounting", "payment", "betting"), strict=True)]
+        groups = [keep(g, name, "player_key") for g, name in zip(groups, GROUPS, strict=True)]
     if check:
-        structs = combine(groups)
+        structs = combine(groups, written=keep is not None)
     else:
         apart = barrier if keep is None else lambda df: df
         structs = apart(groups[0]).join(apart(groups[1]), "player_key").join(apart(groups[2]), "player_key")

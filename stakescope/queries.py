@@ -19,10 +19,10 @@ from .operators.payment import payment
 from .operators.specs import BET, MA, PAY
 from .plans import audit, feedback
 from .plans.evidence import BET_SHAPES, MA_SHAPES, PAY_SHAPES, evidence_rows
-from .plans.features import broken_contract, build_features, wide_table
+from .plans.features import GROUPS, broken_contract, build_features, wide_table
 from .plans.scoring import rule_counts, score_players, top_flags
 from .sources import adapter as A
-from .sources.tables import kept
+from .sources.tables import Workspace, kept
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -56,9 +56,11 @@ def _rounded(specs: dict) -> str:
 
 
 def _structs(spark: SparkSession, d: str, evidence: bool = False) -> DataFrame:
-    """All features, checked; most queries return values and reasons only."""
-    t = A.tables(spark, d)
-    return build_features(t["players"], t["logins"], t["money"], t["bets"], keep=kept, evidence=evidence).structs
+    """All features, checked; most queries return values and reasons only. Of the tables written on the way the three groups stay."""
+    t, work = A.tables(spark, d), Workspace(spark)
+    structs = build_features(t["players"], t["logins"], t["money"], t["bets"], keep=work, evidence=evidence).structs
+    work.end(but=GROUPS)
+    return structs
 
 
 def _pairs(spark: SparkSession, d: str, bets: DataFrame | None = None) -> DataFrame:

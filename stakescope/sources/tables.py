@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 import tempfile
 import uuid
 from dataclasses import dataclass, field
@@ -48,11 +50,47 @@ def work_folder(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
-def kept(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
-    """df written once and read again: what many later steps use is computed once, and a lost executor costs a stage, not the run."""
-    path = f"{folder or work_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+@dataclass
+class Workspace:
+    """Tables that a run writes once and reads many times, in a database below spark.checkpoint.dir; so what many later steps use is
+    computed once, and a lost executor costs a stage, not the run.
+
+    Called with a table, a name and perhaps a key: the table as written. With a key it is bucketed by it, in as many buckets as
+    a shuffle has partitions, so joins, groups and windows on the key need no exchange. A key with many rows makes a large
+    bucket: meant for tables with few rows a key. end() drops the tables and their files, all or all but those named in `but`.
+    """
+
+    spark: SparkSession
+    written: dict[str, list[str]] = field(default_factory=dict)
+
+    def __call__(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        at = work_folder(self.spark)
+        database = f"stakescope_{hashlib.md5(at.encode()).hexdigest()[:12]}"
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{at}/{database}'")
+        table = f"{database}.{re.sub('[^a-z0-9]', '_', name.lower())}_{uuid.uuid4().hex}"
+        if by is None:
+            df.write.format("parquet").saveAsTable(table)
+        else:
+            n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            df.repartition(n, by).write.format("parquet").bucketBy(n, by).sortBy(by).saveAsTable(table)
+        self.written.setdefault(name, []).append(table)
+        return self.spark.table(table)
+
+    def end(self, but: tuple[str, ...] = ()) -> None:
+        for name in [n for n in self.written if n not in but]:
+            for table in self.written.pop(name):
+                self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.end()
+
+
+def kept(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """A table of a workspace that stays, for results that are read later."""
+    return Workspace(df.sparkSession)(df, name, by)
 
 
 def load_table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -28,14 +28,14 @@ from stakescope.operators.payment import payment
 from stakescope.operators.quantiles import quantiles
 from stakescope.operators.specs import ALL, MA
 from stakescope.plans import audit
-from stakescope.plans.features import broken_contract, build_features, combine
+from stakescope.plans.features import GROUPS, broken_contract, build_features, combine
 from stakescope.plans.feedback import FeedbackStore, run_feedback
 from stakescope.plans.outputs import load_features, score_and_write, write_features
 from stakescope.plans.rebuild import rebuild
 from stakescope.plans.scoring import check_rules, score_players
 from stakescope.sources import adapter as A
 from stakescope.sources.commits import CommitLog, renamed
-from stakescope.sources.tables import DocumentStore, kept, load_table, read_text
+from stakescope.sources.tables import DocumentStore, Workspace, exists, kept, load_table, read_text
 from stakescope.streaming.ingest import ingest
 
 T0 = datetime(2024, 1, 1, 10)
@@ -322,6 +322,34 @@ def test_a_failing_forest_gives_zeros_unless_it_counts(spark, features, tmp_path
         score_and_write(features, str(tmp_path), Settings(iforest_weight=1.0))
 
 
+def test_written_groups_are_joined_where_they_lie(spark, sf_dir):
+    """All 33 features, checked, without an exchange; the tables on the way are dropped, and the result still reads its own."""
+    t, work = A.tables(spark, sf_dir), Workspace(spark)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        structs = build_features(t["players"], t["logins"], t["money"], t["bets"], keep=work, evidence=False).structs
+        plan = structs._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Exchange" not in plan and plan.count("SortMergeJoin") == 2 and plan.count("Bucketed: true") == 3
+    places = [f.rsplit("/", 1)[0] for name in ("players", "holders") for f in spark.table(work.written[name][0]).inputFiles()]
+    work.end(but=GROUPS)
+    assert set(work.written) == set(GROUPS) and places and not any(exists(spark, p) for p in places)
+    assert structs.count() == t["players"].count()
+    work.end()
+    assert not work.written
+
+
+def test_written_groups_must_have_the_same_players(spark):
+    with Workspace(spark) as work:
+        group = lambda *keys, c: work(spark.createDataFrame([(k,) for k in keys], "player_key string").withColumn(c, F.lit(1)), c, "player_key")
+        assert sorted(r[0] for r in combine([group("a", "b", c="x"), group("b", "a", c="y")], written=True).collect()) == ["a", "b"]
+        for bad in (("a",), ("a", "b", "b"), ("a", "a"), ("a", "c"), ("b", "b"), ("a", "b", "c")):
+            with pytest.raises(Exception, match="not once in each"):
+                combine([group("a", "b", c="x"), group(*bad, c="y")], written=True).collect()
+
+
 def test_doubled_players_are_an_error(spark, sf_dir):
     t = A.tables(spark, sf_dir)
     with pytest.raises(ContractError):
