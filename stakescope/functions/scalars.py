@@ -179,17 +179,53 @@ def list_text(x: Column) -> Column:
     return F.concat(F.lit("["), F.coalesce(F.array_join(x, ", "), F.lit("")), F.lit("]"))
 
 
+def _product_error(a: Column, b: Column, ab: Column) -> Column:
+    """a * b - ab without loss, for doubles that do not overflow (Veltkamp's and Dekker's splits)."""
+    high = lambda x: x * 134217729.0 - (x * 134217729.0 - x)
+    a1, b1 = high(a), high(b)
+    return ((a1 * b1 - ab) + a1 * (b - b1) + (a - a1) * b1) + (a - a1) * (b - b1)
+
+
+def _untied(x: Column, times: Column, by: Column) -> Column:
+    """x, or if it stands about halfway between two multiples of by / times, the one that its binary value is rounded to.
+
+    Java's formats round the shortest decimal up, so 0.125 becomes 0.13 and 2.675 2.68; C, Python and SQL engines round the
+    double itself, exact halves to even: 0.12 and 2.67. One of times and by must be 1, the other a power of ten up to 1e22.
+    """
+
+    def settled(v: Column) -> Column:
+        a = F.abs(v)
+        twice = times * 2.0
+        p = a * twice
+        r = F.rint(p / by)
+        q = r * by
+        off = (p - q) + (_product_error(a, twice, p) - _product_error(r, by, q))
+        low = (r - 1.0) / 2.0
+        m = low + F.when(off > 0, 1.0).when(off < 0, 0.0).otherwise(low % 2.0)
+        tied = (r % 2.0 == 1.0) & (r < 2.0**53) & (F.abs(off) <= q * 2.0**-51)
+        return F.when(tied, F.when(v < 0, -1.0).otherwise(1.0) * (m * by / times)).otherwise(v)
+
+    return F.get(F.transform(F.array(x.cast("double")), settled), F.lit(0))
+
+
 def fixed(x: Column, digits: int) -> Column:
-    return F.format_string(f"%.{digits}f", x.cast("double"))
+    return F.format_string(f"%.{digits}f", _untied(x, F.lit(10.0**digits), F.lit(1.0)))
 
 
 def general(x: Column) -> Column:
-    """Six significant digits without trailing zeros, as a plain general format writes them (scientific from 1e6 or below 1e-4)."""
-    text = F.format_string("%.5e", x.cast("double"))  # d.ddddde+xx: rounded to six digits
+    """Six significant digits without trailing zeros, as a plain general format writes them (scientific from 1e6 or below 1e-4).
+
+    Halves are decided by the double's binary value from 1e-17 to 1e28, beyond that by its shortest decimal.
+    """
+    power_of = lambda t: F.regexp_extract(t, "e(.*)$", 1).try_cast("int")
+    tens = lambda k: F.get(F.array(*(F.lit(10.0**i) for i in range(23))), F.greatest(k, F.lit(0)))
+    over = power_of(F.format_string("%.16e", x.cast("double"))) - 5
+    x = F.when(F.abs(over) <= 22, _untied(x, tens(-over), tens(over))).otherwise(x.cast("double"))
+    text = F.format_string("%.5e", x)  # d.ddddde+xx: rounded to six digits
     digits = lambda t: F.regexp_replace(F.regexp_replace(t, r"(\.\d*?)0+$", "$1"), r"\.$", "")
 
     def written(t: Column) -> Column:
-        power = F.regexp_extract(t, "e(.*)$", 1).try_cast("int")
+        power = power_of(t)
         plain = digits(t.try_cast("double").try_cast("decimal(20,10)").cast("string"))
         science = F.concat(digits(F.regexp_extract(t, "^(.*)e", 1)), F.lit("e"), F.when(power < 0, "-").otherwise("+"), F.lpad(F.abs(power).cast("string"), 2, "0"))
         return F.when(t.try_cast("double") == 0, "0").when((power < -4) | (power >= 6), science).otherwise(plain)

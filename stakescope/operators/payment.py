@@ -19,7 +19,7 @@ def money_totals(money: DataFrame, evidence: bool = True) -> DataFrame:
     """One row per player with every count, sum and list that the ledger gives, in one pass; without evidence, counts stand for the lists of ids."""
     into, out = F.coalesce("is_money_in", F.lit(False)), (F.col("txn_type") == "WITHDRAWAL") & F.coalesce("is_money_out", F.lit(False))
     withdrawal, status, third = F.col("txn_type") == "WITHDRAWAL", F.col("final_status"), F.coalesce("is_third_party_recipient", F.lit(False))
-    total = lambda c: F.coalesce(F.sum(F.when(c, S.amount("amount"))), F.lit(0.0))
+    total = lambda c: F.round(F.coalesce(F.sum(F.when(c, S.amount("amount"))), F.lit(0.0)), 6)  # noqa: E731  # the last bits depend on the order of the rows
     ids = lambda c, x=F.col("transaction_id"): F.array_sort(F.collect_list(F.when(c, x))) if evidence else F.count_if(c)
     recipient = F.struct(F.col("transaction_id").alias("withdrawal_id"), F.col("recipient_normalized").alias("recipient_number"))
     return money.groupBy("player_key").agg(
@@ -56,7 +56,7 @@ def payment(players: DataFrame, money: DataFrame, bets: DataFrame, t: Thresholds
     pct = w["withdrawal_amount"] / w["deposit_amount"] * 100
     played = none("bet_ids") if evidence else F.array().cast("array<string>")
     exit_item = F.when(w.isNotNull(), item(deposit_id=w["deposit_id"], withdrawal_id=w["withdrawal_id"], pct_withdrawn=pct, intervening_bet_ids=played, intervening_stake_sum=w["stake_sum"]))
-    context = {"deposit_id": w["deposit_id"], "withdrawal_id": w["withdrawal_id"], "pct_withdrawn": pct, "intervening_stake_sum": w["stake_sum"]}
+    context = {"deposit_id": w["deposit_id"], "withdrawal_id": w["withdrawal_id"], "pct_withdrawn": F.round(pct, 6), "intervening_stake_sum": F.round(w["stake_sum"], 6)}
     many = lambda c: F.coalesce(F.size(c), F.lit(0)) if evidence else F.coalesce(c, F.lit(0))
     nothing = F.lit(None).cast("string")
     if evidence:
@@ -78,7 +78,7 @@ def payment(players: DataFrame, money: DataFrame, bets: DataFrame, t: Thresholds
     out = [
         feature("pay_deposit_then_exit_flag", F.coalesce(w["turnover_ratio"] < t.turnover_pct, F.lit(False)), exit_item, unseen, **context),
         feature("pay_intervening_turnover_ratio", w["turnover_ratio"], exit_item, [*unseen, (w.isNull(), "no_triggering_deposit_withdrawal_pair")], **context),
-        feature("pay_min_minutes_deposit_to_withdrawal", near["gap_minutes"], item(deposit_id=near["deposit_id"], withdrawal_id=near["withdrawal_id"], gap_minutes=near["gap_minutes"]), unpaired, deposit_id=near["deposit_id"], withdrawal_id=near["withdrawal_id"]),
+        feature("pay_min_minutes_deposit_to_withdrawal", near["gap_minutes"], item(deposit_id=near["deposit_id"], withdrawal_id=near["withdrawal_id"], gap_minutes=near["gap_minutes"]), unpaired, deposit_id=near["deposit_id"], withdrawal_id=near["withdrawal_id"], shown=F.round(near["gap_minutes"], 6)),
         feature("pay_third_party_withdrawal_flag", many(third) > 0, third_json, unpaid, recipient_numbers=numbers),
         feature("pay_third_party_withdrawal_count", many(third), third_json, unpaid, recipient_numbers=numbers),
         feature("pay_withdrawal_to_deposit_ratio", F.try_divide(sums["sum_out"], sums["sum_in"]), item(reason_text=ratio_text, money_in_sum_ugx=sums["sum_in"], money_out_sum_ugx=sums["sum_out"]), [(no_in, "no_completed_deposits"), (sums["sum_in"] < t.min_deposit, "insufficient_deposit_denominator")], reason_text=ratio_text),

@@ -35,8 +35,8 @@ def check_rules(rules: tuple[RuleSpec, ...], specs: dict[str, Spec] = ALL) -> No
 
 
 def reason(rule: RuleSpec, context: set[str]) -> Column:
-    """The reason text of a rule as a concatenation of columns; placeholders are known when the plan is built."""
-    value = F.col(f"{rule.feature}.value")
+    """The reason text of a rule as a concatenation of columns; placeholders are known when the plan is built. The context may hold the value as it is to be shown."""
+    value = F.col(f"{rule.feature}.ctx.shown" if "shown" in context else f"{rule.feature}.value")
     parts: list[Column] = []
     for text, name, spec, _ in string.Formatter().parse(rule.reason):
         if text:

@@ -100,6 +100,15 @@ def test_general_format(spark):
     assert scalars(spark, values, S.general, "double") == [f"{v:g}" for v in values]
 
 
+def test_formats_round_the_double_itself(spark):
+    """Shortest decimals that end in a half, at which Java's formats round up whatever the double holds."""
+    values = [0.125, 0.375, 0.575, 2.675, 1.005, -0.125, -0.005, 187.075, 1.5625, 0.0, 1e22, 17.0]
+    for digits in (1, 2, 3):
+        assert scalars(spark, values, lambda x, k=digits: S.fixed(x, k), "double") == [f"{v:.{digits}f}" for v in values]
+    values = [1234565.0, 1234575.0, 239794.5, -239794.5, 999999.5, 12345675.0, 0.0001234565, 1.234565e-9, 1234565e15, 2.5]
+    assert scalars(spark, values, S.general, "double") == [f"{v:g}" for v in values]
+
+
 def test_resolution(spark):
     docs = [{"_id": "a" * 24, "username": "0756123456", "contactNo": "+256756123456", "playerId": "P1", "referralCode": " R1 ", "createdAt": "2024-01-01T00:00:00Z"}, {"_id": "b" * 24, "username": "0756123456", "isDeleted": True, "createdAt": "2025-01-01T00:00:00Z"}, {"_id": "c" * 24, "username": "0756999111", "createdAt": "2024-01-01T00:00:00Z"}, {"_id": "d" * 24, "username": "0756999111", "createdAt": "2024-02-01T00:00:00Z"}]
     players = spark.createDataFrame(docs, schemas.RAW_PLAYERS)
