@@ -642,3 +642,14 @@ def test_evidence_without_pairs(spark):
             assert (r["others"], r["other_records"]) == (",".join(o for o, _ in others), ";".join(f"{o}={x}" for o, x in others))
     some = linkage.edges(held, hot=1, only=spark.createDataFrame([("b,c",)], "player_key string")).collect()
     assert sorted(tuple(r)[:4] for r in some) == sorted(tuple(r)[:4] for r in pairs if r["player_key"] == "b,c")
+
+
+def test_pairs_between_groups_no_pairs(spark):
+    """Keys of pairs told at the first common key, by lists and by grouping, against grouping all pairs."""
+    draw = random.Random(5)
+    rows = {(kind, f"k{draw.randrange(4)}", f"p{draw.randrange(9)}") for kind in (*linkage.CORROBORATING, linkage.PHONE) for _ in range(14)}
+    held = spark.createDataFrame([(*r, []) for r in sorted(rows)], "key_type string, shared_key string, player_key string, record_ids array<string>")
+    shared = linkage.shared_holders(held, 10)
+    want = sorted(map(repr, linkage.keys_between(linkage.edges(shared)).collect()))
+    for hot, listed in ((2, 64), (1000, 3), (1000, 0)):
+        assert sorted(map(repr, linkage.pairs_between(shared, hot, listed).collect())) == want
