@@ -184,3 +184,23 @@ def test_approximate_top_k_with_hubs(spark):
         got.setdefault(r["query_id"], set()).add(r["vec_id"])
     want = dict(brute(dict(enumerate(m)), 10, 20))
     assert sum(len(got[q] & {i for i, _ in x}) for q, x in want.items()) / sum(len(x) for x in want.values()) >= 0.9
+
+
+def test_what_a_step_exchanges_follows_the_table(spark, monkeypatch):
+    """On many partitions a vector goes to as many of them as it has neighbours; rounds and searches then come in turns, with all rows as before."""
+    for n, parts in ((600_000, 120), (24_000_000, 4800)):
+        per_round = n * min(parts, 2 * nn_descent.DEGREE) * (256 + 16 + nn_descent.DEGREE * 20)
+        assert per_round > 100 * n * 256 and per_round / nn_descent.turns(n, parts, 256) <= nn_descent.STEP_SHARE * n * 256
+    monkeypatch.setattr(nn_descent, "STEP_BYTES", 1 << 19)
+    monkeypatch.setattr(nn_descent, "STEP_SHARE", 4)
+    m = hubs(1500).astype(np.float32)
+    df = spark.createDataFrame([(k, m[k].tolist()) for k in range(len(m))], "vec_id long, embedding array<float>")
+    asked, turns, searches = [], nn_descent.turns, nn_descent.searches
+    monkeypatch.setattr(nn_descent, "turns", lambda *a: asked.append(min(turns(*a), 3)) or asked[-1])
+    monkeypatch.setattr(nn_descent, "searches", lambda *a: asked.append(min(searches(*a), 2)) or asked[-1])
+    got = {}
+    for r in approximate_top_k(df, 10, 20).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    want = dict(brute(dict(enumerate(m.astype(float))), 10, 20))
+    assert asked == [3, 2] and set(got) == set(want) and all(len(x) == 10 for x in got.values())
+    assert sum(len(got[q] & {i for i, _ in x}) for q, x in want.items()) / sum(len(x) for x in want.values()) >= 0.9
