@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..config import ConfigError, RuleSpec, Settings
 from ..functions import scalars as S
-from ..operators.specs import ALL, Spec, barrier
+from ..operators.specs import ALL, Spec
 
 GROUPS = {"ma": "multi_accounting_score", "pay": "payment_fraud_score", "bet": "betting_anomaly_score"}
 
@@ -72,7 +72,7 @@ def fires(rule: RuleSpec) -> Column:
 
 
 def score_players(structs: DataFrame, settings: Settings | None = None, iforest: DataFrame | None = None) -> DataFrame:
-    """Flags: one row per player, all in one projection over the feature structs.
+    """Flags: one row per player, in projections over the feature structs, so that what a caller does not select is neither read nor built.
 
     A supporting rule counts only if a scoring rule of its group fired; context features never score.
     iforest: (player_key, iforest_score_untrusted), or none for zeros; it never adds to the risk.
@@ -80,9 +80,9 @@ def score_players(structs: DataFrame, settings: Settings | None = None, iforest:
     settings = settings or Settings()
     check_rules(settings.rules)
     fields = {f.name: f.dataType for f in structs.schema}
-    hit = {r.rule_id: F.col(f"_hit.{r.rule_id}") for r in settings.rules}
-    rows = barrier(structs.withColumn("_hit", F.struct(*(fires(r).alias(r.rule_id) for r in settings.rules))))
-    fired, scores = [], {}
+    hit = {r.rule_id: F.col(f"`_hit {r.rule_id}`") for r in settings.rules}
+    rows = structs.withColumns({f"_hit {r.rule_id}": fires(r) for r in settings.rules})
+    fired, ids, scores = [], [], {}
     for group, column in GROUPS.items():
         own = [r for r in settings.rules if group_of(r.feature) == group]
         scoring = [r for r in own if ALL[r.feature].role == "scoring"]
@@ -93,20 +93,21 @@ def score_players(structs: DataFrame, settings: Settings | None = None, iforest:
         for r in [*scoring, *(r for r in own if ALL[r.feature].role == "supporting")]:
             on = hit[r.rule_id] if r in scoring else hit[r.rule_id] & gate
             context = set(fields[r.feature]["ctx"].dataType.names)
+            ids.append(F.when(on, F.lit(r.rule_id)))
             fired.append(F.when(on, F.struct(F.col(f"{r.feature}.value").cast("double").alias("feature_value"), F.lit(r.feature).alias("feature"), F.lit(group).alias("group"), F.lit(float(r.points)).alias("points"), reason(r, context).alias("reason"), F.lit(r.rule_id).alias("rule_id"))))
             score = score + F.when(on, float(r.points)).otherwise(0.0)
         scores[column] = score
-    every = F.filter(F.array(*fired), lambda x: x.isNotNull())
+    every = F.array_compact(F.array(*fired))
     missing = F.filter(F.array(*(F.when(F.col(f"{n}.null_reason").isNotNull(), F.struct(F.lit(n).alias("feature_name"), F.col(f"{n}.null_reason").alias("null_reason"))) for n in sorted(ALL))), lambda x: x.isNotNull())
     snapshot = S.json_text(F.struct(*(F.col(f"{n}.value").alias(n) for n in sorted(ALL))))
-    out = barrier(rows.select("player_key", *(c.alias(k) for k, c in scores.items()), every.alias("fired"), S.json_text(missing).alias("unmeasured_features"), snapshot.alias("feature_snapshot")))
+    out = rows.select("player_key", *(c.alias(k) for k, c in scores.items()), every.alias("fired"), F.array_compact(F.array(*ids)).alias("fired_rule_ids"), S.json_text(missing).alias("unmeasured_features"), snapshot.alias("feature_snapshot"))
     out = out.withColumn("overall_risk", F.col("multi_accounting_score") + F.col("payment_fraud_score") + F.col("betting_anomaly_score"))
     out = out.withColumn("band", S.band("overall_risk", settings.medium_cut, settings.high_cut)).withColumn("fired_rules", S.json_text(F.col("fired")))
     if iforest is None:
         out = out.withColumn("iforest_score_untrusted", F.lit(0.0))
     else:
         out = out.join(iforest, "player_key", "left").withColumn("iforest_score_untrusted", F.coalesce("iforest_score_untrusted", F.lit(0.0)))
-    return out.select("player_key", *GROUPS.values(), "overall_risk", "band", "iforest_score_untrusted", "fired_rules", "unmeasured_features", "feature_snapshot", F.transform("fired", lambda x: x["rule_id"]).alias("fired_rule_ids"))
+    return out.select("player_key", *GROUPS.values(), "overall_risk", "band", "iforest_score_untrusted", "fired_rules", "unmeasured_features", "feature_snapshot", "fired_rule_ids")
 
 
 def rule_counts(flags: DataFrame) -> DataFrame:

@@ -653,3 +653,16 @@ def test_pairs_between_groups_no_pairs(spark):
     want = sorted(map(repr, linkage.keys_between(linkage.edges(shared)).collect()))
     for hot, listed in ((2, 64), (1000, 3), (1000, 0)):
         assert sorted(map(repr, linkage.pairs_between(shared, hot, listed).collect())) == want
+
+
+def test_scores_alone_build_no_reasons(spark):
+    """What a caller does not select is not built: neither reasons nor snapshots stand in the plan of the scores."""
+    spark.conf.set("spark.sql.debug.maxToStringFields", "100000")
+    try:
+        flags = score_players(structs(spark, ma_identity_phone_collision_count=1))
+        plan = flags.select("player_key", "overall_risk", "band", "fired_rule_ids")._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert "feature_snapshot" not in plan and "unmeasured_features" not in plan and "fired_rules" not in plan
+    row = flags.first()
+    assert row["fired_rule_ids"] == [x["rule_id"] for x in json.loads(row["fired_rules"])] != []
