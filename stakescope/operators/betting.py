@@ -49,8 +49,8 @@ def bet_totals(bets: DataFrame, evidence: bool = True) -> DataFrame:
     )
 
 
-def betting(players: DataFrame, bets: DataFrame, t: Thresholds, evidence: bool = True) -> DataFrame:
-    """player_key and one struct for each feature. Without evidence, no lists of tickets are gathered."""
+def betting(players: DataFrame, bets: DataFrame, t: Thresholds, evidence: bool = True, context: bool = True) -> DataFrame:
+    """player_key and one struct for each feature. Without evidence, no lists of tickets are gathered. context=False: structs of value and null_reason."""
     people = players.where("player_key is not null").select("player_key")
     own = population(bets, people)
     games = by_game(own, evidence)
@@ -72,7 +72,7 @@ def betting(players: DataFrame, bets: DataFrame, t: Thresholds, evidence: bool =
     shares = F.transform("games", lambda g: F.struct(g["n"].alias("bet_count"), g["game"].alias("game_type"), F.when(total > 0, g["stake_sum"] / total).otherwise(0.0).alias("stake_share"), g["stake_sum"].alias("stake_sum"), g["tickets"].alias("ticket_ids")))
     best = F.array_max(F.transform(shares, lambda g: F.struct(g["stake_share"].alias("share"), g["game_type"].alias("game"))))
     tickets, days, void, bonus = F.col("all_tickets"), F.col("days"), F.coalesce("void", F.array().cast("array<string>")), F.col("bonus_tickets")
-    feature = partial(specs.feature, gathered=evidence)
+    feature = partial(specs.feature, gathered=evidence, told=context)
     out = [
         feature("bet_win_rate_vs_volume", rate["win_rate"], listed("rated"), [*none, (empty("rated"), "insufficient_settled_bets")], settled_bets=rate["settled_bets"], wins=rate["wins"]),
         feature("bet_timing_regularity", timing["coefficient_of_variation"], listed("timed"), [*none, (empty("timed"), "insufficient_bets_for_timing")], ticket_count=F.size(F.array_distinct(F.flatten(F.transform("timed", lambda x: x["e"]["ticket_ids"]))))),

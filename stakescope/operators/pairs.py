@@ -11,6 +11,8 @@ from ..functions import scalars as S
 
 #: Length of a time slice in seconds: one task sees a player's rows of one slice, whatever the player's number of rows.
 SLICE_SECONDS = 86_400
+#: The same where no bets are in the rows.
+MONEY_SLICE_SECONDS = 7 * SLICE_SECONDS
 _EXACT = "decimal(38,12)"
 
 
@@ -43,6 +45,8 @@ def as_of_pairs(deposits: DataFrame, withdrawals: DataFrame, bets: DataFrame | N
     zero = F.lit(0).cast(_EXACT)
     total = lambda w: F.coalesce(F.sum("s").over(w), zero)
     rows = _stream(deposits, withdrawals, bets, seconds)
+    if bets is None:
+        return _last_deposits(rows, upto)
     rows = rows.withColumns({"p": total(upto).cast(_EXACT), "n": F.count("s").over(upto), "_p": total(peers).cast(_EXACT), "_n": F.count("s").over(peers)})
     before = {"q": (F.col("p") - F.col("_p")).cast(_EXACT), "m": F.col("n") - F.col("_n")}  # stakes of the slice before the deposit
     rows = rows.withColumn("d", F.when(F.col("d").isNotNull(), F.struct("d.*", *(c.alias(k) for k, c in before.items()))))
@@ -57,8 +61,33 @@ def as_of_pairs(deposits: DataFrame, withdrawals: DataFrame, bets: DataFrame | N
     own = F.col("last").isNotNull()
     use = F.when(own, F.col("last")).otherwise(F.col("c"))
     asked = asked.withColumns({"u": use, "stakes": F.when(own, F.col("p") - F.col("last.q")).otherwise(F.col("p") + F.col("cp") - F.col("c.q")), "plays": F.when(own, F.col("n") - F.col("last.m")).otherwise(F.col("n") + F.col("cn") - F.col("c.m"))}).where("u is not null")
-    turnover = [] if bets is None else [F.col("stakes").cast("double").alias("stake_sum"), F.col("plays").alias("n_bets")]
-    return asked.select("player_key", F.col("u.id").alias("deposit_id"), F.col("u.amount").alias("deposit_amount"), F.col("u.at").alias("deposit_at"), F.col("w.id").alias("withdrawal_id"), F.col("w.amount").alias("withdrawal_amount"), F.col("t").alias("withdrawal_at"), S.minutes_between("u.at", "t").alias("gap_minutes"), *turnover)
+    return _pair(asked).withColumns({"stake_sum": F.col("stakes").cast("double"), "n_bets": F.col("plays")}).drop("stakes", "plays")
+
+
+def _last_deposits(rows: DataFrame, upto: Window) -> DataFrame:
+    """as_of_pairs without bets: the same two passes over the deposits alone."""
+    earlier = Window.partitionBy("player_key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.select("player_key", "slice", "t", "d", "w")
+    carried = rows.groupBy("player_key", "slice").agg(F.max("d").alias("d")).select("player_key", "slice", F.max("d").over(earlier).alias("c"))
+    asked = rows.withColumn("last", F.max("d").over(upto)).where("w is not null").join(carried, ["player_key", "slice"])
+    return _pair(asked.withColumn("u", F.coalesce("last", "c")).where("u is not null"))
+
+
+def _pair(asked: DataFrame) -> DataFrame:
+    also = [c for c in ("stakes", "plays") if c in asked.columns]
+    return asked.select("player_key", F.col("u.id").alias("deposit_id"), F.col("u.amount").alias("deposit_amount"), F.col("u.at").alias("deposit_at"), F.col("w.id").alias("withdrawal_id"), F.col("w.amount").alias("withdrawal_amount"), F.col("t").alias("withdrawal_at"), S.minutes_between("u.at", "t").alias("gap_minutes"), *also)
+
+
+def staked_pairs(some: DataFrame, deposits: DataFrame, withdrawals: DataFrame, bets: DataFrame, seconds: int = SLICE_SECONDS) -> DataFrame:
+    """as_of_pairs with stakes for some of its pairs, at least; meant for pairs with short gaps.
+
+    Bets of slices that no such pair touches are in both of its running totals or in neither, so they are left out, as are the
+    deposits and withdrawals of other times. Others' withdrawals of the same time come along.
+    """
+    at = lambda df, time, of: df.join(some.select("player_key", F.col(of).alias(time)), ["player_key", time], "left_semi")
+    touched = some.select("player_key", F.explode(F.sequence(_slice("deposit_at", seconds), _slice("withdrawal_at", seconds))).alias("_slice"))
+    played = bets.withColumn("_slice", _slice("created_at", seconds)).join(touched, ["player_key", "_slice"], "left_semi").drop("_slice")
+    return as_of_pairs(at(deposits, "finalized_at", "deposit_at"), at(withdrawals, "requested_at", "withdrawal_at"), played, seconds)
 
 
 def trigger_pairs(pairs: DataFrame, t: Thresholds) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame
@@ -11,7 +12,7 @@ from ..config import Thresholds
 from ..functions import scalars as S
 from . import specs
 from .guards import population
-from .pairs import as_of_pairs, bets_between, trigger_pairs, turnover, worst_turnover
+from .pairs import MONEY_SLICE_SECONDS, as_of_pairs, bets_between, staked_pairs, trigger_pairs, turnover, worst_turnover
 from .specs import PAY, barrier, item, nonempty
 
 
@@ -30,17 +31,26 @@ def money_totals(money: DataFrame, evidence: bool = True) -> DataFrame:
     )
 
 
-def payment(players: DataFrame, money: DataFrame, bets: DataFrame, t: Thresholds, evidence: bool = True) -> DataFrame:
-    """player_key and one struct for each feature. Without evidence, ids of transactions are counted and not gathered."""
+def payment(players: DataFrame, money: DataFrame, bets: DataFrame, t: Thresholds, evidence: bool = True, keep: Callable[[DataFrame, str], DataFrame] | None = None, context: bool = True) -> DataFrame:
+    """player_key and one struct for each feature. Without evidence, ids of transactions are counted and not gathered.
+
+    keep: writes the pairs; stakes are then looked for only around those of which the turnover is asked. Without it, all is one
+    plan, in one pass over deposits, withdrawals and bets. context=False: structs of value and null_reason.
+    """
     people = players.where("player_key is not null").select("player_key")
     ledger, own_bets = population(money, people), population(bets, people)
     ins = ledger.where(F.coalesce("is_money_in", F.lit(False)))
     outs = ledger.where((F.col("txn_type") == "WITHDRAWAL") & F.coalesce("is_money_out", F.lit(False)))
-    pairs = as_of_pairs(ins, outs, own_bets)
+    if keep is None:
+        pairs = as_of_pairs(ins, outs, own_bets)
+        staked = pairs
+    else:
+        pairs = keep(as_of_pairs(ins, outs, seconds=MONEY_SLICE_SECONDS), "pairs")
+        staked = staked_pairs(trigger_pairs(pairs, t), ins, outs, own_bets)
     brief = F.struct("gap_minutes", "deposit_id", "withdrawal_id")
     fast = F.struct("deposit_id", "withdrawal_id")
     paired = pairs.groupBy("player_key").agg(F.min(brief).alias("nearest"), F.array_sort(F.collect_list(F.when(F.col("gap_minutes") <= t.fast_minutes, fast))).alias("fast"))
-    worst = worst_turnover(turnover(trigger_pairs(pairs, t)))
+    worst = worst_turnover(turnover(trigger_pairs(staked, t)))
     if evidence:
         worst = worst.join(bets_between(worst, own_bets), "player_key", "left")
     active = own_bets.select("player_key").distinct().withColumn("active", F.lit(True))
@@ -56,7 +66,7 @@ def payment(players: DataFrame, money: DataFrame, bets: DataFrame, t: Thresholds
     pct = w["withdrawal_amount"] / w["deposit_amount"] * 100
     played = none("bet_ids") if evidence else F.array().cast("array<string>")
     exit_item = F.when(w.isNotNull(), item(deposit_id=w["deposit_id"], withdrawal_id=w["withdrawal_id"], pct_withdrawn=pct, intervening_bet_ids=played, intervening_stake_sum=w["stake_sum"]))
-    context = {"deposit_id": w["deposit_id"], "withdrawal_id": w["withdrawal_id"], "pct_withdrawn": F.round(pct, 6), "intervening_stake_sum": F.round(w["stake_sum"], 6)}
+    of_pair = {"deposit_id": w["deposit_id"], "withdrawal_id": w["withdrawal_id"], "pct_withdrawn": F.round(pct, 6), "intervening_stake_sum": F.round(w["stake_sum"], 6)}
     many = lambda c: F.coalesce(F.size(c), F.lit(0)) if evidence else F.coalesce(c, F.lit(0))
     nothing = F.lit(None).cast("string")
     if evidence:
@@ -74,10 +84,10 @@ def payment(players: DataFrame, money: DataFrame, bets: DataFrame, t: Thresholds
     fast_pairs = F.coalesce("fast", F.array().cast("array<struct<deposit_id:string,withdrawal_id:string>>"))
     no_deposit, no_withdrawal = [(no_in, "no_completed_deposits")], [(zero["n_withdrawals"] == 0, "no_withdrawals")]
     methods, accounts = none("methods"), none("accounts")
-    feature = partial(specs.feature, gathered=evidence)
+    feature = partial(specs.feature, gathered=evidence, told=context)
     out = [
-        feature("pay_deposit_then_exit_flag", F.coalesce(w["turnover_ratio"] < t.turnover_pct, F.lit(False)), exit_item, unseen, **context),
-        feature("pay_intervening_turnover_ratio", w["turnover_ratio"], exit_item, [*unseen, (w.isNull(), "no_triggering_deposit_withdrawal_pair")], **context),
+        feature("pay_deposit_then_exit_flag", F.coalesce(w["turnover_ratio"] < t.turnover_pct, F.lit(False)), exit_item, unseen, **of_pair),
+        feature("pay_intervening_turnover_ratio", w["turnover_ratio"], exit_item, [*unseen, (w.isNull(), "no_triggering_deposit_withdrawal_pair")], **of_pair),
         feature("pay_min_minutes_deposit_to_withdrawal", near["gap_minutes"], item(deposit_id=near["deposit_id"], withdrawal_id=near["withdrawal_id"], gap_minutes=near["gap_minutes"]), unpaired, deposit_id=near["deposit_id"], withdrawal_id=near["withdrawal_id"], shown=F.round(near["gap_minutes"], 6)),
         feature("pay_third_party_withdrawal_flag", many(third) > 0, third_json, unpaid, recipient_numbers=numbers),
         feature("pay_third_party_withdrawal_count", many(third), third_json, unpaid, recipient_numbers=numbers),

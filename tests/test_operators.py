@@ -26,7 +26,7 @@ from stakescope.operators.iforest import average_path, grow, isolation_scores, s
 from stakescope.operators.multi_accounting import multi_accounting
 from stakescope.operators.payment import payment
 from stakescope.operators.quantiles import quantiles
-from stakescope.operators.specs import ALL, MA
+from stakescope.operators.specs import ALL, MA, PAY
 from stakescope.plans import audit
 from stakescope.plans.features import GROUPS, broken_contract, build_features, combine
 from stakescope.plans.feedback import FeedbackStore, run_feedback
@@ -680,3 +680,32 @@ def test_only_the_groups_asked_for_are_built(spark, sf_dir):
             build_features(t["players"], t["logins"], t["money"], t["bets"], keep=kept, evidence=False, check=False, only=unknown)
     with pytest.raises(ContractError, match="KES"):
         build_features(t["players"], t["logins"], t["money"], t["bets"].withColumn("currency", F.lit("KES")), keep=kept, evidence=False, only=("ma_device_count",))
+
+
+def test_payment_from_written_pairs(spark):
+    """With keep, stakes are read around the pairs that ask for them alone; features are those of the one pass over all bets."""
+    rng = random.Random(7)
+    at = lambda: None if rng.random() < 0.03 else minutes(rng.randrange(-3000, 3000) / 2)
+    rows = [deposit(p, f"d{k}", rng.choice([0.0, 0.1, 100.0, 20000.0]), at()) for k, p in enumerate("aabcd" * 24)] + [withdrawal(p, f"w{k}", rng.choice([0.1, 90.0, 18000.0]), at()) for k, p in enumerate("aabce" * 24)]
+    rows += [deposit("f", "d", 100.0, minutes(1435)), deposit("f", "d", 50.0, minutes(1435)), withdrawal("f", "w", 90.0, minutes(1445)), withdrawal("f", "w", 1.0, minutes(1445))]
+    bets = [bet(p, f"t{k}", rng.choice([0.1, 0.2, 1e9 + 0.3, None]), at()) for k, p in enumerate("aaabce" * 60)] + [bet("f", "f1", 3.0, minutes(1435)), bet("f", "f2", 4.0, minutes(1441))]
+    inputs = people(spark, *"abcdefg"), spark.createDataFrame(rows, MONEY), spark.createDataFrame(bets, BETS), Thresholds()
+    written = []
+
+    def keep(df, name):
+        written.append(name)
+        return kept(df, name)
+
+    read = lambda df: {r[0]: tuple((r[n]["value"], r[n]["null_reason"]) for n in PAY) for r in df.collect()}
+    want, got = payment(*inputs, evidence=False), payment(*inputs, evidence=False, keep=keep, context=False)
+    assert read(got) == read(want) and written == ["pairs"] and any(x[1][0] for x in read(want).values())
+    assert got.schema["pay_net_money_flow"].dataType.names == ["value", "null_reason"]
+
+
+def test_holders_without_records(spark):
+    rows = [("a", "k", "r1"), ("a", "k", "r1"), ("a", "k", "r2"), ("b", "k", None), ("b", "", "r3"), (None, "k", "r4")]
+    df = spark.createDataFrame(rows, "player_key string, key string, record string")
+    key = ["key_type", "shared_key", "player_key"]
+    every, none = linkage.holders(linkage.frame_observations(df, "t", "key", F.col("record"))), linkage.holders(linkage.frame_observations(df, "t", "key", F.col("record"), once=False), records=False)
+    assert none.schema.simpleString() == every.schema.simpleString()
+    assert sorted(none.collect()) == sorted((*r[:3], []) for r in every.select(*key).collect()) and none.count() == 2
