@@ -71,11 +71,9 @@ def subsamples(filled: DataFrame, numeric: list[str], trees: int, seed: int) ->
     margin = 2 * SUBSAMPLE
     while True:
         rank = lambda t: F.md5(F.concat_ws(":", F.lit(seed), t, "player_key"))
-        ranks = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(t.alias("tree"), rank(t).alias("rank")))
+        drawn = filled.select("player_key", *numeric, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")).withColumn("rank", rank(F.col("tree")))
         if margin < n:
-            bound = F.lit(f"{int(margin / n * 2**64):016x}")
-            ranks = F.filter(ranks, lambda r: r["rank"] < bound)  # noqa: B023
-        drawn = filled.select("player_key", *numeric, F.explode(ranks).alias("_r")).select("player_key", *numeric, "_r.*")
+            drawn = drawn.where(F.col("rank") < F.lit(f"{int(margin / n * 2**64):016x}"))
         order = F.row_number().over(Window.partitionBy("tree").orderBy("rank", "player_key"))
         pdf = drawn.withColumn("n", order).where(F.col("n") <= SUBSAMPLE).select("tree", "n", *numeric).toPandas().sort_values(["tree", "n"])
         if margin >= n or pdf.groupby("tree").size().reindex(range(trees), fill_value=0).min() >= wanted:
@@ -99,8 +97,8 @@ def isolation_scores(wide: DataFrame, trees: int = 100, seed: int = 42, specs: d
 
     Missing values take the median, then 0; values are rounded to DIGITS decimals, so that equal ones are equal on every engine.
     Each tree is grown on the driver from its own SUBSAMPLE rows into a table of nodes (at most 2 * SUBSAMPLE a tree, so its
-    size does not depend on the input). Players go down all trees by joins with that table, and path lengths are added as whole
-    numbers, so the result does not depend on the order of rows.
+    size does not depend on the input). It is one broadcast row of arrays by node number; players go down all trees by looking up
+    in them, and path lengths are added as whole numbers, so the result does not depend on the order of rows.
     """
     numeric = [n for n, s in specs.items() if s.kind != "bool"]
     known = medians(wide, numeric)
@@ -109,12 +107,18 @@ def isolation_scores(wide: DataFrame, trees: int = 100, seed: int = 42, specs: d
     if len(samples[0]) < 2:
         return wide.select("player_key", F.lit(0.0).alias("iforest_score_untrusted"))
     rows, limit = forest(samples, seed)
-    nodes = F.broadcast(wide.sparkSession.createDataFrame(rows, "tree int, node int, feature int, value double, credit long"))
-    inner, leaves = nodes.drop("credit"), nodes.select("tree", "node", "credit")
-    at = filled.select("player_key", F.array(*numeric).alias("x"), F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")).withColumn("node", F.lit(1))
-    step = F.when(F.col("feature") < 0, F.col("node")).otherwise(2 * F.col("node") + F.when(F.get("x", F.col("feature")) < F.col("value"), 0).otherwise(1))
+    width = 2 << limit
+    table = np.full((trees, width), -1), np.zeros((trees, width)), np.zeros((trees, width), np.int64)
+    for tree, *at, f, value, credit in rows:
+        for column, x in zip(table, (f, value, credit), strict=True):
+            column[tree, at[0]] = x
+    nodes = wide.sparkSession.createDataFrame([tuple(c.ravel().tolist() for c in table)], "features array<int>, bounds array<double>, credits array<long>")
+    at = filled.select("player_key", F.array(*numeric).alias("x")).crossJoin(F.broadcast(nodes))
+    at = at.select("*", F.explode(F.sequence(F.lit(0), F.lit((trees - 1) * width), F.lit(width))).alias("tree")).withColumn("node", F.lit(1))
+    of = lambda c: F.get(c, F.col("tree") + F.col("node"))
     for _ in range(limit):
-        at = at.join(inner, ["tree", "node"]).select("player_key", "x", "tree", step.alias("node"))
-    lengths = at.join(leaves, ["tree", "node"]).groupBy("player_key").agg(F.sum("credit").alias("total"))
+        at = at.withColumn("f", of("features"))
+        at = at.withColumn("node", F.when(F.col("f") < 0, F.col("node")).otherwise(2 * F.col("node") + F.when(F.get("x", F.col("f")) < of("bounds"), 0).otherwise(1)))
+    lengths = at.groupBy("player_key").agg(F.sum(of("credits")).alias("total"))
     scale = float(average_path(np.array(len(samples[0]))))
     return lengths.select("player_key", (-F.pow(F.lit(2.0), -(F.col("total") / F.lit(UNIT) / F.lit(trees) / F.lit(scale)))).alias("iforest_score_untrusted"))
