@@ -63,7 +63,7 @@ def grow(x: np.ndarray, tree: int, seed: int, limit: int) -> list[tuple[int, int
 def subsamples(filled: DataFrame, numeric: list[str], trees: int, seed: int) -> list[np.ndarray]:
     """The rows of each tree: the SUBSAMPLE players with the smallest hashes of seed, tree and key.
 
-    A bound on the hash that leaves a few more than that for each tree is applied before rows are multiplied, so what is
+    A bound on the hash that leaves a few more than that for each tree is applied as rows are multiplied, so what is
     shuffled and sorted does not grow with the players; a bound that leaves a tree too few is widened.
     """
     n = filled.count()
