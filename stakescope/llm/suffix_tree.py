@@ -68,15 +68,16 @@ def _answers(came, tag, columns):
 class Block:
     """A block at a level: tokens in runs that contexts cannot leave, and the places whose context of level words is asked about next.
 
-    Of each place: its document, the most that its context can count, the count of the word after the suffix and that of
-    the suffix, and the word's probability so far. Of each document: its results so far.
+    Of each place: its document, the count of its context or the most that it can be, the count of the word after the
+    suffix and that of the suffix, and the word's probability so far. Of each document: its results so far.
     """
 
     DOCS = ("ids", "train", "n_tokens", "n_known", "base", "score")
 
     @classmethod
-    def first(cls, body, came, n_tokens, n_words) -> Block:
+    def first(cls, body, came, n_tokens, n_words, limit) -> Block:
         b = cls()
+        b.limit = limit
         ids, train, length, at, order = unpack(body)
         count, ident = _answers(came, ANSWER, 2)
         if len(count) != len(order):
@@ -117,14 +118,15 @@ class Block:
         place[order] = np.arange(len(used))
         used, pos = used[order], (np.cumsum(keep) - 1)[self.pos]
         docs = [self.ids.view(U64), *(getattr(self, n) for n in self.DOCS[1:])]
-        return pack(np.array([self.level, int(keep.sum())]), *docs, deltas(self.ident[used]), self.count[used], place[at], np.packbits(cut[keep]), np.diff(pos, prepend=0), np.diff(self.doc, prepend=0), self.seen, self.of[:0] if self.level == 2 else self.of, self.kinds if self.level == 2 else self.p)
+        far = np.flatnonzero(self.most >= self.limit)
+        return pack(np.array([self.level, int(keep.sum())]), *docs, deltas(self.ident[used]), self.count[used], place[at], np.packbits(cut[keep]), np.diff(pos, prepend=0), np.diff(self.doc, prepend=0), self.seen, self.of[:0] if self.level == 2 else self.of, self.kinds if self.level == 2 else self.p, np.diff(far, prepend=0), self.most[far])
 
     @classmethod
-    def unpacked(cls, body, n_tokens, n_words) -> Block:
+    def unpacked(cls, body, n_tokens, n_words, limit) -> Block:
         """p after level one follows from whole numbers, which are shorter."""
         b = cls()
-        (level, tokens), *docs, ident, count, at, cut, pos, doc, seen, of, p = unpack(body)
-        b.level = int(level)
+        (level, tokens), *docs, ident, count, at, cut, pos, doc, seen, of, p, far, most = unpack(body)
+        b.level, b.limit = int(level), limit
         for n, v in zip(cls.DOCS, docs, strict=True):
             setattr(b, n, v)
         b.ids, b.train = b.ids.astype(U64).view(np.int64), b.train.astype(bool)
@@ -138,7 +140,8 @@ class Block:
             b.p = np.where(kinds > 0, (b.seen + kinds * base) / (b.of + kinds), base)
         else:
             b.p = np.array(p)
-        b.most = b.of
+        b.most = np.zeros(len(b.pos), np.int64)
+        b.most[np.cumsum(far.astype(np.int64))] = most
         return b
 
     def _start(self) -> np.ndarray:
@@ -152,8 +155,8 @@ class Block:
         self.key = _context(self.ident[w] for w in before)
         word = self.at[self.pos]
         known = self.count[word] > 0
-        hot = np.flatnonzero(self.most >= SPLIT)
-        salt = mix(self.ident[word[hot]]) % (1 + self.most[hot] // SPLIT).astype(U64) * known[hot]
+        hot = np.flatnonzero(self.most >= self.limit)
+        salt = mix(self.ident[word[hot]]) % (1 + self.most[hot] // self.limit).astype(U64) * known[hot]
         unit = self.key.copy()
         unit[hot] = _salted(self.key[hot], salt)
         units, unit_at, _ = distinct(unit)
@@ -225,7 +228,7 @@ class Block:
         gone[at] = False
         self.score = self.score + np.bincount(self.doc[gone], weights=np.log10(self.p[gone]), minlength=len(self.ids))
         self.pos, self.doc, self.seen, self.of, self.p = self.pos[at], self.doc[at], mine[at], n[at], self.p[at]
-        self.most, self.kinds = self.of, np.where(kept, kinds, 0)[at]
+        self.most, self.kinds = np.where(before[at] < 0, self.of, before[at]), np.where(kept, kinds, 0)[at]
 
 
 def _context(words) -> np.ndarray:
@@ -406,7 +409,7 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
     words = stored(sent(begun.where(F.col("tag") == ASK), parts, lambda it: batches(_answer_words(rows_of(it), (parts, parts)))), "words", free=True)
     dropped(begun, f"tag={ASK}")
     sums = {r["tag"]: r["n"] for r in words.where(F.col("tag").isin(TOTAL_N, TOTAL_V)).groupBy("tag").agg(F.sum("block").alias("n")).collect()}
-    totals = n_tokens, _ = sums.get(TOTAL_N, 0), sums.get(TOTAL_V, 0)
+    totals = n_tokens, *_ = sums.get(TOTAL_N, 0), sums.get(TOTAL_V, 0), SPLIT
     cost, level, old, places = _cost(n_tokens), 1, [begun, words], n_tokens
     state = begun.where(F.col("tag") == STATE).unionByName(words.where(F.col("tag") == ANSWER))
     while places:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import glob
 import heapq
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -18,6 +20,7 @@ from stakescope.llm import quality as Q
 from stakescope.llm.components import components
 from stakescope.llm.jaccard_join import jaccard_components
 from stakescope.llm.recompression import anchors, remove_repeats
+from stakescope.llm.shared import stored
 from stakescope.llm.sharding import lpt, planned, shard_by_bytes
 from stakescope.llm.suffix_tree import score
 
@@ -204,6 +207,34 @@ def test_suffix_tree_scores_with_contexts_of_any_length(spark, monkeypatch, spli
     assert got == {i: pytest.approx(x, rel=1e-9) for i, x in want.items()}
 
 
+def test_suffix_tree_deals_out_contexts_by_their_own_count(spark, monkeypatch):
+    rng, dealt, write = np.random.default_rng(4), [], suffix_tree.stored
+
+    def recorded(df, name, **kw):
+        out = write(df, name, **kw)
+        if name == "pairs":
+            dealt.append(out.where(F.col("tag") == suffix_tree.CONTEXT).count())
+        return out
+
+    monkeypatch.setattr(suffix_tree, "stored", recorded)
+    rows = [(k, " ".join(f"x{i} the y{j}" for i, j in rng.integers(0, 60, (1100, 2)).tolist())) for k in range(20)]
+    score(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), F.lit(True)).collect()
+    assert dealt[0] > 0 and len(dealt) > 1  # "the" stands 22,000 times
+    assert not any(dealt[1:])  # "x0 the" and its like some 370 times each
+
+
+def test_shuffle_files_of_what_is_stored_go(spark):
+    folders = list(spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString())
+    held = lambda: {f for d in folders for f in glob.glob(f"{d}/*/shuffle_*.data")}
+    for _ in range(3):
+        before = held()
+        stored(spark.range(1000).repartition(3, "id"), "kept", free=True)
+        until = time.time() + 3
+        while held() - before and time.time() < until:
+            time.sleep(0.1)
+        assert not held() - before
+
+
 def test_suffix_tree_learns_rare_contexts_of_a_large_corpus(spark):
     rng = np.random.default_rng(3)
     words = np.array([f"w{k}" for k in range(1000)])
