@@ -14,6 +14,8 @@ numbers by their frequency, in which all that follows is written; a context is d
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,6 +33,8 @@ SPLIT = 20_000
 BLOCK_BYTES = 2_000_000
 #: Open places for each partition at least; levels with few of them use fewer partitions.
 PART_PLACES = 200_000
+#: Parts of the blocks that take their answers one after the other on the first levels, whose states are large.
+TURNS = 4
 #: COUNTS and CONTEXTS answer the blocks; the latter about contexts whose words are dealt to several buckets.
 STATE, ASK, ANSWER, CONTEXT, SUM, TOTAL_N, TOTAL_V, COUNT, COUNTS, CONTEXTS = range(10)
 KEPT, OPEN = 1, 2
@@ -119,27 +123,38 @@ class Block:
         used, pos = used[order], (np.cumsum(keep) - 1)[self.pos]
         docs = [self.ids.view(U64), *(getattr(self, n) for n in self.DOCS[1:])]
         far = np.flatnonzero(self.most >= self.limit)
-        return pack(np.array([self.level, int(keep.sum())]), *docs, deltas(self.ident[used]), self.count[used], place[at], np.packbits(cut[keep]), np.diff(pos, prepend=0), np.diff(self.doc, prepend=0), self.seen, self.of[:0] if self.level == 2 else self.of, self.kinds if self.level == 2 else self.p, np.diff(far, prepend=0), self.most[far])
+        values = [self.seen, self.of, self.p, np.diff(far, prepend=0), self.most[far]]
+        if self.level == 1:
+            values = []
+        elif self.level == 2:
+            values[1:3] = [self.kinds]
+        return pack(np.array([self.level, int(keep.sum())]), *docs, deltas(self.ident[used]), self.count[used], place[at], np.packbits(cut[keep]), np.diff(pos, prepend=0), np.diff(self.doc, prepend=0), *values)
 
     @classmethod
     def unpacked(cls, body, n_tokens, n_words, limit) -> Block:
-        """p after level one follows from whole numbers, which are shorter."""
+        """What a place holds before level one follows from its words' counts, and p after it from whole numbers, which are shorter."""
         b = cls()
-        (level, tokens), *docs, ident, count, at, cut, pos, doc, seen, of, p, far, most = unpack(body)
+        (level, tokens), *values = unpack(body)
+        docs, (ident, count, at, cut, pos, doc, *values) = values[: len(cls.DOCS)], values[len(cls.DOCS) :]
         b.level, b.limit = int(level), limit
         for n, v in zip(cls.DOCS, docs, strict=True):
             setattr(b, n, v)
         b.ids, b.train = b.ids.astype(U64).view(np.int64), b.train.astype(bool)
         b.ident, b.count, b.at, b.cut = undeltas(ident), count.astype(np.int64), at.astype(np.int64), np.unpackbits(cut, count=int(tokens)).astype(bool)
         b.pos, b.doc = np.cumsum(pos.astype(np.int64)), np.cumsum(doc.astype(np.int64))
-        b.seen, b.of = seen.astype(np.int64), of.astype(np.int64)
+        if b.level == 1:
+            b.seen, b.most = b.count[b.at[b.pos]], b.count[b.at[b.pos - 1]]
+            b.of, b.p = np.full(len(b.pos), max(1, n_tokens)), _base(b.seen, n_tokens, n_words)
+            return b
+        seen, *between, far, most = values
+        b.seen = seen.astype(np.int64)
         if b.level == 2:  # something follows each sighting of a word, be it the end
             b.of = b.count[b.at[b.pos - 1]]
-            kinds = p.astype(np.float64)
+            kinds = between[0].astype(np.float64)
             base = _base(b.count[b.at[b.pos]], n_tokens, n_words)
             b.p = np.where(kinds > 0, (b.seen + kinds * base) / (b.of + kinds), base)
         else:
-            b.p = np.array(p)
+            b.of, b.p = between[0].astype(np.int64), np.array(between[1])
         b.most = np.zeros(len(b.pos), np.int64)
         b.most[np.cumsum(far.astype(np.int64))] = most
         return b
@@ -244,8 +259,8 @@ def _salted(key, salt):
     return np.where(salt > 0, mix(key + salt * _R), key)
 
 
-def _blocks(rows, begun, totals):
-    """Each block with what has come for it: at its first state (begun), or as it was stored."""
+def _blocks(rows):
+    """Each block's state, and what has come for it."""
     blocks: dict[int, dict[int, list]] = {}
     for _, block, tag, body in rows:
         blocks.setdefault(block, {}).setdefault(tag, []).append(body)
@@ -254,8 +269,7 @@ def _blocks(rows, begun, totals):
         if len(came.get(STATE, ())) != 1:
             raise RuntimeError("a block and its answers come from different inputs; store the input first")
         came = {tag: [x.as_py() for x in bodies] for tag, bodies in came.items()}
-        state = came[STATE][0]
-        yield block, came, Block.first(state, came, *totals) if begun else Block.unpacked(state, *totals)
+        yield block, came[STATE][0], came
 
 
 def _base(count, n_tokens, n_words):
@@ -373,26 +387,46 @@ def _answer_contexts(rows, parts, cost):
     yield from _given(bucket, asked, CONTEXTS, parts, n[i].astype(np.int64), kinds[i].astype(np.int64), flags[i])
 
 
-def _ask_pairs(rows, parts, begun, totals):
-    for block, _, b in _blocks(rows, begun, totals):
-        yield from b.ask(block, parts)
+def _begun(rows, parts, totals):
+    for block, state, came in _blocks(rows):
+        b = Block.first(state, came, *totals)
+        yield spread(block, parts), block, STATE, b.pack()
+        yield 0, len(b.pos), COUNT, b""
+
+
+def _ask_pairs(rows, parts, totals):
+    for block, state, _ in _blocks(rows):
+        yield from Block.unpacked(state, *totals).ask(block, parts)
 
 
-def _advanced(rows, parts, begun, totals):
-    for block, came, b in _blocks(rows, begun, totals):
+def _advanced(rows, parts, totals):
+    for block, state, came in _blocks(rows):
+        b = Block.unpacked(state, *totals)
         b.advance(came, parts[1])
         yield spread(block, parts[0]), block, STATE, b.pack()
         yield 0, len(b.pos), COUNT, b""
 
 
-def _results(rows, begun, totals):
-    for _, _, b in _blocks(rows, begun, totals):
+def _results(rows, totals):
+    for _, state, _ in _blocks(rows):
+        b = Block.unpacked(state, *totals)
         docs = len(b.ids)
         out = [pa.array(b.ids, pa.int64(), mask=b.ids == NULL_ID), pa.array(~b.train), pa.array(b.n_tokens.astype(np.int64)), pa.array(b.n_known.astype(np.int64))]
         out += [pa.array(np.full(docs, totals[0]), pa.int64()), pa.array(b.base, pa.float64()), pa.array(b.score, pa.float64())]
         yield pa.RecordBatch.from_arrays(out, names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
 
+def _in_turns(df, parts, fn, turns, free=True):
+    """What fn makes of the rows of each partition, stored; a part of the partitions (three at least) is exchanged at a time."""
+    each = min(parts, max(3, -(-parts // turns)))
+    turn = lambda k: df.where(f"to div {each} = {k}").withColumn("to", F.expr(f"to % {each}"))
+    return [stored(sent(turn(k), each, fn), "state", free=free) for k in range(-(-parts // each))]
+
+
+def _all(tables):
+    return reduce(DataFrame.unionByName, tables)
+
+
 def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, held_out, n_tokens, n_known, train_tokens, base_score and score of every whole text.
 
@@ -410,22 +444,21 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
     dropped(begun, f"tag={ASK}")
     sums = {r["tag"]: r["n"] for r in words.where(F.col("tag").isin(TOTAL_N, TOTAL_V)).groupBy("tag").agg(F.sum("block").alias("n")).collect()}
     totals = n_tokens, *_ = sums.get(TOTAL_N, 0), sums.get(TOTAL_V, 0), SPLIT
-    cost, level, old, places = _cost(n_tokens), 1, [begun, words], n_tokens
-    state = begun.where(F.col("tag") == STATE).unionByName(words.where(F.col("tag") == ANSWER))
-    while places:
-        some, first = parts if level == 1 else int(max(1, min(parts, -(-places // PART_PLACES)))), level == 1
-        state = state.withColumn("to", F.expr(f"cast(cast(to as long) * {some} div {parts} as int)"))
-        ask = lambda it, p=some, f=first: batches(_ask_pairs(rows_of(it), p, f, totals))
-        asked = sent(state, some, ask) if first else state.mapInArrow(ask, ROW)
+    cost, level = _cost(n_tokens), 1
+    tables = _in_turns(begun.where(F.col("tag") == STATE).unionByName(words.where(F.col("tag") == ANSWER)), parts, lambda it: batches(_begun(rows_of(it), parts, totals)), TURNS)
+    dropped(begun)
+    dropped(words)
+    while places := _all(tables).where(F.col("tag") == COUNT).agg(F.sum("block")).first()[0]:
+        some = parts if level == 1 else int(max(1, min(parts, -(-places // PART_PLACES))))
+        state = _all(tables).where(F.col("tag") == STATE).withColumn("to", F.expr(f"cast(cast(to as long) * {some} div {parts} as int)"))
+        asked = state.mapInArrow(lambda it, p=some: batches(_ask_pairs(rows_of(it), p, totals)), ROW)
         pairs = stored(sent(asked, some, lambda it, p=(parts, some): batches(_answer_pairs(rows_of(it), p, cost))), "pairs", free=level < 4)
         found = stored(sent(pairs.where(F.col("tag").isin(SUM, CONTEXT)), some, lambda it, p=(parts, some): batches(_answer_contexts(rows_of(it), p, cost))), "contexts")
         both = state.unionByName(pairs.where(F.col("tag") == COUNTS)).unionByName(found)
-        now = stored(sent(both, some, lambda it, p=(parts, some), f=first: batches(_advanced(rows_of(it), p, f, totals))), "state", free=level < 4)
-        for x in (*old, pairs, found):
+        old, level = [*tables, pairs, found], level + 1
+        tables = _in_turns(both, some, lambda it, p=(parts, some): batches(_advanced(rows_of(it), p, totals)), TURNS if level < 4 else 1, free=level < 5)
+        for x in old:
             dropped(x)
-        places = now.where(F.col("tag") == COUNT).agg(F.sum("block")).first()[0]
-        state, old, level = now.where(F.col("tag") == STATE), [now], level + 1
     schema = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    begun_only = level == 1
-    out = sent(state, parts, lambda it: _results(rows_of(it), begun_only, totals), schema) if begun_only else state.mapInArrow(lambda it: _results(rows_of(it), False, totals), schema)
+    out = _all(tables).where(F.col("tag") == STATE).mapInArrow(lambda it: _results(rows_of(it), totals), schema)
     return out.withColumnRenamed("id", id_col)
