@@ -11,20 +11,20 @@ from ..config import Thresholds
 from ..functions import scalars as S
 from . import specs
 from .guards import population
-from .specs import BET, barrier, item, nonempty
+from .specs import BET, TOLD, barrier, item, nonempty
 
 
-def by_game(bets: DataFrame, evidence: bool = True) -> DataFrame:
-    """One row per player and game: counts, stakes, gaps between consecutive bets (order: time, ticket); without evidence, no lists."""
+def by_game(bets: DataFrame, evidence: bool | str = True) -> DataFrame:
+    """One row per player and game: counts, stakes, gaps between consecutive bets (order: time, ticket); without evidence, no lists; TOLD: tickets alone."""
     order = Window.partitionBy("player_key", "game").orderBy(F.col("created_at").asc_nulls_last(), "ticket_id")
     rows = bets.select("player_key", F.coalesce(S.optional_text("game_type"), F.lit("unknown")).alias("game"), "ticket_id", "status", "result", "created_at", S.amount("stake").alias("stake"))
     rows = rows.withColumn("gap", S.seconds_between(F.lag("created_at").over(order), "created_at"))
     settled = F.coalesce(F.col("status") == "SETTLED", F.lit(False))
     won = settled & F.coalesce(F.col("result") == "WIN", F.lit(False))
-    ends, gathered = F.struct("stake", "ticket_id"), _gathered(rows, evidence)
+    ends, gathered, told = F.struct("stake", "ticket_id"), _gathered(rows, bool(evidence) and evidence != TOLD), _gathered(rows, bool(evidence))
     g = rows.groupBy("player_key", "game").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(settled).alias("settled"), F.count_if(won).alias("wins"), gathered(F.when(won, F.col("ticket_id"))).alias("winning"),
-        gathered(F.col("ticket_id")).alias("tickets"), gathered(F.struct("created_at", "ticket_id", "gap")).alias("timed"), F.avg("gap").alias("gap_mean"), F.stddev_pop("gap").alias("gap_std"),
+        told(F.col("ticket_id")).alias("tickets"), gathered(F.struct("created_at", "ticket_id", "gap")).alias("timed"), F.avg("gap").alias("gap_mean"), F.stddev_pop("gap").alias("gap_std"),
         F.sum("stake").alias("stake_sum"), F.avg("stake").alias("stake_mean"), F.stddev_pop("stake").alias("stake_std"), F.min(ends).alias("least"), F.max(ends).alias("most"),
     )
     return g.withColumn("win_rate", F.try_divide("wins", "settled")).withColumn("timing_cv", S.variation(F.col("gap_mean"), F.col("gap_std"))).withColumn("stake_cv", F.when(F.col("stake_mean") > 0, F.col("stake_std") / F.col("stake_mean")).otherwise(0.0))
@@ -37,20 +37,19 @@ def _gathered(df: DataFrame, evidence: bool):
     return lambda x: F.max(F.lit(None).cast(df.select(F.array(x).alias("x")).schema["x"].dataType))
 
 
-def bet_totals(bets: DataFrame, evidence: bool = True) -> DataFrame:
-    """One row per player over all games; without evidence, no lists of tickets."""
+def bet_totals(bets: DataFrame, evidence: bool | str = True) -> DataFrame:
+    """One row per player over all games; without evidence, no lists of tickets; TOLD: bonus tickets alone."""
     odds, bonus, free = S.as_double("total_odds"), S.amount("stake_bonus"), F.coalesce("is_free_bet", F.lit(False))
-    gathered = _gathered(bets, evidence)
-    tickets = lambda c: gathered(F.when(c, F.col("ticket_id")))
+    tickets = lambda c, listed=bool(evidence) and evidence != TOLD: _gathered(bets, listed)(F.when(c, F.col("ticket_id")))
     return bets.groupBy("player_key").agg(
-        F.count(F.lit(1)).alias("bets"), tickets(F.lit(True)).alias("all_tickets"), F.sum(S.amount("stake")).alias("stakes"), F.sum(bonus).alias("bonus"), tickets((bonus > 0) | free).alias("bonus_tickets"), F.count_if(free).alias("free"),
+        F.count(F.lit(1)).alias("bets"), tickets(F.lit(True)).alias("all_tickets"), F.sum(S.amount("stake")).alias("stakes"), F.sum(bonus).alias("bonus"), tickets((bonus > 0) | free, bool(evidence)).alias("bonus_tickets"), F.count_if(free).alias("free"),
         F.avg(odds).alias("odds_mean"), F.stddev_pop(odds).alias("odds_std"), F.min(odds).alias("odds_min"), F.max(odds).alias("odds_max"), F.count(odds).alias("odds_n"), tickets(odds.isNotNull()).alias("odds_tickets"),
         F.array_sort(F.collect_set(F.to_date("created_at").cast("string"))).alias("days"), tickets(F.col("status") == "VOID").alias("void"), F.count_if(F.col("status") == "VOID").alias("n_void"),
     )
 
 
-def betting(players: DataFrame, bets: DataFrame, t: Thresholds, evidence: bool = True, context: bool = True) -> DataFrame:
-    """player_key and one struct for each feature. Without evidence, no lists of tickets are gathered. context=False: structs of value and null_reason."""
+def betting(players: DataFrame, bets: DataFrame, t: Thresholds, evidence: bool | str = True, context: bool = True) -> DataFrame:
+    """player_key and one struct for each feature. Without evidence, no lists of tickets are gathered; TOLD: those that reasons show. context=False: structs of value and null_reason."""
     people = players.where("player_key is not null").select("player_key")
     own = population(bets, people)
     games = by_game(own, evidence)
@@ -72,7 +71,7 @@ def betting(players: DataFrame, bets: DataFrame, t: Thresholds, evidence: bool =
     shares = F.transform("games", lambda g: F.struct(g["n"].alias("bet_count"), g["game"].alias("game_type"), F.when(total > 0, g["stake_sum"] / total).otherwise(0.0).alias("stake_share"), g["stake_sum"].alias("stake_sum"), g["tickets"].alias("ticket_ids")))
     best = F.array_max(F.transform(shares, lambda g: F.struct(g["stake_share"].alias("share"), g["game_type"].alias("game"))))
     tickets, days, void, bonus = F.col("all_tickets"), F.col("days"), F.coalesce("void", F.array().cast("array<string>")), F.col("bonus_tickets")
-    feature = partial(specs.feature, gathered=evidence, told=context)
+    feature = partial(specs.feature, gathered=bool(evidence) and evidence != TOLD, told=context)
     out = [
         feature("bet_win_rate_vs_volume", rate["win_rate"], listed("rated"), [*none, (empty("rated"), "insufficient_settled_bets")], settled_bets=rate["settled_bets"], wins=rate["wins"]),
         feature("bet_timing_regularity", timing["coefficient_of_variation"], listed("timed"), [*none, (empty("timed"), "insufficient_bets_for_timing")], ticket_count=F.size(F.array_distinct(F.flatten(F.transform("timed", lambda x: x["e"]["ticket_ids"]))))),

@@ -13,7 +13,7 @@ from ..functions import scalars as S
 from . import specs
 from .guards import population
 from .pairs import MONEY_SLICE_SECONDS, as_of_pairs, bets_between, staked_pairs, trigger_pairs, turnover, worst_turnover
-from .specs import PAY, barrier, item, nonempty
+from .specs import PAY, TOLD, barrier, item, nonempty
 
 
 def money_totals(money: DataFrame, evidence: bool = True) -> DataFrame:
@@ -31,12 +31,14 @@ def money_totals(money: DataFrame, evidence: bool = True) -> DataFrame:
     )
 
 
-def payment(players: DataFrame, money: DataFrame, bets: DataFrame, t: Thresholds, evidence: bool = True, keep: Callable[[DataFrame, str], DataFrame] | None = None, context: bool = True) -> DataFrame:
+def payment(players: DataFrame, money: DataFrame, bets: DataFrame, t: Thresholds, evidence: bool | str = True, keep: Callable[[DataFrame, str], DataFrame] | None = None, context: bool = True) -> DataFrame:
     """player_key and one struct for each feature. Without evidence, ids of transactions are counted and not gathered.
 
     keep: writes the pairs; stakes are then looked for only around those of which the turnover is asked. Without it, all is one
     plan, in one pass over deposits, withdrawals and bets. context=False: structs of value and null_reason.
+    evidence TOLD: ids that reasons show, without evidence.
     """
+    evidence, gathered = bool(evidence), bool(evidence) and evidence != TOLD
     people = players.where("player_key is not null").select("player_key")
     ledger, own_bets = population(money, people), population(bets, people)
     ins = ledger.where(F.coalesce("is_money_in", F.lit(False)))
@@ -51,7 +53,7 @@ def payment(players: DataFrame, money: DataFrame, bets: DataFrame, t: Thresholds
     fast = F.struct("deposit_id", "withdrawal_id")
     paired = pairs.groupBy("player_key").agg(F.min(brief).alias("nearest"), F.array_sort(F.collect_list(F.when(F.col("gap_minutes") <= t.fast_minutes, fast))).alias("fast"))
     worst = worst_turnover(turnover(trigger_pairs(staked, t)))
-    if evidence:
+    if gathered:
         worst = worst.join(bets_between(worst, own_bets), "player_key", "left")
     active = own_bets.select("player_key").distinct().withColumn("active", F.lit(True))
     base = people.join(money_totals(ledger, evidence), "player_key", "left").join(paired, "player_key", "left").join(worst, "player_key", "left").join(active, "player_key", "left")
@@ -64,7 +66,7 @@ def payment(players: DataFrame, money: DataFrame, bets: DataFrame, t: Thresholds
     unseen = [(F.col("active").isNull(), "casino_activity_not_observable"), *unpaired]
     w = F.col("worst")
     pct = w["withdrawal_amount"] / w["deposit_amount"] * 100
-    played = none("bet_ids") if evidence else F.array().cast("array<string>")
+    played = none("bet_ids") if gathered else F.array().cast("array<string>")
     exit_item = F.when(w.isNotNull(), item(deposit_id=w["deposit_id"], withdrawal_id=w["withdrawal_id"], pct_withdrawn=pct, intervening_bet_ids=played, intervening_stake_sum=w["stake_sum"]))
     of_pair = {"deposit_id": w["deposit_id"], "withdrawal_id": w["withdrawal_id"], "pct_withdrawn": F.round(pct, 6), "intervening_stake_sum": F.round(w["stake_sum"], 6)}
     many = lambda c: F.coalesce(F.size(c), F.lit(0)) if evidence else F.coalesce(c, F.lit(0))
@@ -84,7 +86,7 @@ def payment(players: DataFrame, money: DataFrame, bets: DataFrame, t: Thresholds
     fast_pairs = F.coalesce("fast", F.array().cast("array<struct<deposit_id:string,withdrawal_id:string>>"))
     no_deposit, no_withdrawal = [(no_in, "no_completed_deposits")], [(zero["n_withdrawals"] == 0, "no_withdrawals")]
     methods, accounts = none("methods"), none("accounts")
-    feature = partial(specs.feature, gathered=evidence, told=context)
+    feature = partial(specs.feature, gathered=gathered, told=context)
     out = [
         feature("pay_deposit_then_exit_flag", F.coalesce(w["turnover_ratio"] < t.turnover_pct, F.lit(False)), exit_item, unseen, **of_pair),
         feature("pay_intervening_turnover_ratio", w["turnover_ratio"], exit_item, [*unseen, (w.isNull(), "no_triggering_deposit_withdrawal_pair")], **of_pair),

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from ..config import ConfigError, RuleSpec, Settings
 from ..functions import scalars as S
-from ..operators.specs import ALL, Spec
+from ..operators.linkage import with_others
+from ..operators.multi_accounting import SHARED_FEATURES
+from ..operators.specs import ALL, OTHERS, Spec
 
 GROUPS = {"ma": "multi_accounting_score", "pay": "payment_fraud_score", "bet": "betting_anomaly_score"}
 
@@ -110,6 +112,21 @@ def score_players(structs: DataFrame, settings: Settings | None = None, iforest:
     return out.select("player_key", *GROUPS.values(), "overall_risk", "band", "iforest_score_untrusted", "fired_rules", "unmeasured_features", "feature_snapshot", "fired_rule_ids")
 
 
+def fired_reasons(flags: DataFrame) -> DataFrame:
+    """player_key, rule_id, points, reason: one row for each rule that fired."""
+    fired = F.from_json("fired_rules", "array<struct<rule_id: string, points: double, reason: string>>")
+    return flags.select("player_key", F.explode(fired).alias("r")).select("player_key", "r.*")
+
+
+def whole_reasons(rows: DataFrame, shared: DataFrame, settings: Settings | None = None) -> DataFrame:
+    """fired_reasons over features that are TOLD, with the names of all others where OTHERS stands for them; shared: holders of shared keys."""
+    kinds = {name: kind for kind, name in SHARED_FEATURES.items()}
+    by_rule = [F.when(F.col("rule_id") == r.rule_id, F.lit(kinds[r.feature])) for r in (settings or Settings()).rules if r.feature in kinds and "{other_player_keys" in r.reason]
+    kind = F.coalesce(*by_rule) if by_rule else F.lit(None).cast("string")
+    named = with_others(rows.where(kind.isNotNull()).withColumn("key_type", kind), shared)
+    return rows.where(kind.isNull()).unionByName(named.select("player_key", "rule_id", "points", F.replace("reason", F.lit(OTHERS), "others").alias("reason")))
+
+
 def rule_counts(flags: DataFrame) -> DataFrame:
     """How many players each rule fired for."""
     return flags.select(F.explode("fired_rule_ids").alias("rule_id")).groupBy("rule_id").agg(F.count(F.lit(1)).alias("players"))

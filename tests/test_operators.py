@@ -26,13 +26,13 @@ from stakescope.operators.iforest import average_path, grow, isolation_scores, s
 from stakescope.operators.multi_accounting import multi_accounting
 from stakescope.operators.payment import payment
 from stakescope.operators.quantiles import quantiles
-from stakescope.operators.specs import ALL, MA, PAY
+from stakescope.operators.specs import ALL, MA, PAY, TOLD
 from stakescope.plans import audit
 from stakescope.plans.features import GROUPS, broken_contract, build_features, combine
 from stakescope.plans.feedback import FeedbackStore, run_feedback
 from stakescope.plans.outputs import load_features, score_and_write, write_features
 from stakescope.plans.rebuild import rebuild
-from stakescope.plans.scoring import check_rules, score_players
+from stakescope.plans.scoring import check_rules, score_players, whole_reasons
 from stakescope.sources import adapter as A
 from stakescope.sources.commits import CommitLog, renamed
 from stakescope.sources.tables import DocumentStore, Workspace, exists, kept, load_table, read_text
@@ -709,3 +709,32 @@ def test_holders_without_records(spark):
     every, none = linkage.holders(linkage.frame_observations(df, "t", "key", F.col("record"))), linkage.holders(linkage.frame_observations(df, "t", "key", F.col("record"), once=False), records=False)
     assert none.schema.simpleString() == every.schema.simpleString()
     assert sorted(none.collect()) == sorted((*r[:3], []) for r in every.select(*key).collect()) and none.count() == 2
+
+
+def test_others_are_read_off_the_texts_of_keys(spark):
+    """Lists of all others by kind of key, from each key's text and what further keys add, against lists made of pairs."""
+    draw = random.Random(7)
+    names = ["a", "b, c", "é", "日本", *(f"p{i}" for i in range(9))]
+    rows = {(kind, f"k{draw.randrange(4)}", draw.choice(names)) for kind in (linkage.NIN, linkage.PHONE) for _ in range(22)}
+    held = spark.createDataFrame([(*r, []) for r in sorted(rows)], "key_type string, shared_key string, player_key string, record_ids array<string>")
+    shared = linkage.shared_holders(held, 10)
+    want = {}
+    for p in linkage.edges(shared).collect():
+        want.setdefault((p["player_key"], p["key_type"]), set()).add(p["other"])
+    asked = spark.createDataFrame([(*k, i) for i, k in enumerate(sorted(want))], "player_key string, key_type string, n long")
+    for hot in (1, 1000):
+        got = {(r["player_key"], r["key_type"]): r["others"] for r in linkage.with_others(asked, shared, hot).collect()}
+        assert got == {k: f"[{', '.join(sorted(v, key=str.encode))}]" for k, v in want.items()}
+
+
+def test_reasons_need_no_pairs_of_holders(spark):
+    """Features that are TOLD write no pairs, and the names of others stand in the reasons at the end."""
+    people = spark.createDataFrame([(p, None, T0, "n" if p != "c" else None, None, None) for p in "abcd"], PLAYERS)
+    written = {}
+    built = multi_accounting(people, spark.createDataFrame([], LOGINS), spark.createDataFrame([], MONEY), Thresholds(), TOLD, lambda df, name: written.setdefault(name, df))
+    assert set(written) == {"holders", "shared"}
+    rows = built.select("player_key", F.lit("R-MA-01").alias("rule_id"), F.lit(35.0).alias("points"), F.col("ma_nin_shared_account_count.ctx.other_player_keys").alias("reason")).where("player_key <> 'c'")
+    rows = rows.unionByName(rows.withColumns({"rule_id": F.lit("R-PAY-05"), "reason": F.lit("as it is")}))
+    got = {tuple(r) for r in whole_reasons(rows, written["shared"]).collect()}
+    assert got == {(p, "R-MA-01", 35.0, others) for p, others in (("a", "[b, d]"), ("b", "[a, d]"), ("d", "[a, b]"))} | {(p, "R-PAY-05", 35.0, "as it is") for p in "abd"}
+    assert built.where("ma_nin_shared_account_count.evidence is not null").isEmpty()
