@@ -11,6 +11,7 @@ from collections import Counter
 from datetime import datetime, timedelta
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -33,10 +34,12 @@ from stakescope.plans.feedback import FeedbackStore, run_feedback
 from stakescope.plans.outputs import load_features, score_and_write, write_features
 from stakescope.plans.rebuild import rebuild
 from stakescope.plans.scoring import check_rules, score_players, whole_reasons
+from stakescope.queries import QUERIES, SQL
 from stakescope.sources import adapter as A
 from stakescope.sources.commits import CommitLog, renamed
-from stakescope.sources.tables import DocumentStore, Workspace, exists, kept, load_table, read_text
+from stakescope.sources.tables import DocumentStore, Workspace, exists, kept, load_table, long_rows, read_text
 from stakescope.streaming.ingest import ingest
+from tests.oracle import compare
 
 T0 = datetime(2024, 1, 1, 10)
 PLAYERS = "player_key string, phone string, created_at timestamp, nin_hash string, email_hash string, referred_by_key string"
@@ -738,3 +741,29 @@ def test_reasons_need_no_pairs_of_holders(spark):
     got = {tuple(r) for r in whole_reasons(rows, written["shared"]).collect()}
     assert got == {(p, "R-MA-01", 35.0, others) for p, others in (("a", "[b, d]"), ("b", "[a, d]"), ("d", "[a, b]"))} | {(p, "R-PAY-05", 35.0, "as it is") for p in "abd"}
     assert built.where("ma_nin_shared_account_count.evidence is not null").isEmpty()
+
+
+def test_long_rows_are_not_held_back(spark, tmp_path):
+    """A writer of rows of megabytes ends row groups by their size, not after a hundred rows."""
+    names = ("parquet.page.size.row.check.min", "parquet.block.size.row.check.min")
+    rows = spark.range(60, numPartitions=1).select(F.repeat(F.sha2(F.col("id").cast("string"), 512), 4000).alias("text"))
+    try:
+        long_rows(spark)
+        rows.write.option("parquet.block.size", 1 << 22).option("compression", "none").option("parquet.enable.dictionary", "false").parquet(str(tmp_path / "long"))
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+    (file,) = (tmp_path / "long").glob("*.parquet")
+    assert pq.ParquetFile(file).metadata.num_row_groups > 3
+
+
+def test_evidence_of_shared_keys_is_written_as_long_rows(spark, sf_dir):
+    names = ("parquet.page.size.row.check.min", "parquet.block.size.row.check.min")
+    for n in names:
+        spark.conf.unset(n)
+    try:
+        assert compare(spark, sf_dir, QUERIES["evidence_multi_accounting"], SQL["evidence_multi_accounting"]) == ""
+        assert [spark.conf.get(n) for n in names] == ["1", "1"]
+    finally:
+        for n in names:
+            spark.conf.unset(n)
